@@ -68,9 +68,9 @@ def land(df: DataFrame, root: str) -> None:
     )
 
 
-def scan_landing(spark: SparkSession, root: str) -> DataFrame:
+def scan_landing(spark: SparkSession, root: str, schema: T.StructType = LANDED) -> DataFrame:
     """Scan the landing layout; ``server_id`` and ``dt`` come from the path."""
-    return spark.read.schema(LANDED).option("basePath", root).parquet(f"{root}/server_id=*/dt=*/")
+    return spark.read.schema(schema).option("basePath", root).parquet(f"{root}/server_id=*/dt=*/")
 
 
 def build_bronze(df: DataFrame) -> DataFrame:

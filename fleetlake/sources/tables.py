@@ -59,14 +59,23 @@ def write_table(
 
 
 def save_managed(
-    df: DataFrame, name: str, partition_by: list[str] | None = None, fmt: str = "parquet"
+    df: DataFrame,
+    name: str,
+    partition_by: list[str] | None = None,
+    fmt: str = "parquet",
+    location: str | None = None,
 ) -> None:
-    """Overwrite a catalog table and replace its schema."""
+    """Overwrite a catalog table and replace its schema.
+
+    With a ``location`` the catalog points there instead of into its warehouse.
+    """
     writer = _layout(df, partition_by).write.format(fmt).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
+    if location:
+        writer = writer.option("path", location)
     writer.saveAsTable(name)
 
 

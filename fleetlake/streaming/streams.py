@@ -26,13 +26,18 @@ NO_DAY = "1970-01-01"  # partition of rows without a timestamp
 
 
 def stream_bronze(
-    spark: SparkSession, root: str, out: str, ckpt: str, max_files: int | None = None
+    spark: SparkSession,
+    root: str,
+    out: str,
+    ckpt: str,
+    max_files: int | None = None,
+    schema: T.StructType = LANDED,
 ) -> StreamingQuery:
     """Pick up new landing files, add lineage, append to Bronze by day.
 
     Runs over what is there and stops; call it again (or change the trigger) to continue.
     """
-    reader = spark.readStream.schema(LANDED)
+    reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return (
