@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from fleetlake.session import stage
+
 BUCKETS_PER_E_FOLD = 4096  # a bucket spans about 0.024 % of its value
 _LOG_LIMIT = 750  # |ln| of every finite double is below this
 
@@ -27,13 +29,15 @@ def _bucket(value: Column) -> Column:
 def quantiles(
     df: DataFrame, by: list[str], value: str, probs: dict[str, float], exact: bool = True
 ) -> DataFrame:
-    """Linearly interpolated quantiles of ``value`` per group; nulls and NaN are left out.
+    """Linearly interpolated quantiles of ``value`` per group.
 
-    ``probs`` maps an output column to its probability. With ``exact=False`` a bounded
+    Null and NaN values, and rows with a null group key, are left out. ``probs`` maps an output column to its probability. With ``exact=False`` a bounded
     sketch (``percentile_approx``) answers in one pass, with a rank error of 1 in 10,000.
     """
     v = F.col(value).cast("double")
     rows = df.select(*by, v.alias("_v")).filter("_v is not null and not isnan(_v)")
+    for b in by:
+        rows = rows.filter(F.col(b).isNotNull())
     if not exact:
         sketches = [F.percentile_approx("_v", p, 10_000).alias(name) for name, p in probs.items()]
         return rows.groupBy(*by).agg(*sketches)
@@ -50,12 +54,16 @@ def quantiles(
     for position, _ in ranks.values():
         for rank in (F.floor(position), F.ceil(position)):
             hit = hit | ((rank >= F.col("_lo")) & (rank < F.col("_hi")))
-    targets = (
+    # A few rows per group. Written, so that the histogram is computed once and the join
+    # below knows its size: Spark then broadcasts it only if it is small, and does not
+    # shuffle the readings to find out.
+    targets = stage(
         histogram.withColumns(
             {"_hi": F.sum("_n").over(upward), "_total": F.sum("_n").over(W.partitionBy(*by))}
         )
         .withColumn("_lo", F.col("_hi") - F.col("_n"))
-        .filter(hit)
+        .filter(hit),
+        "quantile-targets",
     )
     settled = targets.filter("_min = _max").select(
         *by, "_total", "_lo", "_hi", F.col("_min").alias("_v")
@@ -98,7 +106,7 @@ def median(df: DataFrame, by: list[str], value: str, name: str = "median") -> Da
 
 def median_and_mad(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """Median and median absolute deviation per group."""
-    centre = median(df, by, value)
+    centre = stage(median(df, by, value), "medians")
     if by:
         deviations = df.join(centre, by)
     else:

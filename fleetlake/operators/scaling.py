@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.functions.rules import MAD_TO_SIGMA, READINGS_PER_DAY, hour_in
-from fleetlake.operators.quantiles import median
+from fleetlake.operators.quantiles import median_and_mad
 from fleetlake.operators.series import rolling_slopes
 
 # The detector's features, in the order that breaks ties between them.
@@ -45,19 +45,17 @@ def fit_scalers(df: DataFrame, features: list[str] = FEATURES, by: str = "server
     reads ``df``, so hand in a written table rather than a long plan.
     """
     key = [by, "feature"]
-    values = df.select(by, *[F.col(f).cast("double") for f in features]).unpivot(
-        [by], features, "feature", "x"
-    )
-    centre = median(values, key, "x")
-    spread = median(
-        values.join(centre, key).select(*key, F.abs(F.col("x") - F.col("median")).alias("deviation")),
-        key,
-        "deviation",
-        "mad",
+
+    def in_rows(wide: DataFrame, name: str) -> DataFrame:
+        return wide.unpivot([by], features, "feature", name)
+
+    doubles = [F.col(f).cast("double").alias(f) for f in features]
+    stats = median_and_mad(in_rows(df.select(by, *doubles), "x"), key, "x")
+    fallback = df.groupBy(by).agg(
+        *[(F.stddev_samp(F.col(f)) + F.lit(STD_FLOOR)).alias(f) for f in features]
     )
-    fallback = values.groupBy(*key).agg((F.stddev_samp("x") + F.lit(STD_FLOOR)).alias("std"))
     scale = F.when(F.col("mad") > MIN_MAD, F.col("mad")).otherwise(F.col("std"))
-    return centre.join(spread, key).join(fallback, key).select(*key, "median", scale.alias("scale"))
+    return stats.join(in_rows(fallback, "std"), key).select(*key, "median", scale.alias("scale"))
 
 
 def attach_scalers(df: DataFrame, scalers: DataFrame, features: list[str] = FEATURES) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from fleetlake.functions.rules import READINGS_PER_DAY
+from fleetlake.session import stage
 
 MICROS = {"second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6, "day": 86400 * 10**6}
 ROWS_PER_SLICE = 1_000_000
@@ -142,10 +143,13 @@ def with_slices(
         F.when(F.col(f"_start{step}") - lookback < F.col("_end"), F.col(f"_next{step}"))
         for step in (1, 2)
     ]
-    placement = (
+    # Only the time units of long series, so usually empty. Written, so that the join knows
+    # its size and a fleet without long series costs no extra shuffle.
+    placement = stage(
         units.join(slices, [by, "_home"])
         .withColumn("_slices", F.array_compact(F.array(F.col("_home"), *needed)))
-        .select(by, "_unit", "_slices")
+        .select(by, "_unit", "_slices"),
+        "slices",
     )
     placed = df.withColumn("_unit", slice_of(F.col(ts), unit_micros)).join(
         placement, [by, "_unit"], "left"

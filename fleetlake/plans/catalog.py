@@ -102,7 +102,7 @@ def z_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Features (slopes to four digits, so that both engines see the same) with their z."""
     featured = scaling.build_features(staged(spark, sf))
     featured = stage(round_cols(featured, list(scaling.SLOPE_FEATURES), 4), "features")
-    return scaling.apply_scalers(featured, scaling.fit_scalers(featured))
+    return scaling.apply_scalers(featured, stage(scaling.fit_scalers(featured), "scalers"))
 
 
 def simple_scored(spark: SparkSession, sf: str) -> DataFrame:
