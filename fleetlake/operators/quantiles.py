@@ -1,10 +1,11 @@
 """Exact quantiles that no single group, value or task has to hold.
 
 Spark's ``percentile`` keeps every distinct value of a group in one task. Here a first
-pass counts values per group in narrow, order-preserving buckets (combined on the map
-side), the few buckets that hold the wanted ranks are located, and a second pass looks
-only at the rows inside those buckets. A bucket whose values are all equal is already
-settled by the first pass, so a value repeated by most rows costs nothing more.
+pass counts values per group in order-preserving buckets (combined on the map side), the
+few buckets that hold the wanted ranks are located, and a second pass looks only at the
+readings inside those. A bucket that still holds very many readings is divided again
+first. A bucket whose values are all equal is settled by its count alone, so a value
+repeated by most readings costs nothing more.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ from pyspark.sql import Window as W
 
 from fleetlake.session import stage
 
-BUCKETS_PER_E_FOLD = 4096  # a bucket spans about 0.024 % of its value
+BUCKETS_PER_E_FOLD = 512  # a bucket spans about 0.2 % of its value
+PARTS = 4096  # of a bucket that is divided again
+MAX_OPEN_ROWS = 4_000_000  # readings of one bucket that are ordered in one task
 _LOG_LIMIT = 750  # |ln| of every finite double is below this
 
 
@@ -26,13 +29,85 @@ def _bucket(value: Column) -> Column:
     return F.when(value == 0, F.lit(0)).when(value > 0, step).otherwise(-step).cast("long")
 
 
+def _ends(p: float) -> tuple[Column, Column, Column]:
+    """The two ranks (from 0) a quantile lies between, and how far it is past the first."""
+    position = F.lit(float(p)) * (F.col("_total") - 1)
+    return F.floor(position), F.ceil(position), position - F.floor(position)
+
+
+def _holds(rank: Column) -> Column:
+    return (rank >= F.col("_lo")) & (rank < F.col("_hi"))
+
+
+def _hit(probs: dict[str, float]) -> Column:
+    """Whether the ranks ``_lo`` (included) to ``_hi`` (excluded) contain a wanted one."""
+    hit = F.lit(False)
+    for p in probs.values():
+        below, above, _ = _ends(p)
+        hit = hit | _holds(below) | _holds(above)
+    return hit
+
+
+def _inside(rows: DataFrame, by: list[str], targets: DataFrame) -> DataFrame:
+    """The readings within the target intervals, with the interval's columns.
+
+    ``targets`` is a written table of a few rows per group: Spark knows its size before it
+    plans the join, so it broadcasts it only if it is small, and splits hot keys otherwise.
+    """
+    kept = [c for c in targets.columns if c.startswith("_") and c != "_bucket"]
+    renamed = targets.select(
+        *[F.col(c).alias(f"_t_{c}") for c in [*by, "_bucket"]], *kept
+    )
+    same = F.col("_v").between(F.col("_min"), F.col("_max"))
+    for c in [*by, "_bucket"]:
+        same = same & (F.col(c) == F.col(f"_t_{c}"))
+    return rows.join(renamed, same).select(*by, "_bucket", "_v", *kept)
+
+
+def _counts() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("_n"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+    ]
+
+
+def _locate(rows: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:
+    """The buckets with a wanted rank: value range, first and last rank, rows in the group."""
+    upward = W.partitionBy(*by).orderBy("_bucket")
+    ranked = (
+        rows.groupBy(*by, "_bucket")
+        .agg(*_counts())
+        .withColumns({"_hi": F.sum("_n").over(upward), "_total": F.sum("_n").over(W.partitionBy(*by))})
+        .withColumn("_lo", F.col("_hi") - F.col("_n"))
+    )
+    columns = [*by, "_bucket", "_total", "_lo", "_hi", "_min", "_max"]
+    return stage(ranked.filter(_hit(probs)).select(*columns), "quantile-targets")
+
+
+def _divide(rows: DataFrame, by: list[str], targets: DataFrame, probs: dict[str, float]) -> DataFrame:
+    """Cut each target interval into equal parts and keep those with a wanted rank."""
+    share = (F.col("_v") - F.col("_min")) / (F.col("_max") - F.col("_min"))
+    parts = _inside(rows, by, targets).withColumn("_part", F.floor(share * PARTS))
+    interval = [*by, "_bucket", "_total", "_lo"]
+    upward = W.partitionBy(*interval).orderBy("_part")
+    ranked = (
+        parts.groupBy(*interval, "_part")
+        .agg(*_counts())
+        .withColumn("_hi", F.col("_lo") + F.sum("_n").over(upward))
+        .withColumn("_lo", F.col("_hi") - F.col("_n"))
+    )
+    return stage(ranked.filter(_hit(probs)).select(*targets.columns), "quantile-targets")
+
+
 def quantiles(
     df: DataFrame, by: list[str], value: str, probs: dict[str, float], exact: bool = True
 ) -> DataFrame:
     """Linearly interpolated quantiles of ``value`` per group.
 
-    Null and NaN values, and rows with a null group key, are left out. ``probs`` maps an output column to its probability. With ``exact=False`` a bounded
-    sketch (``percentile_approx``) answers in one pass, with a rank error of 1 in 10,000.
+    Null and NaN values, and rows with a null group key, are left out. ``probs`` maps an
+    output column to its probability. With ``exact=False`` a bounded sketch
+    (``percentile_approx``) answers in one pass, with a rank error of 1 in 10,000.
     """
     v = F.col(value).cast("double")
     rows = df.select(*by, v.alias("_v")).filter("_v is not null and not isnan(_v)")
@@ -43,60 +118,42 @@ def quantiles(
         return rows.groupBy(*by).agg(*sketches)
 
     rows = rows.withColumn("_bucket", _bucket(F.col("_v")))
-    histogram = rows.groupBy(*by, "_bucket").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max")
-    )
-    upward = W.partitionBy(*by).orderBy("_bucket")
-    ranks = {
-        name: (F.lit(float(p)) * (F.col("_total") - 1), f"{name}_at") for name, p in probs.items()
-    }
-    hit = F.lit(False)
-    for position, _ in ranks.values():
-        for rank in (F.floor(position), F.ceil(position)):
-            hit = hit | ((rank >= F.col("_lo")) & (rank < F.col("_hi")))
-    # A few rows per group. Written, so that the histogram is computed once and the join
-    # below knows its size: Spark then broadcasts it only if it is small, and does not
-    # shuffle the readings to find out.
-    targets = stage(
-        histogram.withColumns(
-            {"_hi": F.sum("_n").over(upward), "_total": F.sum("_n").over(W.partitionBy(*by))}
-        )
-        .withColumn("_lo", F.col("_hi") - F.col("_n"))
-        .filter(hit),
-        "quantile-targets",
-    )
-    settled = targets.filter("_min = _max").select(
-        *by, "_total", "_lo", "_hi", F.col("_min").alias("_v")
-    )
-    open_buckets = targets.filter("_min < _max").select(
-        *[F.col(b).alias(f"_g_{b}") for b in by], F.col("_bucket").alias("_b"), "_total", "_lo"
-    )
-    same = F.col("_bucket") == F.col("_b")
-    for b in by:
-        same = same & (F.col(b) == F.col(f"_g_{b}"))
-    inside = (
-        rows.join(open_buckets, same)
-        .groupBy(*by, "_bucket", "_total", "_lo", "_v")
+    targets = _locate(rows, by, probs)
+    found = []
+    while True:
+        found.append(targets.filter("_min = _max").select(*by, "_total", "_lo", "_hi", F.col("_min").alias("_v")))
+        targets = targets.filter("_min < _max")
+        if not targets.filter(F.col("_hi") - F.col("_lo") > MAX_OPEN_ROWS).take(1):
+            break
+        targets = _divide(rows, by, targets, probs)
+
+    interval = [*by, "_bucket", "_total", "_lo"]
+    upward = W.partitionBy(*interval).orderBy("_v")
+    values = (
+        _inside(rows, by, targets)
+        .groupBy(*interval, "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_hi", F.col("_lo") + F.sum("_n").over(upward))
+        .select(*by, "_total", (F.col("_hi") - F.col("_n")).alias("_lo"), "_hi", "_v")
     )
-    within = W.partitionBy(*by, "_bucket").orderBy("_v")
-    narrowed = inside.withColumn("_end", F.col("_lo") + F.sum("_n").over(within)).select(
-        *by, "_total", (F.col("_end") - F.col("_n")).alias("_lo"), F.col("_end").alias("_hi"), "_v"
-    )
+    for settled in found:
+        values = values.unionByName(settled)
 
     def value_at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("_lo")) & (rank < F.col("_hi")), F.col("_v")))
-
-    ends, result = [], []
-    for name, (position, at) in ranks.items():
-        below, above = F.col(f"_below_{name}"), F.col(f"_above_{name}")
-        ends += [
-            value_at(F.floor(position)).alias(f"_below_{name}"),
-            value_at(F.ceil(position)).alias(f"_above_{name}"),
-            F.max(position - F.floor(position)).alias(f"_{at}"),
-        ]
-        result.append((below + (above - below) * F.col(f"_{at}")).alias(name))
-    return settled.unionByName(narrowed).groupBy(*by).agg(*ends).select(*by, *result)
+        return F.max(F.when(_holds(rank), F.col("_v")))
+
+    ends = {name: _ends(p) for name, p in probs.items()}
+    picked = [
+        F.struct(
+            value_at(below).alias("below"), value_at(above).alias("above"), F.max(past).alias("past")
+        ).alias(f"_{name}")
+        for name, (below, above, past) in ends.items()
+    ]
+    interpolated = [
+        F.expr(f"_{name}.below + (_{name}.above - _{name}.below) * _{name}.past").alias(name)
+        for name in probs
+    ]
+    return values.groupBy(*by).agg(*picked).select(*by, *interpolated)
 
 
 def median(df: DataFrame, by: list[str], value: str, name: str = "median") -> DataFrame:
@@ -105,7 +162,10 @@ def median(df: DataFrame, by: list[str], value: str, name: str = "median") -> Da
 
 
 def median_and_mad(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """Median and median absolute deviation per group."""
+    """Median and median absolute deviation per group.
+
+    ``df`` is read several times, so hand in a written table rather than a long plan.
+    """
     centre = stage(median(df, by, value), "medians")
     if by:
         deviations = df.join(centre, by)
