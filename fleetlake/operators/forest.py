@@ -22,7 +22,7 @@ TREES = 300
 SAMPLE_ROWS = 256
 CONTAMINATION = 0.05
 SEED = 42
-POOL_ROWS = 1 << 18
+POOL_ROWS = 1 << 16
 MAX_FOREST_NODES = 10_000_000
 _HASH_RANGE = 1 << 40
 _EULER = 0.5772156649015329
