@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.functions.rules import MAD_TO_SIGMA, READINGS_PER_DAY, hour_in
-from fleetlake.operators.quantiles import median_and_mad
+from fleetlake.operators.quantiles import median
 from fleetlake.operators.series import rolling_slopes
+from fleetlake.session import stage
 
 # The detector's features, in the order that breaks ties between them.
 BASE_FEATURES = [
@@ -47,15 +48,35 @@ def fit_scalers(df: DataFrame, features: list[str] = FEATURES, by: str = "server
     key = [by, "feature"]
 
     def in_rows(wide: DataFrame, name: str) -> DataFrame:
-        return wide.unpivot([by], features, "feature", name)
+        return wide.select(by, *features).unpivot([by], features, "feature", name)
 
-    doubles = [F.col(f).cast("double").alias(f) for f in features]
-    stats = median_and_mad(in_rows(df.select(by, *doubles), "x"), key, "x")
-    fallback = df.groupBy(by).agg(
-        *[(F.stddev_samp(F.col(f)) + F.lit(STD_FLOOR)).alias(f) for f in features]
+    values = df.select(by, *[F.col(f).cast("double").alias(f) for f in features])
+    centre = stage(median(in_rows(values, "x"), key, "x"), "medians")
+    # Joined before the unpivot: one row per reading meets one row per server.
+    deviations = values.join(_in_columns(centre, ["median"], features, by), by).select(
+        by, *[F.abs(F.col(f) - F.col(f"_median_{f}")).alias(f) for f in features]
+    )
+    spread = median(in_rows(deviations, "x"), key, "x", "mad")
+    fallback = values.groupBy(by).agg(
+        *[(F.stddev_samp(f) + F.lit(STD_FLOOR)).alias(f) for f in features]
     )
     scale = F.when(F.col("mad") > MIN_MAD, F.col("mad")).otherwise(F.col("std"))
-    return stats.join(in_rows(fallback, "std"), key).select(*key, "median", scale.alias("scale"))
+    return (
+        centre.join(spread, key)
+        .join(in_rows(fallback, "std"), key)
+        .select(*key, "median", scale.alias("scale"))
+    )
+
+
+def _in_columns(stats: DataFrame, names: list[str], features: list[str], by: str) -> DataFrame:
+    """``(server, feature, stat...)`` as one row per server with ``_<stat>_<feature>`` columns."""
+    return stats.groupBy(by).agg(
+        *[
+            F.max(F.when(F.col("feature") == f, F.col(name))).alias(f"_{name}_{f}")
+            for f in features
+            for name in names
+        ]
+    )
 
 
 def attach_scalers(df: DataFrame, scalers: DataFrame, features: list[str] = FEATURES) -> DataFrame:
@@ -64,13 +85,7 @@ def attach_scalers(df: DataFrame, scalers: DataFrame, features: list[str] = FEAT
     One scaler row per server; Spark broadcasts it while it is small, and otherwise joins
     by shuffle, where adaptive execution splits a server with very many readings.
     """
-    wide = scalers.groupBy("server_id").agg(
-        *[
-            F.max(F.when(F.col("feature") == f, F.col(stat))).alias(f"_{stat}_{f}")
-            for f in features
-            for stat in ("median", "scale")
-        ]
-    )
+    wide = _in_columns(scalers, ["median", "scale"], features, "server_id")
     return df.join(wide, "server_id", "left")
 
 

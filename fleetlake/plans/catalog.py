@@ -861,13 +861,12 @@ def m03_z_scores(spark, sf):
 
 @query
 def m04_forest(spark, sf):
-    z = stage(z_scores(spark, sf), "z")
-    return forest.fit_forest(z)
+    return forest.fit_forest(z_scores(spark, sf))
 
 
 @query
 def m05_isolation_scores(spark, sf):
-    z = stage(z_scores(spark, sf), "z")
+    z = z_scores(spark, sf)
     fitted = stage(forest.fit_forest(z), "forest")
     return forest.score(z, fitted).select("event_id", "server_id", "timestamp", "isolation")
 
@@ -918,7 +917,7 @@ def s11_model(spark, sf):
     path = scratch_path(spark, "model")
     rows = staged(spark, sf)
     z, scalers = detection.scale(rows)
-    forest.save_model(scalers, forest.fit_forest(stage(z, "z")), path, features=",".join(FEATURES))
+    forest.save_model(scalers, forest.fit_forest(z), path, features=",".join(FEATURES))
     again = detection.score_new(rows, path)
     return again.groupBy("server_id").agg(
         F.count("isolation").alias("scored"), rounded(F.max("isolation"), 4).alias("most_isolated")

@@ -35,7 +35,8 @@ class Detection:
 def scale(silver: DataFrame, cap: float | None = None) -> tuple[DataFrame, DataFrame]:
     """Features with their z-scores, and the scalers fitted on them.
 
-    The features are written once, since fitting the scalers reads them several times.
+    The features are written once, since fitting reads them several times. The z-scores are
+    not: they are a projection of the features beside one scaler row per server.
     """
     featured = stage(build_features(silver), "features")
     scalers = stage(fit_scalers(featured), "scalers")
@@ -51,7 +52,6 @@ def detect(
 ) -> Detection:
     """Fit on ``silver`` and score the same readings."""
     z, scalers = scale(silver, cap)
-    z = stage(z, "z")
     forest = stage(fit_forest(z, trees=trees, seed=seed), "forest")
     scored = flag(stage(score(z, forest), "scored"), contamination=contamination)
     events = stage(finish_events(build_events(scored)), "events")

@@ -25,6 +25,21 @@ def build_session(app: str = "fleetlake", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def size_conf(input_bytes: int, task_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a run over ``input_bytes``, for ``build_session(**size_conf(...))``.
+
+    Scan tasks and shuffle partitions of about ``task_bytes``; adaptive execution merges
+    partitions that turn out smaller and splits skewed ones.
+    """
+    partitions = min(max(input_bytes // task_bytes, 200), 400_000)
+    return {
+        "spark__sql__shuffle__partitions": str(partitions),
+        "spark__sql__files__maxPartitionBytes": str(task_bytes),
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": str(task_bytes),
+        "spark__sql__adaptive__skewJoin__enabled": "true",
+    }
+
+
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Timestamps are UTC instants throughout, so the session zone must be UTC too."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

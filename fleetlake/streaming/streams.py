@@ -14,7 +14,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from fleetlake.functions.rules import INTERVAL_MINUTES, MIN_VALID_TIMESTAMP, alert_severity, rounded
+from fleetlake.functions.rules import (
+    INTERVAL_MINUTES,
+    MIN_VALID_TIMESTAMP,
+    alert_severity,
+    rounded,
+    validity_rules,
+)
 from fleetlake.operators.incidents import DETECTION_METHOD, dominant_feature, peak_struct
 from fleetlake.operators.scaling import FEATURES
 from fleetlake.operators.series import MICROS
@@ -22,7 +28,7 @@ from fleetlake.operators.silver import KEYS, classify
 from fleetlake.sources.readings import LANDED, build_bronze
 from fleetlake.sources.tables import publish, read_published
 
-NO_DAY = "1970-01-01"  # partition of rows without a timestamp
+NO_DAY = "1970-01-01"  # partition of rows without a plausible timestamp
 
 
 def stream_bronze(
@@ -79,21 +85,27 @@ def stream_silver(
     """
 
     def clean(batch: DataFrame, batch_id: int) -> None:
-        day = F.coalesce(F.to_date("timestamp"), F.lit(NO_DAY).cast("date"))
-        fresh = classify(batch, min_ts, as_of, order_by).withColumn("_day", day)
-        stored = _stored(batch.sparkSession, out, batch_id)
-        if stored is not None:
-            days = fresh.select("_day").distinct()
-            known = stored.select("_day", *KEYS).join(days, "_day", "left_semi").alias("known")
-            fresh = fresh.alias("fresh")
-            same = F.col("fresh._day") == F.col("known._day")
-            for key in KEYS:
-                same = same & F.col(f"fresh.{key}").eqNullSafe(F.col(f"known.{key}"))
-            fresh = fresh.join(known, same, "left_anti")
-        # One folder per micro-batch, replaced as a whole if the batch is run again.
-        fresh.hint("rebalance", "_day").write.mode("overwrite").partitionBy("_day").parquet(
-            f"{out}/_batch={batch_id}"
-        )
+        upper = F.current_timestamp() if as_of is None else as_of
+        implausible = validity_rules(upper, min_ts)["invalid_timestamp"]
+        # Plausible days are few; every other timestamp shares one partition.
+        day = F.when(~implausible, F.to_date("timestamp")).otherwise(F.lit(NO_DAY).cast("date"))
+        fresh = classify(batch, min_ts, as_of, order_by).withColumn("_day", day).persist()
+        try:
+            result = fresh
+            stored = _stored(batch.sparkSession, out, batch_id)
+            if stored is not None:
+                days = [row["_day"] for row in fresh.select("_day").distinct().collect()]
+                known = stored.filter(F.col("_day").isin(days)).select("_day", *KEYS).alias("known")
+                same = F.col("fresh._day") == F.col("known._day")
+                for key in KEYS:
+                    same = same & F.col(f"fresh.{key}").eqNullSafe(F.col(f"known.{key}"))
+                result = fresh.alias("fresh").join(known, same, "left_anti")
+            # One folder per micro-batch, replaced as a whole if the batch is run again.
+            result.hint("rebalance", "_day").write.mode("overwrite").partitionBy("_day").parquet(
+                f"{out}/_batch={batch_id}"
+            )
+        finally:
+            fresh.unpersist()
 
     reader = spark.readStream.schema(schema)
     if max_files:
