@@ -23,9 +23,10 @@ KEYS = ["server_id", "timestamp"]
 def enforce_types(df: DataFrame) -> DataFrame:
     """Cast to the reading's types; text that does not parse becomes null."""
     types = {"timestamp": T.TimestampType(), **METRIC_TYPES, "status": T.StringType()}
+    found = {f.name: f.dataType for f in df.schema.fields}
 
     def converted(name: str, dtype: T.DataType) -> Column:
-        is_text = isinstance(df.schema[name].dataType, T.StringType)
+        is_text = isinstance(found[name], T.StringType)
         return F.col(name).try_cast(dtype) if is_text else F.col(name).cast(dtype)
 
     return df.withColumns({name: converted(name, dtype) for name, dtype in types.items()})

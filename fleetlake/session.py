@@ -17,6 +17,8 @@ def build_session(app: str = "fleetlake", master: str | None = None, **conf: str
         .config("spark.executor.extraJavaOptions", "-Duser.timezone=UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        # Call-site capture costs several JVM calls for every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -34,10 +34,10 @@ def readings_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     def on(server: int, day: int, before_hour: int = 24) -> Column:
         return (sv == server) & (dd == day) & (hh < before_hour)
 
-    surge = on(7, 11, 3)
-    planted = (
-        on(1, 11, 6) | on(3, 11) | on(5, 11) | on(5, 12) | surge | on(8, 11, 6) | on(10, 11, 9)
-    )
+    # The planted incidents, by the metric they show in.
+    hot, leak, fill = on(1, 11, 6), on(3, 11), on(5, 11) | on(5, 12)
+    surge, burst, slow = on(7, 11, 3), on(8, 11, 6), on(10, 11, 9)
+    planted = hot | leak | fill | surge | burst | slow
     readings = e.select(
         eid,
         F.when(every(503), F.lit(None))
@@ -51,15 +51,15 @@ def readings_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("timestamp"),
         F.when(every(97), F.lit(None))
         .when(every(89), 105.0 + k)
-        .when(on(1, 11, 6), 95.0 + k / 20.0)
+        .when(hot, 95.0 + k / 20.0)
         .otherwise(10.0 + k * 0.5)
         .alias("cpu_usage_percent"),
         F.when(every(101), F.lit(None))
-        .when(on(3, 11), 50.0 + hh * 2.0)
+        .when(leak, 50.0 + hh * 2.0)
         .otherwise(40.0 + (eid * 37 % 1000) / 100.0)
         .alias("memory_usage_percent"),
         F.when(every(103), F.lit(None))
-        .when(on(5, 11) | on(5, 12), 45.0 + ((dd - 11) * 24 + hh) * 1.0)
+        .when(fill, 45.0 + ((dd - 11) * 24 + hh) * 1.0)
         .otherwise((48 + eid % 5).cast("double"))
         .alias("disk_usage_percent"),
         (value * 10.0).alias("disk_io_read"),
@@ -67,12 +67,12 @@ def readings_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(surge, 5e6 + value).otherwise(3e5 + value * 1e3).alias("network_rx_bytes"),
         F.when(surge, 3e6 + value).otherwise(2e5 + value * 600.0).alias("network_tx_bytes"),
         F.when(every(277), F.lit(-1))
-        .when(on(8, 11, 6), 20 + k % 40)
+        .when(burst, 20 + k % 40)
         .when(F.col("event_type") == "error", k % 3)
         .otherwise(F.lit(0))
         .cast("long")
         .alias("application_error_count"),
-        F.when(on(10, 11, 9), 900.0 + k).otherwise(100.0 + k * 0.4).alias("response_time_ms"),
+        F.when(slow, 900.0 + k).otherwise(100.0 + k * 0.4).alias("response_time_ms"),
         planted.cast("int").alias("is_injected_anomaly"),
     )
     return readings.withColumns({"status": derive_status(), "dt": F.to_date("timestamp")})
