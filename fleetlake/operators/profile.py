@@ -81,25 +81,26 @@ def days_since(origin: Column, ts: Column) -> Column:
     return (F.unix_micros(ts) - F.unix_micros(origin)) / F.lit(86400e6)
 
 
-def week_slope(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Least-squares slope per server over the whole window, per day.
-
-    A slope does not depend on where the time axis starts, so days are counted from a fixed
-    origin near the data (the fleet's first instant) in one aggregation.
-    """
+def _week_slopes(df: DataFrame, columns: dict[str, str]) -> list[Column]:
+    """A slope does not depend on where the time axis starts, so days are counted from the
+    fleet's first instant, and every server's slope comes out of one aggregation."""
     origin = df.agg(F.min("timestamp").alias("origin")).scalar()
     day = days_since(origin, F.col("timestamp"))
-    slopes = [F.regr_slope(F.col(source), day).alias(out) for out, source in columns.items()]
-    return df.groupBy("server_id").agg(*slopes)
+    return [F.regr_slope(F.col(source), day).alias(out) for out, source in columns.items()]
+
+
+def week_slope(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Least-squares slope per server over the whole window, per day."""
+    return df.groupBy("server_id").agg(*_week_slopes(df, columns))
 
 
 def trend_report(df: DataFrame) -> DataFrame:
     """Whole-window slope, steepest 24 h slope and peak for memory and disk."""
-    week = week_slope(df, {"mem_week_slope": MEMORY, "disk_week_slope": DISK})
-    worst = worst_slopes(df, {"mem_worst_24h_slope": MEMORY, "disk_worst_24h_slope": DISK})
-    peaks = df.groupBy("server_id").agg(
-        F.max(MEMORY).alias("mem_peak"), F.max(DISK).alias("disk_peak")
+    week = {"mem_week_slope": MEMORY, "disk_week_slope": DISK}
+    overall = df.groupBy("server_id").agg(
+        *_week_slopes(df, week), F.max(MEMORY).alias("mem_peak"), F.max(DISK).alias("disk_peak")
     )
+    worst = worst_slopes(df, {"mem_worst_24h_slope": MEMORY, "disk_worst_24h_slope": DISK})
     digits = {"week_slope": 3, "worst_24h_slope": 2, "peak": 1}
     columns = [
         rounded(F.col(f"{metric}_{what}"), n).alias(f"{metric}_{what}")
@@ -107,8 +108,7 @@ def trend_report(df: DataFrame) -> DataFrame:
         for what, n in digits.items()
     ]
     return (
-        peaks.join(week, "server_id")
-        .join(worst, "server_id", "left")
+        overall.join(worst, "server_id", "left")
         .select("server_id", *columns)
         .orderBy(F.desc_nulls_last("mem_worst_24h_slope"), "server_id")
     )

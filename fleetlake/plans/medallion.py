@@ -20,24 +20,38 @@ from fleetlake.sources.tables import (
     publish,
     read_published,
     read_table,
+    save_managed,
     write_table,
 )
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the tables of one lake live."""
+    """Where the tables of one lake live: under a path, or in a catalog schema if one is named.
+
+    Serving tables are always path tables, since each load publishes a new version of them.
+    """
 
     root: str
     fmt: str = "parquet"
+    schema: str | None = None
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def write(self, df: DataFrame, table: str, partition_by: list[str] | None = None) -> None:
+        if self.schema:
+            save_managed(df, f"{self.schema}.{table}", partition_by, self.fmt)
+        else:
+            write_table(df, self.path(table), partition_by, self.fmt)
+
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        return read_table(spark, f"{self.schema}.{table}" if self.schema else self.path(table), self.fmt)
+
 
 def run_bronze(spark: SparkSession, landing: str, lake: Lake) -> None:
     """Landing files with lineage, by day (days grow without limit, servers need not)."""
-    write_table(build_bronze(scan_landing(spark, landing)), lake.path("bronze"), ["dt"], lake.fmt)
+    lake.write(build_bronze(scan_landing(spark, landing)), "bronze", ["dt"])
 
 
 def run_silver(
@@ -47,23 +61,23 @@ def run_silver(
     min_ts: datetime = MIN_VALID_TIMESTAMP,
 ) -> None:
     """Clean once, write valid and rejected rows. Rejects are always written, even if empty."""
-    bronze = read_table(spark, lake.path("bronze"), lake.fmt)
+    bronze = lake.read(spark, "bronze")
     valid, rejects = split(stage(classify(bronze, min_ts, as_of), "silver"))
-    write_table(valid, lake.path("silver"), ["dt"], lake.fmt)
-    write_table(rejects, lake.path("telemetry_rejects"), None, lake.fmt)
+    lake.write(valid, "silver", ["dt"])
+    lake.write(rejects, "telemetry_rejects")
 
 
 def run_gold(spark: SparkSession, lake: Lake, cfg: HealthConfig = HealthConfig()) -> None:
     """Summary and daily metrics from the Silver table."""
-    silver = read_table(spark, lake.path("silver"), lake.fmt)
-    write_table(build_server_summary(silver, cfg), lake.path("gold_server_summary"), None, lake.fmt)
-    write_table(build_daily_metrics(silver), lake.path("gold_daily_metrics"), ["dt"], lake.fmt)
+    silver = lake.read(spark, "silver")
+    lake.write(build_server_summary(silver, cfg), "gold_server_summary")
+    lake.write(build_daily_metrics(silver), "gold_daily_metrics", ["dt"])
 
 
 def run_serving(spark: SparkSession, lake: Lake, meta: DataFrame, now: Column | None = None) -> None:
     """Load the serving tables: new servers, fresh health snapshot, alerts derived anew."""
     stamp = F.current_timestamp() if now is None else now
-    summary = read_table(spark, lake.path("gold_server_summary"), lake.fmt)
+    summary = lake.read(spark, "gold_server_summary")
     # A renamed host leaves two summary rows; the serving tables have one row per server.
     servers = server_rows(summary, meta).withColumn("created_at", stamp)
     health = conform(summary, HEALTH_SUMMARY_TYPES).withColumn("updated_at", stamp)
