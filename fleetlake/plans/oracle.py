@@ -298,11 +298,13 @@ p3 as (select * from v where "timestamp" >= timestamp '2024-01-13 00:00:00'),
 {gold("p1", "s1")},
 {gold("p2", "s2")},
 {gold("p3", "s3")},
+{gold("v", "s4")},
 al0 as (select '' as server_id, '' as metric, '' as severity, timestamp '2024-01-01' as triggered_at,
                false as resolved, cast(null as timestamp) as resolved_at where false),
 {_step("al0", "s1", "2024-01-11", "al1")},
 {_step("al1", "s2", "2024-01-16", "al2")},
-{_step("al2", "s3", "2024-01-31", "al3")}"""
+{_step("al2", "s3", "2024-01-31", "al3")},
+{_step("al3", "s4", "2024-02-01", "al4")}"""
 
 _TRAFFIC = "avg(network_rx_bytes) as avg_rx, max(network_rx_bytes) as peak_rx, avg(network_tx_bytes) as avg_tx, max(network_tx_bytes) as peak_tx"
 _NORMAL = "(select *, hour(\"timestamp\") as hour from v where is_injected_anomaly <> 1)"
@@ -360,7 +362,7 @@ _PARTS: dict[str, tuple[str, str]] = {
         {", ".join(f"{r(f, 2)} as {f}" for f in FEATURES[:7])} from scored order by scored.anomaly_score desc, server_id, "timestamp" limit 10"""),
     "p12_filter_servers": (VIEW, "select server_id, hostname, environment, application, status from health where server_id in ('server03', 'server05', 'server08')"),
     "p13_filter_severity": (EVENTS, "select server_id, \"timestamp\", severity from finished where severity in ('CRITICAL')"),
-    "p14_unresolved": (ALERT_STEPS, "select server_id, severity, triggered_at from al3 where not resolved"),
+    "p14_unresolved": (ALERT_STEPS, "select server_id, severity, triggered_at from al4 where not resolved"),
     "p15_units": (SILVER, f"""select server_id, {r("avg(network_rx_bytes) / 1e6", 2)} as avg_rx_mb, {r("avg(network_tx_bytes) / 1e6", 2)} as avg_tx_mb,
         {r("avg(application_error_count) * 12e0", 2)} as errors_per_hour from v group by server_id, hostname"""),
     "p16_label_result": (HALF_FLAGGED, "select event_id, is_anomaly, case when is_anomaly = 1 then 'ANOMALY' else 'NORMAL' end as result from hf"),
@@ -390,7 +392,8 @@ _PARTS: dict[str, tuple[str, str]] = {
         select * from late where not exists (select 1 from early e where e.server_id = late.server_id and e.dt = late.dt)"""),
     "j08_upsert": (RUNS, """select *, timestamp '2024-02-01 00:00:00' as updated_at from late union all
         select *, timestamp '2024-01-16 00:00:00' from early where not exists (select 1 from late l where l.server_id = early.server_id and l.dt = early.dt)"""),
-    "j09_orphans": ("", "select c_custkey as custkey, c_name from customer where c_custkey not in (select o_custkey from orders)"),
+    "j09_orphans": (f"{READINGS},\n{META.format(last=7)}", """select event_id, server_id, "timestamp" from canon
+        where not exists (select 1 from meta m where m.server_id = canon.server_id)"""),
     "j10_server_detail": (f"""{EVENTS},
 {gold('v')},
 {META.format(last=11)}""", f"""select h.server_id, {BAND} as status, health_score, avg_cpu_percent, peak_cpu_percent, avg_memory_percent, peak_memory_percent,
@@ -524,7 +527,7 @@ full_windows as (
     "x01_stream_bronze": (READINGS, "select dt, count(*) as n, count(*) as with_lineage from readings group by dt"),
     "x02_stream_silver": (SILVER, """select event_id, server_id, "timestamp", coalesce(_reject_reason, '') as reason from classified"""),
     "x03_stream_events": (EVENTS, 'select server_id, "timestamp", peak_timestamp, metric, value, peak_score, readings, duration_minutes, detection_method from incidents'),
-    "x04_step_alerts": (ALERT_STEPS, "select * from al3"),
+    "x04_step_alerts": (ALERT_STEPS, "select * from al4"),
 }
 
 
