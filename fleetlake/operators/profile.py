@@ -18,6 +18,7 @@ from fleetlake.functions.rules import (
 )
 from fleetlake.operators.quantiles import median_and_mad, quantiles
 from fleetlake.operators.series import worst_slopes
+from fleetlake.session import stage
 
 CPU, MEMORY, DISK = "cpu_usage_percent", "memory_usage_percent", "disk_usage_percent"
 RX, TX, LATENCY = "network_rx_bytes", "network_tx_bytes", "response_time_ms"
@@ -66,7 +67,8 @@ def error_outlier(df: DataFrame) -> DataFrame:
 
     One row per server feeds the median, so its cost follows the fleet, not the readings.
     """
-    totals = df.groupBy("server_id").agg(F.coalesce(F.sum(ERRORS), F.lit(0)).alias("total_errors"))
+    sums = df.groupBy("server_id").agg(F.coalesce(F.sum(ERRORS), F.lit(0)).alias("total_errors"))
+    totals = stage(sums, "error-totals")
     fleet_median = quantiles(totals, [], "total_errors", {"fleet_median": 0.5}).scalar()
     top = worst_by(totals, "server_id", "total_errors")
     return top.withColumn("fleet_median", fleet_median).withColumn(

@@ -48,20 +48,25 @@ def _hit(probs: dict[str, float]) -> Column:
     return hit
 
 
-def _inside(rows: DataFrame, by: list[str], targets: DataFrame) -> DataFrame:
-    """The readings within the target intervals, with the interval's columns.
+def _inside(table: DataFrame, by: list[str], targets: DataFrame) -> DataFrame:
+    """The values within the target intervals: one row per value, with the interval's columns.
 
-    ``targets`` is a written table of a few rows per group: Spark knows its size before it
-    plans the join, so it broadcasts it only if it is small, and splits hot keys otherwise.
+    A group has a few targets per column, gathered to one array, so ``table`` meets one row
+    per group and keeps its width; only the values that fall into a target come out. The
+    targets are a written table: Spark knows its size before it plans the join, so it
+    broadcasts it only if it is small, and splits hot groups otherwise.
     """
-    kept = [c for c in targets.columns if c.startswith("_") and c != "_bucket"]
-    renamed = targets.select(
-        *[F.col(c).alias(f"_t_{c}") for c in [*by, "_bucket"]], *kept
+    columns = [c for c in targets.columns if c not in by]
+    gathered = F.collect_list(F.struct(*columns)).alias("_targets")
+    if by:
+        joined = table.join(targets.groupBy(*by).agg(gathered), by)
+    else:
+        joined = table.withColumn("_targets", targets.agg(gathered).scalar())
+    hits = F.filter("_targets", lambda t: F.get("_x", t["_column"]).between(t["_min"], t["_max"]))
+    return (
+        joined.select(*by, "_x", F.explode(hits).alias("_t"))
+        .select(*by, "_t.*", F.get("_x", F.col("_t._column")).alias("_v"))
     )
-    same = F.col("_v").between(F.col("_min"), F.col("_max"))
-    for c in [*by, "_bucket"]:
-        same = same & (F.col(c) == F.col(f"_t_{c}"))
-    return rows.join(renamed, same).select(*by, "_bucket", "_v", *kept)
 
 
 def _counts() -> list[Column]:
@@ -72,27 +77,33 @@ def _counts() -> list[Column]:
     ]
 
 
-def _locate(rows: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:
-    """The buckets with a wanted rank: value range, first and last rank, rows in the group."""
-    upward = W.partitionBy(*by).orderBy("_bucket")
+def _locate(values: DataFrame, group: list[str], probs: dict[str, float]) -> DataFrame:
+    """The buckets with a wanted rank: value range, first and last rank, values in the group.
+
+    The window sees one row per bucket: a few thousand, and never more than the doubles'
+    range allows, however many values a group has.
+    """
+    upward = W.partitionBy(*group).orderBy("_bucket")
     ranked = (
-        rows.groupBy(*by, "_bucket")
+        values.groupBy(*group, "_bucket")
         .agg(*_counts())
-        .withColumns({"_hi": F.sum("_n").over(upward), "_total": F.sum("_n").over(W.partitionBy(*by))})
+        .withColumns(
+            {"_hi": F.sum("_n").over(upward), "_total": F.sum("_n").over(W.partitionBy(*group))}
+        )
         .withColumn("_lo", F.col("_hi") - F.col("_n"))
     )
-    columns = [*by, "_bucket", "_total", "_lo", "_hi", "_min", "_max"]
+    columns = [*group, "_bucket", "_total", "_lo", "_hi", "_min", "_max"]
     return stage(ranked.filter(_hit(probs)).select(*columns), "quantile-targets")
 
 
-def _divide(rows: DataFrame, by: list[str], targets: DataFrame, probs: dict[str, float]) -> DataFrame:
+def _divide(inside: DataFrame, group: list[str], targets: DataFrame, probs: dict[str, float]) -> DataFrame:
     """Cut each target interval into equal parts and keep those with a wanted rank."""
     share = (F.col("_v") - F.col("_min")) / (F.col("_max") - F.col("_min"))
-    parts = _inside(rows, by, targets).withColumn("_part", F.floor(share * PARTS))
-    interval = [*by, "_bucket", "_total", "_lo"]
+    interval = [*group, "_bucket", "_total", "_lo"]
     upward = W.partitionBy(*interval).orderBy("_part")
     ranked = (
-        parts.groupBy(*interval, "_part")
+        inside.withColumn("_part", F.floor(share * PARTS))
+        .groupBy(*interval, "_part")
         .agg(*_counts())
         .withColumn("_hi", F.col("_lo") + F.sum("_n").over(upward))
         .withColumn("_lo", F.col("_hi") - F.col("_n"))
@@ -100,44 +111,44 @@ def _divide(rows: DataFrame, by: list[str], targets: DataFrame, probs: dict[str,
     return stage(ranked.filter(_hit(probs)).select(*targets.columns), "quantile-targets")
 
 
-def quantiles(
-    df: DataFrame, by: list[str], value: str, probs: dict[str, float], exact: bool = True
+def column_quantiles(
+    df: DataFrame, by: list[str], columns: list[str], probs: dict[str, float]
 ) -> DataFrame:
-    """Linearly interpolated quantiles of ``value`` per group.
+    """Exact, linearly interpolated quantiles of several columns: ``(by, feature, ...)``.
 
     Null and NaN values, and rows with a null group key, are left out. ``probs`` maps an
-    output column to its probability. With ``exact=False`` a bounded sketch
-    (``percentile_approx``) answers in one pass, with a rank error of 1 in 10,000.
+    output column to its probability. ``df`` is read at least twice.
     """
-    v = F.col(value).cast("double")
-    rows = df.select(*by, v.alias("_v")).filter("_v is not null and not isnan(_v)")
+    table = df.select(*by, F.array(*[F.col(c).cast("double") for c in columns]).alias("_x"))
     for b in by:
-        rows = rows.filter(F.col(b).isNotNull())
-    if not exact:
-        sketches = [F.percentile_approx("_v", p, 10_000).alias(name) for name, p in probs.items()]
-        return rows.groupBy(*by).agg(*sketches)
-
-    rows = rows.withColumn("_bucket", _bucket(F.col("_v")))
-    targets = _locate(rows, by, probs)
+        table = table.filter(F.col(b).isNotNull())
+    group = [*by, "_column"]
+    values = (
+        table.select(*by, F.posexplode("_x").alias("_column", "_v"))
+        .filter("_v is not null and not isnan(_v)")
+        .withColumn("_bucket", _bucket(F.col("_v")))
+    )
+    targets = _locate(values, group, probs)
     found = []
     while True:
-        found.append(targets.filter("_min = _max").select(*by, "_total", "_lo", "_hi", F.col("_min").alias("_v")))
+        settled = targets.filter("_min = _max")
+        found.append(settled.select(*group, "_total", "_lo", "_hi", F.col("_min").alias("_v")))
         targets = targets.filter("_min < _max")
         if not targets.filter(F.col("_hi") - F.col("_lo") > MAX_OPEN_ROWS).take(1):
             break
-        targets = _divide(rows, by, targets, probs)
+        targets = _divide(_inside(table, by, targets), group, targets, probs)
 
-    interval = [*by, "_bucket", "_total", "_lo"]
+    interval = [*group, "_bucket", "_total", "_lo"]
     upward = W.partitionBy(*interval).orderBy("_v")
-    values = (
-        _inside(rows, by, targets)
+    ranked = (
+        _inside(table, by, targets)
         .groupBy(*interval, "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_hi", F.col("_lo") + F.sum("_n").over(upward))
-        .select(*by, "_total", (F.col("_hi") - F.col("_n")).alias("_lo"), "_hi", "_v")
+        .select(*group, "_total", (F.col("_hi") - F.col("_n")).alias("_lo"), "_hi", "_v")
     )
     for settled in found:
-        values = values.unionByName(settled)
+        ranked = ranked.unionByName(settled)
 
     def value_at(rank: Column) -> Column:
         return F.max(F.when(_holds(rank), F.col("_v")))
@@ -153,7 +164,27 @@ def quantiles(
         F.expr(f"_{name}.below + (_{name}.above - _{name}.below) * _{name}.past").alias(name)
         for name in probs
     ]
-    return values.groupBy(*by).agg(*picked).select(*by, *interpolated)
+    names = F.array(*[F.lit(c) for c in columns])
+    feature = F.get(names, F.col("_column")).alias("feature")
+    return ranked.groupBy(*group).agg(*picked).select(*by, feature, *interpolated)
+
+
+def quantiles(
+    df: DataFrame, by: list[str], value: str, probs: dict[str, float], exact: bool = True
+) -> DataFrame:
+    """Quantiles of one column per group; see ``column_quantiles``.
+
+    With ``exact=False`` a bounded sketch (``percentile_approx``) answers in one pass, with
+    a rank error of 1 in 10,000.
+    """
+    if exact:
+        return column_quantiles(df, by, [value], probs).drop("feature")
+    v = F.col(value).cast("double")
+    rows = df.select(*by, v.alias("_v")).filter("_v is not null and not isnan(_v)")
+    for b in by:
+        rows = rows.filter(F.col(b).isNotNull())
+    sketches = [F.percentile_approx("_v", p, 10_000).alias(name) for name, p in probs.items()]
+    return rows.groupBy(*by).agg(*sketches)
 
 
 def median(df: DataFrame, by: list[str], value: str, name: str = "median") -> DataFrame:

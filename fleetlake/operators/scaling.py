@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.functions.rules import MAD_TO_SIGMA, READINGS_PER_DAY, hour_in
-from fleetlake.operators.quantiles import median
+from fleetlake.operators.quantiles import column_quantiles
 from fleetlake.operators.series import rolling_slopes
 from fleetlake.session import stage
 
@@ -42,28 +42,23 @@ def fit_scalers(df: DataFrame, features: list[str] = FEATURES, by: str = "server
     """``(server, feature, median, scale)``.
 
     The scale is the median absolute deviation, or the sample standard deviation where that
-    is (nearly) zero. All features are fitted together in long form; a pass per statistic
-    reads ``df``, so hand in a written table rather than a long plan.
+    is (nearly) zero. All features are fitted together, in a few passes over ``df``, so hand
+    in a written table rather than a long plan.
     """
     key = [by, "feature"]
-
-    def in_rows(wide: DataFrame, name: str) -> DataFrame:
-        return wide.select(by, *features).unpivot([by], features, "feature", name)
-
     values = df.select(by, *[F.col(f).cast("double").alias(f) for f in features])
-    centre = stage(median(in_rows(values, "x"), key, "x"), "medians")
-    # Joined before the unpivot: one row per reading meets one row per server.
+    centre = stage(column_quantiles(values, [by], features, {"median": 0.5}), "medians")
     deviations = values.join(_in_columns(centre, ["median"], features, by), by).select(
         by, *[F.abs(F.col(f) - F.col(f"_median_{f}")).alias(f) for f in features]
     )
-    spread = median(in_rows(deviations, "x"), key, "x", "mad")
+    spread = column_quantiles(deviations, [by], features, {"mad": 0.5})
     fallback = values.groupBy(by).agg(
         *[(F.stddev_samp(f) + F.lit(STD_FLOOR)).alias(f) for f in features]
     )
     scale = F.when(F.col("mad") > MIN_MAD, F.col("mad")).otherwise(F.col("std"))
     return (
         centre.join(spread, key)
-        .join(in_rows(fallback, "std"), key)
+        .join(fallback.unpivot([by], features, "feature", "std"), key)
         .select(*key, "median", scale.alias("scale"))
     )
 

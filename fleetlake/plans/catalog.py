@@ -549,7 +549,7 @@ def a10_error_profile(spark, sf):
 
 @query
 def a11_error_outlier(spark, sf):
-    return profile.error_outlier(staged(spark, sf, "server_id", "application_error_count"))
+    return profile.error_outlier(valid(spark, sf))
 
 
 @query
