@@ -203,19 +203,33 @@ def score(z: DataFrame, forest: DataFrame, features: list[str] = FEATURES) -> Da
     return z.withColumn("isolation", isolated(F.struct(*cols)))
 
 
+def cutoff(
+    scored: DataFrame,
+    raw: str = "isolation",
+    contamination: float = CONTAMINATION,
+    exact: bool = True,
+) -> DataFrame:
+    """The score that the stated share of readings exceeds, as one row.
+
+    ``scored`` is read more than once, so hand in a written table.
+    """
+    return quantiles(scored, [], raw, {"cut": 1.0 - contamination}, exact)
+
+
 def flag(
     scored: DataFrame,
     raw: str = "isolation",
     contamination: float = CONTAMINATION,
     exact: bool = True,
+    cut: float | None = None,
 ) -> DataFrame:
     """``anomaly_score`` (0 at the cut-off), ``is_anomaly`` and ``result``.
 
-    The cut-off is the score that the stated share of readings exceeds; flags are strictly
-    above it. ``scored`` is read more than once, so hand in a written table.
+    Flags are strictly above the cut-off, which is taken from the readings themselves unless
+    one is given (later readings are judged by the cut-off of the fit).
     """
-    cut = quantiles(scored, [], raw, {"cut": 1.0 - contamination}, exact).scalar()
-    above = scored.withColumn("anomaly_score", F.col(raw) - cut)
+    limit = cutoff(scored, raw, contamination, exact).scalar() if cut is None else F.lit(cut)
+    above = scored.withColumn("anomaly_score", F.col(raw) - limit)
     flagged = above.withColumn(
         "is_anomaly", F.when(F.col("anomaly_score") > 0, 1).otherwise(0).cast("int")
     )

@@ -10,6 +10,7 @@ from fleetlake.operators.forest import (
     CONTAMINATION,
     SEED,
     TREES,
+    cutoff,
     fit_forest,
     flag,
     load_model,
@@ -30,6 +31,7 @@ class Detection:
     events: DataFrame
     scalers: DataFrame
     forest: DataFrame
+    cut: float
 
 
 def scale(silver: DataFrame, cap: float | None = None) -> tuple[DataFrame, DataFrame]:
@@ -53,9 +55,11 @@ def detect(
     """Fit on ``silver`` and score the same readings."""
     z, scalers = scale(silver, cap)
     forest = stage(fit_forest(z, trees=trees, seed=seed), "forest")
-    scored = flag(stage(score(z, forest), "scored"), contamination=contamination)
-    events = stage(finish_events(build_events(scored)), "events")
-    return Detection(scored, events, scalers, forest)
+    scored = stage(score(z, forest), "scored")
+    cut = cutoff(scored, contamination=contamination).first()["cut"]
+    flagged = flag(scored, cut=cut)
+    events = stage(finish_events(build_events(flagged)), "events")
+    return Detection(flagged, events, scalers, forest, cut)
 
 
 def run_detection(silver: DataFrame, out: str, **options) -> Detection:
@@ -70,11 +74,13 @@ def run_detection(silver: DataFrame, out: str, **options) -> Detection:
         f"{out}/model",
         features=",".join(FEATURES),
         contamination=options.get("contamination", CONTAMINATION),
+        cut=result.cut,
     )
     return result
 
 
 def score_new(silver: DataFrame, model_path: str) -> DataFrame:
-    """Score later readings with a saved model (the cut-off is set by ``flag``)."""
-    scalers, forest, _ = load_model(silver.sparkSession, model_path)
-    return score(apply_scalers(build_features(silver), scalers), forest)
+    """Score later readings with a saved model, and flag them if the model kept its cut-off."""
+    scalers, forest, settings = load_model(silver.sparkSession, model_path)
+    scored = score(apply_scalers(build_features(silver), scalers), forest)
+    return flag(scored, cut=float(settings["cut"])) if "cut" in settings else scored

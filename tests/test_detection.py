@@ -130,6 +130,9 @@ def test_run_detection_writes_all_tables(silver, tmp_path):
     assert scores.columns == [*tables.SCORED_KEYS, *scaling.FEATURES] and scores.count() == silver.count()
     assert tables.read_table(spark, f"{out}/anomaly_events").columns == incidents.EVENT_COLUMNS
     assert tables.read_published(spark, f"{out}/anomalies").count() > 0
+    # The saved model flags the same readings as the run that fitted it.
+    again = detection.score_new(silver, f"{out}/model").select("server_id", "timestamp", "is_anomaly")
+    assert again.exceptAll(scores.select("server_id", "timestamp", "is_anomaly")).count() == 0
 
 
 # --- incidents
