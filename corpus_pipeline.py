@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlake.llm import classifier, line_dedup
+from fleetlake.llm import classifier, line_dedup, mixing, near_dup, pieces
 from fleetlake.llm.common import documents, labels, scratch_path
 
 
@@ -19,7 +19,33 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select(docs.columns)
 
 
-STAGES = [("quality classifier", quality), ("line dedup", lines)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates: the smallest ``doc_id``."""
+    return near_dup.keep_one(docs)
+
+
+# The least budget that loses no document: the source with the highest share for its weight is used
+# once, the others up to twice.
+MIX = mixing.Mix(target_entropy=0.9, max_repeats=2.0, budget=None)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the source weights ask for; none is lost."""
+    return mixing.mix_documents(docs, MIX)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every use of a document, and the hash of the text they decode to."""
+    return pieces.encode_and_check(docs)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("line dedup", lines),
+    ("MinHash near-dedup", near),
+    ("mixing sources to target weights", mixed),
+    ("SentencePiece encoding and decoding", encoded),
+]
 
 # Fitted models, sketches and tokens have no SQL form; brute-force tests cover the stages.
 ORACLE_SQL = None

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from fleetlake.llm import classifier, line_dedup
+from fleetlake.llm import classifier, line_dedup, mixing, near_dup, pieces
 
 QUERIES = {
+    "op1_source_mixing": mixing.op1_query,
     "op3_line_dedup": line_dedup.op3_query,
+    "op6_dart_minhash": near_dup.op6_query,
     "op7_ordinal_classifier": classifier.op7_query,
+    "op10_sentencepiece": pieces.op10_query,
 }
 
 SQL = {
+    "op1_source_mixing": mixing.OP1_SQL,
     "op3_line_dedup": line_dedup.OP3_SQL,
 }
