@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from fleetlake.llm import classifier, line_dedup, mixing, near_dup, pieces
+from fleetlake.llm import classifier, line_dedup, mixing, near_dup, pieces, pii
 
 QUERIES = {
     "op1_source_mixing": mixing.op1_query,
+    "op2_pii": pii.op2_query,
     "op3_line_dedup": line_dedup.op3_query,
     "op6_dart_minhash": near_dup.op6_query,
     "op7_ordinal_classifier": classifier.op7_query,
