@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from fleetlake.llm import classifier, line_dedup, mixing, near_dup, pieces, pii, quality_rules
+from fleetlake.llm import classifier, fingerprints, licenses, line_dedup, mixing, near_dup, pieces, pii, quality_rules
 
 QUERIES = {
     "op1_source_mixing": mixing.op1_query,
     "op2_pii": pii.op2_query,
     "op3_line_dedup": line_dedup.op3_query,
+    "op4_fingerprints": fingerprints.op4_query,
     "op5_quality_rules": quality_rules.op5_query,
     "op6_dart_minhash": near_dup.op6_query,
     "op7_ordinal_classifier": classifier.op7_query,
+    "op8_license_scan": licenses.op8_query,
     "op10_sentencepiece": pieces.op10_query,
 }
 
@@ -18,4 +20,5 @@ SQL = {
     "op1_source_mixing": mixing.OP1_SQL,
     "op3_line_dedup": line_dedup.OP3_SQL,
     "op5_quality_rules": quality_rules.OP5_SQL,
+    "op8_license_scan": licenses.OP8_SQL,
 }
