@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetlake.llm import classifier, fingerprints, licenses, line_dedup, mixing, near_dup, pieces, pii, quality_rules
+from fleetlake.llm import classifier, fingerprints, licenses, line_dedup, mixing, near_dup, pieces, pii, quality_rules, warc
 
 QUERIES = {
     "op1_source_mixing": mixing.op1_query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_dart_minhash": near_dup.op6_query,
     "op7_ordinal_classifier": classifier.op7_query,
     "op8_license_scan": licenses.op8_query,
+    "op9_warc_salvage": warc.op9_query,
     "op10_sentencepiece": pieces.op10_query,
 }
 
@@ -21,4 +22,5 @@ SQL = {
     "op3_line_dedup": line_dedup.OP3_SQL,
     "op5_quality_rules": quality_rules.OP5_SQL,
     "op8_license_scan": licenses.OP8_SQL,
+    "op9_warc_salvage": warc.OP9_SQL,
 }
