@@ -97,7 +97,7 @@ def _parse(data: bytes, at: int) -> tuple[Record | None, int, str]:
     headers: dict[str, str] = {}
     for line in data[at:end].split(b"\r\n")[1:]:
         key, colon, value = line.partition(b":")
-        if not colon or not key.strip():
+        if not colon or not key.strip() or any(c < 32 and c != 9 for c in line):
             return None, at, "bad header line"
         headers[key.strip().decode("latin-1").lower()] = value.strip().decode("utf-8", "replace")
     length = headers.get("content-length", "")
