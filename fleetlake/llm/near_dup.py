@@ -194,38 +194,46 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, label): the smallest node that each linked node reaches.
-
-    Labels move along links and jump to the label of their label; every turn is staged, and the
-    loop ends when no label changes.
-    """
-    edges = stage(
-        links.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        .union(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        .distinct(),
-        "edges",
-    )
-    labels = stage(edges.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("label")), "labels")
+def _roots(parents: DataFrame) -> DataFrame:
+    """(node, label) with every parent followed to its end; parents are never larger than nodes."""
     while True:
-        near = (
-            edges.join(labels, F.col("v") == F.col("node")).groupBy("u").agg(F.min("label").alias("near"))
-        )
-        moved = labels.join(near, F.col("node") == F.col("u")).select(
-            "node", F.col("label").alias("old"), F.least("label", "near").alias("to")
-        )
-        jump = labels.select(F.col("node").alias("at"), F.col("label").alias("beyond"))
+        up = parents.select(F.col("node").alias("at"), F.col("label").alias("above"))
         moved = stage(
-            moved.join(jump, F.col("to") == F.col("at"), "left").select(
-                "node", F.least("to", F.coalesce("beyond", "to")).alias("label"), "old"
-            ),
+            parents.join(up, F.col("label") == F.col("at")).select("node", F.col("label").alias("old"), F.col("above").alias("label")),
             "labels",
         )
-        labels = moved.select("node", "label")
+        parents = moved.select("node", "label")
         if moved.where("label <> old").isEmpty():
+            return parents
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, label): the smallest node that each linked node reaches.
+
+    Every node points to its smallest neighbour, pointers are followed to their ends, and links
+    between different ends are all that is left for the next turn, each once. Every step is staged.
+    """
+    labels = None
+    while True:
+        edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        ends = _roots(edges.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("label")))
+        labels = ends if labels is None else relabelled(labels, ends)
+        left = ends.withColumnsRenamed({"node": "a", "label": "ea"})
+        right = ends.withColumnsRenamed({"node": "b", "label": "eb"})
+        rest = links.join(left, "a").join(right, "b").where("ea <> eb")
+        links = stage(rest.select(F.least("ea", "eb").alias("a"), F.greatest("ea", "eb").alias("b")).distinct(), "links")
+        if links.isEmpty():
             return labels
 
 
+def relabelled(labels: DataFrame, merged: DataFrame) -> DataFrame:
+    """Labels after their own components merged; ``merged`` may also bring nodes that are new."""
+    to = merged.select(F.col("node").alias("at"), F.col("label").alias("to"))
+    old = labels.join(to, F.col("label") == F.col("at"), "left").select("node", F.coalesce("to", "label").alias("label"))
+    new = merged.join(labels.select("node"), "node", "left_anti").select("node", "label")
+    return stage(old.union(new), "labels")
+
+
 def near_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id) for every row of ``docs``, which needs doc_id and text."""
     sketched = stage(sketches(docs), "sketches")
@@ -243,8 +251,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     sets = stage(arrow_rows(texts, ["rep", "text"], _set_step, "rep long, shingles binary"), "shingle-sets")
 
     tested = stage(_meetings(shared.union(deeper), 0), "pairs")
-    links = stage(verified(tested, sets), "links")
-    labels, turn = components(links), 0
+    labels, turn = components(stage(verified(tested, sets), "links")), 0
     while True:
         turn += 1
         placed = shared.join(labels, F.col("rep") == F.col("node"), "left").select(
@@ -257,15 +264,17 @@ def near_classes(docs: DataFrame) -> DataFrame:
             again.join(tested, ["a", "b"], "left_anti")
             .join(part.withColumnsRenamed({"node": "a", "part": "pa"}), "a", "left")
             .join(part.withColumnsRenamed({"node": "b", "part": "pb"}), "b", "left")
-            .where(F.coalesce("pa", "a") != F.coalesce("pb", "b"))
-            .select("a", "b")
+            .select("a", "b", F.coalesce("pa", "a").alias("pa"), F.coalesce("pb", "b").alias("pb"))
+            .where("pa <> pb")
         )
         fresh = stage(apart, "pairs")
-        found = stage(verified(fresh, sets), "links")
+        found = stage(verified(fresh.select("a", "b"), sets), "links")
         if found.isEmpty():
             break
-        tested, links = tested.union(fresh), links.union(found)
-        labels = components(links)
+        tested = tested.union(fresh.select("a", "b"))
+        # Only the components that met are gone through again.
+        parts = fresh.join(found, ["a", "b"]).select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct()
+        labels = relabelled(labels, components(parts))
 
     classes = reps.join(labels, F.col("rep") == F.col("node"), "left").select(
         "h1", "h2", F.coalesce("label", "rep").alias("class_id")
