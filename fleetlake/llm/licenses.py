@@ -93,9 +93,9 @@ ABOUT = r"licens|licenc|copyright|spdx"
 def sentences(text: Column) -> Column:
     """Sentences of a text: a full stop, question mark or semicolon before a blank, or a line's end.
 
-    Lines that go on in lower case belong to the sentence before.
+    Lines that go on in lower case belong to the sentence before, unless that ended with a mark.
     """
-    joined = F.regexp_replace(text, r"\n(?=[\t #*/>;-]{0,8}[a-z])", " ")
+    joined = F.regexp_replace(text, r"(?<![.!?;:])\n(?=[\t #*/>;-]{0,8}[a-z])", " ")
     return F.split(joined, r"\n|(?<=[.!?])[\t ]+", -1)
 
 
@@ -151,12 +151,14 @@ def _op8_sql() -> str:
         pattern = _quoted("".join(f",{x}," for x in run))
         steps.append(f"r{i} AS (SELECT *, CASE WHEN contains({rest}, {pattern}) THEN {_quoted(name)} END AS f{i}, replace({rest}, {pattern}, ';') AS q{i} FROM {'seq' if i == 0 else f'r{i - 1}'})")
         rest = f"q{i}"
+    # Twice, as a match takes in the letter before the next one.
+    once = r"'(^|[^.!?;:])\n([\t #*/>;-]{0,8}[a-z])', '\1 \2', 'g'"
     last, found = len(RULES) - 1, ", ".join(f"f{i}" for i in range(len(RULES)))
     return rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents
 ), joined AS (
-  SELECT rid, regexp_replace(text, '\n([\t #*/>;-]{{0,8}}[a-z])', ' \1', 'g') AS text
+  SELECT rid, regexp_replace(regexp_replace(text, {once}), {once}) AS text
   FROM d WHERE regexp_matches(text, {_quoted(TRIGGER)})
 ), cut AS (
   SELECT rid, string_split_regex(regexp_replace(text, '([.!?])[\t ]+', '\1' || chr(10), 'g'), '\n') AS parts FROM joined

@@ -2,7 +2,8 @@
 
 ``weight ~ share ** exponent`` over the sources' token shares. The exponent lies between 0 (all
 sources alike) and 1 (as they are): the largest that reaches the target entropy, raised further
-where a source would be repeated more often than allowed. It is found by bisection, six halvings
+where a source would be repeated more often than allowed. Without a target it is the least
+that the limit allows. It is found by bisection, six halvings
 in one pass over the shares.
 
 Each source gets ``weight * budget`` tokens: whole permutations of its documents, and of one more
@@ -99,6 +100,8 @@ def exponent(shares: DataFrame, mix: Mix) -> float:
             else:
                 i = min([j for j in range(1, parts) if sparing(rows[g[j]])], default=parts) - 1
             brackets[kind] = (g[i], g[i + 1])
+    if goal is None:  # nothing asks for a mix closer to the sources than the limit needs
+        return 1.0 if mix.max_repeats is None else brackets["sparing"][1]
     return max(brackets["diverse"][0], brackets["sparing"][1])
 
 

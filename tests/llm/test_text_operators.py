@@ -1,0 +1,489 @@
+"""Text operators on odd tables, against brute force: nulls, empty and long texts, ties, repeats."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from fleetlake.llm import classifier, fingerprints, licenses, line_dedup, mixing, near_dup, pieces, pii, quality_rules
+from tools.compare import compare, duck
+
+SF_DIR = "/root/testdata/sf0.001"
+LINE = "the quick brown fox jumps over the lazy dog"
+LONG = " ".join(f"word{i % 977}" for i in range(60_000))
+ODD = [
+    (1, None), (2, ""), (3, " \t\n"), (4, "a b"), (5, f"{LINE}\n{LINE.upper()} \nshort"), (6, f" {LINE}\nx\n\n"),
+    (7, f"{LINE}\tend"), (8, LINE), (8, LINE), (9, LONG), (10, LONG + " tail"), (None, LINE), (11, "é" * 30 + "▁ 漢字😀"), (12, "é" * 30 + "▁ 漢字😀"),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """The odd texts with columns whose names the operators use themselves."""
+    rows = [(i, t, None if k % 3 == 0 else f"s{k % 2}", None if k % 4 == 0 else "en", 1, "x", 2, "y", 3) for k, (i, t) in enumerate(ODD)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long, keys string, top long, sid string, part int").repartition(3)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+
+def by_id(rows):
+    out = collections.defaultdict(list)
+    for row in rows:
+        out[row["doc_id"]].append(row)
+    return out
+
+
+@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if re.match(r"op\d+_", n) and n in entry.oracle_sql()))
+def test_query_equals_sql(spark, name):
+    assert compare(spark, duck(SF_DIR), SF_DIR, name, entry.queries()[name], entry.oracle_sql()[name]) == ""
+
+
+# --- mixing
+
+
+def test_mix_keeps_every_document_and_the_limits(spark, odd):
+    counted = mixing.counted_sources(odd)
+    mix = mixing.Mix(target_entropy=0.99, max_repeats=3.0, budget=None)
+    out = mixing.mix_documents(odd, mix)
+    assert out.columns == odd.columns
+    uses = {r[0]: r[1] for r in out.groupBy(F.coalesce("doc_id", F.lit(-1))).count().collect()}
+    assert set(uses) == {-1 if i is None else i for i, _ in ODD} and max(uses.values()) <= 2 * 3
+    plan = {r["sid"]: r for r in mixing.plan(counted, mix).collect()}
+    assert math.isclose(sum(r["weight"] for r in plan.values()), 1.0)
+    assert all(r["quota"] / r["t"] <= 3.0 + 1e-6 and r["quota"] / r["t"] >= 1 - 1e-6 for r in plan.values())
+    empty = odd.limit(0)
+    assert mixing.mix_documents(empty, mix).count() == 0 and mixing.mix_table(empty, mix).count() == 0
+
+
+def test_exponent_meets_entropy_and_repeats(spark):
+    shares = [0.7, 0.2, 0.05, 0.04, 0.01]
+    df = spark.createDataFrame([(p, p / 0.7) for p in shares], "p double, rel double")
+
+    def entropy(a):
+        w = np.array(shares) ** a
+        w = w / w.sum()
+        return float(-(w * np.log(w)).sum())
+
+    a = mixing.exponent(df, mixing.Mix(target_entropy=0.8, max_repeats=None))
+    assert math.isclose(entropy(a), 0.8 * math.log(5), rel_tol=1e-6)
+    b = mixing.exponent(df, mixing.Mix(target_entropy=None, max_repeats=4.0, budget=1.0))
+    assert math.isclose(max(p ** (b - 1) for p in shares) / sum(p**b for p in shares), 4.0, rel_tol=1e-6)
+    assert mixing.exponent(df, mixing.Mix(target_entropy=0.8, max_repeats=4.0, budget=1.0)) == max(a, b)
+    assert mixing.exponent(df, mixing.Mix(target_entropy=0.1, max_repeats=None)) == 1.0
+
+
+# --- personal data
+
+
+def plain_base(text):
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m.group().split(".")):
+            out.append(("ip", *m.span()))
+    for kind, pattern, low, high in (("card", r"[0-9]([\x20-]?[0-9])+", 13, 19), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 9, 15)):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            if low <= len(digits) <= high and (kind == "phone" or pii.luhn(digits)):
+                out.append((kind, *m.span()))
+    return out
+
+
+def test_base_spans_equal_plain_patterns():
+    rng = random.Random(7)
+    for _ in range(20_000):
+        text = "".join(rng.choice("a@.1+ -(2_4é1.9\n") for _ in range(rng.randint(0, 60)))
+        assert [tuple(s[:3]) for s in pii.find_spans(text)[0]] == plain_base(text)
+
+
+def test_added_spans():
+    def added(text):
+        return [(s.kind, text[s.start : s.end]) for s in pii.find_spans(text)[1]]
+
+    assert added("IBAN GB82 WEST 1234 5698 7654 32.") == [("iban", "GB82 WEST 1234 5698 7654 32")]
+    assert added("IBAN GB82 WEST 1234 5698 7654 33.") == []
+    assert added("pay 4465758382889437 4465758382889437 now") == [("card", "4465758382889437")] * 2
+    assert added("call me: (743) 555-3824") == [("phone", "(743) 555-3824")]
+    assert added("part no 743 555-3824") == []
+    assert added("her SSN 123-45-6789") == [("ssn", "123-45-6789")] and added("123-45-6789") == []
+    assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
+
+
+def test_pii_rows(odd):
+    got = by_id(pii.find_pii(odd).collect())
+    assert sum(map(len, got.values())) == len(ODD) and got[1][0]["base_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert pii.find_pii(odd.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text", ["a" * 300_000, "1" * 300_000 + "@", "+1" + "(" * 300_000, "1." * 150_000, "1 " * 150_000, "a@" * 50_000])
+def test_pii_time_is_linear(text):
+    assert pii.find_spans(text) is not None
+
+
+# --- line dedup
+
+
+def plain_lines(rows):
+    holders = collections.defaultdict(set)
+    table = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+    def key(line):
+        return line.strip(" \t\n\x0b\x0c\r").translate(table)
+
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            if i is not None and len(key(line)) >= 20:
+                holders[key(line)].add(i)
+    out = []
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        lost = [i is not None and len(h := holders.get(key(x), ())) >= 3 and max(h) != i for x in lines]
+        out.append((i, len(lines), sum(lost), "\n".join(x for x, y in zip(lines, lost) if not y)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("batches", [1, 2, 5])
+def test_line_dedup_equals_brute_force(odd, batches):
+    out = line_dedup.dedup_lines(odd, batches)
+    assert set(odd.columns) <= set(out.columns)
+    got = sorted(((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"]) for r in out.collect()), key=str)
+    assert got == plain_lines(ODD)
+    assert all(r["n_chars"] == len(r["text"]) for r in out.collect())
+
+
+def test_runs_do_not_depend_on_order_or_fan_out(spark, odd):
+    keys = line_dedup.line_keys(odd).persist()
+    want = None
+    for order in ([1, 5, 6, 7, 8, 9, 10], [10, 8, 7, 9, 6, 1, 5]):
+        for fan_out in (2, 3, 99):
+            runs = line_dedup.LineRuns(spark, fan_out=fan_out)
+            for i in order:
+                runs.add(keys.where(F.col("doc") == i))
+            assert all(len(level) < fan_out for level in runs.levels)
+            got = sorted(map(tuple, runs.settled().collect()))
+            want = want or got
+            assert got == want and len(got) == 1
+            runs.close()
+
+
+def test_line_dedup_of_an_empty_table(odd):
+    assert line_dedup.dedup_lines(odd.limit(0)).count() == 0
+
+
+# --- fingerprints
+
+
+def test_window_classes_and_picks_equal_brute_force():
+    rng = random.Random(2)
+    data = bytes(rng.choice(b"abc dee\n") for _ in range(2500))
+    w, t = fingerprints.WINDOW, fingerprints._TERM
+
+    def cls(b):
+        return (int(t[w]) - sum(int(t[c]) for c in collections.Counter(b).values())) * (fingerprints.LEVELS - 1) // int(t[w])
+
+    got = fingerprints.window_classes(np.frombuffer(data, dtype=np.uint8))
+    assert got.tolist() == [cls(data[i : i + w]) for i in range(len(data) - w + 1)]
+    for n in (1, 5, 31, 32, 33, 400):
+        rank = np.array([rng.randrange(40) for _ in range(n)], dtype=np.uint16)
+        width = fingerprints.RUN
+        while width > n:
+            width //= 2
+        points = collections.Counter(min(range(i, i + width), key=lambda j: (rank[j], j)) for i in range(n - width + 1))
+        best = [p for p in sorted(points) if points[p] >= min(fingerprints.POINTS, width)]
+        assert fingerprints.pick(rank).tolist() == (best or [max(sorted(points), key=points.get)])
+
+
+def test_fingerprints_of_documents(spark, docs):
+    rows = docs.orderBy("doc_id").select("doc_id", "text").collect()
+    ranks = fingerprints.rarity(docs)
+    want = fingerprints.fingerprints([r["text"] or "" for r in rows], ranks)
+    got = {r["doc_id"]: r for r in fingerprints.fingerprint_documents(docs.repartition(5)).collect()}
+    assert len(got) == len(rows)
+    for k, row in enumerate(rows):
+        n, following = len(row["text"]), rows[(k + 1) % len(rows)]["text"]
+        text = row["text"][: n - n // 2] + following[: n // 2]
+        r = got[row["doc_id"]]
+        assert r["edited_sha256"] == hashlib.sha256(text.encode()).hexdigest() and r["n_chars"] == n
+        assert r["fingerprint"] == want[k].text()
+        assert r["near_next"] == fingerprints.likeness(want[k], want[(k + 1) % len(rows)])
+    long = [r for r in got.values() if r["n_chars"] > 500]
+    assert np.mean([r["near_edited"] > r["near_next"] for r in long]) > 0.97
+
+
+def test_ranges_meet_their_successors(spark, docs, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE_CHARS", 20_000)
+    parts = fingerprints.with_next(docs)
+    assert parts.select("part").distinct().count() > 3
+    one = {r["doc_id"]: r["edited_sha256"] for r in fingerprints.fingerprint_documents(docs).collect()}
+    monkeypatch.setattr(fingerprints, "RANGE_CHARS", 10**9)
+    assert one == {r["doc_id"]: r["edited_sha256"] for r in fingerprints.fingerprint_documents(docs).collect()}
+
+
+def test_fingerprints_of_odd_rows(odd):
+    got = by_id(fingerprints.fingerprint_documents(odd).collect())
+    assert sum(map(len, got.values())) == len(ODD)
+    assert got[1][0]["fingerprint"] == "" and got[11][0]["fingerprint"] == got[12][0]["fingerprint"] != ""
+    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for rs in got.values() for r in rs)
+    assert got[9][0]["near_next"] > 0.9
+    assert fingerprints.fingerprint_documents(odd.limit(0)).count() == 0
+
+
+# --- quality rules
+
+
+def plain_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    seen = collections.Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    inside = {i + j for i in range(len(words) - 2) if seen[tuple(words[i : i + 3])] > 1 for j in range(3)}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(inside)
+
+
+@pytest.mark.parametrize("bits", [quality_rules.PLACE_BITS, 4, 60])
+def test_base_counts_equal_brute_force(spark, odd, docs, monkeypatch, bits):
+    """Few bits for places send texts to the exact path, few bits for hashes let windows clash."""
+    monkeypatch.setattr(quality_rules, "PLACES", 1 << bits)
+    rows = odd.select("doc_id", "text").where("length(coalesce(text, '')) < 10000").union(docs.select("doc_id", "text").where("n_chars < 4000"))
+    extra = ["a a a a", "a b c a b c a b", "x\nx\n \nx", "w " * 700, "é # \n é #\n\n x"]
+    rows = rows.union(spark.createDataFrame([(-k - 1, t) for k, t in enumerate(extra)], "doc_id long, text string"))
+    rows = rows.withColumn("lang", F.lit("en"))
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    got = quality_rules.base_counts(rows, ["doc_id"]).collect()
+    want = sorted((str(r["doc_id"]), *plain_counts(r["text"])) for r in rows.collect())
+    assert sorted((str(r["doc_id"]), *[r[c] for c in names]) for r in got) == want
+
+
+def test_binomial_tail_and_guarantee(spark):
+    df = spark.createDataFrame([(50, 0), (400, 3), (3000, 10), (90_000, 430)], "n long, k long")
+    for r in df.withColumn("p", quality_rules.binomial_tail(F.col("n"), F.col("k"), 0.005)).collect():
+        n, k = r["n"], r["k"]
+        logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(0.005) + (n - i) * math.log(0.995) for i in range(k + 1)]
+        assert math.isclose(r["p"], sum(map(math.exp, logs)), rel_tol=1e-7)
+
+
+def test_thresholds_reject_few_good_documents(spark):
+    rng = random.Random(1)
+    rows = [(i, "sen", 0.2 * rng.random(), 0.0, 0.1, 0.0) for i in range(6000)] + [(i, "snew", 0.9, 0.9, 0.9, 0.9) for i in range(6000, 6010)]
+    stats = spark.createDataFrame(rows, "doc_id long, stratum string, symbol_share double, dup_line_share double, repeat_share double, upper_share double")
+    cuts = {(r["stratum"], r["rule"]): r["cutoff"] for r in quality_rules.thresholds(stats, stats.select("doc_id")).collect()}
+    assert {s for s, _ in cuts} == {"sen"} and cuts["sen", "repeat_share"] > 0.1
+    assert 0.19 < cuts["sen", "symbol_share"] <= 0.2001
+
+
+def test_judge_odd_rows(spark, odd):
+    rated = spark.createDataFrame([(9, 1, 0), (9, 1, 0), (None, 1, 0), (4, None, None)], "doc_id long, quality int, toxic int")
+    out = quality_rules.judge(odd, rated)
+    assert out.count() == len(ODD) and not by_id(out.collect())[1][0]["kept"]
+    assert quality_rules.judge(odd.limit(0), rated.limit(0)).count() == 0
+
+
+# --- near-duplicates
+
+
+def plain_classes(rows):
+    sets = {i: set(near_dup.shingles(t).tolist()) for i, t in rows if i is not None}
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    items = sorted({(i, t or "") for i, t in rows if i is not None})
+    for k, (i, t) in enumerate(items):
+        for j, u in items[:k]:
+            a, b = sets[i], sets[j]
+            if t == u or (a and b and 5 * len(a & b) >= 4 * len(a | b)):
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    return {i: find(i) for i in sets}
+
+
+def test_near_classes_of_odd_rows(odd):
+    got = by_id(near_dup.near_classes(odd).collect())
+    assert sum(map(len, got.values())) == len(ODD)
+    assert got[None][0]["class_id"] is None
+    assert {i: rs[0]["class_id"] for i, rs in got.items() if i is not None} == plain_classes(ODD)
+    kept = near_dup.keep_one(odd)
+    assert kept.columns == odd.columns and {r["doc_id"] for r in kept.collect()} == set(plain_classes(ODD).values()) | {None}
+    assert near_dup.near_classes(odd.limit(0)).count() == 0
+
+
+def test_chains_and_crowded_groups(spark):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 60):  # copies of copies, so that classes are chains
+        words = rows[rng.randrange(len(rows))][1].split()
+        for _ in range(rng.randrange(1, 6)):
+            words[rng.randrange(len(words))] = f"v{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    got = near_dup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == plain_classes(rows)
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 3)], "a long, b long")
+    got = dict(map(tuple, near_dup.components(links).collect()))
+    assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_dart_sketch_estimates_weighted_similarity():
+    rng = np.random.default_rng(3)
+    ids = rng.integers(1, 2**63, 400).astype(np.uint64)
+    x, y = rng.gamma(1.0, 3.0, 400), rng.gamma(1.0, 3.0, 400)
+    x[300:], y[:60] = 0, 0
+    k = 4000
+    parts = [(np.full((w > 0).sum(), d), ids[w > 0], w[w > 0]) for d, w in enumerate((x, y))]
+    doc, element, weight = (np.concatenate(p) for p in zip(*parts))
+    sig = near_dup.dart_sketch(doc, element, weight, 3, k)
+    want = np.minimum(x, y).sum() / np.maximum(x, y).sum()
+    assert abs(np.mean(sig[0] == sig[1]) - want) < 5 * math.sqrt(want * (1 - want) / k)
+    assert (sig[2] == 0).all()
+    again = near_dup.dart_sketch(doc[doc == 1] - 1, element[doc == 1], weight[doc == 1], 1, k)
+    assert (again[0] == sig[1]).all()
+
+
+# --- classifier
+
+
+def test_classifier_on_held_out_rows(spark):
+    docs, rated = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    fit_part = rated.where("doc_id % 2 = 0")
+    model = classifier.fit(docs, classifier.graded(fit_part))
+    assert list(model.thresholds) == sorted(model.thresholds)
+    rows = classifier.predict(docs, model).join(rated.where("doc_id % 2 = 1"), "doc_id").collect()
+    good = [r["kept"] for r in rows if r["quality"] == 1 and r["toxic"] == 0]
+    low = [r["kept"] for r in rows if r["quality"] == 0]
+    assert np.mean(good) > 0.97 and np.mean(low) < 0.5
+    assert all(math.isclose(r["tail_probability"], 1 / (1 + math.exp(model.thresholds[-1] - r["score"])), abs_tol=1e-9) for r in rows)
+
+
+def test_gradient_of_the_likelihood():
+    """A few steps on a separable toy set order the grades."""
+    feature = np.array([0, 1, 2] * 20)
+    grade = np.array([0, 1, 2] * 20)
+    w, cuts = classifier.fit_arrays(np.arange(60), feature, np.ones(60), grade, classifier.FitSettings(steps=200))
+    assert w[0] < cuts[0] < w[1] < cuts[1] < w[2]
+
+
+def test_classifier_odd_rows(spark, odd):
+    none = spark.createDataFrame([(None, 1, 0), (1, None, 0)], "doc_id long, quality int, toxic int")
+    model = classifier.fit(odd, classifier.graded(none))
+    assert classifier.predict(odd, model).where("kept").count() == len(ODD)
+    kept = classifier.keep_good(odd, model)
+    assert kept.columns == odd.columns and kept.count() == len(ODD)
+    assert classifier.predict(odd.limit(0), model).count() == 0
+
+
+# --- licences
+
+
+def test_license_rules(spark):
+    texts = {
+        1: "# Licensed under the Apache License, Version 2.0 (the \"License\");\n# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        2: "intro.\nReleased under the MIT License.",
+        3: "This work is licensed under the GNU General Public License, version 3. Licensed under CC BY-NC 4.0.",
+        4: "Redistribution and use in source and binary forms, with or without modification,\nare permitted provided that the following conditions are met:\n"
+        "* Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n"
+        "* Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        5: "Copyright (c) 2020 Some One\nAll rights reserved.",
+        6: "Under a licence of our own.",
+        7: None,
+        8: "",
+    }
+    df = spark.createDataFrame([(k, v, 1) for k, v in texts.items()], "doc_id long, text string, licenses long")
+    got = {r["doc_id"]: r for r in licenses.scan(df).collect()}
+    assert {k: r["licenses"] for k, r in got.items()} == {
+        1: "Apache-2.0", 2: "MIT", 3: "CC-BY-NC-4.0,GPL-3.0", 4: "BSD-2-Clause", 5: "Proprietary", 6: "", 7: "", 8: "",
+    }
+    assert got[1]["unmatched"] == "ApacheComply,ApacheCopy" and got[6]["n_unknown"] == 1
+    assert all(re.search(licenses.TRIGGER, s) for s in licenses.SENTENCES)
+    assert licenses.scan(df.limit(0)).count() == 0
+
+
+# --- pieces
+
+
+def test_pieces_without_dropout_equal_the_library(docs):
+    import sentencepiece
+
+    model, vocab = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL), pieces.load()
+    texts = [r["text"] for r in docs.select("text").collect()] + [t for _, t in ODD if t and pieces.MARK not in t] + ["a" * 500, " " * 40 + "b", "<s> <0x41>\t\r\n"]
+    ids, ends = pieces.encode_texts(vocab, texts, [0] * len(texts), dropout=0.0)
+    for i, text in enumerate(texts):
+        assert ids[ends[i] : ends[i + 1]].tolist() == model.encode(text)
+
+
+def slow_segment(vocab, unit, key, dropout):
+    """One unit by its definition: the best candidate first, skipped by its hash."""
+    symbols = [(vocab.ids.get(pieces.MARK if c == " " else c, -1), i) for i, c in enumerate(unit)]
+    pairs = dict(zip(vocab.pair_keys.tolist(), vocab.pair_piece.tolist()))
+    while True:
+        best = None
+        for i in range(len(symbols) - 1):
+            (a, at), (b, _) = symbols[i], symbols[i + 1]
+            piece = pairs.get(a << 32 | b, -1) if a >= 0 and b >= 0 else -1
+            if piece < 0 or pieces._skipped(np.array([key], np.uint64), np.array([at]), np.array([piece]), dropout)[0]:
+                continue
+            rank = (int(vocab.rank[piece]), at)
+            if best is None or rank < best[0]:
+                best = (rank, i, piece)
+        if best is None:
+            return [s for s, _ in symbols]
+        _, i, piece = best
+        symbols[i : i + 2] = [(piece, symbols[i][1])]
+
+
+def test_dropout_equals_its_definition():
+    vocab, rng = pieces.load(), random.Random(4)
+    units = ["".join(rng.choice(" abcdethionsr") for _ in range(rng.randint(1, 14))) for _ in range(150)]
+    keys = np.array([rng.randrange(2**64) for _ in units], dtype=np.uint64)
+    ids, bounds = pieces.segment(vocab, units, keys, 0.3)
+    for i, unit in enumerate(units):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == slow_segment(vocab, unit, keys[i], 0.3)
+
+
+def test_pieces_decode_and_vary(odd):
+    got = pieces.encode_and_check(odd).collect()
+    assert len(got) == len(ODD) and all(r["lossless"] for r in got)
+    back = pieces.decode(pieces.encode(odd)).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in back) == sorted((str(i), t or "") for i, t in ODD)
+    one, other = ({r["doc_id"]: r["ids"] for r in pieces.encode(odd, seed=s).collect()} for s in ("a", "b"))
+    assert one[9] != other[9] and one == {r["doc_id"]: r["ids"] for r in pieces.encode(odd.repartition(2), seed="a").collect()}
+    assert pieces.encode_and_check(odd.limit(0)).count() == 0
+
+
+# --- pipeline
+
+
+def test_pipeline_stages(spark, docs):
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality classifier", "line dedup", "MinHash near-dedup", "mixing sources to target weights", "SentencePiece encoding and decoding",
+    ]
+    extra = docs.withColumn("class_id", F.lit("x")).union(docs.limit(3).withColumn("class_id", F.lit("y")))
+    rows, before = extra, None
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, rows, SF_DIR).persist()
+        assert out.columns == extra.columns, name
+        ids = {r["doc_id"] for r in out.collect()}
+        if name == "MinHash near-dedup":
+            classes = plain_classes([(r["doc_id"], r["text"]) for r in rows.collect()])
+            assert ids == set(classes.values())
+        if name in ("line dedup", "mixing sources to target weights"):
+            assert ids == before
+        rows, before = out, ids
+    last = corpus_pipeline.STAGES[-1][1](spark, rows, SF_DIR)
+    assert last.count() == rows.count() and last.where("not lossless").count() == 0
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF_DIR).count() == 0
