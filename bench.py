@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -55,6 +56,7 @@ def main() -> None:
         spark__sql__files__openCostInBytes="65536",
         spark__sql__adaptive__coalescePartitions__minPartitionSize="65536",
         spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="fleetlake-bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
 

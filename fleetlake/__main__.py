@@ -1,7 +1,7 @@
 """Run the plans from the command line.
 
     python -m fleetlake land    raw.csv LANDING
-    python -m fleetlake batch   LANDING LAKE         Bronze, Silver, Gold and serving tables
+    python -m fleetlake batch   LANDING LAKE --servers PATH   Bronze, Silver, Gold and serving tables
     python -m fleetlake detect  LAKE                 scores, incidents and model
     python -m fleetlake stream  LANDING LAKE         Bronze and Silver, incrementally
     python -m fleetlake report  LAKE                 counts, worst servers, open alerts
@@ -56,6 +56,11 @@ def main(argv: list[str] | None = None) -> None:
         if "lake" in places:
             command.add_argument("--format", default="parquet")
             command.add_argument("--schema", help="keep the tables in this catalog schema")
+        if name == "batch":
+            command.add_argument(
+                "--servers", required=True,
+                help="Parquet table: server_id, ip_address, environment, operating_system, application",
+            )
     args = parser.parse_args(argv)
 
     spark = build_session(f"fleetlake-{args.command}")
@@ -63,7 +68,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "land":
         land(read_csv_readings(spark, args.csv), args.landing)
     elif args.command == "batch":
-        run_medallion(spark, args.landing, lake, serving.server_metadata(spark))
+        run_medallion(spark, args.landing, lake, spark.read.parquet(args.servers))
     elif args.command == "detect":
         run_detection(lake.read(spark, "silver"), lake.path("ml"))
     elif args.command == "stream":

@@ -138,8 +138,8 @@ def per_hour(mean_per_interval: Column, interval_minutes: int = INTERVAL_MINUTES
 
 
 def label_result(flag: Column) -> Column:
-    """ANOMALY or NORMAL."""
-    return F.when(flag == 1, "ANOMALY").otherwise("NORMAL")
+    """ANOMALY or NORMAL; UNSCORED where there is no flag."""
+    return F.when(flag == 1, "ANOMALY").when(flag == 0, "NORMAL").otherwise("UNSCORED")
 
 
 def hour_in(ts: Column, tz: str = "UTC") -> Column:

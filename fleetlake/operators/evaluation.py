@@ -13,6 +13,7 @@ def evaluate(
 ) -> DataFrame | None:
     """Confusion counts, precision, recall and F1 (0 where undefined), as one row.
 
+    Readings without a prediction are counted as ``unscored`` and enter no other count.
     Returns ``None`` if the readings carry no ground truth.
     """
     if truth_column not in df.columns:
@@ -23,6 +24,7 @@ def evaluate(
         count_if(predicted & ~real).alias("fp"),
         count_if(~predicted & real).alias("fn"),
         count_if(~predicted & ~real).alias("tn"),
+        count_if(predicted.isNull()).alias("unscored"),
     )
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
 

@@ -22,9 +22,7 @@ TREES = 300
 SAMPLE_ROWS = 256
 CONTAMINATION = 0.05
 SEED = 42
-POOL_ROWS = 1 << 16
 MAX_FOREST_NODES = 10_000_000
-_HASH_RANGE = 1 << 40
 _EULER = 0.5772156649015329
 
 TREE_SCHEMA = "tree int, feature array<int>, threshold array<double>, path array<double>"
@@ -60,28 +58,31 @@ def draw_samples(
     """A sample without replacement for every tree: ``(tree, z columns)``.
 
     Rows are chosen by hashes of their key, so the draw does not depend on partitioning.
-    One hash per reading first keeps a pool of about ``POOL_ROWS`` (everything, if there
-    are fewer readings); only the pool is then hashed once per tree. What leaves the scan
-    is bounded by trees x sample size, whatever the number of readings.
+    Every reading has the same chance ``p = 1.5 * sample_rows / n`` in every tree, whatever
+    their number. One hash decides whether a reading is in any tree, ``1 - (1 - p) ** trees``,
+    and also which is its first (the geometric law); only readings that are in some tree are
+    hashed for the later ones. About trees x 1.5 x sample rows leave the scan for any n.
     """
     cols = z_columns(features)
     rows = _complete(z.select(*keys, *cols), cols)
     total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
 
     def chance(*salt: Column) -> Column:
-        return F.pmod(F.xxhash64(*keys, *salt), F.lit(_HASH_RANGE)) / F.lit(float(_HASH_RANGE))
-
-    pool = rows.withColumn("_total", total).filter(
-        chance(F.lit(seed)) * F.col("_total") < POOL_ROWS
-    )
-    pool_size = F.least(F.col("_total"), F.lit(POOL_ROWS))
-    wanted = F.lit(1.5 * sample_rows) / pool_size
-    chosen = F.filter(
+        return F.shiftrightunsigned(F.xxhash64(*keys, *salt), 11) / F.lit(float(1 << 53))
+
+    p = F.least(F.lit(1.5 * sample_rows) / total, F.lit(1.0))
+    # Null where p is 1: then every reading is in the first tree, and in all others.
+    miss = F.log1p(-F.col("_p"))
+    anywhere = F.coalesce(-F.expm1(F.lit(trees) * miss), F.lit(1.0))
+    first = F.coalesce(F.floor(F.log1p(-F.col("_u")) / miss), F.lit(0)).cast("int")
+    pool = rows.withColumns({"_p": p, "_u": chance(F.lit(seed))}).filter(F.col("_u") < anywhere)
+    pool = pool.withColumn("_first", F.least(first, F.lit(trees - 1)))
+    later = F.filter(
         F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: chance(F.lit(seed + 1), t) < wanted,
+        lambda t: (t == F.col("_first")) | (t > F.col("_first")) & (chance(F.lit(seed + 1), t) < F.col("_p")),
     )
-    drawn = pool.select(*keys, *cols, F.explode(chosen).alias("tree"))
-    order = W.partitionBy("tree").orderBy(chance(F.lit(seed + 1), F.col("tree")), *keys)
+    drawn = pool.select(*keys, *cols, F.explode(later).alias("tree"))
+    order = W.partitionBy("tree").orderBy(chance(F.lit(seed + 2), F.col("tree")), *keys)
     return (
         drawn.withColumn("_rank", F.row_number().over(order))
         .filter(F.col("_rank") <= sample_rows)
@@ -150,6 +151,8 @@ def collect_forest(forest: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarra
     nodes = forest.agg(F.sum(F.size("feature"))).first()[0] or 0
     if nodes > MAX_FOREST_NODES:
         raise ValueError(f"{nodes} tree nodes are too many to send to every executor")
+    if not nodes:
+        return np.zeros((0, 1), np.int32), np.zeros((0, 1)), np.zeros((0, 1))
     trees = forest.orderBy("tree").toPandas()
     width = int(trees["feature"].map(len).max())
 
@@ -163,26 +166,36 @@ def collect_forest(forest: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def isolation(
-    x: np.ndarray, forest: tuple[np.ndarray, np.ndarray, np.ndarray], block: int = 512
+    x: np.ndarray, forest: tuple[np.ndarray, np.ndarray, np.ndarray], block: int = 4096
 ) -> np.ndarray:
-    """2 ** -(mean relative path) for every row, descending all trees level by level."""
+    """2 ** -(mean relative path) for every row.
+
+    A block of rows descends one tree after the other, so that its columns and the tree stay in
+    the cache; a level only moves the rows that are not in a leaf yet.
+    """
     feature, threshold, path = forest
     trees, width = feature.shape
     levels = int(math.log2(width + 1)) - 1
-    base = np.arange(trees, dtype=np.int32) * width
-    flat_feature, flat_threshold, flat_path = feature.ravel(), threshold.ravel(), path.ravel()
+    inner = feature >= 0
     out = np.empty(len(x))
     for start in range(0, len(x), block):
-        rows = np.ascontiguousarray(x[start : start + block])
-        flat = rows.ravel()
-        offset = (np.arange(len(rows), dtype=np.int32) * rows.shape[1])[:, None]
-        node = np.zeros((len(rows), trees), dtype=np.int32)
-        for _ in range(levels):
-            at = node + base
-            f = flat_feature[at]
-            right = flat[offset + np.maximum(f, 0)] > flat_threshold[at]
-            node = np.where(f >= 0, 2 * node + 1 + right, node)
-        out[start : start + block] = np.exp2(-flat_path[node + base].mean(axis=1))
+        flat = np.ascontiguousarray(x[start : start + block].T).ravel()
+        n = len(x[start : start + block])
+        total = np.zeros(n)
+        every = np.arange(n)
+        for t in range(trees):
+            node, going = np.zeros(n, dtype=np.int64), every
+            for _ in range(levels):
+                at = node[going]
+                open_ = inner[t][at]
+                if not open_.all():
+                    going, at = going[open_], at[open_]
+                if not len(going):
+                    break
+                right = flat[feature[t][at] * n + going] > threshold[t][at]
+                node[going] = 2 * at + 1 + right
+            total += path[t][node]
+        out[start : start + block] = np.exp2(-total / trees)
     return out
 
 
@@ -194,7 +207,7 @@ def score(z: DataFrame, forest: DataFrame, features: list[str] = FEATURES) -> Da
     @F.pandas_udf("double")
     def isolated(vector: pd.DataFrame) -> pd.Series:
         x = vector.to_numpy(dtype=float)
-        known = ~np.isnan(x).any(axis=1)
+        known = ~np.isnan(x).any(axis=1) & (len(trees.value[0]) > 0)
         result = np.full(len(x), np.nan)
         if known.any():
             result[known] = isolation(x[known], trees.value)
@@ -226,12 +239,13 @@ def flag(
     """``anomaly_score`` (0 at the cut-off), ``is_anomaly`` and ``result``.
 
     Flags are strictly above the cut-off, which is taken from the readings themselves unless
-    one is given (later readings are judged by the cut-off of the fit).
+    one is given (later readings are judged by the cut-off of the fit). A reading without a
+    score has a null flag and the result UNSCORED.
     """
     limit = cutoff(scored, raw, contamination, exact).scalar() if cut is None else F.lit(cut)
     above = scored.withColumn("anomaly_score", F.col(raw) - limit)
     flagged = above.withColumn(
-        "is_anomaly", F.when(F.col("anomaly_score") > 0, 1).otherwise(0).cast("int")
+        "is_anomaly", (F.col("anomaly_score") > 0).cast("int")
     )
     return flagged.withColumn("result", label_result(F.col("is_anomaly")))
 

@@ -23,11 +23,22 @@ def slice_of(ts: Column, width_micros: int) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(width_micros)).cast("long")
 
 
+def _keep_left(rows: DataFrame, values: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the values of their key; null keys are keys like any other."""
+    named = values.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    return rows.join(named, same, "left").drop(*[f"_of_{k}" for k in keys])
+
+
 def gap_since_prev(
     df: DataFrame, by: str = "server_id", ts: str = "timestamp", slice_micros: int = MICROS["hour"]
 ) -> DataFrame:
     """Microseconds since the previous reading of the same server (null for the first).
 
+    Readings without a server form a series of their own, those without a time have no gap.
+
     Inside a slice ``lag`` answers; a slice's first row takes the last instant of the
     nearest earlier slice that has readings.
     """
@@ -44,7 +55,7 @@ def gap_since_prev(
     inside = W.partitionBy(by, "_slice").orderBy(ts)
     before = F.coalesce(F.lag(ts).over(inside), F.col("_before"))
     return (
-        sliced.join(previous, [by, "_slice"])
+        _keep_left(sliced, previous, [by, "_slice"])
         .withColumn("gap_micros", F.unix_micros(ts) - F.unix_micros(before))
         .drop("_slice", "_before")
     )
@@ -94,7 +105,7 @@ def sessionise(
     """Session number of every reading; a gap of exactly ``gap_micros`` still merges."""
     cells = session_cells(df.select(by, ts), gap_micros, by, ts).select(by, "_cell", "session")
     numbered = df.withColumn("_cell", slice_of(F.col(ts), gap_micros))
-    return numbered.join(cells, [by, "_cell"]).drop("_cell")
+    return _keep_left(numbered, cells, [by, "_cell"]).drop("_cell")
 
 
 def with_slices(

@@ -50,9 +50,21 @@ def dedup(df: DataFrame, keys: list[str] = KEYS, order_by: list[Column] | None =
     ``row_number() = 1`` lets Spark cut each key to one row per map task before the
     shuffle (``WindowGroupLimit``), so a key with very many copies never gathers anywhere.
     """
-    order = order_by or default_tie_break(df)
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    return ranked(df, keys, order_by).filter("_rank = 1").drop("_rank")
+
+
+def ranked(df: DataFrame, keys: list[str] = KEYS, order_by: list[Column] | None = None) -> DataFrame:
+    """``_rank`` of every row among the rows of its key, 1 for the one that stays."""
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy(*(order_by or default_tie_break(df))))
+    return df.withColumn("_rank", rank)
+
+
+def latest_hostname(valid: DataFrame) -> DataFrame:
+    """Every reading under the hostname its server used last, so that a server is one group."""
+    newest = valid.groupBy("server_id").agg(
+        F.max_by("hostname", F.struct("timestamp", "hostname")).alias("_host")
+    )
+    return valid.join(newest, "server_id", "left").withColumn("hostname", F.col("_host")).drop("_host")
 
 
 def duplicate_count(df: DataFrame, keys: list[str] = KEYS) -> DataFrame:

@@ -33,7 +33,7 @@ from fleetlake.plans import detection
 from fleetlake.session import pin_utc, scratch_path, stage
 from fleetlake.sources import readings as landing
 from fleetlake.sources import tables
-from fleetlake.sources.events_readings import readings_from_events
+from fleetlake.sources.events_readings import COPY_OFFSET, readings_from_events, servers_from_events
 from fleetlake.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,7 @@ AS_OF = "2024-02-01 00:00:00"
 NOW = "2024-02-01 00:00:00"
 BY_EVENT = "event_id"
 SPLIT_DAY = "2024-01-16"
+SOME = "sv % 4 <> 0"
 
 
 def readings(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,13 +90,13 @@ def summary(spark: SparkSession, sf: str) -> DataFrame:
     return gold.build_server_summary(staged(spark, sf))
 
 
-def servers(snapshot: DataFrame) -> DataFrame:
-    return serving.server_rows(snapshot, serving.server_metadata(snapshot.sparkSession))
+def servers(snapshot: DataFrame, sf: str) -> DataFrame:
+    return serving.server_rows(snapshot, servers_from_events(snapshot.sparkSession, sf))
 
 
 def view(spark: SparkSession, sf: str) -> DataFrame:
     snapshot = stage(summary(spark, sf), "summary")
-    return serving.health_view(snapshot, servers(snapshot))
+    return serving.health_view(snapshot, servers(snapshot, sf))
 
 
 def z_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -129,9 +130,11 @@ def half_flagged(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def s01_csv_scan(spark, sf):
+    """The file has its columns in another order than the schema."""
     path = scratch_path(spark, "csv")
-    columns = [f.name for f in landing.READING.fields]
-    readings(spark, sf).select(*columns).write.option("header", True).csv(path)
+    columns = sorted(f.name for f in landing.READING.fields)
+    out = readings(spark, sf).select(*columns).write.option("header", True)
+    out.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").csv(path)
     return (
         landing.read_csv_readings(spark, path)
         .groupBy("status", "is_injected_anomaly")
@@ -146,7 +149,7 @@ def s01_csv_scan(spark, sf):
 
 @query
 def s02_utc_day(spark, sf):
-    text = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ssXXX")
+    text = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     raw = readings(spark, sf).select("event_id", text.alias("timestamp"))
     return landing.with_utc_day(raw)
 
@@ -418,8 +421,8 @@ def j02_health_view(spark, sf):
 
 @query
 def j03_metadata(spark, sf):
-    """Metadata covers the first six servers only, so the others keep nulls."""
-    meta = serving.server_metadata(spark, 6)
+    """A fourth of the servers is missing in the dimension and keeps nulls."""
+    meta = servers_from_events(spark, sf, F.expr(SOME))
     return serving.server_rows(gold.server_base(valid(spark, sf)), meta)
 
 
@@ -482,9 +485,9 @@ def j08_upsert(spark, sf):
 
 @query
 def j09_orphans(spark, sf):
-    """Readings whose server is not in the dimension, which covers the first six servers here."""
+    """Readings whose server is not in the dimension, which lacks a fourth of them here."""
     rows = silver.standardise(readings(spark, sf)).select("event_id", "server_id", "timestamp")
-    return quality.orphans(rows, serving.server_metadata(spark, 6), "server_id")
+    return quality.orphans(rows, servers_from_events(spark, sf, F.expr(SOME)), "server_id")
 
 
 @query
@@ -761,10 +764,10 @@ def w05_severity(spark, sf):
 
 @query
 def w06_dedup_rank(spark, sf):
-    """Number of copies that the dedup rank leaves out, per server."""
+    """The rank of every reading among the copies of its key."""
     rows = silver.standardise(silver.enforce_types(readings(spark, sf)))
-    kept = silver.dedup(rows, order_by=[F.col(BY_EVENT)]).select("event_id")
-    return rows.join(kept, "event_id", "left_anti").select("event_id", "server_id")
+    ranks = silver.ranked(rows, order_by=[F.col(BY_EVENT)])
+    return ranks.select("event_id", "server_id", F.col("_rank").alias("copy_rank"))
 
 
 # --- T: order and limits
@@ -932,7 +935,7 @@ def _in_two_arrivals(spark, sf) -> list[DataFrame]:
     day = spark.read.parquet(f"{sf}/events.parquet").select(
         "event_id", (F.col("ts") < F.lit(SPLIT_DAY).cast("timestamp_ntz")).alias("early")
     )
-    tagged = rows.join(day, "event_id")
+    tagged = rows.join(day.withColumnRenamed("event_id", "eid"), F.col("event_id") % COPY_OFFSET == F.col("eid")).drop("eid")
     return [tagged.filter("early").drop("early"), tagged.filter("not early").drop("early")]
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fleetlake.functions.rules import MIN_VALID_TIMESTAMP, HealthConfig
 from fleetlake.operators.gold import build_daily_metrics, build_server_summary
 from fleetlake.operators.serving import derive_alerts, insert_absent, server_rows, upsert
-from fleetlake.operators.silver import classify, split
+from fleetlake.operators.silver import classify, latest_hostname, split
 from fleetlake.session import stage
 from fleetlake.sources.readings import build_bronze, scan_landing
 from fleetlake.sources.tables import (
@@ -74,11 +74,18 @@ def run_gold(spark: SparkSession, lake: Lake, cfg: HealthConfig = HealthConfig()
     lake.write(build_daily_metrics(silver), "gold_daily_metrics", ["dt"])
 
 
-def run_serving(spark: SparkSession, lake: Lake, meta: DataFrame, now: Column | None = None) -> None:
+def run_serving(
+    spark: SparkSession,
+    lake: Lake,
+    meta: DataFrame,
+    now: Column | None = None,
+    cfg: HealthConfig = HealthConfig(),
+) -> None:
     """Load the serving tables: new servers, fresh health snapshot, alerts derived anew."""
     stamp = F.current_timestamp() if now is None else now
-    summary = lake.read(spark, "gold_server_summary")
-    # A renamed host leaves two summary rows; the serving tables have one row per server.
+    # A renamed host has two rows in Gold; the serving tables have one row per server, over all
+    # of its readings.
+    summary = stage(build_server_summary(latest_hostname(lake.read(spark, "silver")), cfg), "snapshot")
     servers = server_rows(summary, meta).withColumn("created_at", stamp)
     health = conform(summary, HEALTH_SUMMARY_TYPES).withColumn("updated_at", stamp)
 
@@ -108,4 +115,4 @@ def run_medallion(
     run_bronze(spark, landing, lake)
     run_silver(spark, lake, as_of)
     run_gold(spark, lake, cfg)
-    run_serving(spark, lake, meta)
+    run_serving(spark, lake, meta, cfg=cfg)

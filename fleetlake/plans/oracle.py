@@ -10,34 +10,37 @@ def r(expr: str, digits: int) -> str:
 
 READINGS = """
 k as (
-  select event_id, cast(ts as timestamp) ts0, event_type, value, user_id % 10 + 1 as sv,
+  select event_id as eid, event_id + copy * 1000000000000000 as event_id, copy, cast(ts as timestamp) ts0, event_type, value, sv,
+         concat(case when sv < 10 then '0' else '' end, cast(sv as varchar)) as number,
          cast(regexp_extract(props, '([0-9]+)', 1) as int) as k,
          extract(day from ts) as dd, extract(hour from ts) as hh
-  from events),
+  from (select *, unnest(case when event_id % 61 = 0 then [0, 1] else [0] end) as copy,
+               case when user_id % 10 <> 9 then (user_id // 2) % 10 + 1 else 100 + user_id end as sv
+        from events)),
 r0 as (
   select event_id,
-    case when event_id % 503 = 0 then null
-         when event_id % 7 = 0 then concat('  SERVER', lpad(cast(sv as varchar), 2, '0'), ' ')
-         else concat('server', lpad(cast(sv as varchar), 2, '0')) end as server_id,
-    concat('Web-App-', lpad(cast(sv as varchar), 2, '0')) as hostname,
-    case when event_id % 499 = 0 then timestamp '2019-01-01 00:00:00'
-         when event_id % 491 = 0 then timestamp '2099-01-01 00:00:00'
-         else date_trunc('minute', ts0) end as "timestamp",
-    case when event_id % 97 = 0 then null
-         when event_id % 89 = 0 then 105e0 + k
+    case when eid % 503 = 0 then null
+         when eid % 7 = 0 or copy = 1 then concat('  SERVER', number, ' ')
+         else concat('server', number) end as server_id,
+    concat('Web-App-', number) as hostname,
+    case when eid % 499 = 0 then ts0 - interval 1826 days
+         when eid % 491 = 0 then ts0 + interval 27394 days
+         else ts0 end as "timestamp",
+    case when eid % 97 = 0 then null
+         when eid % 89 = 0 then 105e0 + k
          when sv = 1 and dd = 11 and hh < 6 then 95e0 + k / 2e1
          else 10e0 + k * 5e-1 end as cpu_usage_percent,
-    case when event_id % 101 = 0 then null
+    case when eid % 101 = 0 then null
          when sv = 3 and dd = 11 then 50e0 + hh * 2e0
-         else 40e0 + (event_id * 37 % 1000) / 1e2 end as memory_usage_percent,
-    case when event_id % 103 = 0 then null
+         else 40e0 + (eid * 37 % 1000) / 1e2 end as memory_usage_percent,
+    case when eid % 103 = 0 then null
          when sv = 5 and dd between 11 and 12 then 45e0 + ((dd - 11) * 24 + hh) * 1e0
-         else 48e0 + event_id % 5 end as disk_usage_percent,
+         else 48e0 + eid % 5 end as disk_usage_percent,
     value * 1e1 as disk_io_read,
-    case when event_id % 271 = 0 then -1e0 - value else value end as disk_io_write,
+    case when eid % 271 = 0 then -1e0 - value else value end as disk_io_write,
     case when sv = 7 and dd = 11 and hh < 3 then 5e6 + value else 3e5 + value * 1e3 end as network_rx_bytes,
     case when sv = 7 and dd = 11 and hh < 3 then 3e6 + value else 2e5 + value * 6e2 end as network_tx_bytes,
-    cast(case when event_id % 277 = 0 then -1
+    cast(case when eid % 277 = 0 then -1
               when sv = 8 and dd = 11 and hh < 6 then 20 + k % 40
               when event_type = 'error' then k % 3 else 0 end as bigint) as application_error_count,
     case when sv = 10 and dd = 11 and hh < 9 then 9e2 + k else 1e2 + k * 4e-1 end as response_time_ms,
@@ -131,12 +134,14 @@ BAND = "case when health_score < 60 then 'Critical' when health_score < 85 then
 SEVERITY = "case when health_score < 60 then 'CRITICAL' when health_score < 85 then 'WARNING' end"
 
 META = """meta as (
-  select concat('server', lpad(cast(i as varchar), 2, '0')) as server_id, concat('10.0.1.', cast(i + 10 as varchar)) as ip_address,
-         'production' as environment, 'Ubuntu 22.04' as operating_system, 'order-processing-api' as application
-  from range(1, {last}) t(i))"""
+  select concat('server', number) as server_id, concat('192.168.', cast(sv // 200 as varchar), '.', cast(sv % 200 + 1 as varchar)) as ip_address,
+         case when sv % 3 = 0 then 'staging' else 'live' end as environment,
+         case when sv % 2 = 0 then 'Debian 12' else 'Alma 9' end as operating_system,
+         concat('service-', cast(sv % 5 as varchar)) as application
+  from (select distinct sv, number from k) where {known})"""
 
 VIEW = f"""{SUMMARY},
-{META.format(last=11)},
+{META.format(known='true')},
 health as (
   select s.* exclude (hostname), s.hostname, m.environment, m.application, {BAND} as status
   from summary s left join meta m using (server_id))"""
@@ -254,12 +259,13 @@ hf as (select *, cast(case when response_time_ms > 130 or application_error_coun
 
 
 def _evaluation(flag: str) -> str:
-    return f"""select tp, fp, fn, tn, {r("coalesce(tp / nullif(cast(tp + fp as double), 0), 0)", 3)} as precision,
+    return f"""select tp, fp, fn, tn, unscored, {r("coalesce(tp / nullif(cast(tp + fp as double), 0), 0)", 3)} as precision,
   {r("coalesce(tp / nullif(cast(tp + fn as double), 0), 0)", 3)} as recall,
   {r("coalesce(2 * tp / nullif(cast(2 * tp + fp + fn as double), 0), 0)", 3)} as f1
 from (select count(*) filter (({flag}) and is_injected_anomaly = 1) as tp, count(*) filter (({flag}) and is_injected_anomaly <> 1) as fp,
              count(*) filter (not ({flag}) and is_injected_anomaly = 1) as fn,
-             count(*) filter (not ({flag}) and is_injected_anomaly <> 1) as tn"""
+             count(*) filter (not ({flag}) and is_injected_anomaly <> 1) as tn,
+             count(*) filter (({flag}) is null) as unscored"""
 
 
 NETWORK_Z = f"""{SILVER},
@@ -379,7 +385,7 @@ _PARTS: dict[str, tuple[str, str]] = {
     "d02_duplicate_count": (READINGS, 'select cast(sum(n - 1) as bigint) as duplicate_rows from (select count(*) as n from canon group by server_id, "timestamp")'),
     "j01_disk_halves": (SUMMARY, f"select server_id, {r('h1', 3)} as disk_first_half_avg, {r('h2', 3)} as disk_second_half_avg from summary_halves"),
     "j02_health_view": (VIEW, "select * from health"),
-    "j03_metadata": (f"{SILVER},\n{META.format(last=7)}", """select server_id, hostname, ip_address, environment, operating_system, application
+    "j03_metadata": (f"{SILVER},\n{META.format(known='sv % 4 <> 0')}", """select server_id, hostname, ip_address, environment, operating_system, application
         from (select distinct server_id, hostname from v) left join meta using (server_id)"""),
     "j04_attach_scalers": (f"{SILVER},\n{scalers('v', ['cpu_usage_percent', 'response_time_ms'])}",
         """select event_id, median_cpu_usage_percent, scale_cpu_usage_percent, median_response_time_ms, scale_response_time_ms
@@ -392,11 +398,11 @@ _PARTS: dict[str, tuple[str, str]] = {
         select * from late where not exists (select 1 from early e where e.server_id = late.server_id and e.dt = late.dt)"""),
     "j08_upsert": (RUNS, """select *, timestamp '2024-02-01 00:00:00' as updated_at from late union all
         select *, timestamp '2024-01-16 00:00:00' from early where not exists (select 1 from late l where l.server_id = early.server_id and l.dt = early.dt)"""),
-    "j09_orphans": (f"{READINGS},\n{META.format(last=7)}", """select event_id, server_id, "timestamp" from canon
+    "j09_orphans": (f"{READINGS},\n{META.format(known='sv % 4 <> 0')}", """select event_id, server_id, "timestamp" from canon
         where not exists (select 1 from meta m where m.server_id = canon.server_id)"""),
     "j10_server_detail": (f"""{EVENTS},
 {gold('v')},
-{META.format(last=11)}""", f"""select h.server_id, {BAND} as status, health_score, avg_cpu_percent, peak_cpu_percent, avg_memory_percent, peak_memory_percent,
+{META.format(known='true')}""", f"""select h.server_id, {BAND} as status, health_score, avg_cpu_percent, peak_cpu_percent, avg_memory_percent, peak_memory_percent,
         avg_disk_percent, peak_disk_percent, {r("avg_network_rx_bytes / 1e6", 2)} as avg_rx_mb, {r("avg_network_tx_bytes / 1e6", 2)} as avg_tx_mb,
         errors_per_hour, avg_response_time_ms, peak_response_time_ms, f."timestamp", f.metric, f.severity, f.value, f.description
         from summary h left join finished f using (server_id) where h.server_id = 'server03'"""),
@@ -503,7 +509,7 @@ full_windows as (
     "w05_severity": (SILVER, """select *, case when row_number() over (order by peak_score desc, server_id, "timestamp") <= greatest(1, (count(*) over ()) // 3)
         then 'CRITICAL' else 'WARNING' end as severity
         from (select server_id, cast(dt as timestamp) as "timestamp", max(response_time_ms) as peak_score from v group by server_id, dt)"""),
-    "w06_dedup_rank": (SILVER, "select event_id, server_id from canon where event_id not in (select event_id from uniq)"),
+    "w06_dedup_rank": (SILVER, 'select event_id, server_id, cast(row_number() over (partition by server_id, "timestamp" order by event_id) as int) as copy_rank from canon'),
     "t01_top_by_anomalies": (SUMMARY, "select server_id, hostname, anomaly_count from summary order by anomaly_count desc, server_id, hostname limit 20"),
     "t02_top_scores": (SCORED, 'select "timestamp", server_id, anomaly_score from scored order by anomaly_score desc, server_id, "timestamp" limit 10'),
     "t03_first_results": (HALF_FLAGGED, """select "timestamp", server_id, case when is_anomaly = 1 then 'ANOMALY' else 'NORMAL' end as result

@@ -7,26 +7,58 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions.rules import derive_status
 
+# One event in so many is delivered twice; a copy's id is raised by the offset.
+COPY_EVERY = 61
+COPY_OFFSET = 10**15
+YEARS_TOO_EARLY_DAYS = 1826
+YEARS_TOO_LATE_DAYS = 27394
+
+
+def server_number() -> Column:
+    """1 to 10, or a number from 100 on for every tenth user."""
+    return F.expr("case when user_id % 10 <> 9 then (user_id div 2) % 10 + 1 else 100 + user_id end").cast("int")
+
+
+def _two_digits(number: Column) -> Column:
+    return F.concat(F.when(number < 10, F.lit("0")).otherwise(F.lit("")), number.cast("string"))
+
+
+def servers_from_events(spark: SparkSession, sf_dir: str, known: Column | None = None) -> DataFrame:
+    """The dimension of the servers that occur in ``events``; ``known`` leaves some of them out."""
+    numbers = spark.read.parquet(f"{sf_dir}/events.parquet").select(server_number().alias("sv")).distinct()
+    sv = F.col("sv")
+    return (numbers if known is None else numbers.filter(known)).select(
+        F.concat(F.lit("server"), _two_digits(sv)).alias("server_id"),
+        F.concat_ws(".", F.lit("192.168"), F.floor(sv / 200).cast("string"), (sv % 200 + 1).cast("string")).alias("ip_address"),
+        F.when(sv % 3 == 0, F.lit("staging")).otherwise(F.lit("live")).alias("environment"),
+        F.when(sv % 2 == 0, F.lit("Debian 12")).otherwise(F.lit("Alma 9")).alias("operating_system"),
+        F.concat(F.lit("service-"), (sv % 5).cast("string")).alias("application"),
+    )
+
 
 def readings_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row-wise projection of ``events`` to readings, with planted incidents and defects.
 
-    ``event_id`` is kept as the tie-break for deduplication. Everything is a narrow
-    projection of the scan: no shuffle, and unused columns are pruned.
+    One user in ten has a server of its own and the others report for ten long series, so that
+    a growing fleet and hot keys both occur. Instants keep their full precision. One event in
+    ``COPY_EVERY`` is delivered twice, the second time with its server spelled differently and
+    ``event_id`` raised by ``COPY_OFFSET``; ``event_id`` is the tie-break for deduplication.
+    Everything is a narrow projection of the scan: no shuffle, and unused columns are pruned.
     """
-    eid, user = F.col("event_id"), F.col("user_id")
-    server_no = (user % 10 + 1).cast("int")
+    eid = F.col("eid")
+    copies = F.when(F.col("event_id") % COPY_EVERY == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        eid,
+        F.col("event_id").alias("eid"),
+        F.explode(copies).alias("copy"),
         F.col("ts").cast("timestamp").alias("ts0"),
         "event_type",
         "value",
-        server_no.alias("sv"),
+        server_number().alias("sv"),
         F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"),
     )
     e = events.withColumns({"dd": F.dayofmonth("ts0"), "hh": F.hour("ts0")})
     sv, k, dd, hh, value = (F.col(c) for c in ("sv", "k", "dd", "hh", "value"))
-    number = F.lpad(sv.cast("string"), 2, "0")
+    number = _two_digits(sv)
 
     def every(n: int) -> Column:
         return eid % n == 0
@@ -39,15 +71,15 @@ def readings_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     surge, burst, slow = on(7, 11, 3), on(8, 11, 6), on(10, 11, 9)
     planted = hot | leak | fill | surge | burst | slow
     readings = e.select(
-        eid,
+        (eid + F.col("copy") * F.lit(COPY_OFFSET)).alias("event_id"),
         F.when(every(503), F.lit(None))
-        .when(every(7), F.concat(F.lit("  SERVER"), number, F.lit(" ")))
+        .when(every(7) | (F.col("copy") == 1), F.concat(F.lit("  SERVER"), number, F.lit(" ")))
         .otherwise(F.concat(F.lit("server"), number))
         .alias("server_id"),
         F.concat(F.lit("Web-App-"), number).alias("hostname"),
-        F.when(every(499), F.lit("2019-01-01 00:00:00").cast("timestamp"))
-        .when(every(491), F.lit("2099-01-01 00:00:00").cast("timestamp"))
-        .otherwise(F.date_trunc("minute", "ts0"))
+        F.when(every(499), F.col("ts0") - F.make_dt_interval(F.lit(YEARS_TOO_EARLY_DAYS)))
+        .when(every(491), F.col("ts0") + F.make_dt_interval(F.lit(YEARS_TOO_LATE_DAYS)))
+        .otherwise(F.col("ts0"))
         .alias("timestamp"),
         F.when(every(97), F.lit(None))
         .when(every(89), 105.0 + k)

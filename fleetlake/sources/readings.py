@@ -38,11 +38,19 @@ LANDED = T.StructType(
 
 
 def read_csv_readings(spark: SparkSession, path: str) -> DataFrame:
-    """CSV scan with a fixed schema, so no inference pass over the data.
+    """CSV scan; columns are taken by the names in the header, in whatever order they come.
 
-    Timestamps with or without an offset are read as UTC instants.
+    Only the header is read ahead, there is no inference pass. A column that is missing is an
+    error, and so is a file whose header differs from the first one's. Values that do not fit
+    their type become null; timestamps with or without an offset are UTC instants.
     """
-    return spark.read.schema(READING).option("header", True).csv(path)
+    found = spark.read.option("header", True).csv(path).columns
+    missing = [f.name for f in READING.fields if f.name not in found]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in the header of {path}")
+    text = T.StructType([T.StructField(name, T.StringType()) for name in found])
+    rows = spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(path)
+    return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in READING.fields])
 
 
 def with_utc_day(df: DataFrame) -> DataFrame:
@@ -70,7 +78,7 @@ def land(df: DataFrame, root: str) -> None:
 
 def scan_landing(spark: SparkSession, root: str, schema: T.StructType = LANDED) -> DataFrame:
     """Scan the landing layout; ``server_id`` and ``dt`` come from the path."""
-    return spark.read.schema(schema).option("basePath", root).parquet(f"{root}/server_id=*/dt=*/")
+    return spark.read.schema(schema).parquet(root)
 
 
 def build_bronze(df: DataFrame) -> DataFrame:

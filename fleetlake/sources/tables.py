@@ -89,24 +89,36 @@ def publish(df: DataFrame, root: str) -> str:
 
     Plain Parquet cannot overwrite its own input, and a reader must never see half a table.
     So the new version goes to a folder of its own and then a one-row pointer is appended;
-    ``read_published`` follows the newest pointer. Old versions stay until they are expired.
+    ``read_published`` follows the pointer with the
+    highest number, which does not depend on the writers' clocks. Old versions stay until they are expired.
     """
     version = f"v={uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(f"{root}/data/{version}")
     spark = df.sparkSession
+    last = _pointers(spark, root)
+    number = (last.agg(F.max("number")).first()[0] or 0) + 1 if last is not None else 1
     spark.range(1).select(
-        F.current_timestamp().alias("published_at"), F.lit(version).alias("version")
+        F.lit(number).cast("long").alias("number"), F.current_timestamp().alias("published_at"), F.lit(version).alias("version")
     ).coalesce(1).write.mode("append").parquet(f"{root}/pointer")
     return version
 
 
+def _pointers(spark: SparkSession, root: str) -> DataFrame | None:
+    """One row per published version; ``None`` only where there is no such folder at all."""
+    try:
+        return spark.read.schema("number long, published_at timestamp, version string").parquet(f"{root}/pointer")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_published(spark: SparkSession, root: str) -> DataFrame | None:
     """The newest published version, or ``None`` if nothing was published yet."""
-    try:
-        pointer = spark.read.schema("published_at timestamp, version string").parquet(f"{root}/pointer")
-    except AnalysisException:
+    pointer = _pointers(spark, root)
+    if pointer is None:
         return None
-    newest = pointer.agg(F.max_by("version", "published_at").alias("version")).first()
+    newest = pointer.agg(F.max_by("version", "number").alias("version")).first()
     return spark.read.parquet(f"{root}/data/{newest['version']}") if newest["version"] else None
 
 

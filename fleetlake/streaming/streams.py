@@ -61,7 +61,9 @@ def _stored(spark: SparkSession, out: str, batch_id: int) -> DataFrame | None:
     """What earlier micro-batches stored, leaving out an earlier try of this one."""
     try:
         return spark.read.parquet(out).filter(F.col("_batch") != batch_id)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -195,15 +197,25 @@ def step_alerts(alerts: DataFrame, summary: DataFrame, now: Column) -> DataFrame
     alert it has, one that leaves it has the alert resolved (and a new one opened if it
     moved to the other severity). A server missing from the summary is left as it is, and
     resolved alerts never change. Applying the same summary twice changes nothing.
+
+    A server counts once, by the worst of its rows (a renamed host has several), and keeps
+    one open alert per metric, the earliest.
     """
     metric = F.lit("health_score")
-    judged = summary.select(
+    worst = summary.groupBy("server_id").agg(F.min(F.col("health_score").cast("double")).alias("_score"))
+    judged = worst.select(
         "server_id",
         metric.alias("metric"),
-        alert_severity(F.col("health_score").cast("double")).alias("_severity"),
+        alert_severity(F.col("_score")).alias("_severity"),
         F.lit(True).alias("_judged"),
     )
-    is_open = alerts.filter(~F.col("resolved")).select(*ALERT_COLUMNS)
+    rest = ["triggered_at", "severity", "resolved", "resolved_at"]
+    is_open = (
+        alerts.filter(~F.col("resolved"))
+        .groupBy("server_id", "metric")
+        .agg(F.min(F.struct(*rest)).alias("_a"))
+        .select("server_id", "metric", *[F.col(f"_a.{c}") for c in ALERT_COLUMNS[2:]])
+    )
     both = is_open.join(judged, ["server_id", "metric"], "full")
     before, after = F.col("severity"), F.col("_severity")
     stays = F.col("_judged").isNull() | before.eqNullSafe(after)

@@ -60,5 +60,12 @@ def reading(spark):
     return build
 
 
+def fleet(spark, *numbers: int):
+    """A server dimension with the given numbers."""
+    rows = [(f"server{n:02d}", f"10.9.{n // 250}.{n % 250}", "live", "Debian 12", "orders") for n in numbers]
+    columns = "server_id string, ip_address string, environment string, operating_system string, application string"
+    return spark.createDataFrame(rows, columns)
+
+
 def minutes(n: float) -> datetime:
     return NOON + timedelta(minutes=n)

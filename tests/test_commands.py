@@ -1,5 +1,5 @@
+from conftest import fleet
 from fleetlake import __main__ as cli
-from fleetlake.operators.serving import server_metadata
 from fleetlake.plans.medallion import Lake, run_medallion
 from fleetlake.sources import readings, tables
 from fleetlake.streaming import streams
@@ -13,7 +13,8 @@ def test_from_csv_to_report(spark, tmp_path, capsys):
     (tmp_path / "raw.csv").write_text("\n".join([header, *lines, lines[0].replace(",10,", ",140,").replace("00:00:00", "01:00:00")]))
     landing, lake = str(tmp_path / "landing"), str(tmp_path / "lake")
     cli.main(["land", str(tmp_path / "raw.csv"), landing])
-    cli.main(["batch", landing, lake])
+    fleet(spark, 1).write.parquet(str(tmp_path / "servers"))
+    cli.main(["batch", landing, lake, "--servers", str(tmp_path / "servers")])
     cli.main(["detect", lake])
     cli.main(["stream", landing, lake])
     cli.main(["report", lake])
@@ -27,7 +28,7 @@ def test_lake_in_a_catalog_schema(spark, reading, tmp_path):
     spark.sql("create schema if not exists fleet")
     lake = Lake(str(tmp_path / "lake"), schema="fleet")
     readings.land(reading({"timestamp": None}, {}), str(tmp_path / "landing"))
-    run_medallion(spark, str(tmp_path / "landing"), lake, server_metadata(spark))
+    run_medallion(spark, str(tmp_path / "landing"), lake, fleet(spark, 1, 2))
     assert spark.table("fleet.bronze").count() == 2
     assert spark.table("fleet.telemetry_rejects").count() >= 1
     spark.sql("drop schema fleet cascade")

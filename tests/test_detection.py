@@ -199,3 +199,43 @@ def test_evaluation_counts(spark):
     assert (row.tp, row.fp, row.fn, row.tn, row.precision, row.f1) == (1, 1, 1, 2, 0.5, 0.5)
     assert evaluation.evaluate(df.filter("is_anomaly = 0"), F.lit(False)).first().precision == 0.0
     assert evaluation.evaluate_detector(df.drop("is_injected_anomaly")) is None
+
+
+def test_samples_reach_every_part_of_large_data(spark):
+    """Far above any fixed pool: every hundredth of the rows is drawn about equally often."""
+    rows = spark.range(200_000).select(
+        F.format_string("s%02d", F.col("id") % 7).alias("server_id"),
+        F.timestamp_seconds(F.col("id")).alias("timestamp"),
+        F.col("id").cast("double").alias("z_x"),
+    )
+    drawn = forest.draw_samples(rows, ["x"], trees=100, sample_rows=256)
+    parts = drawn.groupBy(F.floor(F.col("z_x") / 2000).alias("part"), "tree").count().toPandas()
+    per_part = parts.groupby("part")["count"].sum()
+    assert per_part.sum() == 100 * 256 and len(per_part) == 100
+    assert per_part.min() > 256 - 6 * 16 and per_part.max() < 256 + 6 * 16
+    assert drawn.groupBy("tree", "z_x").count().filter("count > 1").count() == 0
+    # About as many distinct rows as independent draws would give.
+    assert drawn.select("z_x").distinct().count() > 0.97 * 200_000 * (1 - (1 - 256 / 200_000) ** 100)
+    again = forest.draw_samples(rows.repartition(7), ["x"], trees=100, sample_rows=256)
+    assert again.exceptAll(drawn).count() == 0
+
+
+def test_nothing_to_score_gives_typed_empty_results(reading, tmp_path):
+    blank = reading({"cpu_usage_percent": None}, {"cpu_usage_percent": None, "timestamp": minutes(5)})
+    for rows in (blank, blank.limit(0)):
+        done = detection.detect(stage(rows, "blank"), trees=5)
+        assert done.events.count() == 0 and "severity" in done.events.columns
+        assert {r.result for r in done.scored.select("result").collect()} <= {"UNSCORED"}
+
+
+def test_later_readings_use_the_history_of_their_server(reading, tmp_path):
+    rows = stage(fleet(reading, rows_per_server=700), "history")
+    split = minutes(5 * 650)
+    early, late = rows.filter(F.col("timestamp") < split), rows.filter(F.col("timestamp") >= split)
+    detection.run_detection(stage(early, "early"), str(tmp_path / "out"), trees=20)
+    columns = ["server_id", "timestamp", *scaling.SLOPE_FEATURES]
+    got = detection.score_new(late, f"{tmp_path}/out/model", earlier=early)
+    whole = scaling.build_features(rows).filter(F.col("timestamp") >= split)
+    want = {tuple(r[:2]): tuple(round(x, 6) for x in r[2:]) for r in whole.select(*columns).collect()}
+    assert {tuple(r[:2]): tuple(round(x, 6) for x in r[2:]) for r in got.select(*columns).collect()} == want
+    assert got.count() == 100 and any(v[0] != 0 for v in want.values())

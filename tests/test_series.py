@@ -102,3 +102,10 @@ def test_gap_histogram(spark):
 def test_slice_must_exceed_lookback(points):
     with pytest.raises(ValueError):
         series.with_slices(points, 30, rows_per_slice=30)
+
+
+def test_null_keys_are_kept(spark):
+    rows = spark.sql("select * from values ('a', timestamp'2024-01-01 00:00:00'), (null, timestamp'2024-01-01 00:00:00'), "
+                     "(null, timestamp'2024-01-01 00:05:00'), ('a', null) t(server_id, timestamp)")
+    assert sorted(str(r.gap_micros) for r in series.gap_since_prev(rows).collect()) == ["300000000", "None", "None", "None"]
+    assert series.sessionise(rows).count() == 4

@@ -3,11 +3,10 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from fleetlake.operators.serving import server_metadata
 from fleetlake.plans.medallion import Lake, run_medallion
 from fleetlake.session import scratch_dir, scratch_path
 from fleetlake.sources import readings, tables
-from conftest import minutes
+from conftest import fleet, minutes
 
 
 def test_csv_with_and_without_offset_is_utc(spark, tmp_path):
@@ -89,12 +88,12 @@ def test_medallion_end_to_end_and_again(spark, reading, tmp_path):
     rows = [{"timestamp": minutes(5 * i), "server_id": s} for i in range(6) for s in ("server01", "SERVER02 ")]
     readings.land(reading(*rows, {"server_id": "server03", "cpu_usage_percent": 140.0}), root)
     for _ in range(2):
-        run_medallion(spark, root, lake, server_metadata(spark), as_of)
+        run_medallion(spark, root, lake, fleet(spark, 1, 2), as_of)
     assert tables.read_table(spark, lake.path("silver")).count() == 12
     assert tables.read_table(spark, lake.path("telemetry_rejects")).count() == 1
     assert tables.read_table(spark, lake.path("gold_daily_metrics")).count() == 2
     known = tables.read_published(spark, lake.path("servers")).collect()
-    assert {(r.server_id, r.ip_address) for r in known} == {("server01", "10.0.1.11"), ("server02", "10.0.1.12")}
+    assert {(r.server_id, r.ip_address) for r in known} == {("server01", "10.9.0.1"), ("server02", "10.9.0.2")}
     health = tables.read_published(spark, lake.path("server_health_summary"))
     assert dict(health.dtypes)["avg_cpu_percent"] == "decimal(5,2)" and health.count() == 2
     assert tables.read_published(spark, lake.path("alerts")).count() == 0
@@ -116,3 +115,51 @@ def test_jdbc_writer_options(spark, monkeypatch, mode, truncate):
     monkeypatch.setattr(writer, "option", option)
     tables.write_jdbc(spark.range(1), "jdbc:x", "alerts", mode)
     assert seen == {"url": "jdbc:x", "table": "alerts", "mode": mode, "truncate": truncate}
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    names = [f.name for f in readings.READING.fields]
+    shuffled = [n for n in names if n != "hostname"] + ["extra", "hostname"]
+    values = {n: "1" for n in shuffled} | {"timestamp": "2024-01-01T00:00:00.5Z", "cpu_usage_percent": "11", "memory_usage_percent": "22", "hostname": "h", "disk_io_read": "much"}
+    (tmp_path / "a.csv").write_text("\n".join([",".join(shuffled), ",".join(values[n] for n in shuffled)]))
+    row = readings.read_csv_readings(spark, str(tmp_path / "a.csv")).first()
+    assert (row.hostname, row.cpu_usage_percent, row.memory_usage_percent, row.disk_io_read) == ("h", 11.0, 22.0, None)
+    (tmp_path / "b.csv").write_text(",".join(n for n in names if n != "hostname") + "\n")
+    with pytest.raises(ValueError, match="hostname"):
+        readings.read_csv_readings(spark, str(tmp_path / "b.csv"))
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+def test_dedup_keeps_every_event_at_every_scale(spark, scale):
+    from fleetlake.operators import silver
+    from fleetlake.sources.events_readings import readings_from_events
+
+    events = spark.read.parquet(f"/root/testdata/{scale}/events.parquet")
+    raw = readings_from_events(spark, f"/root/testdata/{scale}")
+    keys = silver.standardise(raw).select("server_id", "timestamp", "event_id")
+    kept = silver.dedup(keys, order_by=[F.col("event_id")]).count()
+    # Copies go; events of one instant and one of the ten shared servers are rare.
+    assert raw.count() > events.count() >= kept >= 0.99 * events.count()
+
+
+def test_a_damaged_table_is_not_taken_for_a_missing_one(spark, tmp_path):
+    df = spark.range(3)
+    assert tables.read_published(spark, str(tmp_path / "t")) is None
+    for n in (3, 2):
+        tables.publish(df.limit(n), str(tmp_path / "t"))
+    assert tables.read_published(spark, str(tmp_path / "t")).count() == 2
+    for f in (tmp_path / "t" / "pointer").glob("part-*"):
+        f.write_bytes(b"damaged")
+    for f in (tmp_path / "t" / "pointer").glob(".*.crc"):
+        f.unlink()
+    with pytest.raises(Exception):
+        tables.read_published(spark, str(tmp_path / "t"))
+
+
+def test_serving_has_one_row_for_a_renamed_host(spark, reading, tmp_path):
+    root, lake = str(tmp_path / "landing"), Lake(str(tmp_path / "lake"))
+    rows = [{"timestamp": minutes(5 * i), "hostname": "old" if i < 4 else "new", "cpu_usage_percent": 10.0 * i} for i in range(6)]
+    readings.land(reading(*rows), root)
+    run_medallion(spark, root, lake, fleet(spark, 1), F.lit("2026-08-01").cast("timestamp"))
+    row = tables.read_published(spark, lake.path("server_health_summary")).collect()
+    assert len(row) == 1 and float(row[0].avg_cpu_percent) == 25.0

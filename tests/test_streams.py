@@ -131,3 +131,15 @@ def test_alert_stream_publishes_after_every_snapshot(spark, tmp_path):
         streams.stream_alerts(spark, f"{base}/summaries", first.schema, f"{base}/alerts", f"{base}/c").awaitTermination()
     rows = tables.read_published(spark, f"{base}/alerts").collect()
     assert [(r.server_id, r.severity, r.resolved) for r in rows] == [("a", "CRITICAL", True)]
+
+
+def test_a_renamed_host_has_one_alert(spark, empty):
+    """Two rows of one server, low and healthy or both low, open one alert; repeats change nothing."""
+    for scores in ((50.0, 55.0), (50.0, 99.0)):
+        rows = spark.createDataFrame([("a", s) for s in scores], "server_id string, health_score double")
+        alerts = empty
+        for _ in range(4):
+            alerts = streams.step_alerts(alerts, rows, F.lit(NOON))
+        assert [(r.severity, r.resolved) for r in alerts.collect()] == [("CRITICAL", False)]
+    healthy = spark.createDataFrame([("a", 99.0), ("a", 98.0)], "server_id string, health_score double")
+    assert [r.resolved for r in streams.step_alerts(alerts, healthy, F.lit(NOON)).collect()] == [True]
