@@ -260,7 +260,8 @@ def with_next(docs: DataFrame) -> DataFrame:
         shares = [i / parts for i in range(1, parts)]
         cuts = sorted(set(rows.agg(F.percentile_approx("doc_id", shares, 100 * parts).alias("p")).first()["p"] or []))
     # Range of an id: how many cuts lie below it. The cuts are as many as the ranges.
-    bounds = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
+    # One folded literal, however many there are.
+    bounds = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>") if cuts else F.array().cast("array<bigint>")
     part = F.when(F.col("doc_id").isNull(), 0).otherwise(_below(bounds, len(cuts)))
     ranged = rows.withColumn("part", part.cast("int"))
     firsts = ranged.groupBy("part").agg(F.min(F.struct("doc_id", F.md5("text").alias("h"))).alias("first"))
