@@ -254,7 +254,7 @@ def p01_enforce_types(spark, sf):
     text = readings(spark, sf).select(
         "event_id",
         "status",
-        F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
         *[F.col(c).cast("string").alias(c) for c in metrics if c != "response_time_ms"],
         F.when(F.col("application_error_count") > 0, F.lit("n/a"))
         .otherwise(F.col("response_time_ms").cast("string"))
