@@ -360,8 +360,14 @@ def in_series_order(df: DataFrame) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int = 4000, seed: int = 42, keys=("server_id", "timestamp")) -> DataFrame:
-    """The same ``n`` rows for the same seed, however the data is partitioned."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    """The same ``n`` rows for the same seed, however the data is partitioned.
+
+    The order is that of an MD5 of seed and key, which other engines can repeat.
+    """
+    kinds = dict(df.dtypes)
+    parts = [F.unix_micros(k) if kinds[k] == "timestamp" else F.col(k) for k in keys]
+    key = F.concat_ws("|", F.lit(str(seed)), *[p.cast("string") for p in parts])
+    return df.orderBy(F.md5(key), *keys).limit(n)
 
 
 def preview(df: DataFrame, n: int = 20) -> DataFrame:

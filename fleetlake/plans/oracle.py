@@ -518,6 +518,8 @@ full_windows as (
     "t05_worst_health": (SUMMARY, "select server_id, health_score from summary order by health_score, server_id"),
     "t06_worst_server": (SUMMARY, "select server_id, peak_cpu_percent, total_readings from summary_base order by peak_cpu_percent desc, server_id limit 1"),
     "t07_series_order": (SILVER, 'select server_id, "timestamp", event_id from v order by server_id, "timestamp"'),
+    "t08_sample_rows": (SILVER, """select event_id, cpu_usage_percent, response_time_ms from v
+        order by md5(concat('42|', server_id, '|', epoch_us("timestamp"))), server_id, "timestamp" limit 4000"""),
     "u01_concat": (SILVER, "select event_id, server_id from v union all select event_id, server_id from rejects"),
     "u02_reload": (RUNS, "select * from early union all select * from late"),
     "m01_features": (SLOPES, f"""select event_id, {", ".join(f for f in FEATURES if f != "error_count_log")}, {r("error_count_log", 6)} as error_count_log from featured"""),

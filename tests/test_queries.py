@@ -51,5 +51,5 @@ def test_entry_and_registry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
     without_sql = set(catalog.QUERIES) - set(entry.oracle_sql())
     assert without_sql == {
-        "m04_forest", "m05_isolation_scores", "m12_detection", "s11_model", "t08_sample_rows", "t09_preview",
+        "m04_forest", "m05_isolation_scores", "m12_detection", "s11_model", "t09_preview",
     }
