@@ -274,10 +274,16 @@ def _compare_blocks(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
 
-def links_in_families(met: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) between components (named by their labels) inside the families of ``met``."""
+def links_in_families(shared: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between components (named by their labels) inside families of ``shared`` buckets.
+
+    For the families every bucket is tied to its smallest member, which crowded buckets mostly
+    have in common, so that few different ties are left.
+    """
     parts = labels.select(F.col("node").alias("own"), F.col("label").alias("part"))
-    members = components(met).withColumnsRenamed({"node": "rep", "label": "family"})
+    smallest = shared.groupBy("key").agg(F.min("rep").alias("a"))
+    ties = shared.join(smallest, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    members = components(stage(ties, "ties")).withColumnsRenamed({"node": "rep", "label": "family"})
     members = members.join(parts, F.col("rep") == F.col("own"), "left").select("rep", "family", F.coalesce("part", "rep").alias("part"))
     split = members.groupBy("family").agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
     blocks = F.ceil(F.col("n") / BLOCK)
@@ -308,9 +314,9 @@ def near_classes(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").alias("rep"), "text").join(active, "rep", "left_semi")
     sets = stage(arrow_rows(texts, ["rep", "text"], _set_step, "rep long, shingles binary, signature binary"), "shingle-sets")
 
-    met = stage(_meetings(shared.union(deeper)), "pairs")
-    labels = components(stage(verified(met, sets.select("rep", "shingles")), "links"))
-    missed = stage(links_in_families(met, labels, sets), "links")
+    pairs = stage(_meetings(shared.union(deeper)), "pairs")
+    labels = components(stage(verified(pairs, sets.select("rep", "shingles")), "links"))
+    missed = stage(links_in_families(shared, labels, sets), "links")
     if not missed.isEmpty():
         labels = relabelled(labels, components(missed))
 
