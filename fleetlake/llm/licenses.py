@@ -1,7 +1,8 @@
 """Licence recognition by sentence rules, in DataFrame functions only.
 
-A text is split into sentences, these are normalised (case, blanks, quotes, leading comment marks,
-the holder of a copyright) and looked up among known licence sentences. The identifiers found, in
+Known sentences that a text wraps are put on one line first, wherever their lines break and whatever
+comment marks begin them. Then the text is split into sentences, these are normalised (case, blanks,
+quotes, leading comment marks, the holder of a copyright) and looked up among known licence sentences. The identifiers found, in
 text order, form a sequence that is matched against ordered rules: a rule is a run of identifiers,
 longer rules come first, and the identifiers a rule has used up count for no later one. What no rule
 explains stays visible as ``unmatched``; sentences that speak of licences but are not known are counted.
@@ -29,6 +30,13 @@ SENTENCES = {
     "released under the mit license": "MITRef",
     "licensed under the mit license": "MITRef",
     "this software is released under the mit license": "MITRef",
+    "the asf licenses this file to you under the apache license, version 2.0 (the license)": "ApacheRef",
+    "apache license version 2.0, january 2004": "ApacheTitle",
+    "licensed to the apache software foundation (asf) under one or more contributor license agreements": "ASFGrant",
+    "see the notice file distributed with this work for additional information regarding copyright ownership": "ASFNotice",
+    "permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the software), to deal in the software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the software, and to permit persons to whom the software is furnished to do so, subject to the following conditions": "MITGrant",
+    "the software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement": "AsIs",
+    "in no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software": "MITLiability",
     "permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the software), to deal in the software without restriction": "MITGrant",
     "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "MITNotice",
     "the software is provided as is, without warranty of any kind, express or implied": "AsIs",
@@ -40,6 +48,16 @@ SENTENCES = {
     "this program is free software; you can redistribute it and/or modify it under the terms of the gnu general public license as published by the free software foundation; either version 2 of the license, or (at your option) any later version": "GPL2Plus",
     "this program is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose": "GPLWarranty",
     "see the gnu general public license for more details": "GPLSee",
+    "gnu general public license version 3, 29 june 2007": "GPL3Title",
+    "gnu general public license version 2, june 1991": "GPL2Title",
+    "you should have received a copy of the gnu general public license along with this program": "GPLCopy",
+    "if not, see <https://www.gnu.org/licenses/>": "GPLAddress",
+    "if not, see <http://www.gnu.org/licenses/>": "GPLAddress",
+    "you should have received a copy of the gnu general public license along with this program; if not, see <https://www.gnu.org/licenses/>": "GPLWrite",
+    "you should have received a copy of the gnu general public license along with this program; if not, write to the free software foundation, inc., 51 franklin street, fifth floor, boston, ma 02110-1301 usa": "GPLWrite",
+    "you should have received a copy of the gnu general public license along with this program; if not, write to the free software foundation, inc., 51 franklin street, fifth floor, boston, ma 02110-1301, usa": "GPLWrite",
+    "you should have received a copy of the gnu general public license along with this program; if not, write to the free software foundation, inc., 59 temple place, suite 330, boston, ma 02111-1307 usa": "GPLWrite",
+    "you should have received a copy of the gnu general public license along with this program; if not, write to the free software foundation, inc., 59 temple place - suite 330, boston, ma 02111-1307, usa": "GPLWrite",
     "licensed under cc by-nc 4.0": "CCBYNC4",
     "licensed under cc by 4.0": "CCBY4",
     "licensed under cc by-sa 4.0": "CCBYSA4",
@@ -50,6 +68,9 @@ SENTENCES = {
     "redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer": "BSDSource",
     "redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution": "BSDBinary",
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "BSDEndorse",
+    "neither the name of <holder> nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "BSDEndorse",
+    "this software is provided by <holder> as is and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "BSDAsIs",
+    "in no event shall <holder> be liable for any direct, indirect, incidental, special, exemplary, or consequential damages (including, but not limited to, procurement of substitute goods or services; loss of use, data, or profits; or business interruption) however caused and on any theory of liability, whether in contract, strict liability, or tort (including negligence or otherwise) arising in any way out of the use of this software, even if advised of the possibility of such damage": "BSDLiability",
     "spdx-license-identifier: mit": "SpdxMIT",
     "spdx-license-identifier: apache-2.0": "SpdxApache2",
     "spdx-license-identifier: gpl-3.0-only": "SpdxGPL3",
@@ -61,9 +82,18 @@ SENTENCES = {
 
 # Ordered rules, the licence of each run of identifiers.
 RULES = [
+    ("BSD-3-Clause", ["Copyright", "AllRights", "BSDPre", "BSDSource", "BSDBinary", "BSDEndorse", "BSDAsIs", "BSDLiability"]),
+    ("BSD-3-Clause", ["BSDPre", "BSDSource", "BSDBinary", "BSDEndorse", "BSDAsIs", "BSDLiability"]),
+    ("Apache-2.0", ["ASFGrant", "ASFNotice", "ApacheRef", "ApacheComply", "ApacheCopy", "AsIsBasis", "SeeLicense"]),
+    ("BSD-2-Clause", ["Copyright", "AllRights", "BSDPre", "BSDSource", "BSDBinary", "BSDAsIs", "BSDLiability"]),
+    ("BSD-2-Clause", ["BSDPre", "BSDSource", "BSDBinary", "BSDAsIs", "BSDLiability"]),
     ("Apache-2.0", ["ApacheRef", "ApacheComply", "ApacheCopy", "AsIsBasis", "SeeLicense"]),
     ("BSD-3-Clause", ["BSDPre", "BSDSource", "BSDBinary", "BSDEndorse"]),
     ("BSD-2-Clause", ["BSDPre", "BSDSource", "BSDBinary"]),
+    ("GPL-3.0-or-later", ["GPL3Plus", "GPLWarranty", "GPLSee", "GPLCopy", "GPLAddress"]),
+    ("GPL-2.0-or-later", ["GPL2Plus", "GPLWarranty", "GPLSee", "GPLCopy", "GPLAddress"]),
+    ("GPL-2.0-or-later", ["GPL2Plus", "GPLWarranty", "GPLSee", "GPLWrite"]),
+    ("MIT", ["MITGrant", "MITNotice", "AsIs", "MITLiability"]),
     ("MIT", ["MITGrant", "MITNotice", "AsIs"]),
     ("GPL-3.0-or-later", ["GPL3Plus", "GPLWarranty", "GPLSee"]),
     ("GPL-2.0-or-later", ["GPL2Plus", "GPLWarranty", "GPLSee"]),
@@ -72,9 +102,12 @@ RULES = [
     ("GPL-2.0-or-later", ["GPL2Plus"]),
     ("Apache-2.0", ["ApacheRef"]),
     ("Apache-2.0", ["SpdxApache2"]),
+    ("Apache-2.0", ["ApacheTitle"]),
     ("MIT", ["MITRef"]),
     ("MIT", ["SpdxMIT"]),
     ("GPL-3.0", ["GPL3Ref"]),
+    ("GPL-3.0", ["GPL3Title"]),
+    ("GPL-2.0", ["GPL2Title"]),
     ("GPL-3.0", ["SpdxGPL3"]),
     ("GPL-2.0", ["GPL2Ref"]),
     ("GPL-2.0", ["SpdxGPL2"]),
@@ -86,23 +119,53 @@ RULES = [
 ]
 
 # Every known sentence has one of these words, so a text without any needs no splitting.
-TRIGGER = r"(?i)licens|licenc|permission|warrant|redistribut|copyright|rights reserved|free software|endorse|express or implied"
+TRIGGER = r"(?i)licens|licenc|permission|be liable|warrant|redistribut|copyright|rights reserved|free software|endorse|express or implied"
 ABOUT = r"licens|licenc|copyright|spdx"
 
 
+QUOTES = "[\"'`“”]*"
+# Between two words of a sentence: blanks, line ends, comment marks and quotes, with one blank at least.
+BETWEEN = r"[\"'`“”]*+\s[\s#*/>;\"'`“”-]*+"
+# The name of whoever holds the rights, in the sentences that state it; it may break a line, too.
+HOLDER = r"[^.;:]{1,160}?"
+
+
+def wrapped(sentence: str) -> str:
+    """Pattern of a sentence in normalised form as it stands in lower-case text, wrapped in any way."""
+
+    def word(w: str) -> str:
+        if w == "<holder>":
+            return HOLDER
+        return "".join(c if c.isalnum() else rf"\{c}{QUOTES}" if c == "(" else rf"{QUOTES}\{c}" for c in w)
+
+    return BETWEEN.join(map(word, sentence.split(" ")))
+
+
+def folds() -> list[tuple[str, str]]:
+    """(pattern, replacement) pairs that put each known sentence of several words on a line."""
+    out = [(wrapped(s), s) for s in SENTENCES if s.count(" ") >= 3]
+    # One published sentence, known by its halves; they stand apart in the usual layout.
+    comply = "you may not use this file except in compliance with the license"
+    return [(wrapped(f"(the license); {comply}"), f"(the license).\n{comply}"), *out]
+
+
 def sentences(text: Column) -> Column:
-    """Sentences of a text: a full stop, question mark or semicolon before a blank, or a line's end.
+    """Sentences of a text, in lower case: a full stop, question or exclamation mark before a blank, or a line's end.
 
-    Lines that go on in lower case belong to the sentence before, unless that ended with a mark.
+    Semicolons do not end a sentence. Lines that go on in lower case belong to the sentence before,
+    unless that ended with a mark. Inside a known sentence every line break is joined, whatever
+    follows it; elsewhere a line that begins in upper case is a sentence of its own, so that a
+    heading above a licence sentence does not hide it.
     """
-    joined = F.regexp_replace(text, r"(?<![.!?;:])\n(?=[\t #*/>;-]{0,8}[a-z])", " ")
+    joined = F.lower(F.regexp_replace(text, r"(?<![.!?;:])\n(?=[\t #*/>;-]{0,8}[a-z])", " "))
+    for pattern, line in folds():
+        joined = F.regexp_replace(joined, pattern, line)
     return F.split(joined, r"\n|(?<=[.!?])[\t ]+", -1)
 
 
 def normalised(sentence: Column) -> Column:
     """Lower case, without comment marks, quotes and the final stop; one name for any holder."""
-    s = F.lower(sentence)
-    s = F.regexp_replace(s, "[\"'`“”]", "")
+    s = F.regexp_replace(F.lower(sentence), "[\"'`“”]", "")
     s = F.regexp_replace(s, r"^[\s#*/>;!-]+|[\s*/.:;!]+$", "")
     s = F.regexp_replace(s, r"\s+[#*/>;]*\s*", " ")
     return F.regexp_replace(s, r"^(?:copyright|\(c\)|©)(?: \(c\)| ©)?(?: [0-9, -]+)?(?: .+)?$", "copyright <holder>")

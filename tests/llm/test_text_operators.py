@@ -411,6 +411,130 @@ def test_license_rules(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) <year> <copyright holders>
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+APACHE_NOTICE = """Copyright [yyyy] [name of copyright owner]
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+ASF_NOTICE = """Licensed to the Apache Software Foundation (ASF) under one
+or more contributor license agreements.  See the NOTICE file
+distributed with this work for additional information
+regarding copyright ownership.  The ASF licenses this file
+to you under the Apache License, Version 2.0 (the
+"License"); you may not use this file except in compliance
+with the License.  You may obtain a copy of the License at
+
+  http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing,
+software distributed under the License is distributed on an
+"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY
+KIND, either express or implied.  See the License for the
+specific language governing permissions and limitations
+under the License.
+"""
+BSD_TEXT = """Copyright (c) <year>, <owner>
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+%s
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+BSD_THIRD = """
+3. Neither the name of the %s nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL_NOTICE = """    Copyright (C) <year>  <name of author>
+
+    This program is free software%s you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation%s either version %d of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License
+    along with this program%s
+"""
+GPL3_NOTICE = GPL_NOTICE % (":", ",", 3, ".  If not, see <https://www.gnu.org/licenses/>.")
+GPL2_NOTICE = GPL_NOTICE % (";", ";", 2, "; if not, write to the Free Software Foundation, Inc.,\n    51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.")
+
+
+def test_published_license_texts(spark):
+    """The published texts as they are wrapped, on one line a paragraph, and inside comments."""
+    plain = [
+        ("MIT", MIT_TEXT), ("Apache-2.0", APACHE_NOTICE), ("Apache-2.0", ASF_NOTICE), ("BSD-2-Clause", BSD_TEXT % ""),
+        ("BSD-3-Clause", BSD_TEXT % (BSD_THIRD % "copyright holder")), ("BSD-3-Clause", BSD_TEXT % (BSD_THIRD % "Some Institute")),
+        ("GPL-3.0-or-later", GPL3_NOTICE), ("GPL-2.0-or-later", GPL2_NOTICE),
+    ]
+    ways = [
+        lambda t: t,
+        lambda t: re.sub(r"(?<=\S)\n[ \t]*(?=\S)", " ", t.replace("reserved.\n", "reserved.\n\n")),
+        lambda t: "/*\n" + "".join(f" * {line}\n" for line in t.split("\n")) + " */\nint main() {}",
+        lambda t: "".join(f"# {line}".rstrip() + "\r\n" for line in t.split("\n")),
+    ]
+    rows = [(name, way(text), k) for name, text in plain for k, way in enumerate(ways)]
+    df = spark.createDataFrame([(i, t) for i, (_, t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.scan(df).collect()}
+    for i, (name, text, k) in enumerate(rows):
+        assert got[i]["licenses"] == name, (name, k, got[i])
+        assert set(got[i]["unmatched"].split(",")) <= {"", "Copyright"} and got[i]["n_unknown"] <= 1, (name, k, got[i])
+    heading = "Use\nReleased under the MIT License.\nNotice\nLicensed under CC BY 4.0."
+    assert licenses.scan(df.limit(1).withColumn("text", F.lit(heading))).head()["licenses"] == "CC-BY-4.0,MIT"
+
+
 # --- pieces
 
 
