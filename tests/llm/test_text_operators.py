@@ -385,6 +385,30 @@ def test_classifier_odd_rows(spark, odd):
     assert classifier.predict(odd.limit(0), model).count() == 0
 
 
+def test_cut_has_the_fewest_errors():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        tail, good = rng.integers(0, 12, 30) / 11, rng.random(30) < rng.random()
+        errors = lambda cut: int(((tail >= cut) & ~good).sum() + ((tail < cut) & good).sum())  # noqa: E731, B023
+        if good.any() and not good.all():
+            assert errors(classifier.choose_cut(tail, good)) == min(errors(x) for x in [*tail, 2.0])
+        else:
+            assert classifier.choose_cut(tail, good) == 0.0
+    # Bad rows between good ones: a few good rows at the bottom do not pull the cut-off below all bad ones.
+    assert 0.85 < classifier.choose_cut(np.array([0.3, 0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.95]), np.array([True, *[False] * 5, True, True])) < 0.9
+
+
+def test_unseen_toxic_rows_are_rejected(spark):
+    docs, rated = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = classifier.fit(docs, classifier.graded(rated.where("doc_id % 4 <> 0")))
+    unseen = classifier.graded(rated.where("doc_id % 4 = 0"))
+    rows = classifier.predict(docs.join(unseen, "doc_id", "left_semi"), model).join(unseen, "doc_id").collect()
+    kept = {g: np.mean([r["kept"] for r in rows if r["grade"] == g]) for g in (0, 1, 2)}
+    print(model.cut, model.held_out, {g: (sum(r["grade"] == g for r in rows), kept[g]) for g in kept})
+    assert kept[2] > 0.97 and kept[1] < 0.15 and kept[0] < 0.15
+    assert sorted(model.held_out) == [0, 1, 2] and model.held_out[2][1] > 0.97 and model.held_out[1][1] < 0.15
+
+
 # --- licences
 
 
