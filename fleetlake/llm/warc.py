@@ -5,10 +5,14 @@ folder. Of pages with equal payloads (of at least ``revisit_bytes``) the one wit
 ``page_id`` is stored as a response and the others as revisits of it. A task that is run again
 writes new files; only files named in the manifest, which successful tasks return, are read.
 
-*Reading*: a record must pass every check: gzip trailer, version line, header form, length, end
-mark and payload digest. After a failed check the reader searches for the next gzip member or
-version line that begins a valid record, goes on from there, and logs the bytes between as a
-quarantined gap with the reason.
+*Reading*: a record must pass every check: version line, header form, length, end mark and payload
+digest. After a failed check the reader searches for the next gzip member or version line that
+begins a valid record, goes on from there, and logs the bytes between as a quarantined gap with the
+reason. The same search runs inside the decompressed bytes of a member. What decompresses before an
+error or the end of the file is searched, too, also if the member's trailer is wrong, and the rest is a gap.
+
+Offsets and lengths are those in the file. Records of a member, and the gaps inside it, have those of the
+member; of a damaged member they reach to where the reading goes on or the file ends.
 
 A null html is an empty payload, a null url leaves out the target, control characters in a url are
 escaped. Rows with a null page_id are never the response of a group that has a page_id; repeated
@@ -120,51 +124,81 @@ def http_payload(block: bytes) -> bytes:
     return body if mark and head.startswith(b"HTTP/") else block
 
 
-def _inflate(data: bytes, at: int) -> tuple[bytes | None, int, str]:
-    """The content of the gzip member at ``at`` and the position behind it."""
-    unpacker = zlib.decompressobj(31)
+INFLATE_BYTES = 1 << 16
+
+
+def _inflate(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What decompresses of the gzip member at ``at``, the position behind it, and what is wrong with it.
+
+    The position is ``at`` if the end of the member is not known.
+    """
+    unpacker, out = zlib.decompressobj(31), []
+    view, i = memoryview(data), at
     try:
-        content = unpacker.decompress(memoryview(data)[at:])
+        while i < len(data) and not unpacker.eof:
+            out.append(unpacker.decompress(view[i : i + INFLATE_BYTES]))
+            i += INFLATE_BYTES
     except zlib.error:
-        return None, at, "damaged member"
+        # Once more up to the failing stretch, which is then read byte by byte to have what it gives before the error.
+        unpacker, out = zlib.decompressobj(31), []
+        try:
+            for k in range(at, i, INFLATE_BYTES):
+                out.append(unpacker.decompress(view[k : k + INFLATE_BYTES]))
+            for k in range(i, min(i + INFLATE_BYTES, len(data))):
+                out.append(unpacker.decompress(view[k : k + 1]))
+        except zlib.error:
+            pass
+        return b"".join(out), at, "damaged member"
     if not unpacker.eof:
-        return None, at, "truncated member"
-    return content, len(data) - len(unpacker.unused_data), ""
-
-
-def _step(data: bytes, at: int) -> tuple[list[Record], int, str]:
-    """Records of the member, or the plain record, at ``at``. A member must hold whole records only."""
-    if data[at : at + 3] != MEMBER:
+        return b"".join(out), at, "truncated member"
+    return b"".join(out), min(i, len(data)) - len(unpacker.unused_data), ""
+
+
+def _member(data: bytes, at: int) -> tuple[list[Record | Gap], int, str]:
+    """Records and gaps of the member at ``at``, the position behind it, and why it has no record."""
+    content, behind, damage = _inflate(data, at)
+    found = list(_search(content, plain_only=True))
+    if not any(isinstance(x, Record) for x in found):
+        return [], at, damage or (found[0].reason if found else "empty member")
+    if damage:
+        # The search goes on inside the damaged bytes.
+        starts = [i for i in (_next_member(data, at + 1), _next_version(data, at + 1)) if i >= 0]
+        behind = min(starts) if starts else len(data)
+        if isinstance(found[-1], Gap):
+            found.pop()
+        found.append(Gap(at, 0, damage))
+    return [x._replace(offset=at, length=behind - at) for x in found], behind, ""
+
+
+def _step(data: bytes, at: int, plain_only: bool) -> tuple[list[Record | Gap], int, str]:
+    """What the member, or the plain record, at ``at`` holds."""
+    if plain_only or data[at : at + 3] != MEMBER:
         record, behind, why = _parse(data, at)
         return ([record] if record else []), behind, why
-    content, behind, why = _inflate(data, at)
-    if content is None:
-        return [], at, why
-    records, inner = [], 0
-    while inner < len(content):
-        record, inner, why = _parse(content, inner)
-        if record is None:
-            return [], at, why
-        records.append(Record(at, behind - at, record.headers, record.block))
-    return records, behind, "" if records else "empty member"
+    return _member(data, at)
 
 
 def salvage(data: bytes) -> Iterator[Record | Gap]:
     """Records of an archive in order, and a gap for every stretch of bytes without a valid record."""
+    yield from _search(data, plain_only=False)
+
+
+def _search(data: bytes, plain_only: bool) -> Iterator[Record | Gap]:
     at, gap, reason = 0, None, ""
     while at < len(data):
-        records, behind, why = _step(data, at)
-        if records:
+        found, behind, why = _step(data, at, plain_only)
+        if found:
             if gap is not None:
                 yield Gap(gap, at - gap, reason)
                 gap = None
-            yield from records
+            yield from found
             at = behind
             continue
         if gap is None:
             gap, reason = at, why
-        found = [i for i in (_next_member(data, at + 1), _next_version(data, at + 1)) if i >= 0]
-        at = min(found) if found else len(data)
+        starts = [_next_version(data, at + 1)] + ([] if plain_only else [_next_member(data, at + 1)])
+        starts = [i for i in starts if i >= 0]
+        at = min(starts) if starts else len(data)
     if gap is not None:
         yield Gap(gap, len(data) - gap, reason)
 

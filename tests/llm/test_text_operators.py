@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from fleetlake.llm import classifier, fingerprints, licenses, line_dedup, mixing, near_dup, pieces, pii, quality_rules
+from fleetlake.llm import classifier, fingerprints, licenses, line_dedup, mixing, near_dup, pieces, pii, quality_rules, warc
 from tools.compare import compare, duck
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -559,6 +559,51 @@ def test_published_license_texts(spark):
     assert licenses.scan(df.limit(1).withColumn("text", F.lit(heading))).head()["licenses"] == "CC-BY-4.0,MIT"
 
 
+# --- WARC
+
+
+def salvaged(data):
+    found = list(warc.salvage(data))
+    ids = [int(x.headers["warc-record-id"][10:-1]) for x in found if isinstance(x, warc.Record)]
+    return ids, [(x.offset, x.length, x.reason) for x in found if isinstance(x, warc.Gap)]
+
+
+def test_salvage_of_damaged_archives():
+    rng = random.Random(9)
+    page = [warc.page_record(k, "http://x/", bytes(rng.randrange(32, 127) for _ in range(3000)), None, False, "2000-01-01T00:00:00Z") for k in range(60)]
+    bad = page[2].replace(b"HTTP/1.1 200 OK", b"HTTP/1.1 200 XX").replace(b"WARC-Payload-Digest: sha1:", b"WARC-Payload-Digest: sha1:A")
+    after = warc.member(page[59])
+    # A bad record inside a member, and one member cut off, or damaged in the middle, or with a wrong trailer.
+    whole = warc.member(page[0] + page[1] + bad + page[3])
+    assert salvaged(whole + after) == ([0, 1, 3, 59], [(0, len(whole), "digest differs")])
+    long = warc.member(b"".join(page[:50]))
+    half = len(long) // 2
+    ids, gaps = salvaged(long[:half])
+    assert ids == list(range(len(ids))) and 20 < len(ids) < 30 and gaps == [(0, half, "truncated member")]
+    assert salvaged(long[:half] + after)[0][: len(ids)] == ids and salvaged(long[:half] + after)[0][-1] == 59
+    wrong = long[:-8] + bytes(x ^ 255 for x in long[-8:-4]) + long[-4:]
+    assert salvaged(wrong + after) == ([*range(50), 59], [(0, len(wrong), "damaged member")])
+    # Plain records with rubbish and a chance member mark between them, and files without a record.
+    rubbish = b"xx" + warc.MEMBER + b"yy" * 9
+    assert salvaged(page[0] + rubbish + b"\n" + page[1]) == ([0, 1], [(len(page[0]), len(rubbish) + 1, "no version line")])
+    assert salvaged(b"") == ([], []) and salvaged(warc.MEMBER) == ([], [(0, 3, "truncated member")])
+
+
+def test_warc_of_odd_pages(spark, tmp_path):
+    rows = [(1, "u", "a"), (2, "u", "a"), (2, "u", "a"), (None, None, None), (None, None, "a"), (3, "a\nb", "é")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for name, source in (("odd", df), ("none", df.limit(0))):
+        (tmp_path / name).mkdir()
+        manifest = warc.write_warc(source, f"file://{tmp_path}/{name}")
+        records = warc.read_warc(spark, f"file://{tmp_path}/{name}")
+        got = warc.page_rows(records, manifest).collect()
+        assert records.where("gap is not null").count() == 0 and len(got) == source.count()
+    got = warc.page_rows(warc.read_warc(spark, f"file://{tmp_path}/odd"), spark.createDataFrame([(f.name,) for f in (tmp_path / "odd").glob("*.gz")], "file string")).collect()
+    assert sorted((str(r["page_id"]), r["record_type"]) for r in got) == [
+        ("1", "revisit"), ("2", "response"), ("2", "response"), ("3", "response"), ("None", "response"), ("None", "revisit"),
+    ]
+
+
 # --- pieces
 
 
