@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from fleetlake.llm import classifier, line_dedup, mixing, near_dup, pieces
-from fleetlake.llm.common import documents, labels, scratch_path
+from fleetlake.llm.common import documents, free_name, labels, scratch_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +36,11 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every use of a document, and the hash of the text they decode to."""
-    return pieces.encode_and_check(docs)
+    """Piece ids of every use of a document, and the hash of the text they decode to; uses differ in their dropout."""
+    use = free_name(docs, "_use")
+    # The uses of a document are equal rows, so any order among them gives the same result.
+    equal = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    return pieces.encode_and_check(docs.withColumn(use, F.row_number().over(equal) - 1), use=use)
 
 
 STAGES = [

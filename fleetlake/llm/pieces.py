@@ -2,12 +2,14 @@
 
 A text becomes pieces by merging adjacent symbols, always the candidate with the best score and of
 equal ones the leftmost. With ``dropout`` above 0 a candidate is skipped when a keyed hash of (seed,
-variant, word, its place, its piece) falls below the rate, so that one text has many segmentations;
-without dropout the pieces are those of the model. Every segmentation decodes to the text.
+document, use of the document, place of the word, word, place in the word, piece) falls below the
+rate, so every occurrence of a word draws its own segmentation. Without dropout the pieces are those
+of the model. Every segmentation decodes to the text. Repeated rows of a document without a use column
+are equal.
 
-Pieces never cross the start of a word, so the unit of work is a distinct word in one of
-``VARIANTS`` variants; which variant an occurrence takes is a keyed hash of document and place.
-All units of a slice of documents are merged together in NumPy, one merge per word and turn.
+Pieces never cross the start of a word. Each distinct word of a slice of documents is merged once
+without dropout; the occurrences whose hashes skip none of the candidates met on the way share that
+result, all others are merged on their own, in NumPy, one merge per word and turn.
 
 A word boundary mark in the text itself is encoded by its bytes, as are characters without a piece.
 Null texts count as empty and have no pieces; ids may be null or repeat; texts are taken whole.
@@ -31,8 +33,9 @@ from fleetlake.llm.common import arrow_rows, documents, mix64
 
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-VARIANTS = 4
 DROPOUT = 0.1
+# Occurrences that are looked at together; only memory depends on it.
+BLOCK = 50_000
 
 # Whole words with the spaces before them, or spaces at the end.
 _UNITS = re.compile(" *[^ ]+| +")
@@ -94,9 +97,10 @@ def _skipped(unit_key: np.ndarray, place: np.ndarray, piece: np.ndarray, dropout
     return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53 < dropout
 
 
-def segment(vocab: Vocabulary, units: list[str], unit_keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+def segment(vocab: Vocabulary, units: list[str], unit_keys: np.ndarray, dropout: float, trace: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all units one after the other, and the offsets of the units.
 
+    ``trace`` receives (unit, place, piece) of the candidates met.
     ``unit_keys`` feeds the dropout of each unit. A symbol's place is that of its first character.
     """
     lengths = np.array([len(u) for u in units], dtype=np.int64)
@@ -125,6 +129,9 @@ def segment(vocab: Vocabulary, units: list[str], unit_keys: np.ndarray, dropout:
 
     def consider(at: np.ndarray) -> None:
         piece = _candidates(vocab, symbol[at], symbol[follow[at]])
+        if trace is not None:
+            met = np.flatnonzero(piece >= 0)
+            trace.append((unit[at[met]], place[at[met]], piece[met]))
         if dropout > 0:
             some = np.flatnonzero(piece >= 0)
             drop = _skipped(unit_keys[unit[at[some]]], place[at[some]], piece[some], dropout)
@@ -180,33 +187,54 @@ def split_units(text: str | None) -> list[str]:
 
 
 def encode_texts(
-    vocab: Vocabulary, texts: list[str | None], keys: list[int | None], seed: str = "pieces", dropout: float = DROPOUT
+    vocab: Vocabulary, texts: list[str | None], keys: list[int | None], seed: str = "pieces", dropout: float = DROPOUT, uses: list[int] | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts one after the other, and the offsets of the texts. ``keys`` vary the dropout."""
+    """Ids of all texts one after the other, and the offsets of the texts. ``keys`` and ``uses`` vary the dropout."""
     units = [split_units(t) for t in texts]
     counts = np.array([len(u) for u in units], dtype=np.int64)
     index: dict[str, int] = defaultdict(itertools.count().__next__)
     word = np.fromiter(map(index.__getitem__, itertools.chain.from_iterable(units)), dtype=np.int64, count=int(counts.sum()))
     salt = xxhash.xxh3_64_intdigest(seed.encode())
-    variants = VARIANTS if dropout > 0 else 1
-    own = np.array([xxhash.xxh3_64_intdigest(repr(k).encode(), seed=salt) for k in keys], dtype=np.uint64)
+    named = [repr(k) if not u else f"{k!r}/{u}" for k, u in zip(keys, uses or [0] * len(keys))]
+    own = np.array([xxhash.xxh3_64_intdigest(k.encode(), seed=salt) for k in named], dtype=np.uint64)
     spot = np.arange(len(word)) - np.repeat(np.cumsum(counts) - counts, counts)
-    with np.errstate(over="ignore"):
-        variant = (mix64(np.repeat(own, counts) + spot.astype(np.uint64)) % np.uint64(variants)).astype(np.int64)
-    both = word * variants + variant
-    used = np.zeros(len(index) * variants, dtype=bool)
-    used[both] = True
-    wanted = np.flatnonzero(used)
-    where = (np.cumsum(used) - 1)[both]
     names = list(index)
-    hashes = np.array([xxhash.xxh3_64_intdigest(u.encode("utf-8", "surrogatepass"), seed=salt) for u in names], dtype=np.uint64)
-    unit_keys = mix64(hashes[wanted // variants] ^ mix64((wanted % variants).astype(np.uint64)))
-    ids, bounds = segment(vocab, [names[i] for i in (wanted // variants).tolist()], unit_keys, dropout)
+    trace: list = []
+    pool, bounds = segment(vocab, names, np.zeros(len(names), dtype=np.uint64), 0.0, trace)
+    where = word
+    if dropout > 0 and len(word):
+        hashes = np.array([xxhash.xxh3_64_intdigest(u.encode("utf-8", "surrogatepass"), seed=salt) for u in names], dtype=np.uint64)
+        occurrence = mix64(hashes[word] ^ mix64(np.repeat(own, counts) ^ mix64(spot.astype(np.uint64))))
+        unit, place, piece = (np.concatenate(x) for x in zip(*trace))
+        order = np.argsort(unit, kind="stable")
+        place, piece = place[order], piece[order]
+        met = np.bincount(unit, minlength=len(names))
+        first = np.cumsum(met) - met
+        lengths = np.array([len(u) for u in names], dtype=np.int64)
+        # Blocks of bounded characters, as a unit meets fewer than three candidates a character.
+        block = np.maximum(np.cumsum(lengths[word]) // (8 * BLOCK), np.arange(len(word)) // BLOCK)
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(word)]])
+        where, pools, ends = word.copy(), [pool], [bounds]
+        total = len(names)
+        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            size = met[word[low:high]]
+            at = np.arange(int(size.sum())) + np.repeat(first[word[low:high]] - np.cumsum(size) + size, size)
+            who = np.repeat(np.arange(low, high), size)
+            drop = _skipped(occurrence[who], place[at], piece[at], dropout)
+            touched = np.unique(who[drop])
+            if not len(touched):
+                continue
+            some, some_bounds = segment(vocab, [names[i] for i in word[touched].tolist()], occurrence[touched], dropout)
+            where[touched] = total + np.arange(len(touched))
+            total += len(touched)
+            ends.append(some_bounds[1:] + ends[-1][-1])
+            pools.append(some)
+        pool, bounds = np.concatenate(pools), np.concatenate(ends)
     sizes = np.diff(bounds)[where]
-    ends = np.cumsum(sizes)
-    take = np.arange(int(sizes.sum())) + np.repeat(bounds[where] - ends + sizes, sizes)
-    text_ends = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-    return ids[take], text_ends
+    ends_at = np.cumsum(sizes)
+    take = np.arange(int(sizes.sum())) + np.repeat(bounds[where] - ends_at + sizes, sizes)
+    text_ends = np.concatenate([[0], ends_at])[np.concatenate([[0], np.cumsum(counts)])]
+    return pool[take], text_ends
 
 
 def decode_ids(vocab: Vocabulary, ids: list[int]) -> str:
@@ -240,13 +268,16 @@ def decode(encoded: DataFrame, model_file: str = MODEL) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def encode_and_check(docs: DataFrame, model_file: str = MODEL, seed: str = "pieces", dropout: float = DROPOUT) -> DataFrame:
-    """doc_id, ids, n_pieces, decoded_sha256 (of the text decoded from ids) and lossless, for every row."""
+def encode_and_check(docs: DataFrame, model_file: str = MODEL, seed: str = "pieces", dropout: float = DROPOUT, use: str | None = None) -> DataFrame:
+    """doc_id, ids, n_pieces, decoded_sha256 (of the text decoded from ids) and lossless, for every row.
+
+    ``use`` names a column that numbers the uses of a document; each use draws its own dropout.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(load(model_file))
 
     def step(cols: dict[str, list]) -> pa.RecordBatch:
         vocab = shared.value
-        ids, ends = encode_texts(vocab, cols["text"], cols["doc_id"], seed, dropout)
+        ids, ends = encode_texts(vocab, cols["text"], cols["doc_id"], seed, dropout, cols[use] if use else None)
         plain = ids.tolist()
         back = [decode_ids(vocab, plain[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
         return pa.RecordBatch.from_arrays(
@@ -261,7 +292,7 @@ def encode_and_check(docs: DataFrame, model_file: str = MODEL, seed: str = "piec
         )
 
     schema = "doc_id long, ids array<int>, n_pieces long, decoded_sha256 string, lossless boolean"
-    return arrow_rows(docs, ["doc_id", "text"], step, schema)
+    return arrow_rows(docs, ["doc_id", "text", *([use] if use else [])], step, schema)
 
 
 def op10_query(spark: SparkSession, sf_dir: str) -> DataFrame:

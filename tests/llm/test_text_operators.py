@@ -656,6 +656,43 @@ def test_pieces_decode_and_vary(odd):
     assert pieces.encode_and_check(odd.limit(0)).count() == 0
 
 
+def test_occurrences_draw_their_own_dropout(spark):
+    """As many segmentations of a frequent word as dropout per occurrence gives, by the definition."""
+    vocab, n = pieces.load(), 2000
+    ids, ends = pieces.encode_texts(vocab, [" ".join(["international"] * n)], [1])
+    flat, words = ids.tolist(), []
+    for i in flat:
+        if vocab.pieces[i].startswith(pieces.MARK):
+            words.append([])
+        words[-1].append(i)
+    assert len(words) == n and ends.tolist() == [0, len(flat)]
+    keys = np.array([random.Random(k).randrange(2**64) for k in range(n)], dtype=np.uint64)
+    some, bounds = pieces.segment(vocab, [" international"] * n, keys, pieces.DROPOUT)
+    want = {tuple(some[bounds[i] : bounds[i + 1]].tolist()) for i in range(n)}
+    got = set(map(tuple, words))
+    print(len(got), len(want))
+    assert len(got) > 0.7 * len(want) > 4
+
+
+def test_sharing_changes_no_result(monkeypatch):
+    """Blocks and shared units give what each occurrence gives on its own."""
+    vocab = pieces.load()
+    texts = ["the international house of the nation", None, "", "the the the  nation"]
+    one = pieces.encode_texts(vocab, texts, [1, 2, None, 3])
+    monkeypatch.setattr(pieces, "BLOCK", 2)
+    two = pieces.encode_texts(vocab, texts, [1, 2, None, 3])
+    assert one[0].tolist() == two[0].tolist() and one[1].tolist() == two[1].tolist()
+    for k, (text, key) in enumerate(zip(texts, [1, 2, None, 3])):
+        alone, _ = pieces.encode_texts(vocab, [text], [key])
+        assert alone.tolist() == one[0][one[1][k] : one[1][k + 1]].tolist()
+
+
+def test_uses_in_the_pipeline_differ(spark):
+    df = spark.createDataFrame([(1, LONG)] * 3, "doc_id long, text string")
+    got = corpus_pipeline.encoded(spark, df, SF_DIR).collect()
+    assert len({tuple(r["ids"]) for r in got}) == 3 and all(r["lossless"] for r in got)
+
+
 # --- pipeline
 
 
