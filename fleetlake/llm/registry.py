@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from fleetlake.llm import classifier, fingerprints, licenses, line_dedup, mixing, near_dup, pieces, pii, quality_rules, warc
+from fleetlake.llm import (
+    classifier,
+    exact_dup,
+    fingerprints,
+    licenses,
+    line_dedup,
+    mixing,
+    near_dup,
+    pieces,
+    pii,
+    quality_rules,
+    warc,
+)
 
 QUERIES = {
     "op1_source_mixing": mixing.op1_query,
@@ -15,6 +27,7 @@ QUERIES = {
     "op8_license_scan": licenses.op8_query,
     "op9_warc_salvage": warc.op9_query,
     "op10_sentencepiece": pieces.op10_query,
+    "op11_exact_dedup": exact_dup.op11_query,
 }
 
 SQL = {
@@ -23,4 +36,5 @@ SQL = {
     "op5_quality_rules": quality_rules.OP5_SQL,
     "op8_license_scan": licenses.OP8_SQL,
     "op9_warc_salvage": warc.OP9_SQL,
+    "op11_exact_dedup": exact_dup.OP11_SQL,
 }
