@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from fleetlake.llm import (
     classifier,
+    conversations,
     exact_dup,
     fingerprints,
     licenses,
@@ -13,6 +14,7 @@ from fleetlake.llm import (
     pieces,
     pii,
     quality_rules,
+    spelling,
     warc,
 )
 
@@ -28,6 +30,8 @@ QUERIES = {
     "op9_warc_salvage": warc.op9_query,
     "op10_sentencepiece": pieces.op10_query,
     "op11_exact_dedup": exact_dup.op11_query,
+    "op12_spelling_variants": spelling.op12_query,
+    "op13_conversation_repair": conversations.op13_query,
 }
 
 SQL = {
@@ -37,4 +41,6 @@ SQL = {
     "op8_license_scan": licenses.OP8_SQL,
     "op9_warc_salvage": warc.OP9_SQL,
     "op11_exact_dedup": exact_dup.OP11_SQL,
+    "op12_spelling_variants": spelling.OP12_SQL,
+    "op13_conversation_repair": conversations.OP13_SQL,
 }
