@@ -84,6 +84,11 @@ def build_events(
     Readings are first combined to cells no wider than the gap (mostly on the map side), so
     what is ordered per server is bounded by the length of the time range.
     """
+    return described(incident_spans(flagged, features, gap_micros), method)
+
+
+def incident_spans(flagged: DataFrame, features: list[str] = FEATURES, gap_micros: int = MERGE_GAP) -> DataFrame:
+    """``(server_id, timestamp, _end, readings, _peak)`` of every run of flagged readings; spans can be merged."""
     readings = dominant_feature(flagged.filter("is_anomaly = 1"), features)
     cells = session_cells(
         readings,
@@ -93,14 +98,18 @@ def build_events(
             peak_struct("anomaly_score", ["metric", "value"]).alias("_peak"),
         ],
     )
-    incidents = cells.groupBy("server_id", "session").agg(
+    return cells.groupBy("server_id", "session").agg(
         F.min("_first").alias("timestamp"),
         F.max("_last").alias("_end"),
         F.sum("_n").alias("readings"),
         F.max("_peak").alias("_peak"),
-    )
+    ).drop("session")
+
+
+def described(spans: DataFrame, method: str = DETECTION_METHOD) -> DataFrame:
+    """Incidents from their spans."""
     whole_minutes = F.floor((F.unix_micros("_end") - F.unix_micros("timestamp")) / MICROS["minute"])
-    return incidents.select(
+    return spans.select(
         "server_id",
         "timestamp",
         F.timestamp_micros(-F.col("_peak._age")).alias("peak_timestamp"),

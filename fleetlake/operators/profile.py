@@ -17,12 +17,13 @@ from fleetlake.functions.rules import (
     truth,
 )
 from fleetlake.operators.quantiles import median_and_mad, quantiles
-from fleetlake.operators.series import worst_slopes
+from fleetlake.operators.series import MICROS, slice_of, worst_slopes
 from fleetlake.session import stage
 
 CPU, MEMORY, DISK = "cpu_usage_percent", "memory_usage_percent", "disk_usage_percent"
 RX, TX, LATENCY = "network_rx_bytes", "network_tx_bytes", "response_time_ms"
 ERRORS = "application_error_count"
+AROUND_BIN = MICROS["hour"]
 
 
 # --- 1. CPU load
@@ -192,6 +193,29 @@ def around(df: DataFrame, lo: Column, hi: Column, hours: int = 6) -> DataFrame:
     return df.filter(F.col("timestamp").between(lo - margin, hi + margin))
 
 
+def around_each(
+    df: DataFrame, incidents: DataFrame, lo: str, hi: str, keys: list[str], minutes: int = 360, by: list[str] | None = None
+) -> DataFrame:
+    """P17 for many incidents: ``keys`` of each beside every reading within ``minutes`` of its span from ``lo`` to ``hi``.
+
+    Spans are cut to the time bins they cover and readings fall into one, so the join is on the bin (and on the
+    columns ``by``, for slices of an incident's own server) and the exact bounds are checked on what meets there.
+    A span covers one bin more than it is long; a bin with very many readings is split as any skewed join is.
+    """
+    margin = F.make_dt_interval(mins=F.lit(minutes))
+    by = by or []
+    named = [F.col(c).alias(f"_of_{c}") for c in by]
+    spans = incidents.select(*keys, *named, (F.col(lo) - margin).alias("_lo"), (F.col(hi) + margin).alias("_hi"))
+    bins = F.explode(F.sequence(slice_of(F.col("_lo"), AROUND_BIN), slice_of(F.col("_hi"), AROUND_BIN))).alias("_bin")
+    spans = spans.filter("_lo <= _hi").select("*", bins).withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    placed = df.withColumn("_at", slice_of(F.col("timestamp"), AROUND_BIN))
+    same = F.col("_at") == F.col("_bin")
+    for c in by:
+        same = same & (F.col(c) == F.col(f"_of_{c}"))
+    met = placed.join(spans, same & F.col("timestamp").between(F.col("_lo"), F.col("_hi")))
+    return met.select(*[F.col(f"_key_{k}").alias(f"incident_{k}") for k in keys], *df.columns)
+
+
 # --- 5. CPU against latency
 
 

@@ -26,15 +26,17 @@ from fleetlake.functions.rules import (
     rounded,
     validity_rules,
 )
-from fleetlake.operators import evaluation, forest, gold, incidents, profile, quality, scaling
-from fleetlake.operators import series, serving, silver
+from fleetlake.operators import carried, evaluation, forest, gold, incidents, profile, quality, scaling
+from fleetlake.operators import series, serving, silver, sketches
 from fleetlake.operators.scaling import FEATURES
 from fleetlake.plans import detection
 from fleetlake.session import pin_utc, scratch_path, stage
+from fleetlake.sources import filelist
 from fleetlake.sources import readings as landing
 from fleetlake.sources import tables
 from fleetlake.sources.events_readings import COPY_OFFSET, readings_from_events, servers_from_events
-from fleetlake.streaming import streams
+from fleetlake.streaming import alerts as alert_stream
+from fleetlake.streaming import live_gold, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -196,6 +198,18 @@ def s07_write_table(spark, sf):
     return tables.read_table(spark, path).select("server_id", "dt", "avg_cpu_percent", "anomaly_count")
 
 
+@query
+def s07_compact(spark, sf):
+    """Daily metrics of two runs, written in many small files, rewritten together and read back."""
+    root = scratch_path(spark, "compacted")
+    old, new = _two_runs(spark, sf)
+    for rows in (old, new):
+        for slot in range(3):
+            filelist.append(rows.filter(F.pmod(F.xxhash64("server_id", "dt"), F.lit(3)) == slot), root, F.month("dt"))
+    filelist.compact(spark, root)
+    return filelist.read(spark, root)
+
+
 @query
 def s08_managed_table(spark, sf):
     path = scratch_path(spark, "managed")
@@ -376,6 +390,15 @@ def p17_around(spark, sf):
     return profile.around(rows, lo, hi).select("event_id", "server_id", "timestamp", "network_rx_bytes")
 
 
+@query
+def p17_around_incidents(spark, sf):
+    """Readings of the same server in the hour before and after each incident."""
+    scored = stage(simple_scored(spark, sf), "flagged")
+    spans = stage(incidents.incident_spans(scored).select("server_id", "timestamp", "_end"), "spans")
+    rows = scored.select("event_id", "server_id", "timestamp", "score")
+    return profile.around_each(rows, spans, "timestamp", "_end", ["timestamp"], 60, by=["server_id"])
+
+
 @query
 def p18_health_table(spark, sf):
     return serving.health_table(view(spark, sf))
@@ -483,6 +506,17 @@ def j08_upsert(spark, sf):
     return serving.upsert(old, new, ["server_id", "dt"], at(NOW))
 
 
+@query
+def j08_upsert_buckets(spark, sf):
+    """The same on a stored table of which only the touched buckets are rewritten."""
+    root = scratch_path(spark, "buckets")
+    old, new = _two_runs(spark, sf)
+    keys = ["server_id", "dt"]
+    serving.upsert_buckets(old, root, keys, at(SPLIT_DAY), last_by=[F.desc("run")])
+    serving.upsert_buckets(new, root, keys, at(NOW), last_by=[F.desc("run")])
+    return filelist.read(spark, root)
+
+
 @query
 def j09_orphans(spark, sf):
     """Readings whose server is not in the dimension, which lacks a fourth of them here."""
@@ -729,6 +763,15 @@ def a40_truth_counts(spark, sf):
 # --- W: windows
 
 
+RUN_ENDS = ["2024-01-13", "2024-01-24"]
+
+
+def _in_three_runs(rows: DataFrame) -> list[DataFrame]:
+    """Readings up to the 13th, up to the 24th, and later ones."""
+    ts, (one, two) = F.col("timestamp"), RUN_ENDS
+    return [rows.filter(ts < at(one)), rows.filter((ts >= at(one)) & (ts < at(two))), rows.filter(ts >= at(two))]
+
+
 @query
 def w01_gaps(spark, sf):
     rows = staged(spark, sf, "event_id", "server_id", "timestamp")
@@ -740,6 +783,28 @@ def w02_sessions(spark, sf):
     return series.sessionise(staged(spark, sf, "event_id", "server_id", "timestamp"))
 
 
+@query
+def w02_sessions_continued(spark, sf):
+    """Session numbers of three runs, each going on from the state of the one before."""
+    rows, state, told = staged(spark, sf, "event_id", "server_id", "timestamp"), None, []
+    for part in _in_three_runs(rows):
+        numbered, state = carried.continued_sessions(state, part)
+        told.append(numbered)
+    return serving.concat_all(told)
+
+
+@query
+def w03_slopes_continued(spark, sf):
+    """Slopes of the last run only, from its own readings and the state that two earlier runs left."""
+    rows = staged(spark, sf, "event_id", "server_id", "timestamp", profile.MEMORY, profile.DISK)
+    *earlier, last = _in_three_runs(rows)
+    state = None
+    for part in earlier:
+        state = carried.next_slope_state(state, part, scaling.SLOPE_FEATURES)
+    slopes = carried.continued_slopes(state, last, scaling.SLOPE_FEATURES)
+    return round_cols(slopes.select("event_id", *scaling.SLOPE_FEATURES), list(scaling.SLOPE_FEATURES), 4)
+
+
 @query
 def w03_rolling_slopes(spark, sf):
     rows = staged(spark, sf, "event_id", "server_id", "timestamp", profile.MEMORY, profile.DISK)
@@ -829,6 +894,25 @@ def u01_concat(spark, sf):
     return serving.concat_all(parts)
 
 
+@query
+def u02_two_writers(spark, sf):
+    """A second writer adds its rows while the first one is at work; the first begins again and none is lost."""
+    root = scratch_path(spark, "daily")
+    old, new = _two_runs(spark, sf)
+    halves = [new.filter(F.col("dt") < at(SPLIT_DAY)), new.filter(F.col("dt") >= at(SPLIT_DAY))]
+    tables.publish(old, root)
+    others = [halves[0]]
+
+    def first(known: DataFrame) -> DataFrame:
+        if others:
+            add = others.pop()
+            tables.update_published(spark, root, lambda rows: rows.unionByName(add))
+        return known.unionByName(halves[1])
+
+    tables.update_published(spark, root, first)
+    return tables.read_published(spark, root)
+
+
 @query
 def u02_reload(spark, sf):
     """The second publication reads the table it replaces."""
@@ -856,6 +940,26 @@ def m02_scalers(spark, sf):
     return round_cols(scaling.fit_scalers(featured), ["median", "scale"], 5)
 
 
+@query
+def m02_scalers_sketch(spark, sf):
+    """Scalers from one pass of sketches per day: whether their exact ranks are within the stated error."""
+    featured = scaling.build_features(staged(spark, sf))
+    featured = stage(round_cols(featured, list(scaling.SLOPE_FEATURES), 4), "features")
+    days = stage(sketches.day_sketches(featured), "sketches")
+    scalers = stage(sketches.scalers_from_sketches(days), "scalers")
+    errors = sketches.rank_errors(featured, scalers)
+    readings_of = scalers.select("server_id", "feature", F.col("n").alias("readings"))
+    # One reading more or less is no error: ranks of few readings are that coarse.
+    allowed = F.lit(sketches.RANK_ERROR) + F.lit(0.5) / F.col("readings")
+    return errors.join(readings_of, ["server_id", "feature"]).select(
+        "server_id",
+        "feature",
+        "readings",
+        (F.col("median_error") <= allowed).alias("median_within"),
+        (F.col("mad_error") <= allowed).alias("mad_within"),
+    )
+
+
 @query
 def m03_z_scores(spark, sf):
     columns = [f"z_{f}" for f in FEATURES]
@@ -884,6 +988,16 @@ def m07_incidents(spark, sf):
     return incidents.build_events(simple_scored(spark, sf))
 
 
+@query
+def m07_incidents_continued(spark, sf):
+    """Incidents of three runs; those that may still grow are carried to the next one."""
+    scored, spans, told = stage(simple_scored(spark, sf), "flagged"), None, []
+    for part, end in zip(_in_three_runs(scored), [*RUN_ENDS, None]):
+        finished, spans = carried.continued_incidents(spans, part, at(end) if end else None)
+        told.append(finished)
+    return serving.concat_all(told)
+
+
 @query
 def m08_dominant_feature(spark, sf):
     named = incidents.dominant_feature(simple_scored(spark, sf).filter("is_anomaly = 1"))
@@ -930,19 +1044,20 @@ def s11_model(spark, sf):
 # --- X: streams
 
 
-def _in_two_arrivals(spark, sf) -> list[DataFrame]:
+def _in_three_arrivals(spark, sf) -> list[DataFrame]:
+    """Events up to the 10th, up to the 16th, and later ones; the copies of an event come with it."""
     rows = readings_from_events(spark, sf)
-    day = spark.read.parquet(f"{sf}/events.parquet").select(
-        "event_id", (F.col("ts") < F.lit(SPLIT_DAY).cast("timestamp_ntz")).alias("early")
-    )
-    tagged = rows.join(day.withColumnRenamed("event_id", "eid"), F.col("event_id") % COPY_OFFSET == F.col("eid")).drop("eid")
-    return [tagged.filter("early").drop("early"), tagged.filter("not early").drop("early")]
+    ts = F.col("ts")
+    arrival = F.when(ts < F.lit("2024-01-10").cast("timestamp_ntz"), 0).when(ts < F.lit(SPLIT_DAY).cast("timestamp_ntz"), 1).otherwise(2)
+    day = spark.read.parquet(f"{sf}/events.parquet").select(F.col("event_id").alias("eid"), arrival.alias("arrival"))
+    tagged = rows.join(day, F.col("event_id") % COPY_OFFSET == F.col("eid")).drop("eid")
+    return [tagged.filter(F.col("arrival") == n).drop("arrival") for n in range(3)]
 
 
 def _streamed_bronze(spark, sf, after_each: Callable[[str], None] | None = None) -> str:
-    """Readings landed in two arrivals, each picked up by a run of the stream."""
+    """Readings landed in three arrivals, each picked up by a run of the stream."""
     base = scratch_path(spark, "stream")
-    for part in _in_two_arrivals(spark, sf):
+    for part in _in_three_arrivals(spark, sf):
         _landed(spark, sf, part, f"{base}/landing")
         streams.stream_bronze(
             spark, f"{base}/landing", f"{base}/bronze", f"{base}/ckpt-bronze", schema=LANDED_WITH_ID
@@ -961,15 +1076,17 @@ def x01_stream_bronze(spark, sf):
     )
 
 
-@query
-def x02_stream_silver(spark, sf):
-    schema = T.StructType(
-        [
-            *LANDED_WITH_ID.fields,
-            T.StructField("_source_file", T.StringType()),
-            T.StructField("_ingested_at", T.TimestampType()),
-        ]
-    )
+BRONZE_WITH_ID = T.StructType(
+    [
+        *LANDED_WITH_ID.fields,
+        T.StructField("_source_file", T.StringType()),
+        T.StructField("_ingested_at", T.TimestampType()),
+    ]
+)
+
+
+def _streamed_silver(spark, sf, each: streams.Each | None = None) -> str:
+    """Silver of the arrivals, cleaned by a run of the stream after each of them; ``each`` hears of every batch."""
 
     def clean(base: str) -> None:
         streams.stream_silver(
@@ -977,12 +1094,34 @@ def x02_stream_silver(spark, sf):
             f"{base}/bronze",
             f"{base}/silver",
             f"{base}/ckpt-silver",
-            schema,
+            BRONZE_WITH_ID,
             as_of=at(AS_OF),
             order_by=[F.col(BY_EVENT)],
+            each=each(base) if each else None,
         ).awaitTermination()
 
-    base = _streamed_bronze(spark, sf, clean)
+    return _streamed_bronze(spark, sf, clean)
+
+
+@query
+def x02_stream_silver(spark, sf):
+    base = _streamed_silver(spark, sf)
+    good, bad = streams.streamed_silver(spark, f"{base}/silver")
+    columns = ["event_id", "server_id", "timestamp"]
+    return good.select(*columns, F.lit("").alias("reason")).unionByName(
+        bad.select(*columns, F.col("_reject_reason").alias("reason"))
+    )
+
+
+@query
+def x02_compact_silver(spark, sf):
+    """The same after its small files were rewritten together, and with one more run of the stream after that."""
+    base = _streamed_silver(spark, sf)
+    streams.compact_silver(spark, f"{base}/silver")
+    # A copy of everything arrives once more under a new checkpoint: every key is known, in the new files.
+    streams.stream_silver(
+        spark, f"{base}/bronze", f"{base}/silver", f"{base}/ckpt-again", BRONZE_WITH_ID, as_of=at(AS_OF), order_by=[F.col(BY_EVENT)]
+    ).awaitTermination()
     good, bad = streams.streamed_silver(spark, f"{base}/silver")
     columns = ["event_id", "server_id", "timestamp"]
     return good.select(*columns, F.lit("").alias("reason")).unionByName(
@@ -990,6 +1129,27 @@ def x02_stream_silver(spark, sf):
     )
 
 
+def _refreshing(base: str) -> streams.Each:
+    def each(session: SparkSession, rows: DataFrame, key: tuple[str, int]) -> None:
+        live_gold.add_batch(session, f"{base}/gold", rows, key)
+
+    return each
+
+
+@query
+def x02_stream_gold(spark, sf):
+    """Daily metrics kept up to date by the stream."""
+    base = _streamed_silver(spark, sf, _refreshing)
+    return live_gold.live_daily(spark, f"{base}/gold")
+
+
+@query
+def x02_stream_summary(spark, sf):
+    """The server summary from the stream's daily states and the readings of one day."""
+    base = _streamed_silver(spark, sf, _refreshing)
+    return live_gold.live_summary(spark, f"{base}/gold", f"{base}/silver")
+
+
 @query
 def x03_stream_events(spark, sf):
     """Incidents closed by the stream; a day is added to the last flag so that all close."""
@@ -1007,22 +1167,27 @@ def x03_stream_events(spark, sf):
     return spark.read.schema(incidents.build_events(scored).schema).parquet(f"{base}/events")
 
 
-def _stepped_alerts(spark, sf) -> DataFrame:
-    """Alerts after four snapshots: up to the 11th, up to the 16th, from the 13th, all days."""
+def _snapshots(spark, sf) -> list[tuple[DataFrame, str]]:
+    """Health summaries and their instants: up to the 11th, up to the 16th, from the 13th, all days."""
     rows = staged(spark, sf)
     ts = F.col("timestamp")
+    periods = [
+        (ts < at("2024-01-11"), "2024-01-11"),
+        (ts < at("2024-01-16"), "2024-01-16"),
+        (ts >= at("2024-01-13"), "2024-01-31"),
+        (F.lit(True), "2024-02-01"),
+    ]
+    return [(gold.build_server_summary(rows.filter(period)), now) for period, now in periods]
+
+
+def _stepped_alerts(spark, sf) -> DataFrame:
+    """Alerts after the four snapshots."""
     alerts = spark.createDataFrame(
         [],
         "server_id string, metric string, severity string, triggered_at timestamp, "
         "resolved boolean, resolved_at timestamp",
     )
-    for period, now in (
-        (ts < at("2024-01-11"), "2024-01-11"),
-        (ts < at("2024-01-16"), "2024-01-16"),
-        (ts >= at("2024-01-13"), "2024-01-31"),
-        (F.lit(True), "2024-02-01"),
-    ):
-        snapshot = gold.build_server_summary(rows.filter(period))
+    for snapshot, now in _snapshots(spark, sf):
         alerts = stage(streams.step_alerts(alerts, snapshot, at(now)), "alerts")
     return alerts
 
@@ -1030,3 +1195,21 @@ def _stepped_alerts(spark, sf) -> DataFrame:
 @query
 def x04_step_alerts(spark, sf):
     return _stepped_alerts(spark, sf)
+
+
+@query
+def x04_stream_alerts(spark, sf):
+    """The same snapshots as files of a stream, two to a run; a last row without a server moves the watermark on."""
+    base = scratch_path(spark, "alert-stream")
+    columns = ["server_id", "health_score", "observed_at"]
+    found = [s.withColumn("observed_at", at(now)).select(*columns) for s, now in _snapshots(spark, sf)]
+    closer = spark.range(1).select(
+        F.lit(None).cast("string").alias("server_id"), F.lit(None).cast("double").alias("health_score"), at("2024-02-03").alias("observed_at")
+    )
+    for rows in (found[:2], [*found[2:], closer]):
+        for snapshot in rows:
+            snapshot.write.mode("append").parquet(f"{base}/summaries")
+        alert_stream.stream_alerts(
+            spark, f"{base}/summaries", closer.schema, f"{base}/alerts", f"{base}/ckpt"
+        ).awaitTermination()
+    return alert_stream.streamed_alerts(spark, f"{base}/alerts")

@@ -21,6 +21,7 @@ from fleetlake.sources.tables import (
     read_published,
     read_table,
     save_managed,
+    update_published,
     write_table,
 )
 
@@ -89,16 +90,14 @@ def run_serving(
     servers = server_rows(summary, meta).withColumn("created_at", stamp)
     health = conform(summary, HEALTH_SUMMARY_TYPES).withColumn("updated_at", stamp)
 
-    known = read_published(spark, lake.path("servers"))
-    known = servers.limit(0) if known is None else known
-    publish(insert_absent(known, servers, ["server_id"]), lake.path("servers"))
+    def with_new_servers(known: DataFrame | None) -> DataFrame:
+        return insert_absent(servers.limit(0) if known is None else known, servers, ["server_id"])
 
-    previous = read_published(spark, lake.path("server_health_summary"))
-    previous = health.limit(0) if previous is None else previous
-    publish(
-        upsert(previous, health.drop("updated_at"), ["server_id"], stamp),
-        lake.path("server_health_summary"),
-    )
+    def with_new_health(known: DataFrame | None) -> DataFrame:
+        return upsert(health.limit(0) if known is None else known, health.drop("updated_at"), ["server_id"], stamp)
+
+    update_published(spark, lake.path("servers"), with_new_servers)
+    update_published(spark, lake.path("server_health_summary"), with_new_health)
     snapshot = read_published(spark, lake.path("server_health_summary"))
     publish(derive_alerts(snapshot, stamp), lake.path("alerts"))
 

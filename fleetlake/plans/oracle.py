@@ -539,6 +539,32 @@ full_windows as (
 }
 
 
+# The same rows by another way of getting there.
+_PARTS |= {
+    name: _PARTS[other]
+    for name, other in {
+        "s07_compact": "u02_reload",
+        "u02_two_writers": "u02_reload",
+        "j08_upsert_buckets": "j08_upsert",
+        "w02_sessions_continued": "w02_sessions",
+        "m07_incidents_continued": "m07_incidents",
+        "x02_compact_silver": "x02_stream_silver",
+        "x02_stream_gold": "a05_daily_metrics",
+        "x02_stream_summary": "a04_server_summary",
+        "x04_stream_alerts": "x04_step_alerts",
+    }.items()
+}
+_PARTS |= {
+    "w03_slopes_continued": (SLOPES, """select event_id, mem_slope_24h, disk_slope_24h from featured
+        where "timestamp" >= timestamp '2024-01-24 00:00:00'"""),
+    "p17_around_incidents": (EVENTS, """select i.lo as "incident_timestamp", event_id, s.server_id, s."timestamp", score
+        from scored s join (select server_id, min("timestamp") as lo, max("timestamp") as hi from ranked group by server_id, run) i
+        on s.server_id = i.server_id and s."timestamp" between lo - interval '60 minutes' and hi + interval '60 minutes'"""),
+    "m02_scalers_sketch": (SCALED, """select server_id, feature, count(x) as readings, true as median_within, true as mad_within
+        from long group by server_id, feature having count(x) > 0"""),
+}
+
+
 def sql() -> dict[str, str]:
     """The complete statements."""
     return {n: f"with {ctes}\n{final}" if ctes else final for n, (ctes, final) in _PARTS.items()}

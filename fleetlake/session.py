@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +44,26 @@ def size_conf(input_bytes: int, task_bytes: int = 256 << 20) -> dict[str, str]:
     }
 
 
+@contextmanager
+def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """Session settings for what is started inside, put back afterwards.
+
+    A streaming query takes a copy of the session's settings when it starts and keeps it.
+    """
+    names = {key.replace("__", "."): value for key, value in conf.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Timestamps are UTC instants throughout, so the session zone must be UTC too."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

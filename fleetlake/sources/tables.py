@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from fleetlake.sources import filelist
 
 # Column types of the serving tables.
 HEALTH_SUMMARY_TYPES = {
@@ -84,42 +85,29 @@ def read_table(spark: SparkSession, ref: str, fmt: str = "parquet") -> DataFrame
     return spark.read.format(fmt).load(ref) if "/" in ref else spark.table(ref)
 
 
-def publish(df: DataFrame, root: str) -> str:
+def publish(df: DataFrame, root: str) -> int:
     """Replace a path table that ``df`` may itself be reading.
 
-    Plain Parquet cannot overwrite its own input, and a reader must never see half a table.
-    So the new version goes to a folder of its own and then a one-row pointer is appended;
-    ``read_published`` follows the pointer with the
-    highest number, which does not depend on the writers' clocks. Old versions stay until they are expired.
+    Plain Parquet cannot overwrite its own input, and a reader must never see half a table. So the new version goes
+    to a folder of its own, and the table's numbered list then names this folder only. The last of several
+    writers wins; one whose rows depend on the table uses ``update_published``. Old versions stay until they are expired.
     """
-    version = f"v={uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(f"{root}/data/{version}")
-    spark = df.sparkSession
-    last = _pointers(spark, root)
-    number = (last.agg(F.max("number")).first()[0] or 0) + 1 if last is not None else 1
-    spark.range(1).select(
-        F.lit(number).cast("long").alias("number"), F.current_timestamp().alias("published_at"), F.lit(version).alias("version")
-    ).coalesce(1).write.mode("append").parquet(f"{root}/pointer")
-    return version
-
-
-def _pointers(spark: SparkSession, root: str) -> DataFrame | None:
-    """One row per published version; ``None`` only where there is no such folder at all."""
-    try:
-        return spark.read.schema("number long, published_at timestamp, version string").parquet(f"{root}/pointer")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    added = tuple(filelist.write_folders(df, root))
+
+    def change(base: filelist.Listing) -> filelist.Listing:
+        return filelist.Listing(base.number, df.schema.json(), added, base.notes)
+
+    return filelist.commit(df.sparkSession, root, change).number
+
+
+def update_published(spark: SparkSession, root: str, change: Callable[[DataFrame | None], DataFrame]) -> int:
+    """Replace a table by ``change`` of it (of None if it is new), again if another writer came first."""
+    return filelist.update(spark, root, change).number
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame | None:
     """The newest published version, or ``None`` if nothing was published yet."""
-    pointer = _pointers(spark, root)
-    if pointer is None:
-        return None
-    newest = pointer.agg(F.max_by("version", "number").alias("version")).first()
-    return spark.read.parquet(f"{root}/data/{newest['version']}") if newest["version"] else None
+    return filelist.read(spark, root)
 
 
 def write_scores(scored: DataFrame, path: str, features: list[str]) -> None:

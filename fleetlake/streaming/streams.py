@@ -1,18 +1,20 @@
-"""The cleaning, incident and alert logic on Structured Streaming.
+"""The cleaning and incident logic on Structured Streaming (X01-X03), and the alert step.
 
-Every stream here ends in a table that equals what the batch operators give for the same
-input, and a micro-batch that is run again after a failure leaves that table unchanged.
+The streams here end in tables that equal what the batch operators give for the same input, but for one thing:
+of several readings with one key the stream keeps the first that arrives, and ``order_by`` decides only among
+those of one micro-batch. A micro-batch that is run again after a failure leaves its table unchanged.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from fleetlake.functions.rules import (
     INTERVAL_MINUTES,
@@ -25,10 +27,13 @@ from fleetlake.operators.incidents import DETECTION_METHOD, dominant_feature, pe
 from fleetlake.operators.scaling import FEATURES
 from fleetlake.operators.series import MICROS
 from fleetlake.operators.silver import KEYS, classify
+from fleetlake.session import settings
+from fleetlake.sources import filelist
 from fleetlake.sources.readings import LANDED, build_bronze
 from fleetlake.sources.tables import publish, read_published
+from fleetlake.streaming import key_index
 
-NO_DAY = "1970-01-01"  # partition of rows without a plausible timestamp
+ODD_PARTS = 64  # rows without a plausible timestamp are dealt to so many parts
 
 
 def stream_bronze(
@@ -57,14 +62,12 @@ def stream_bronze(
     )
 
 
-def _stored(spark: SparkSession, out: str, batch_id: int) -> DataFrame | None:
-    """What earlier micro-batches stored, leaving out an earlier try of this one."""
-    try:
-        return spark.read.parquet(out).filter(F.col("_batch") != batch_id)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def _batch_key(spark: SparkSession, ckpt: str, batch_id: int) -> tuple[str, int]:
+    """The query that a checkpoint belongs to, and the number of its micro-batch."""
+    return json.loads(filelist.read_text(spark, f"{ckpt}/metadata"))["id"], batch_id
+
+
+Each = Callable[[SparkSession, DataFrame, tuple[str, int]], None]
 
 
 def stream_silver(
@@ -77,35 +80,62 @@ def stream_silver(
     min_ts: datetime = MIN_VALID_TIMESTAMP,
     order_by: list[Column] | None = None,
     max_files: int | None = None,
+    each: Each | None = None,
 ) -> StreamingQuery:
     """Clean new Bronze rows; a key seen in any earlier batch, valid or not, is a copy.
 
-    The key check is an anti-join with the stored rows of the days that the batch touches
-    (partition pruning), so it is exact however late a copy arrives and needs no state
-    store. Invalid timestamps rule out an event-time watermark here: one reading from the
-    year 2099 would make all later ones late.
+    Rows are stored by day, and beside each file a filter of its keys by hour. A batch looks at the filters of
+    the days it touches, opens the files that may hold one of its keys (few: copies are rare, chance hits one in
+    hundreds) and leaves out the keys it finds there. So the check is exact however late a copy arrives, needs
+    no state store, and its cost follows the batch and not what is stored. Invalid timestamps rule out an event-time
+    watermark here: one reading from the year 2099 would make all later ones late.
+
+    A batch becomes visible with one commit, which also says that it is done. ``each`` is called after it with the
+    rows that the batch stored, rejects included; after a failure in between it is called for them again.
     """
 
     def clean(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        query, _ = key = _batch_key(session, ckpt, batch_id)
+        now = filelist.listing(session, out)
+        if now.notes.get("done", {}).get(query, -1) < batch_id:
+            now = _store(session, batch, now, query, batch_id)
+        if each:
+            last = [filelist.Folder(*f) for f in now.notes["last"]]
+            rows = filelist.read_folders(session, out, last, now.schema)
+            if rows is not None:
+                each(session, rows, key)
+
+    def _store(session: SparkSession, batch: DataFrame, now: filelist.Listing, query: str, batch_id: int) -> filelist.Listing:
         upper = F.current_timestamp() if as_of is None else as_of
         implausible = validity_rules(upper, min_ts)["invalid_timestamp"]
-        # Plausible days are few; every other timestamp shares one partition.
-        day = F.when(~implausible, F.to_date("timestamp")).otherwise(F.lit(NO_DAY).cast("date"))
+        # Plausible days are few; all other timestamps are dealt by their keys.
+        odd = F.concat(F.lit("odd-"), F.pmod(key_index.key_hash(KEYS), F.lit(ODD_PARTS)).cast("string"))
+        day = F.when(~implausible, F.to_date("timestamp").cast("string")).otherwise(odd)
         fresh = classify(batch, min_ts, as_of, order_by).withColumn("_day", day).persist()
         try:
+            days = {row["_day"] for row in fresh.select("_day").distinct().collect()}
+            touched = now.of(days)
+            files = key_index.files_that_may_hold(session, out, touched, fresh, KEYS, "timestamp")
             result = fresh
-            stored = _stored(batch.sparkSession, out, batch_id)
-            if stored is not None:
-                days = [row["_day"] for row in fresh.select("_day").distinct().collect()]
-                known = stored.filter(F.col("_day").isin(days)).select("_day", *KEYS).alias("known")
-                same = F.col("fresh._day") == F.col("known._day")
-                for key in KEYS:
-                    same = same & F.col(f"fresh.{key}").eqNullSafe(F.col(f"known.{key}"))
-                result = fresh.alias("fresh").join(known, same, "left_anti")
-            # One folder per micro-batch, replaced as a whole if the batch is run again.
-            result.hint("rebalance", "_day").write.mode("overwrite").partitionBy("_day").parquet(
-                f"{out}/_batch={batch_id}"
-            )
+            if files:
+                known = session.read.schema(T.StructType.fromJson(json.loads(now.schema))).parquet(*files).select(*KEYS)
+                known = known.withColumnsRenamed({k: f"_known_{k}" for k in KEYS})
+                same = F.lit(True)
+                for k in KEYS:
+                    same = same & F.col(k).eqNullSafe(F.col(f"_known_{k}"))
+                result = fresh.join(known, same, "left_anti")
+            rows = result.drop("_day")
+            added = filelist.write_folders(result, out, F.col("_day"), keep=rows.columns)
+            schema_json = rows.schema.json()
+            key_index.write_index(session, out, added, schema_json, KEYS, "timestamp")
+            notes = {
+                "done": {**now.notes.get("done", {}), query: batch_id},
+                "last": [[f.part, f.path, f.files, f.size] for f in added],
+                "opened": len(files),
+                "touched": sum(f.files for f in touched),
+            }
+            return filelist.swap(session, out, [], added, schema_json, notes)
         finally:
             fresh.unpersist()
 
@@ -123,11 +153,21 @@ def stream_silver(
 
 def streamed_silver(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
     """``(valid, rejects)`` as stored so far by ``stream_silver``."""
-    rows = spark.read.parquet(out).drop("_batch", "_day")
+    rows = filelist.read(spark, out)
     reason = F.col("_reject_reason")
     return rows.filter(reason.isNull()).drop("_reject_reason"), rows.filter(reason.isNotNull())
 
 
+def compact_silver(spark: SparkSession, out: str, small: int = filelist.SMALL_BYTES, target: int = filelist.TARGET_BYTES) -> filelist.Listing:
+    """Rewrite the small files of streamed Silver together, with their key filters; a stream may go on meanwhile."""
+    schema = filelist.listing(spark, out).schema
+
+    def index(added: list[filelist.Folder]) -> None:
+        key_index.write_index(spark, out, added, schema, KEYS, "timestamp")
+
+    return filelist.compact(spark, out, small, target, index)
+
+
 def session_events(
     scored: DataFrame,
     gap: str = "30 minutes",
@@ -139,9 +179,6 @@ def session_events(
     Same columns as ``build_events``. Severity compares all incidents with each other, so it
     is assigned on the resulting table.
     """
-    spark = scored.sparkSession
-    # Combine a server's readings on the map side, so a busy server is not shuffled whole.
-    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     readings = dominant_feature(scored.filter("is_anomaly = 1"), features)
     if scored.isStreaming:
         readings = readings.withWatermark("timestamp", delay)
@@ -169,15 +206,17 @@ def stream_events(
     scored: DataFrame, out: str, ckpt: str, gap: str = "30 minutes", delay: str = "1 hour"
 ) -> StreamingQuery:
     """Append closed incidents to a table."""
-    return (
-        session_events(scored, gap, delay)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", ckpt)
-        .option("path", out)
-        .trigger(availableNow=True)
-        .start()
-    )
+    # Combine a server's readings on the map side, so a busy server is not shuffled whole.
+    with settings(scored.sparkSession, spark__sql__streaming__sessionWindow__merge__sessions__in__local__partition="true"):
+        return (
+            session_events(scored, gap, delay)
+            .writeStream.format("parquet")
+            .outputMode("append")
+            .option("checkpointLocation", ckpt)
+            .option("path", out)
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 ALERT_COLUMNS = [
