@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from typing import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +30,8 @@ from fleetlake.llm.common import arrow_rows, documents, labels, stage
 DIMS = 1 << 16
 PER_WORD = 4
 TEXT_FEATURES = 6
+SLICE_CHARS = 1_000_000  # characters scored at a time
+MIN_ROWS = 10  # graded documents below which nothing is fitted and no text is rejected
 
 _OUTER = re.compile(r"^\W+|\W+$")
 _RUNS = re.compile(r"[A-Z]+|[a-z]+|[0-9]+|[^\W\d_A-Za-z]+")
@@ -45,7 +49,7 @@ def _shape_part(match: re.Match) -> str:
 class _WordFeatures(dict):
     """Row numbers of a growing table of word features; cleared when it holds ``LIMIT`` words."""
 
-    LIMIT = 300_000
+    LIMIT = 150_000
 
     def __init__(self) -> None:
         super().__init__()
@@ -56,11 +60,15 @@ class _WordFeatures(dict):
         if n == len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         core = _OUTER.sub("", word).lower()
-        shape = _RUNS.sub(_shape_part, word[:24])
+        shape = _RUNS.sub(_shape_part, word)
         self.rows[n] = [_bucket("w" + core), _bucket("4" + core[:4]), _bucket("5" + core[:5]), _bucket("s" + shape)]
         self[word] = n
         return n
 
+    def drop(self) -> None:
+        self.clear()
+        self.rows = np.zeros((1024, PER_WORD), dtype=np.int32)
+
 
 _WORDS = _WordFeatures()
 
@@ -211,18 +219,19 @@ def graded(rated: DataFrame) -> DataFrame:
 
 
 def _sample(docs: DataFrame, grades: DataFrame, settings: FitSettings) -> DataFrame:
-    """At most ``fit_rows`` graded ids, the lowest by keyed hash, with their texts."""
+    """At most ``fit_rows`` graded ids, the lowest by keyed hash, each with one text (the least of repeated rows)."""
     key = F.xxhash64(F.lit(settings.seed), F.col("doc_id"))
     ids = stage(
         grades.groupBy("doc_id").agg(F.min("grade").alias("grade")).orderBy(key, "doc_id").limit(settings.fit_rows),
         "graded",
     )
     # The broadcast side has at most fit_rows rows of two numbers.
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return found.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
 
 
 def fit(docs: DataFrame, grades: DataFrame, settings: FitSettings | None = None) -> OrdinalModel:
-    """Fit on the graded documents. Without any graded text the model keeps everything."""
+    """Fit on the graded documents. With fewer than ``MIN_ROWS`` of them the model keeps everything."""
     settings = settings or FitSettings()
 
     def step(cols: dict[str, list]) -> pa.RecordBatch:
@@ -241,19 +250,18 @@ def fit(docs: DataFrame, grades: DataFrame, settings: FitSettings | None = None)
         )
 
     schema = "doc_id long, grade int, feature array<int>, value array<float>"
-    got = arrow_rows(_sample(docs, grades, settings), ["doc_id", "grade", "text"], step, schema).toArrow()
+    got = arrow_rows(_sample(docs, grades, settings), ["doc_id", "grade", "text"], step, schema, done=_WORDS.drop).toArrow()
     order = np.argsort(got["doc_id"].to_numpy(), kind="stable")
     got = got.take(pa.array(order)).combine_chunks()
     n = got.num_rows
-    if n < 10:
+    if n < MIN_ROWS:
         return OrdinalModel(np.zeros(DIMS), np.full(settings.grades - 1, -50.0))
     grade = got["grade"].to_numpy().astype(np.int64)
     lists = got["feature"].combine_chunks()
     lengths = np.diff(lists.offsets.to_numpy())
     rows, feature = np.repeat(np.arange(n), lengths), lists.flatten().to_numpy().astype(np.int64)
     value = got["value"].combine_chunks().flatten().to_numpy().astype(np.float64)
-    # Repeated rows of a document stay in one fold.
-    fold = np.unique(got["doc_id"].to_numpy(), return_inverse=True)[1] % settings.folds
+    fold = np.arange(n) % settings.folds
     if fold.min() == fold.max():
         return OrdinalModel(np.zeros(DIMS), np.full(settings.grades - 1, -50.0))
     return fit_folds(rows, feature, value, grade, fold, settings)
@@ -282,7 +290,7 @@ def predict(docs: DataFrame, model: OrdinalModel) -> DataFrame:
         )
 
     schema = "doc_id long, score double, expected_grade double, tail_probability double, kept boolean"
-    return arrow_rows(docs, ["doc_id", "text"], step, schema)
+    return arrow_rows(docs, ["doc_id", "text"], step, schema, batch_chars=SLICE_CHARS, done=_WORDS.drop)
 
 
 def keep_good(docs: DataFrame, model: OrdinalModel) -> DataFrame:
@@ -290,18 +298,21 @@ def keep_good(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
-    def kept(texts):
-        import pandas as pd
-
-        m, out, start, total = shared.value, [], 0, 0
-        values = texts.tolist()
-        for i in range(len(values) + 1):
-            if i == len(values) or total > 2_000_000:
-                out.append(m.probabilities(m.score(values[start:i]))[:, -1] >= m.cut)
-                start, total = i, 0
-            if i < len(values):
-                total += len(values[i] or "")
-        return pd.Series(np.concatenate(out)) if out else pd.Series([], dtype=bool)
+    def kept(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        m = shared.value
+        try:
+            for texts in batches:
+                out, start, total = [], 0, 0
+                values = texts.tolist()
+                for i in range(len(values) + 1):
+                    if i == len(values) or total > SLICE_CHARS:
+                        out.append(m.probabilities(m.score(values[start:i]))[:, -1] >= m.cut)
+                        start, total = i, 0
+                    if i < len(values):
+                        total += len(values[i] or "")
+                yield pd.Series(np.concatenate(out)) if out else pd.Series([], dtype=bool)
+        finally:
+            _WORDS.drop()
 
     return docs.where(kept(F.col("text")))
 

@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,24 +44,30 @@ def arrow_rows(
     schema: str,
     text: str = "text",
     batch_chars: int = BATCH_CHARS,
+    done: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Apply ``step`` to bounded slices of the named columns, as lists of Python values.
 
-    A slice ends at ``BATCH_ROWS`` rows or once its texts exceed ``batch_chars`` characters, so
-    the memory of a task follows the longest single text and not the batch Spark hands over.
+    A slice ends at ``BATCH_ROWS`` rows or once its texts exceed ``batch_chars`` characters, so what
+    ``step`` holds follows the longest single text; the batch that Spark hands over comes on top of it.
+    ``done`` drops what the steps of a task remember, since Spark uses its Python processes again.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = pc.fill_null(pc.utf8_length(batch.column(columns.index(text))), 0).to_pylist()
-            start = total = 0
-            for i in range(batch.num_rows):
-                if i > start and (i - start >= BATCH_ROWS or total + sizes[i] > batch_chars):
-                    yield step(_lists(batch.slice(start, i - start), columns))
-                    start, total = i, 0
-                total += sizes[i]
-            if batch.num_rows > start:
-                yield step(_lists(batch.slice(start), columns))
+        try:
+            for batch in batches:
+                sizes = pc.fill_null(pc.utf8_length(batch.column(columns.index(text))), 0).to_pylist()
+                start = total = 0
+                for i in range(batch.num_rows):
+                    if i > start and (i - start >= BATCH_ROWS or total + sizes[i] > batch_chars):
+                        yield step(_lists(batch.slice(start, i - start), columns))
+                        start, total = i, 0
+                    total += sizes[i]
+                if batch.num_rows > start:
+                    yield step(_lists(batch.slice(start), columns))
+        finally:
+            if done:
+                done()
 
     return df.select(*columns).mapInArrow(run, schema)
 
@@ -80,30 +85,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """Seeded 64-bit hashes of words, remembered up to a number of words."""
-
-    LIMIT = 400_000
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return value
-
-
-_HASHES = WordHashes()
-
-
-def word_hashes(words: list[str]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
-def hex_sha256(column) -> F.Column:
-    """Lower-case SHA-256 of a text's UTF-8 bytes."""
-    return F.sha2(column, 256)
-
-
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not use, so that helper columns never clash."""
     taken, name = {c.lower() for c in df.columns}, base

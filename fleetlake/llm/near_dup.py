@@ -41,8 +41,10 @@ ROWS = 5
 COORDINATES = BANDS * ROWS
 DEEPER = (8, 13)
 BLOCK = 256
+SALTS = 64
 NEAR_ENOUGH = 0.67  # part of equal coordinates from which two members of a family are checked exactly
 SIMILARITY = (4, 5)  # as a fraction, so that the test is exact
+SLICE_CHARS = 1_000_000  # characters sketched at a time: about 20 MB of arrays
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
@@ -50,7 +52,7 @@ _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B
 class _Words(dict):
     """Hash of a word's letters and digits in lower case; 0 if it has none."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.LIMIT:
@@ -129,23 +131,26 @@ def _sketch_step(cols: dict[str, list]) -> pa.RecordBatch:
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     doc = np.repeat(np.arange(len(sets)), sizes)
     signatures = dart_sketch(doc, np.concatenate(sets), np.ones(len(doc)), len(sets))
-    content = np.frombuffer(
-        b"".join(xxhash.xxh3_128_digest((t or "").encode("utf-8", "surrogatepass")) for t in texts), dtype="<i8"
-    ).reshape(-1, 2)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(cols["doc_id"], pa.int64()),
-            pa.array(content[:, 0]),
-            pa.array(content[:, 1]),
+            pa.array(cols["content"], pa.binary()),
             pa.array([s.tobytes() if n else None for s, n in zip(signatures, sizes)], pa.binary()),
         ],
-        names=["doc_id", "h1", "h2", "signature"],
+        names=["doc_id", "content", "signature"],
     )
 
 
+def _content() -> Column:
+    """128 bits of the text, by which equal texts are one."""
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, content hash (h1, h2) and signature of every row."""
-    return arrow_rows(docs, ["doc_id", "text"], _sketch_step, "doc_id long, h1 long, h2 long, signature binary")
+    """doc_id, content hash and signature of every row."""
+    named = docs.select("doc_id", "text", _content().alias("content"))
+    schema = "doc_id long, content binary, signature binary"
+    return arrow_rows(named, ["doc_id", "text", "content"], _sketch_step, schema, batch_chars=SLICE_CHARS, done=_WORDS.clear)
 
 
 def _keys(depth: int) -> Column:
@@ -174,10 +179,8 @@ def _set_step(cols: dict[str, list]) -> pa.RecordBatch:
     sets = [shingles(t) for t in cols["text"]]
     doc = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     signatures = dart_sketch(doc, np.concatenate(sets), np.ones(len(doc)), len(sets))
-    # 32 bits of a hash tell the shingles of two single texts apart.
-    short = [np.unique((x >> np.uint64(32)).astype(np.uint32)).tobytes() for x in sets]
     return pa.RecordBatch.from_arrays(
-        [pa.array(cols["rep"], pa.int64()), pa.array(short, pa.binary()), pa.array([x.tobytes() for x in signatures], pa.binary())],
+        [pa.array(cols["rep"], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array([x.tobytes() for x in signatures], pa.binary())],
         names=["rep", "shingles", "signature"],
     )
 
@@ -195,7 +198,7 @@ def alike(left: np.ndarray, right: np.ndarray) -> bool:
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = zip(batch.column(2), batch.column(3))
-        keep = [alike(*(np.frombuffer(v.as_py(), dtype=np.uint32) for v in pair)) for pair in sets]
+        keep = [alike(*(np.frombuffer(v.as_py(), dtype=np.uint64) for v in pair)) for pair in sets]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -250,7 +253,7 @@ def _compare_blocks(group: pa.Table) -> pa.Table:
     """Links (a, b) between the components of one block, or of two blocks, of a family."""
     part, block = group["part"].to_numpy(), group["block"].to_numpy()
     low, high = group["low"][0].as_py(), group["high"][0].as_py()
-    sets = [np.frombuffer(x, dtype=np.uint32) for x in group["shingles"].to_pylist()]
+    sets = [np.frombuffer(x, dtype=np.uint64) for x in group["shingles"].to_pylist()]
     signature = np.frombuffer(b"".join(group["signature"].to_pylist()), dtype=np.uint32).reshape(len(sets), -1)
     least = NEAR_ENOUGH * signature.shape[1]
     joined: dict[int, int] = {}
@@ -287,8 +290,11 @@ def links_in_families(shared: DataFrame, labels: DataFrame, sets: DataFrame) ->
     members = members.join(parts, F.col("rep") == F.col("own"), "left").select("rep", "family", F.coalesce("part", "rep").alias("part"))
     split = members.groupBy("family").agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
     blocks = F.ceil(F.col("n") / BLOCK)
+    # A family may be large, so its rows meet one of several copies of its number of blocks.
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
     placed = (
-        members.join(split.select("family", blocks.alias("blocks")), "family")
+        members.withColumn("salt", F.pmod(F.xxhash64("rep", F.lit("salt")), F.lit(SALTS).cast("long")))
+        .join(split.select("family", blocks.alias("blocks"), salts), ["family", "salt"])
         .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
         .join(sets, "rep")
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -298,11 +304,11 @@ def links_in_families(shared: DataFrame, labels: DataFrame, sets: DataFrame) ->
     return placed.groupBy("family", "low", "high").applyInArrow(_compare_blocks, "a long, b long").distinct()
 
 
-def near_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id) for every row of ``docs``, which needs doc_id and text."""
+def _classified(docs: DataFrame) -> DataFrame:
+    """(doc_id, content, class_id) for every row of ``docs``, which needs doc_id and text."""
     sketched = stage(sketches(docs), "sketches")
     reps = stage(
-        sketched.where("doc_id is not null").groupBy("h1", "h2", "signature").agg(F.min("doc_id").alias("rep")), "reps"
+        sketched.where("doc_id is not null").groupBy("content", "signature").agg(F.min("doc_id").alias("rep")), "reps"
     )
     signed = reps.where("signature is not null")
     shallow = signed.select("rep", F.explode(_keys(ROWS)).alias("key"))
@@ -312,7 +318,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
     deep = F.concat(*[_keys(d) for d in DEEPER])
     deeper = signed.join(active, "rep", "left_semi").select(F.explode(deep).alias("key"), "rep")
     texts = docs.select(F.col("doc_id").alias("rep"), "text").join(active, "rep", "left_semi")
-    sets = stage(arrow_rows(texts, ["rep", "text"], _set_step, "rep long, shingles binary, signature binary"), "shingle-sets")
+    schema = "rep long, shingles binary, signature binary"
+    sets = stage(arrow_rows(texts, ["rep", "text"], _set_step, schema, batch_chars=SLICE_CHARS, done=_WORDS.clear), "shingle-sets")
 
     pairs = stage(_meetings(shared.union(deeper)), "pairs")
     labels = components(stage(verified(pairs, sets.select("rep", "shingles")), "links"))
@@ -321,18 +328,34 @@ def near_classes(docs: DataFrame) -> DataFrame:
         labels = relabelled(labels, components(missed))
 
     classes = reps.join(labels, F.col("rep") == F.col("node"), "left").select(
-        "h1", "h2", F.coalesce("label", "rep").alias("class_id")
+        "content", F.coalesce("label", "rep").alias("class_id")
     )
-    known = sketched.where("doc_id is not null").select("doc_id", "h1", "h2").join(classes, ["h1", "h2"])
-    nobody = sketched.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("class_id"))
-    return known.select("doc_id", "class_id").union(nobody)
+    known = sketched.where("doc_id is not null").select("doc_id", "content").join(classes, "content")
+    nobody = sketched.where("doc_id is null").select("doc_id", "content", F.lit(None).cast("long").alias("class_id"))
+    return known.select("doc_id", "content", "class_id").union(nobody)
+
+
+def near_classes(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id) for every row of ``docs``, which needs doc_id and text."""
+    return _classified(docs).select("doc_id", "class_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that are not the smallest of their class; columns unchanged."""
-    gone = free_name(docs, "_copy_id")
-    copies = near_classes(docs).where("doc_id <> class_id").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(copies, F.col("doc_id") == F.col(gone), "left_anti")
+    """``docs`` without the documents that are not the smallest of their class; columns unchanged.
+
+    Rows go by id and text, so an id that has a copy and a text of its own keeps the latter. Of repeated rows
+    with the same id and text one stays; rows without an id all stay.
+    """
+    content, gone_id, gone_text = (free_name(docs, x) for x in ("_content", "_gone_id", "_gone_text"))
+    classed = stage(_classified(docs).where("doc_id is not null"), "classes")
+    gone = classed.where("doc_id <> class_id").select(F.col("doc_id").alias(gone_id), F.col("content").alias(gone_text)).distinct()
+    repeated = classed.where("doc_id = class_id").groupBy("doc_id", "content").agg(F.count("*").alias("n")).where("n > 1")
+    # Written, so that Spark knows how few there are.
+    repeated = stage(repeated.select(F.col("doc_id").alias(gone_id), F.col("content").alias(gone_text)), "repeated")
+    same = (F.col("doc_id") == F.col(gone_id)) & (F.col(content) == F.col(gone_text))
+    kept = docs.withColumn(content, _content()).join(gone, same, "left_anti")
+    once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", content])
+    return kept.join(repeated, same, "left_anti").unionByName(once).select(docs.columns)
 
 
 def op6_query(spark: SparkSession, sf_dir: str) -> DataFrame:
