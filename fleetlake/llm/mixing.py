@@ -6,7 +6,7 @@ where a source would be repeated more often than allowed. Without a target it is
 that the limit allows. It is found by bisection, six halvings
 in one pass over the shares.
 
-Each source gets ``weight * budget`` tokens: whole permutations of its documents, and of one more
+Each source gets ``weight * budget`` tokens, rounded to whole ones that add up to the budget: whole permutations of its documents, and of one more
 permutation the first documents until the tokens are used up. A permutation is the order of a
 keyed hash. Documents are laid into blocks that each hold every source in its weight.
 
@@ -113,17 +113,37 @@ def plan(counted: DataFrame, mix: Mix) -> DataFrame:
     sums = stage(counted.groupBy("sid").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n")), "mix-sources")
     total = sums.agg(F.sum("t").alias("t"), F.max("t").alias("m")).first()
     if total["t"] is None:
-        return sums.select("sid", "t", "n", *[F.lit(0.0).alias(c) for c in ("weight", "quota")], F.lit(0).cast("long").alias("copies"), F.lit(0.0).alias("rest"))
+        zero = F.lit(0).cast("long")
+        return sums.select("sid", "t", "n", F.lit(0.0).alias("weight"), *[zero.alias(c) for c in ("quota", "copies", "rest")])
     shares = sums.select("sid", "t", "n", (F.col("t") / F.lit(total["t"])).alias("p"), (F.col("t") / F.lit(total["m"])).alias("rel"))
     a = exponent(shares, mix)
     norm = shares.agg(F.sum(F.pow("p", F.lit(a))).alias("z"), F.max(F.pow("p", F.lit(1 - a))).alias("need")).first()
-    budget = total["t"] * (norm["z"] * norm["need"] if mix.budget is None else mix.budget)
-    weight = F.pow("p", F.lit(a)) / F.lit(norm["z"])
-    quota = weight * F.lit(float(budget))
-    # A quota within a millionth of a token of a whole copy is that copy.
-    copies = F.floor(quota / F.col("t") + F.lit(1e-9))
-    out = shares.select("sid", "t", "n", weight.alias("weight"), quota.alias("quota"), copies.alias("copies"))
-    return stage(out.withColumn("rest", F.greatest(F.col("quota") - F.col("copies") * F.col("t"), F.lit(0.0))), "mix-plan")
+    covering = mix.budget is None
+    budget = round(total["t"] * (norm["z"] * norm["need"] if covering else mix.budget))
+    weighted = shares.select("sid", "t", "n", (F.pow("p", F.lit(a)) / F.lit(norm["z"])).alias("weight"))
+    quotas = whole_quotas(weighted, budget)
+    if covering:  # no document is lost to rounding
+        quotas = quotas.withColumn("quota", F.greatest("quota", "t"))
+    copies = F.expr("quota div t")
+    return stage(quotas.withColumn("copies", copies).withColumn("rest", F.col("quota") - F.col("copies") * F.col("t")), "mix-plan")
+
+
+def whole_quotas(weighted: DataFrame, budget: int) -> DataFrame:
+    """Adds ``quota``: whole tokens that add up to ``budget``, by largest remainder (ties: the smaller sid).
+
+    Sources are ranked by remainder in two steps, first by thousandths, so that no window holds them all.
+    """
+    exact = F.col("weight") * F.lit(float(budget))
+    parts = weighted.withColumn("_floor", F.floor(exact)).withColumn("_rest", exact - F.col("_floor"))
+    parts = stage(parts.withColumn("_part", F.least(F.floor(F.col("_rest") * 1000), F.lit(999)).cast("int")), "mix-quotas")
+    left = F.lit(budget) - parts.agg(F.sum("_floor").alias("s")).scalar()
+    sums = parts.groupBy("_part").agg(F.count("*").alias("_n"))
+    above = Window.orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)  # at most 1,000 rows
+    offsets = sums.select("_part", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_offset"))
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy(F.desc("_rest"), "sid"))
+    ranked = parts.withColumn("_rank", rank).join(F.broadcast(offsets), "_part")
+    more = (F.col("_offset") + F.col("_rank") <= left).cast("long")
+    return ranked.select("sid", "t", "n", "weight", (F.col("_floor") + more).alias("quota"))
 
 
 def permutation_key(seed: str, copy: Column, doc_id: Column) -> Column:
@@ -188,14 +208,19 @@ def mix_documents(docs: DataFrame, mix: Mix) -> DataFrame:
     return joined.where(F.col(use) > 0).select(docs.columns)
 
 
-PRODUCTION = Mix(target_entropy=0.9, max_repeats=2.0, budget=1.0)
+# Nearly even sources, and a quarter more tokens than there are, so that weights, whole copies and rests all count.
+PRODUCTION = Mix(target_entropy=0.9999, max_repeats=2.0, budget=1.25)
 
 
 def op1_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_table(documents(spark, sf_dir), PRODUCTION)
 
 
-OP1_SQL = r"""
+def op1_sql(mix: Mix) -> str:
+    return _SQL.replace("{entropy}", repr(mix.target_entropy)).replace("{repeats}", repr(mix.max_repeats)).replace("{budget}", repr(mix.budget))
+
+
+_SQL = r"""
 WITH RECURSIVE counted AS (
   SELECT doc_id, coalesce('s' || source, 'n') AS sid,
          greatest(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')), 1)::BIGINT AS n_tokens
@@ -204,9 +229,9 @@ WITH RECURSIVE counted AS (
   SELECT sid, sum(n_tokens)::BIGINT AS t, sum(n_tokens) / (SELECT sum(n_tokens) FROM counted)::DOUBLE AS p
   FROM counted GROUP BY sid
 ), ends AS (
-  SELECT (SELECT ln(sum(p)) - sum(p * ln(p)) / sum(p) FROM shares) >= 0.9 * (SELECT ln(count(*)) FROM shares)
+  SELECT (SELECT ln(sum(p)) - sum(p * ln(p)) / sum(p) FROM shares) >= {entropy} * (SELECT ln(count(*)) FROM shares)
          OR (SELECT count(*) FROM shares) < 2 AS diverse1,
-         (SELECT max(1 / p) / count(*) FROM shares) <= 2.0 AS sparing0
+         (SELECT max(1 / p) / count(*) * {budget} FROM shares) <= {repeats} AS sparing0
 ), bisect AS (
   SELECT 0 AS step, CASE WHEN diverse1 THEN 1.0 ELSE 0.0 END::DOUBLE AS dlo, 1.0::DOUBLE AS dhi,
          0.0::DOUBLE AS rlo, CASE WHEN sparing0 THEN 0.0 ELSE 1.0 END::DOUBLE AS rhi
@@ -214,13 +239,13 @@ WITH RECURSIVE counted AS (
   UNION ALL
   SELECT step + 1,
          CASE WHEN h >= goal THEN (dlo + dhi) / 2 ELSE dlo END, CASE WHEN h >= goal THEN dhi ELSE (dlo + dhi) / 2 END,
-         CASE WHEN r <= 2.0 THEN rlo ELSE (rlo + rhi) / 2 END, CASE WHEN r <= 2.0 THEN (rlo + rhi) / 2 ELSE rhi END
+         CASE WHEN r <= {repeats} THEN rlo ELSE (rlo + rhi) / 2 END, CASE WHEN r <= {repeats} THEN (rlo + rhi) / 2 ELSE rhi END
   FROM (
     SELECT step, any_value(dlo) AS dlo, any_value(dhi) AS dhi, any_value(rlo) AS rlo, any_value(rhi) AS rhi,
-           0.9 * ln(count(*)) AS goal,
+           {entropy} * ln(count(*)) AS goal,
            ln(sum(p ** ((dlo + dhi) / 2)))
              - any_value((dlo + dhi) / 2) * sum(p ** ((dlo + dhi) / 2) * ln(p)) / sum(p ** ((dlo + dhi) / 2)) AS h,
-           max(p ** ((rlo + rhi) / 2 - 1)) / sum(p ** ((rlo + rhi) / 2)) AS r
+           max(p ** ((rlo + rhi) / 2 - 1)) / sum(p ** ((rlo + rhi) / 2)) * {budget} AS r
     FROM bisect, shares WHERE step < 42 GROUP BY step
   )
 ), chosen AS (
@@ -228,12 +253,18 @@ WITH RECURSIVE counted AS (
 ), weighted AS (
   SELECT sid, t, p ** (SELECT a FROM chosen) / (SELECT sum(p ** (SELECT a FROM chosen)) FROM shares) AS weight
   FROM shares
-), planned AS (
-  SELECT sid, t, weight, floor(weight * (SELECT sum(t) FROM shares) / t + 1e-9)::BIGINT AS copies,
-         weight * (SELECT sum(t) FROM shares) AS quota
+), exact AS (
+  SELECT sid, t, weight, (SELECT round(sum(t) * {budget}) FROM shares) AS budget,
+         weight * (SELECT round(sum(t) * {budget}) FROM shares) AS x
   FROM weighted
+), quotas AS (
+  SELECT sid, t, weight, floor(x)::BIGINT
+         + CASE WHEN row_number() OVER (ORDER BY x - floor(x) DESC, sid) <= budget - sum(floor(x)) OVER () THEN 1 ELSE 0 END AS quota
+  FROM exact
+), planned AS (
+  SELECT sid, t, weight, quota // t AS copies, quota % t AS rest FROM quotas
 ), uses AS (
-  SELECT doc_id, n_tokens, c.sid, t, weight, copies, quota - copies * t AS rest,
+  SELECT doc_id, n_tokens, c.sid, t, weight, copies, rest,
          unnest(range(0, copies + 1)) AS copy
   FROM counted c JOIN planned p ON c.sid = p.sid
 ), keyed AS (
@@ -249,3 +280,5 @@ SELECT doc_id, CASE WHEN sid <> 'n' THEN substring(sid, 2) END AS source, copy,
        substring(md5('mix|order|' || key), 1, 16) AS order_key
 FROM placed WHERE copy < copies OR in_copy < rest
 """
+
+OP1_SQL = op1_sql(PRODUCTION)

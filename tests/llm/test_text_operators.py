@@ -51,6 +51,45 @@ def test_query_equals_sql(spark, name):
 # --- mixing
 
 
+def skewed(docs):
+    """Sources with 70, 20, 9 and 1 % of the documents, one of them null."""
+    part = F.pmod("doc_id", F.lit(100))
+    source = F.when(part < 70, "big").when(part < 90, "mid").when(part < 99, "small")
+    return docs.withColumn("source", source)
+
+
+def as_table(df, folder):
+    import pyarrow.parquet as pq
+
+    pq.write_table(df.toArrow(), f"{folder}/documents.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("mix", [mixing.PRODUCTION, mixing.Mix(0.9, 2.0, 1.0), mixing.Mix(0.9, 3.0, 1.6), mixing.Mix(0.5, 9.0, 2.5)])
+def test_mixture_equals_sql_on_skewed_sources(spark, docs, tmp_path, mix):
+    folder = as_table(skewed(docs), tmp_path)
+    query = lambda spark, sf: mixing.mix_table(spark.read.parquet(f"{sf}/documents.parquet"), mix)
+    assert compare(spark, duck(folder), folder, "mix", query, mixing.op1_sql(mix)) == ""
+
+
+def test_quotas_are_whole_and_add_up(spark, docs):
+    for mix in (mixing.PRODUCTION, mixing.Mix(None, None, 1.0), mixing.Mix(0.8, 2.0, 0.37)):
+        counted = mixing.counted_sources(skewed(docs))
+        total = counted.agg(F.sum("n_tokens")).first()[0]
+        rows = mixing.plan(counted, mix).collect()
+        assert sum(r["quota"] for r in rows) == round(total * mix.budget)
+        assert all(r["quota"] == r["copies"] * r["t"] + r["rest"] and 0 <= r["rest"] < r["t"] for r in rows)
+    same = mixing.mix_table(skewed(docs), mixing.Mix(None, None, 1.0))
+    assert same.count() == docs.count() and same.filter("copy > 0").count() == 0
+
+
+def test_mixture_of_an_odd_table(spark, odd):
+    out = mixing.mix_table(odd, mixing.Mix(0.99, 3.0, 1.5)).collect()
+    assert {r["doc_id"] for r in out} <= {i for i, _ in ODD} and {r["source"] for r in out} <= {None, "s0", "s1"}
+    assert all(r["n_tokens"] >= 1 for r in out)
+
+
+
 def test_mix_keeps_every_document_and_the_limits(spark, odd):
     counted = mixing.counted_sources(odd)
     mix = mixing.Mix(target_entropy=0.99, max_repeats=3.0, budget=None)
@@ -717,3 +756,12 @@ def test_pipeline_stages(spark, docs):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF_DIR).count() == 0
+
+
+def test_near_duplicates_go_by_id_and_text(spark):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
+    rows = [(1, a, 0), (2, a, 0), (2, b, 0), (3, c, 0), (3, c, 0), (4, c, 0), (None, a, 0), (None, a, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _content int").repartition(3)
+    got = sorted((r["doc_id"] or 0, r["text"][0]) for r in near_dup.keep_one(df).collect())
+    assert got == [(0, "a"), (0, "a"), (1, "a"), (2, "b"), (3, "c")]
+    assert near_dup.keep_one(df).columns == df.columns
