@@ -19,18 +19,19 @@ from dataclasses import dataclass, field
 from typing import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import arrow_rows, documents, labels, stage
+from fleetlake.llm.common import arrow_rows, documents, labels, release, stage
 
 DIMS = 1 << 16
 PER_WORD = 4
 TEXT_FEATURES = 6
 SLICE_CHARS = 1_000_000  # characters scored at a time
+FIT_BLOCK = 1_000_000  # entries of the fit that are multiplied at a time
 MIN_ROWS = 10  # graded documents below which nothing is fitted and no text is rejected
 
 _OUTER = re.compile(r"^\W+|\W+$")
@@ -143,36 +144,52 @@ class FitSettings:
     grades: int = field(default=3)
 
 
+def thresholds_of(first: np.ndarray, gaps: np.ndarray) -> np.ndarray:
+    """Ordered thresholds from the first one and the logarithms of the distances to the next ones."""
+    return np.concatenate([first, first + np.cumsum(np.exp(gaps))])
+
+
+def likelihood(params: list[np.ndarray], rows, feature, value, grade: np.ndarray, settings: FitSettings) -> tuple[float, list[np.ndarray]]:
+    """Mean negative log-likelihood with its ridge, and the gradient in weights, first threshold and log distances."""
+    n, top = len(grade), settings.grades - 1
+    weights, first, gaps = params
+    low, high = np.maximum(grade - 1, 0), np.minimum(grade, top - 1)
+    cuts = thresholds_of(first, gaps)
+    # Entry by entry the arrays are the largest things of a fit, so products are made for a block of them at a time.
+    blocks = [slice(a, a + FIT_BLOCK) for a in range(0, len(rows), FIT_BLOCK)]
+    score = np.zeros(n)
+    for b in blocks:
+        score += np.bincount(rows[b], weights=weights[feature[b]] * value[b], minlength=n)
+    upper = np.where(grade == top, 1.0, sigmoid(cuts[high] - score))
+    lower = np.where(grade == 0, 0.0, sigmoid(cuts[low] - score))
+    p = np.maximum(upper - lower, 1e-12)
+    loss = float(-np.log(p).mean() + settings.ridge / 2 * (weights @ weights))
+    d_upper, d_lower = upper * (1 - upper) / p, lower * (1 - lower) / p
+    slope = d_upper - d_lower  # of the negative log-likelihood in the score
+    g_cuts = np.bincount(low, weights=d_lower, minlength=top) - np.bincount(high, weights=d_upper, minlength=top)
+    g_weights = settings.ridge * weights
+    for b in blocks:
+        g_weights += np.bincount(feature[b], weights=slope[rows[b]] * value[b], minlength=len(weights)) / n
+    tail = np.cumsum(g_cuts[::-1])[::-1] / n
+    return loss, [g_weights, tail[:1], tail[1:] * np.exp(gaps)]
+
+
 def fit_arrays(rows, feature, value, grade: np.ndarray, settings: FitSettings) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by full-batch Adam on the penalised cumulative-link likelihood."""
-    n, top = len(grade), settings.grades - 1
-    w = np.zeros(DIMS)
-    share = np.array([np.mean(grade <= j) for j in range(top)]).clip(0.01, 0.99)
+    share = np.array([np.mean(grade <= j) for j in range(settings.grades - 1)]).clip(0.01, 0.99)
     base = np.log(share / (1 - share))
-    gaps = np.log(np.maximum(np.diff(base), 0.05))
-    params = [w, base[:1].copy(), gaps]
+    params = [np.zeros(DIMS), base[:1].copy(), np.log(np.maximum(np.diff(base), 0.05))]
     first = [np.zeros_like(p) for p in params]
     second = [np.zeros_like(p) for p in params]
-    low, high = np.maximum(grade - 1, 0), np.minimum(grade, top - 1)
     for step in range(1, settings.steps + 1):
-        cuts = np.concatenate([params[1], params[1] + np.cumsum(np.exp(params[2]))])
-        score = np.bincount(rows, weights=params[0][feature] * value, minlength=n)
-        upper = np.where(grade == top, 1.0, sigmoid(cuts[high] - score))
-        lower = np.where(grade == 0, 0.0, sigmoid(cuts[low] - score))
-        p = np.maximum(upper - lower, 1e-12)
-        d_upper, d_lower = upper * (1 - upper) / p, lower * (1 - lower) / p
-        slope = d_upper - d_lower  # of the negative log-likelihood in the score
-        g_cuts = np.bincount(low, weights=d_lower, minlength=top) - np.bincount(high, weights=d_upper, minlength=top)
-        g_w = np.bincount(feature, weights=slope[rows] * value, minlength=DIMS) / n + settings.ridge * params[0]
-        tail = np.cumsum(g_cuts[::-1])[::-1] / n
-        gradients = [g_w, tail[:1], tail[1:] * np.exp(params[2])]
+        _, gradients = likelihood(params, rows, feature, value, grade, settings)
         for i, g in enumerate(gradients):
             first[i] = 0.9 * first[i] + 0.1 * g
             second[i] = 0.99 * second[i] + 0.01 * g * g
             params[i] = params[i] - settings.rate * (first[i] / (1 - 0.9**step)) / (
                 np.sqrt(second[i] / (1 - 0.99**step)) + 1e-8
             )
-    return params[0], np.concatenate([params[1], params[1] + np.cumsum(np.exp(params[2]))])
+    return params[0], thresholds_of(params[1], params[2])
 
 
 def choose_cut(tail: np.ndarray, good: np.ndarray) -> float:
@@ -202,9 +219,10 @@ def fit_folds(rows, feature, value, grade: np.ndarray, fold: np.ndarray, setting
     for k in np.unique(fold).tolist():
         held = fold == k
         keep = ~held[rows]
-        new = np.cumsum(~held) - 1
+        new = (np.cumsum(~held) - 1).astype(np.int32)
         weights, cuts = fit_arrays(new[rows[keep]], feature[keep], value[keep], grade[~held], settings)
-        score = np.bincount(rows, weights=weights[feature] * value, minlength=len(grade))
+        keep = ~keep
+        score = np.bincount(rows[keep], weights=weights[feature[keep]] * value[keep], minlength=len(grade))
         tail[held] = OrdinalModel(weights, cuts).probabilities(score[held])[:, -1]
         fits.append((weights, cuts))
     cut = choose_cut(tail, grade == top)
@@ -251,20 +269,24 @@ def fit(docs: DataFrame, grades: DataFrame, settings: FitSettings | None = None)
 
     schema = "doc_id long, grade int, feature array<int>, value array<float>"
     got = arrow_rows(_sample(docs, grades, settings), ["doc_id", "grade", "text"], step, schema, done=_WORDS.drop).toArrow()
-    order = np.argsort(got["doc_id"].to_numpy(), kind="stable")
-    got = got.take(pa.array(order)).combine_chunks()
     n = got.num_rows
     if n < MIN_ROWS:
         return OrdinalModel(np.zeros(DIMS), np.full(settings.grades - 1, -50.0))
+    got = got.take(pa.array(np.argsort(got["doc_id"].to_numpy(), kind="stable")))
     grade = got["grade"].to_numpy().astype(np.int64)
-    lists = got["feature"].combine_chunks()
-    lengths = np.diff(lists.offsets.to_numpy())
-    rows, feature = np.repeat(np.arange(n), lengths), lists.flatten().to_numpy().astype(np.int64)
-    value = got["value"].combine_chunks().flatten().to_numpy().astype(np.float64)
+    lists, values = (got[c].combine_chunks() for c in ("feature", "value"))
+    del got
+    # Entries stay in the types they came in; there are some hundreds for every fitted row.
+    rows = np.repeat(np.arange(n, dtype=np.int32), np.diff(lists.offsets.to_numpy()))
+    feature, value = lists.flatten().to_numpy(), values.flatten().to_numpy()
     fold = np.arange(n) % settings.folds
     if fold.min() == fold.max():
         return OrdinalModel(np.zeros(DIMS), np.full(settings.grades - 1, -50.0))
-    return fit_folds(rows, feature, value, grade, fold, settings)
+    try:
+        return fit_folds(rows, feature, value, grade, fold, settings)
+    finally:
+        del rows, feature, value, lists, values
+        release()
 
 
 def predict(docs: DataFrame, model: OrdinalModel) -> DataFrame:
@@ -297,22 +319,24 @@ def keep_good(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     """The rows of ``docs`` whose text the model keeps, unchanged and with all columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def kept(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("boolean")
+    def kept(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
         try:
             for texts in batches:
+                sizes = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
                 out, start, total = [], 0, 0
-                values = texts.tolist()
-                for i in range(len(values) + 1):
-                    if i == len(values) or total > SLICE_CHARS:
-                        out.append(m.probabilities(m.score(values[start:i]))[:, -1] >= m.cut)
+                for i in range(len(sizes) + 1):
+                    if i == len(sizes) or total > SLICE_CHARS:
+                        values = texts.slice(start, i - start).to_pylist()
+                        out.append(m.probabilities(m.score(values))[:, -1] >= m.cut)
                         start, total = i, 0
-                    if i < len(values):
-                        total += len(values[i] or "")
-                yield pd.Series(np.concatenate(out)) if out else pd.Series([], dtype=bool)
+                    if i < len(sizes):
+                        total += sizes[i]
+                yield pa.array(np.concatenate(out), pa.bool_())
         finally:
             _WORDS.drop()
+            release()
 
     return docs.where(kept(F.col("text")))
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.session import scratch_path, stage  # noqa: F401
@@ -49,7 +51,8 @@ def arrow_rows(
     """Apply ``step`` to bounded slices of the named columns, as lists of Python values.
 
     A slice ends at ``BATCH_ROWS`` rows or once its texts exceed ``batch_chars`` characters, so what
-    ``step`` holds follows the longest single text; the batch that Spark hands over comes on top of it.
+    ``step`` holds follows the longest single text; the batch that Spark hands over (64 MB, by
+    ``spark.sql.execution.arrow.maxBytesPerBatch``, or one row) comes on top of it.
     ``done`` drops what the steps of a task remember, since Spark uses its Python processes again.
     """
 
@@ -68,10 +71,20 @@ def arrow_rows(
         finally:
             if done:
                 done()
+            release()
 
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Hand what a task no longer needs back to the system: the Python process lives on and runs other tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library, where it is that
+    if trim:
+        trim(0)
+
+
 def _lists(batch: pa.RecordBatch, columns: list[str]) -> dict[str, list]:
     return {c: batch.column(i).to_pylist() for i, c in enumerate(columns)}
 
@@ -85,6 +98,28 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+FILTER_BITS = 1 << 23  # one mebibyte, whatever the size of the tables
+
+
+def bit_filter(hashes: DataFrame, here: Column, bits: int = FILTER_BITS) -> Column:
+    """Whether the hash ``here`` may be among ``hashes`` (one column ``h``): never false for one that is.
+
+    The filter is an array of ``bits / 64`` words in a scalar subquery, built by one aggregation over word numbers.
+    With more hashes than bits it lets most rows through, which costs work and changes no result.
+    """
+    bit = hashes.select(F.pmod("h", F.lit(bits)).alias("_bit"))
+    words = bit.groupBy(F.shiftright("_bit", 6).cast("int").alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(_bit & 63 as int))")).alias("_bits")
+    )
+    every = hashes.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("_word"))
+    filled = every.join(words, "_word", "left").select("_word", F.coalesce("_bits", F.lit(0).cast("long")).alias("_bits"))
+    in_order = F.array_sort(F.collect_list(F.struct("_word", "_bits")))
+    table = filled.agg(F.transform(in_order, lambda w: w["_bits"]).alias("words")).scalar()
+    place = F.pmod(here, F.lit(bits))
+    word = F.element_at(table, (F.shiftright(place, 6) + 1).cast("int"))
+    return F.getbit(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not use, so that helper columns never clash."""
     taken, name = {c.lower() for c in df.columns}, base

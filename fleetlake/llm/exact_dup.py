@@ -19,10 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import documents, stage
+from fleetlake.llm.common import FILTER_BITS, bit_filter, documents, stage
 
 PREFIX_CHARS = 256  # beginning of a text that the second step compares
-FILTER_BITS = 1 << 23  # size of the filter of suspects: one mebibyte, whatever the table's size
 HOT_GROUPS = 1000  # at most so many groups can hold a thousandth of the rows each
 
 
@@ -44,33 +43,12 @@ def suspects(docs: DataFrame, text: str = "text") -> DataFrame:
     return starts.join(sizes, "_size", "left_semi").filter("_n > 1").select("_size", "_start")
 
 
-def _bit(size: Column, start: Column) -> Column:
-    return F.pmod(F.xxhash64(size, start), F.lit(FILTER_BITS))
-
-
-def suspect_filter(found: DataFrame) -> Column:
-    """Whether a row's ``_size`` and ``_start`` may be among ``found``: never false for one that is.
-
-    The filter is an array of ``FILTER_BITS / 64`` words, built by one aggregation over word numbers.
-    """
-    bit = found.select(_bit(F.col("_size"), F.col("_start")).alias("_bit"))
-    words = bit.groupBy(F.shiftright("_bit", 6).cast("int").alias("_word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(_bit & 63 as int))")).alias("_bits")
-    )
-    every = found.sparkSession.range(FILTER_BITS // 64).select(F.col("id").cast("int").alias("_word"))
-    filled = every.join(words, "_word", "left").select("_word", F.coalesce("_bits", F.lit(0).cast("long")).alias("_bits"))
-    in_order = F.array_sort(F.collect_list(F.struct("_word", "_bits")))
-    table = filled.agg(F.transform(in_order, lambda w: w["_bits"]).alias("words")).scalar()
-    here = _bit(F.col("_size"), F.col("_start"))
-    word = F.element_at(table, (F.shiftright(here, 6) + 1).cast("int"))
-    return F.getbit(word, here.bitwiseAND(F.lit(63)).cast("int")) == 1
-
-
 def _hashed(docs: DataFrame, text: str, columns: list[Column], every_hash: bool) -> DataFrame:
     """``columns``, whether the row is a suspect, and the hash of the whole text of suspects (or of every row)."""
     found = stage(suspects(docs, text), "suspects")
     sized = docs.select(*columns, _whole(text).alias("_text"), *_size_and_start(text))
-    flagged = sized.withColumn("_suspect", suspect_filter(found))
+    both = F.xxhash64("_size", "_start")
+    flagged = sized.withColumn("_suspect", bit_filter(found.select(both.alias("h")), both, FILTER_BITS))
     whole = F.sha2("_text", 256)
     return flagged.withColumn("_sha", whole if every_hash else F.when(F.col("_suspect"), whole)).drop("_text", "_start")
 

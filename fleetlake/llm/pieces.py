@@ -34,6 +34,7 @@ from fleetlake.llm.common import arrow_rows, documents, mix64
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
+SLICE_CHARS = 2_000_000  # characters encoded at a time; units that no dropout touches are segmented once in them
 # Occurrences that are looked at together; only memory depends on it.
 BLOCK = 50_000
 
@@ -253,7 +254,7 @@ def encode(docs: DataFrame, model_file: str = MODEL, seed: str = "pieces", dropo
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
         return pa.RecordBatch.from_arrays([pa.array(cols["doc_id"], pa.int64()), lists], names=["doc_id", "ids"])
 
-    return arrow_rows(docs, ["doc_id", "text"], step, "doc_id long, ids array<int>")
+    return arrow_rows(docs, ["doc_id", "text"], step, "doc_id long, ids array<int>", batch_chars=SLICE_CHARS)
 
 
 def decode(encoded: DataFrame, model_file: str = MODEL) -> DataFrame:
@@ -292,7 +293,7 @@ def encode_and_check(docs: DataFrame, model_file: str = MODEL, seed: str = "piec
         )
 
     schema = "doc_id long, ids array<int>, n_pieces long, decoded_sha256 string, lossless boolean"
-    return arrow_rows(docs, ["doc_id", "text", *([use] if use else [])], step, schema)
+    return arrow_rows(docs, ["doc_id", "text", *([use] if use else [])], step, schema, batch_chars=SLICE_CHARS)
 
 
 def op10_query(spark: SparkSession, sf_dir: str) -> DataFrame:
