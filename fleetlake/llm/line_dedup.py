@@ -8,7 +8,12 @@ Runs are tables of (128-bit key hash, number of documents up to ``min_docs``, la
 sorted by hash. Every batch of documents is merge-anti-joined with the runs, which leaves out the
 keys that are settled already (enough documents, none later), and what is left is added as a run
 of level 0. ``fan_out`` runs of a level are compacted into one run of the next. A key in a third
-of all documents therefore costs one row per run.
+of all documents therefore costs one row per run. The runs of a corpus are the parts of a path table with a
+numbered list, one part per level, so they can be opened again by its path: a batch or a compaction is there
+as a whole or not at all.
+
+Only documents that may lose a line meet their lost keys by a shuffle; the others, told by a filter of fixed
+size over their ids, are handled where they are read.
 
 A document is a ``doc_id``: repeated rows of an id count once, and all rows of an id must come in
 one batch. Rows with a null id keep every line and count for no key. A null or empty text has one
@@ -18,6 +23,7 @@ empty line.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlake.llm.common import BLANKS, arrow_rows, documents, free_name, remove, scratch_path
+from fleetlake.llm.common import BLANKS, arrow_rows, bit_filter, documents, free_name, remove, scratch_path, stage
+from fleetlake.sources import filelist
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -61,67 +68,84 @@ def line_keys(docs: DataFrame) -> DataFrame:
     return arrow_rows(kept, ["doc_id", "text"], _keys, "k1 long, k2 long, doc long")
 
 
+RUN = "k1 long, k2 long, n long, top long"
+
+
 class LineRuns:
-    """The levelled runs of one corpus, kept as Parquet tables below the shared folder."""
+    """The levelled runs of one corpus: a path table at ``root`` that any session can open and continue."""
 
-    def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, fan_out: int = FAN_OUT):
+    def __init__(self, spark: SparkSession, root: str | None = None, min_docs: int = MIN_DOCS, fan_out: int = FAN_OUT):
         self.spark, self.min_docs, self.fan_out = spark, min_docs, fan_out
-        self.levels: list[list[str]] = [[]]
+        self.root = root or scratch_path(spark, "line-runs")
 
-    def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema("k1 long, k2 long, n long, top long").parquet(*paths)
+    @property
+    def levels(self) -> list[list[str]]:
+        """The runs' folders by level."""
+        folders = filelist.listing(self.spark, self.root).folders
+        top = max((int(f.part) for f in folders), default=0)
+        return [[f.path for f in folders if f.part == str(level)] for level in range(top + 1)]
 
-    def _merged(self, paths: list[str]) -> DataFrame:
+    def _level(self, level: int) -> list[filelist.Folder]:
+        return filelist.listing(self.spark, self.root).of({str(level)})
+
+    def _read(self, folders: list[filelist.Folder]) -> DataFrame:
+        return self.spark.read.schema(RUN).parquet(*[f"{self.root}/{f.path}" for f in folders])
+
+    def _merged(self, folders: list[filelist.Folder]) -> DataFrame:
         return (
-            self._read(paths)
+            self._read(folders)
             .groupBy("k1", "k2")
             .agg(F.least(F.sum("n"), F.lit(self.min_docs)).alias("n"), F.max("top").alias("top"))
         )
 
-    def _write(self, run: DataFrame) -> str:
-        path = scratch_path(self.spark, "line-run")
-        run.sortWithinPartitions("k1", "k2").write.parquet(path)
-        return path
+    def _write(self, run: DataFrame, level: int) -> list[filelist.Folder]:
+        """A run is the folder of one write; its rows stay where the aggregation left them, sorted."""
+        name = f"data/{uuid.uuid4().hex}"
+        ordered = run.select("k1", "k2", "n", "top").sortWithinPartitions("k1", "k2")
+        ordered.write.parquet(f"{self.root}/{name}/{filelist.PART}={level}")
+        return filelist.folders_of(self.spark, self.root, name)
 
     def settled(self) -> DataFrame | None:
         """Keys with enough documents so far, and the largest of these documents."""
-        paths = [p for level in self.levels for p in level]
-        if not paths:
+        folders = list(filelist.listing(self.spark, self.root).folders)
+        if not folders:
             return None
-        return self._merged(paths).where(F.col("n") >= self.min_docs).select("k1", "k2", "top")
-
-    def add(self, keys: DataFrame) -> None:
-        """Add a batch of ``line_keys`` rows; its documents must be new to the runs."""
-        own = (
-            keys.distinct()
-            .groupBy("k1", "k2")
-            .agg(F.least(F.count("*"), F.lit(self.min_docs)).alias("n"), F.max("doc").alias("top"))
-        )
-        settled = self.settled()
-        if settled is not None:
-            old = settled.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), F.col("top").alias("old_top"))
-            known = (F.col("k1") == F.col("o1")) & (F.col("k2") == F.col("o2")) & (F.col("top") <= F.col("old_top"))
-            own = own.join(old, known, "left_anti")
-        self.levels[0].append(self._write(own))
+        return self._merged(folders).where(F.col("n") >= self.min_docs).select("k1", "k2", "top")
+
+    def add(self, keys: DataFrame, name: str | None = None) -> None:
+        """Add a batch of ``line_keys`` rows; its documents must be new to the runs.
+
+        A batch with a ``name`` is added once: after a failure it can be given again.
+        """
+        done = filelist.listing(self.spark, self.root).notes.get("batches", [])
+        if name is None or name not in done:
+            own = (
+                keys.distinct()
+                .groupBy("k1", "k2")
+                .agg(F.least(F.count("*"), F.lit(self.min_docs)).alias("n"), F.max("doc").alias("top"))
+            )
+            settled = self.settled()
+            if settled is not None:
+                old = settled.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), F.col("top").alias("old_top"))
+                known = (F.col("k1") == F.col("o1")) & (F.col("k2") == F.col("o2")) & (F.col("top") <= F.col("old_top"))
+                own = own.join(old, known, "left_anti")
+            notes = {"batches": [*done, name]} if name else None
+            filelist.swap(self.spark, self.root, [], self._write(own, 0), _json(RUN), notes)
         level = 0
-        while len(self.levels[level]) >= self.fan_out:
-            self._compact(level)
+        while len(self._level(level)) >= self.fan_out:
+            old = self._level(level)
+            filelist.swap(self.spark, self.root, old, self._write(self._merged(old), level + 1), _json(RUN))
+            for folder in old:
+                remove(self.spark, f"{self.root}/{folder.path}")
             level += 1
 
-    def _compact(self, level: int) -> None:
-        old = self.levels[level]
-        run = self._write(self._merged(old))
-        self.levels[level] = []
-        if level + 1 == len(self.levels):
-            self.levels.append([])
-        self.levels[level + 1].append(run)
-        for path in old:
-            remove(self.spark, path)
-
     def close(self) -> None:
-        for path in [p for level in self.levels for p in level]:
-            remove(self.spark, path)
-        self.levels = [[]]
+        """Delete the runs; without this they stay and can be continued."""
+        remove(self.spark, self.root)
+
+
+def _json(ddl: str) -> str:
+    return T.StructType.fromDDL(ddl).json()
 
 
 def _batched(docs: DataFrame, batches: int) -> tuple[DataFrame, int]:
@@ -147,7 +171,7 @@ def dropped_keys(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     staged = spark.read.schema("k1 long, k2 long, doc long, batch int").parquet(path)
     runs = LineRuns(spark)
     for i in range(n):
-        runs.add(staged.where(F.col("batch") == i).drop("batch"))
+        runs.add(staged.where(F.col("batch") == i).drop("batch"), f"batch-{i}")
     settled = scratch_path(spark, "line-settled")
     runs.settled().write.parquet(settled)
     runs.close()
@@ -173,10 +197,13 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES, text_out: bool = True)
     All other columns stay as they are; ``n_chars``, if there, is counted anew. With
     ``text_out=False`` only doc_id, n_lines, n_dropped and kept_sha256 are returned.
     """
-    lost = dropped_keys(docs, batches)
+    lost = stage(dropped_keys(docs, batches), "lost-lines")
     doc, column = free_name(docs, "_lost_doc"), free_name(docs, "_lost_keys")
     source = docs if text_out else docs.select("doc_id", "text")
-    joined = source.join(lost.select(F.col("doc").alias(doc), F.col("keys").alias(column)), F.col("doc_id") == F.col(doc), "left").drop(doc)
+    may_lose = bit_filter(lost.select(F.xxhash64("doc").alias("h")), F.xxhash64("doc_id"))
+    named = lost.select(F.col("doc").alias(doc), F.col("keys").alias(column))
+    met = source.where(may_lose).join(named, F.col("doc_id") == F.col(doc), "left").drop(doc)
+    joined = source.where(~may_lose).withColumn(column, F.lit(None).cast(lost.schema["keys"].dataType)).unionByName(met)
     kept = [f for f in source.schema.fields if f.name not in ("n_lines", "n_dropped")]
     if text_out:
         kept = [T.StructField("n_chars", T.LongType()) if f.name == "n_chars" else f for f in kept]
