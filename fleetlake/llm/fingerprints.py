@@ -24,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import arrow_rows, documents, mix64
+from fleetlake.llm.common import arrow_rows, documents, mix64, stage
 
 WINDOW = 32
 RUN = 32
@@ -233,74 +233,41 @@ def _class_counts(cols: dict[str, list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(counts[some])], names=["class", "n"])
 
 
-def rarity(docs: DataFrame) -> np.ndarray:
-    """Rank of each entropy class by its number of windows in all texts, the rarest first.
-
-    Of classes seen equally often (or never) the one with the higher entropy comes first.
-    """
+def class_counts(docs: DataFrame) -> np.ndarray:
+    """Number of windows of each entropy class in all texts."""
     counted = arrow_rows(docs, ["text"], _class_counts, "class int, n long").groupBy("class").agg(F.sum("n").alias("n"))
     counts = np.zeros(LEVELS, dtype=np.int64)
     for row in counted.collect():  # one row per class
         counts[row["class"]] = row["n"]
+    return counts
+
+
+def ranked(counts: np.ndarray) -> np.ndarray:
+    """Rank of each entropy class, the rarest first; of equally rare ones the one with the higher entropy."""
     ranks = np.empty(LEVELS, dtype=np.uint16)
     ranks[np.lexsort((-np.arange(LEVELS), counts))] = np.arange(LEVELS)
     return ranks
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """(part, own, doc_id, text): sorted ranges; a row with own = false only ends its range.
+def rarity(docs: DataFrame) -> np.ndarray:
+    """Rank of each entropy class by its number of windows in all texts."""
+    return ranked(class_counts(docs))
+
 
-    The last range also gets the first document of all behind it.
+def with_next(docs: DataFrame, n_windows: int | None = None) -> DataFrame:
+    """(part, doc_id, text) sorted by ``doc_id`` over all partitions, nulls first; equal ids by the MD5 of the text.
+
+    ``part`` grows with the order; a partition has about ``RANGE_CHARS`` characters where texts are of like length,
+    for which the number of windows of all texts stands.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    size = rows.agg(F.sum(F.length("text")).alias("c"), F.count("*").alias("n")).first()
-    parts = int(max(1, min((size["c"] or 0) // RANGE_CHARS + 1, size["n"] or 1, 200_000)))
-    cuts = []
-    if parts > 1:
-        shares = [i / parts for i in range(1, parts)]
-        cuts = sorted(set(rows.agg(F.percentile_approx("doc_id", shares, 100 * parts).alias("p")).first()["p"] or []))
-    # Range of an id: how many cuts lie below it. The cuts are as many as the ranges.
-    # One folded literal, however many there are.
-    bounds = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>") if cuts else F.array().cast("array<bigint>")
-    part = F.when(F.col("doc_id").isNull(), 0).otherwise(_below(bounds, len(cuts)))
-    ranged = rows.withColumn("part", part.cast("int"))
-    firsts = ranged.groupBy("part").agg(F.min(F.struct("doc_id", F.md5("text").alias("h"))).alias("first"))
-    heads = {r["part"]: r["first"] for r in firsts.collect()}  # one row per range
-    order = sorted(heads)
-    before = {b: a for a, b in zip(order, order[1:])}
-    if order:
-        before[order[0]] = order[-1]
-    heads_df = docs.sparkSession.createDataFrame(
-        [(p, before[p], heads[p]["doc_id"], heads[p]["h"]) for p in order], "hp int, target int, hid long, hh string"
-    )
-    tails = (
-        ranged.join(F.broadcast(heads_df), F.col("part") == F.col("hp"))
-        .where(F.col("doc_id").eqNullSafe(F.col("hid")))
-        .where(F.md5("text") == F.col("hh"))
-        .select(F.col("target").alias("part"), F.lit(False).alias("own"), "doc_id", "text")
-        .dropDuplicates(["part"])
-    )
-    every = ranged.select("part", F.lit(True).alias("own"), "doc_id", "text").unionByName(tails)
-    return every.repartition(len(order) or 1, "part").sortWithinPartitions("part", F.col("own").desc(), "doc_id", F.md5("text"))
-
-
-def _below(bounds, n: int):
-    """Number of elements of the sorted array below ``doc_id``, by halving."""
-    steps = max(n, 1).bit_length()
-    lo, hi = F.lit(0), F.lit(n)
-    state = F.struct(lo.alias("lo"), hi.alias("hi"))
-
-    def halve(s, _):
-        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        right = F.get(bounds, mid) < F.col("doc_id")
-        go = s["lo"] < s["hi"]
-        return F.struct(
-            F.when(go & right, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(go & ~right, mid).otherwise(s["hi"]).alias("hi")
-        )
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), state, halve)["lo"]
+    size = int(class_counts(docs).sum()) if n_windows is None else n_windows
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("_hash", F.md5("text"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("_hash")]
+    ranged = rows.repartitionByRange(size // RANGE_CHARS + 1, *order).sortWithinPartitions(*order)
+    return ranged.select(F.spark_partition_id().alias("part"), "doc_id", "text")
 
 
+EDGES = "edge string, part int, text string"
 SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
@@ -313,49 +280,84 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+def _compared(rows: list[tuple], prints: list, ranks: np.ndarray) -> list[pa.Array]:
+    """Result columns for all rows (doc_id, text) but the last, each with the one behind it."""
+    use, texts = range(len(rows) - 1), [r[1] for r in rows]
+    changed = [edited(texts[i], texts[i + 1]) for i in use]
+    others = fingerprints(changed, ranks)
+    return [
+        pa.array([rows[i][0] for i in use], pa.int64()),
+        pa.array([len(texts[i]) for i in use], pa.int64()),
+        pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed], pa.string()),
+        pa.array([prints[i].text() for i in use], pa.string()),
+        pa.array([p.text() for p in others], pa.string()),
+        pa.array([likeness(prints[i], p) for i, p in zip(use, others)], pa.float64()),
+        pa.array([likeness(prints[i], prints[i + 1]) for i in use], pa.float64()),
+    ]
+
+
+NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+
+
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every document and of its edited text, and their likenesses."""
-    shared = docs.sparkSession.sparkContext.broadcast(rarity(docs))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = shared.value
-        waiting: list[tuple] = []  # rows whose successor is not seen yet, or not handled yet
-        carried: dict = {}
-
-        def flush(rows: list[tuple]) -> pa.RecordBatch:
-            texts = [r[3] for r in rows]
-            prints = fingerprints(texts[1:] if carried else texts, ranks)
-            prints = ([carried["print"]] if carried else []) + prints
-            use = [i for i in range(len(rows) - 1) if rows[i][1] and rows[i][0] == rows[i + 1][0]]
-            changed = [edited(texts[i], texts[i + 1]) for i in use]
-            others = fingerprints(changed, ranks)
-            carried["print"] = prints[-1]
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([rows[i][2] for i in use], pa.int64()),
-                    pa.array([len(texts[i]) for i in use], pa.int64()),
-                    pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed], pa.string()),
-                    pa.array([prints[i].text() for i in use], pa.string()),
-                    pa.array([p.text() for p in others], pa.string()),
-                    pa.array([likeness(prints[i], p) for i, p in zip(use, others)], pa.float64()),
-                    pa.array([likeness(prints[i], prints[i + 1]) for i in use], pa.float64()),
-                ],
-                names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
-            )
-
-        size = 0
+    """Fingerprints of every document and of its edited text, and their likenesses.
+
+    Documents are sorted over all partitions with one shuffle; inside a partition each meets the next one as they come. The
+    first and the last document of every partition are put out with their texts, and a second, small job brings
+    the last of one together with the first of the next.
+    """
+    counts = class_counts(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(ranked(counts))
+
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks, waiting, size, carried, part, seen = shared.value, [], 0, None, 0, False
+
+        def edge(kind: str, row: tuple) -> pa.RecordBatch:
+            empty = [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())]
+            told = [pa.array([row[0]], pa.int64()), *empty, pa.array([kind]), pa.array([part], pa.int32()), pa.array([row[1]])]
+            return pa.RecordBatch.from_arrays(told, names=[*NAMES, "edge", "part", "text"])
+
+        def flush() -> pa.RecordBatch:
+            nonlocal carried
+            texts = [r[1] for r in waiting]
+            prints = ([carried] if carried else []) + fingerprints(texts[1:] if carried else texts, ranks)
+            carried = prints[-1]
+            columns = _compared(waiting, prints, ranks)
+            rest = [pa.nulls(len(waiting) - 1, t) for t in (pa.string(), pa.int32(), pa.string())]
+            return pa.RecordBatch.from_arrays([*columns, *rest], names=[*NAMES, "edge", "part", "text"])
+
         for batch in batches:
             for i in range(batch.num_rows):
-                row = tuple(batch.column(c)[i].as_py() for c in range(4))
+                part, row = batch.column(0)[i].as_py(), (batch.column(1)[i].as_py(), batch.column(2)[i].as_py())
+                if not seen:
+                    yield edge("first", row)
+                    seen = True
                 waiting.append(row)
-                size += len(row[3])
+                size += len(row[1])
                 if size > GROUP_BYTES or len(waiting) >= 2000:
-                    yield flush(waiting)
+                    yield flush()
                     waiting, size = waiting[-1:], 0
         if len(waiting) > 1:
-            yield flush(waiting)
+            yield flush()
+        if seen:
+            yield edge("last", waiting[-1])
 
-    return with_next(docs).mapInArrow(run, SCHEMA)
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                doc_id, text, following = (batch.column(c)[i].as_py() for c in range(3))
+                rows = [(doc_id, text), (None, following)]
+                yield pa.RecordBatch.from_arrays(_compared(rows, fingerprints([text, following], shared.value), shared.value), names=NAMES)
+
+    found = stage(with_next(docs, int(counts.sum())).mapInArrow(inside, f"{SCHEMA}, {EDGES}"), "fingerprints")
+    firsts, lasts = (found.where(F.col("edge") == k).select("part", "doc_id", "text") for k in ("first", "last"))
+    # Numbers of partitions only; behind the last one comes the first again.
+    numbers = firsts.select("part")
+    top = numbers.agg(F.min("part").alias("top")).scalar()
+    nexts = numbers.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), top).alias("_next"))
+    heads = firsts.select(F.col("part").alias("_next"), F.col("text").alias("following"))
+    met = lasts.join(nexts, "part").join(heads, "_next").select("doc_id", "text", "following").mapInArrow(across, SCHEMA)
+    return found.where("edge is null").select(*NAMES).unionByName(met)
 
 
 def op4_query(spark: SparkSession, sf_dir: str) -> DataFrame:
