@@ -6,7 +6,9 @@ proposes further ones and keeps those whose score reaches ``THRESHOLD``:
 
 * card numbers inside longer runs of digits (Luhn; the leading digit adjusts the score),
 * international phone numbers inside longer runs, and national ones next to a context word,
-* ``iban`` (mod-97), ``ssn`` with its reserved numbers left out, both raised by context words.
+* ``iban`` (mod-97), ``ssn`` with its reserved numbers left out, both raised by context words,
+* ``secret``: private keys, tokens of known form (those with a checksum or a decodable header confirmed by it), and
+  runs of random-looking letters and digits where a word such as "token" or "password" stands before them.
 
 A proposed span never overlaps a base span of its kind. Offsets count code points, ends are
 exclusive. Null texts count as empty; ids may be null or repeat; every text is scanned whole, in
@@ -15,9 +17,15 @@ time linear in its length.
 
 from __future__ import annotations
 
+import base64
 import bisect
+import binascii
+import collections
 import hashlib
+import json
+import math
 import re
+import zlib
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -25,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fleetlake.llm.common import arrow_rows, documents
 
-KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
+KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "secret")
 THRESHOLD = 0.6
 CONTEXT_CHARS = 40
 
@@ -52,11 +60,26 @@ NATIONAL = re.compile(r"(?<![0-9+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 
+# One run of token characters; nothing inside a run begins another one, which keeps the scan linear.
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}+={0,2}+(?![A-Za-z0-9=])")
+JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,4096}+)\.[A-Za-z0-9_-]{2,}+\.[A-Za-z0-9_-]{8,}+")
+KEY_BEGIN = re.compile(r"-----BEGIN (?:[A-Z]{1,12} ){0,3}PRIVATE KEY-----")
+KEY_END = re.compile(r"-----END (?:[A-Z]{1,12} ){0,3}PRIVATE KEY-----")
+# Published forms of access tokens.
+KNOWN_TOKEN = re.compile(
+    r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[opsru]_[A-Za-z0-9]{36}|(?:sk|rk)_(?:live|test)_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}"
+)
+BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+NAMED = r"(?:token|secret|passw(?:or)?d|pwd|api[_ -]?key|access[_ -]?key|credentials?|bearer|passwort|mot de passe|contraseña)"
+ASSIGNED = re.compile(rf"(?i){NAMED}[\"']?\s?(?::=|=>|[:=])\s?[\"']?$|bearer $")
+HEX_BITS, OTHER_BITS = 2.5, 3.2  # entropy per character of a run that looks random
+
 CONTEXT = {
     "card": re.compile(r"(?i)\b(?:card|visa|master ?card|amex|credit|debit|kreditkarte|carte|tarjeta)\b"),
     "phone": re.compile(r"(?i)\b(?:phone|tel|telephone|mobile|cell|call|fax|telefon|handy|téléphone|teléfono)\b"),
     "iban": re.compile(r"(?i)\b(?:iban|bank|account|bic|swift|konto|compte|cuenta)\b"),
     "ssn": re.compile(r"(?i)\b(?:ssn|social security|sozialversicherung)\b"),
+    "secret": re.compile(rf"(?i)(?<![a-z]){NAMED}(?![a-z])"),
 }
 AGAINST = re.compile(r"(?i)\b(?:order|invoice|isbn|issn|tracking|serial|version|sku|part)\b")
 
@@ -144,6 +167,63 @@ def _cards_within(text: str, start: int, end: int) -> list[tuple[int, int]]:
     return out
 
 
+def entropy(run: str) -> float:
+    """Bits per character."""
+    return -sum(n / len(run) * math.log2(n / len(run)) for n in collections.Counter(run).values())
+
+
+def looks_random(run: str) -> bool:
+    """Letters and digits, evenly used: not a word, a number, a path or a ruler."""
+    if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
+        return False
+    is_hex = all(c in "0123456789abcdefABCDEF" for c in run)
+    return entropy(run) >= (HEX_BITS if is_hex else OTHER_BITS)
+
+
+def token_checksum(token: str) -> bool:
+    """The last six characters of such a token are the CRC-32 of the thirty before them, to base 62."""
+    value, digits = zlib.crc32(token[4:34].encode()), ""
+    for _ in range(6):
+        value, digit = divmod(value, 62)
+        digits = BASE62[digit] + digits
+    return digits == token[34:]
+
+
+def jwt_header(part: str) -> bool:
+    """Whether the first part of a web token decodes to a header that names an algorithm."""
+    try:
+        return "alg" in json.loads(base64.urlsafe_b64decode(part + "=" * (-len(part) % 4)))
+    except (ValueError, TypeError, binascii.Error):
+        return False
+
+
+def find_secrets(text: str) -> list[Span]:
+    """Private keys, tokens of known form, and random-looking runs that a context word names."""
+    out = []
+    if "PRIVATE KEY-----" in text:
+        ends = [m.end() for m in KEY_END.finditer(text)]
+        for m in KEY_BEGIN.finditer(text):
+            i = bisect.bisect_right(ends, m.end())
+            out.append(Span("secret", m.start(), ends[i] if i < len(ends) else m.end(), 1.0))
+    out += [Span("secret", *m.span(), 1.0) for m in JWT.finditer(text) if jwt_header(m.group(1))]
+    taken = _Cover([(s.start, s.end) for s in out])
+    for m in TOKEN.finditer(text):
+        run, (start, end) = m.group(), m.span()
+        known = KNOWN_TOKEN.fullmatch(run)
+        if not known and not looks_random(run) or taken.meets(start, end):
+            continue
+        if known and run.startswith("gh"):
+            score = 1.0 if token_checksum(run) else 0.5
+        elif known:
+            score = 0.8
+        else:
+            score = 0.65 if ASSIGNED.search(text[max(0, start - CONTEXT_CHARS) : start]) else 0.3
+        score = _score("secret", start, end, text, score)
+        if score >= THRESHOLD:
+            out.append(Span("secret", start, end, score))
+    return out
+
+
 def find_spans(text: str | None) -> tuple[list[Span], list[Span]]:
     """(base spans, added spans) of a whole text, each by kind and then start."""
     text = text or ""
@@ -185,6 +265,7 @@ def find_spans(text: str | None) -> tuple[list[Span], list[Span]]:
         for m in SSN.finditer(text):
             if not inside.meets(*m.span()):
                 add("ssn", *m.span(), 0.4)
+    added["secret"] = find_secrets(text)
     return (
         [s for k in KINDS for s in base[k]],
         [s for k in KINDS for s in sorted(added[k], key=lambda s: s.start)],
@@ -208,7 +289,7 @@ def digest(spans: list[Span]) -> str:
 
 def _step(cols: dict[str, list]) -> pa.RecordBatch:
     counts: list[list[int]] = [[], [], [], []]
-    hashes, spans, scores = [], [], []
+    hashes, spans, found, scores = [], [], [], []
     for text in cols["text"]:
         base, added = find_spans(text)
         for i, kind in enumerate(KINDS[:4]):
@@ -216,19 +297,20 @@ def _step(cols: dict[str, list]) -> pa.RecordBatch:
         every = sorted(base + added, key=lambda s: (KINDS.index(s.kind), s.start)) if added else base
         hashes.append(hashlib.sha256(digest(base).encode()).hexdigest())
         spans.append(digest(every))
+        found.append(len(every))
         scores.append([s.score for s in every])
     return pa.RecordBatch.from_arrays(
         [pa.array(cols["doc_id"], pa.int64()), *[pa.array(c, pa.int64()) for c in counts]]
-        + [pa.array(hashes), pa.array(spans), pa.array(scores, pa.list_(pa.float64()))],
-        names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "scores"],
+        + [pa.array(hashes), pa.array(spans), pa.array(found, pa.int64()), pa.array(scores, pa.list_(pa.float64()))],
+        names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_spans", "scores"],
     )
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: base counts, hash of the base spans, all spans and their scores."""
+    """One row per row of ``docs``: base counts, hash of the base spans, all spans, their number and scores."""
     schema = (
         "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
-        "spans string, scores array<double>"
+        "spans string, n_spans long, scores array<double>"
     )
     return arrow_rows(docs, ["doc_id", "text"], _step, schema)
 
