@@ -3,13 +3,15 @@
 Base rule: fewer than 50 words, or more than half of them inside repeated three-word windows. The
 method adds statistics of a text (``RULES``) and a cut-off for each, per stratum (language):
 
-* the rated documents of a stratum are its holdout; a *good* one has quality 1 and no toxicity;
-* for every cut-off of a fixed grid the good holdout documents beyond it are counted, and the
-  exact binomial (Clopper-Pearson) test asks whether the share of good documents rejected could
-  still exceed ``MAX_FALSE / number of rules``;
-* the test level is ``LEVEL`` divided by rules and strata (Bonferroni). Cut-offs are tested from
-  the most lenient on and the first failure ends the sequence, which needs no further correction;
-* the most severe cut-off that passed is used. A stratum without enough ratings gets none.
+* cut-offs are tried jointly, one for each rule at a time: step ``s`` of ``SEVERITIES`` takes for each rule the least
+  level that at most that share of *all* documents of the stratum reach, so no rating decides what is tried;
+* the rated documents of a stratum are its holdout; a *good* one has quality 1 and no toxicity. Good documents
+  that any of the rules rejects are counted, and the exact binomial (Clopper-Pearson) test asks whether the share of
+  good documents rejected could still exceed ``MAX_FALSE``;
+* the test level is ``LEVEL`` divided by the strata (Bonferroni). Steps are tested from the most lenient on and
+  the first failure ends the sequence, which needs no further correction;
+* the cut-offs of the most severe step that passed are used. A stratum needs ``log(LEVEL / strata) / log(1 -
+  MAX_FALSE)`` good ratings before any step can pass (217 with four strata); with fewer it gets none.
 
 So with probability ``1 - LEVEL`` no stratum loses more than ``MAX_FALSE`` of its good documents
 by these cut-offs. A null language is a stratum of its own, null texts have no words, repeated rows
@@ -26,6 +28,7 @@ from fleetlake.llm.common import WORD, documents, labels, stage
 MAX_FALSE = 0.02
 LEVEL = 0.05
 GRID = 40
+SEVERITIES = (0.0005, 0.001, 0.002, 0.004, 0.008, 0.015, 0.03, 0.06, 0.12, 0.25, 0.5)
 # Statistic in [0, 1], of which high values are bad.
 RULES = ("symbol_share", "dup_line_share", "repeat_share", "upper_share")
 
@@ -161,31 +164,56 @@ def binomial_tail(n: Column, k: Column, rate: float) -> Column:
     return F.aggregate(terms, start, add)["sum"]
 
 
+def _level(rule: str) -> Column:
+    """Level g of the grid stands for the cut-off g / GRID."""
+    return F.floor(F.col(rule) * GRID + F.lit(1e-9)).cast("int")
+
+
+def _tried(stats: DataFrame) -> DataFrame:
+    """One row per stratum: for each rule the level to try at each step, ``GRID + 1`` for none."""
+    levels = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), _level(r).alias("level")) for r in RULES])).alias("r")
+    counted = stats.select("stratum", levels).groupBy("stratum", "r.rule", "r.level").agg(F.count("*").alias("c"))
+    per_rule = counted.groupBy("stratum", "rule").agg(
+        F.sum("c").alias("n"), F.collect_list(F.struct("level", "c")).alias("levels")  # at most GRID + 1 levels
+    )
+
+    def reaching(g: Column) -> Column:
+        return F.aggregate(F.filter("levels", lambda x: x["level"] >= g), F.lit(0).cast("long"), lambda a, x: a + x["c"])
+
+    tails = F.transform(F.sequence(F.lit(1), F.lit(GRID + 1)), lambda g: F.struct(g.alias("g"), reaching(g).alias("c")))
+    steps = F.transform(
+        F.array(*[F.lit(x) for x in SEVERITIES]),
+        lambda s: F.array_min(F.transform(F.filter("tails", lambda t: (t["c"] <= s * F.col("n")) | (t["g"] > GRID)), lambda t: t["g"])),
+    )
+    stepped = per_rule.withColumn("tails", tails).select("stratum", "rule", steps.alias("steps"))
+    return stepped.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("steps"))).alias(f"steps_{r}") for r in RULES])
+
+
 def thresholds(stats: DataFrame, good_ids: DataFrame) -> DataFrame:
     """(stratum, rule, n_good, cutoff): texts whose statistic reaches the cut-off are rejected.
 
     ``stats`` has doc_id, stratum and the rule statistics, ``good_ids`` the good rated ids.
     """
+    tried = _tried(stats)
     held = stats.join(good_ids, "doc_id").dropDuplicates(["doc_id"])
-    long = held.select("stratum", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("x")) for r in RULES])).alias("r"))
-    # Level g of the grid stands for the cut-off g / GRID.
-    levels = long.select("stratum", F.col("r.rule").alias("rule"), F.floor(F.col("r.x") * GRID + F.lit(1e-9)).cast("int").alias("level"))
-    counted = levels.groupBy("stratum", "rule", "level").agg(F.count("*").alias("c"))
-    per_rule = counted.groupBy("stratum", "rule").agg(
-        F.sum("c").alias("n_good"), F.collect_list(F.struct("level", "c")).alias("levels")  # at most GRID + 1 levels
-    )
-    tests = per_rule.select(
-        "stratum", "rule", "n_good", "levels", F.explode(F.sequence(F.lit(1), F.lit(GRID))).alias("level")
-    ).withColumn("k", F.aggregate(F.filter("levels", lambda x: x["level"] >= F.col("level")), F.lit(0).cast("long"), lambda a, x: a + x["c"]))
-    strata = per_rule.agg(F.greatest(F.count_distinct("stratum"), F.lit(1)).alias("m"))
+    hits = []
+    for i in range(len(SEVERITIES)):
+        hit = F.lit(False)
+        for r in RULES:
+            hit = hit | (_level(r) >= F.col(f"steps_{r}")[i])
+        hits.append(F.count(F.when(hit, 1)).alias(f"k{i}"))
+    counted = held.join(tried, "stratum").groupBy("stratum").agg(F.count("*").alias("n_good"), *hits)
+    steps = F.explode(F.array(*[F.struct(F.lit(i).alias("step"), F.col(f"k{i}").alias("k")) for i in range(len(SEVERITIES))])).alias("s")
     # One row: the number of strata that have ratings.
-    tests = tests.join(F.broadcast(strata), F.lit(True))
-    rate = MAX_FALSE / len(RULES)
-    tail = F.when(F.col("k") <= F.col("n_good") * rate, binomial_tail(F.col("n_good"), F.col("k"), rate)).otherwise(F.lit(1.0))
-    passed = tail <= F.lit(LEVEL / len(RULES)) / F.col("m")
-    first_failure = F.coalesce(F.max(F.when(~passed, F.col("level"))), F.lit(0))
-    cut = tests.groupBy("stratum", "rule", "n_good").agg(first_failure.alias("failed"))
-    return cut.where(F.col("failed") < GRID).select("stratum", "rule", "n_good", ((F.col("failed") + 1) / F.lit(float(GRID))).alias("cutoff"))
+    strata = counted.agg(F.greatest(F.count("*"), F.lit(1)).alias("m"))
+    tests = counted.select("stratum", "n_good", steps).select("stratum", "n_good", "s.*").join(F.broadcast(strata), F.lit(True))
+    tail = F.when(F.col("k") <= F.col("n_good") * MAX_FALSE, binomial_tail(F.col("n_good"), F.col("k"), MAX_FALSE)).otherwise(F.lit(1.0))
+    passed = tail <= F.lit(LEVEL) / F.col("m")
+    first_failure = F.coalesce(F.min(F.when(~passed, F.col("step"))), F.lit(len(SEVERITIES)))
+    used = tests.groupBy("stratum", "n_good").agg((first_failure - 1).alias("step")).where("step >= 0")
+    rules = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"steps_{r}")[F.col("step")].alias("level")) for r in RULES])).alias("r")
+    cuts = used.join(tried, "stratum").select("stratum", "n_good", rules).select("stratum", "r.rule", "n_good", "r.level")
+    return cuts.where(F.col("level") <= GRID).select("stratum", "rule", "n_good", (F.col("level") / F.lit(float(GRID))).alias("cutoff"))
 
 
 def judge(docs: DataFrame, rated: DataFrame) -> DataFrame:
@@ -248,24 +276,31 @@ WITH d AS (
   FROM counts
 ), good AS (
   SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1 AND max(toxic) = 0
-), held AS (
-  SELECT stratum, unnest([1, 2, 3, 4]) AS rule, unnest([l1, l2, l3, l4]) AS lev FROM stats JOIN good USING (doc_id)
+), every AS (
+  SELECT stratum, unnest([1, 2, 3, 4]) AS rule, unnest([l1, l2, l3, l4]) AS lev FROM stats
+), tails AS (
+  SELECT stratum, rule, g, count(*) AS n, count(*) FILTER (WHERE lev >= g) AS c
+  FROM every, range(1, 42) AS r(g) GROUP BY stratum, rule, g
+), tried AS (
+  SELECT stratum, rule, s.step, min(g) FILTER (WHERE c <= s.share * n OR g > 40) AS cut
+  FROM tails, (SELECT unnest(range(11)) AS step, unnest({severities}) AS share) s GROUP BY stratum, rule, s.step
+), steps AS (
+  SELECT stratum, step, max(cut) FILTER (WHERE rule = 1) AS c1, max(cut) FILTER (WHERE rule = 2) AS c2,
+         max(cut) FILTER (WHERE rule = 3) AS c3, max(cut) FILTER (WHERE rule = 4) AS c4
+  FROM tried GROUP BY stratum, step
 ), tests AS (
-  SELECT stratum, rule, level, count(*) AS n, count(*) FILTER (WHERE lev >= level) AS k
-  FROM held, range(1, 41) AS g(level) GROUP BY stratum, rule, level
+  SELECT t.stratum, step, count(*) AS n, count(*) FILTER (WHERE l1 >= c1 OR l2 >= c2 OR l3 >= c3 OR l4 >= c4) AS k
+  FROM (SELECT DISTINCT ON (doc_id) stats.* FROM stats JOIN good USING (doc_id)) t JOIN steps USING (stratum) GROUP BY t.stratum, step
 ), verdicts AS (
-  SELECT stratum, rule, level,
-         CASE WHEN k <= n * 0.005 THEN list_sum(list_transform(range(0, k + 1), lambda i:
-           exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.005) + (n - i) * ln(0.995))))
-         ELSE 1.0 END <= 0.05 / 4 / (SELECT count(DISTINCT stratum) FROM tests) AS passed
+  SELECT stratum, step,
+         CASE WHEN k <= n * 0.02 THEN list_sum(list_transform(range(0, k + 1), lambda i:
+           exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.02) + (n - i) * ln(0.98))))
+         ELSE 1.0 END <= 0.05 / (SELECT count(DISTINCT stratum) FROM tests) AS passed
   FROM tests
-), cuts AS (
-  SELECT stratum, rule, coalesce(max(level) FILTER (WHERE NOT passed), 0) + 1 AS cut
-  FROM verdicts GROUP BY stratum, rule
+), used AS (
+  SELECT stratum, coalesce(min(step) FILTER (WHERE NOT passed), 11) - 1 AS step FROM verdicts GROUP BY stratum
 ), wide AS (
-  SELECT stratum, max(cut) FILTER (WHERE rule = 1) AS c1, max(cut) FILTER (WHERE rule = 2) AS c2,
-         max(cut) FILTER (WHERE rule = 3) AS c3, max(cut) FILTER (WHERE rule = 4) AS c4
-  FROM cuts WHERE cut <= 40 GROUP BY stratum
+  SELECT stratum, c1, c2, c3, c4 FROM steps JOIN used USING (stratum, step)
 ), judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
          CASE WHEN l1 >= c1 THEN 'symbol_share' WHEN l2 >= c2 THEN 'dup_line_share'
@@ -275,4 +310,4 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND rejected_by IS NULL AS kept, rejected_by
 FROM judged
-"""
+""".replace("{severities}", str(list(SEVERITIES)))
