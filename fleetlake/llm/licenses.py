@@ -71,6 +71,22 @@ SENTENCES = {
     "neither the name of <holder> nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "BSDEndorse",
     "this software is provided by <holder> as is and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "BSDAsIs",
     "in no event shall <holder> be liable for any direct, indirect, incidental, special, exemplary, or consequential damages (including, but not limited to, procurement of substitute goods or services; loss of use, data, or profits; or business interruption) however caused and on any theory of liability, whether in contract, strict liability, or tort (including negligence or otherwise) arising in any way out of the use of this software, even if advised of the possibility of such damage": "BSDLiability",
+    "this library is free software; you can redistribute it and/or modify it under the terms of the gnu lesser general public license as published by the free software foundation; either version 2.1 of the license, or (at your option) any later version": "LGPL21Plus",
+    "this library is free software: you can redistribute it and/or modify it under the terms of the gnu lesser general public license as published by the free software foundation, either version 3 of the license, or (at your option) any later version": "LGPL3Plus",
+    "this program is free software: you can redistribute it and/or modify it under the terms of the gnu lesser general public license as published by the free software foundation, either version 3 of the license, or (at your option) any later version": "LGPL3Plus",
+    "this program is free software: you can redistribute it and/or modify it under the terms of the gnu affero general public license as published by the free software foundation, either version 3 of the license, or (at your option) any later version": "AGPL3Plus",
+    "this library is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose": "GPLWarranty",
+    "see the gnu lesser general public license for more details": "LGPLSee",
+    "see the gnu affero general public license for more details": "AGPLSee",
+    "this source code form is subject to the terms of the mozilla public license, v.2.0": "MPL2Subject",
+    "if a copy of the mpl was not distributed with this file, you can obtain one at https://mozilla.org/mpl/2.0": "MPL2Copy",
+    "if a copy of the mpl was not distributed with this file, you can obtain one at http://mozilla.org/mpl/2.0": "MPL2Copy",
+    "permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies": "ISCGrant",
+    "permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies": "ISCGrant",
+    "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness": "ISCAsIs",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0 which is available at https://www.eclipse.org/legal/epl-2.0": "EPL2",
+    "this is free and unencumbered software released into the public domain": "UnlicenseGrant",
+    "to the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide": "CC0Grant",
     "spdx-license-identifier: mit": "SpdxMIT",
     "spdx-license-identifier: apache-2.0": "SpdxApache2",
     "spdx-license-identifier: gpl-3.0-only": "SpdxGPL3",
@@ -80,8 +96,30 @@ SENTENCES = {
     "all rights reserved": "AllRights",
 }
 
+# Identifiers of published licences that a licence expression may name, besides the five above.
+SPDX = (
+    "0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Artistic-2.0", "BSD-2-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0",
+    "CC-BY-SA-4.0", "CC0-1.0", "EPL-1.0", "EPL-2.0", "GPL-2.0-or-later", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only",
+    "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MPL-2.0", "Unlicense", "WTFPL", "Zlib",
+)
+SPDX_LINE = "spdx-license-identifier: "
+
 # Ordered rules, the licence of each run of identifiers.
 RULES = [
+    ("LGPL-2.1-or-later", ["LGPL21Plus", "GPLWarranty", "LGPLSee"]),
+    ("LGPL-3.0-or-later", ["LGPL3Plus", "GPLWarranty", "LGPLSee"]),
+    ("AGPL-3.0-or-later", ["AGPL3Plus", "GPLWarranty", "AGPLSee"]),
+    ("MPL-2.0", ["MPL2Subject", "MPL2Copy"]),
+    ("ISC", ["ISCGrant", "ISCAsIs"]),
+    ("LGPL-2.1-or-later", ["LGPL21Plus"]),
+    ("LGPL-3.0-or-later", ["LGPL3Plus"]),
+    ("AGPL-3.0-or-later", ["AGPL3Plus"]),
+    ("MPL-2.0", ["MPL2Subject"]),
+    ("ISC", ["ISCGrant"]),
+    ("EPL-2.0", ["EPL2"]),
+    ("Unlicense", ["UnlicenseGrant"]),
+    ("CC0-1.0", ["CC0Grant"]),
+    *[(name, [f"Spdx-{name}"]) for name in SPDX],
     ("BSD-3-Clause", ["Copyright", "AllRights", "BSDPre", "BSDSource", "BSDBinary", "BSDEndorse", "BSDAsIs", "BSDLiability"]),
     ("BSD-3-Clause", ["BSDPre", "BSDSource", "BSDBinary", "BSDEndorse", "BSDAsIs", "BSDLiability"]),
     ("Apache-2.0", ["ASFGrant", "ASFNotice", "ApacheRef", "ApacheComply", "ApacheCopy", "AsIsBasis", "SeeLicense"]),
@@ -119,15 +157,16 @@ RULES = [
 ]
 
 # Every known sentence has one of these words, so a text without any needs no splitting.
-TRIGGER = r"(?i)licens|licenc|permission|be liable|warrant|redistribut|copyright|rights reserved|free software|endorse|express or implied"
+TRIGGER = r"(?i)licens|licenc|permission|unencumbered|mozilla\.org|be liable|warrant|redistribut|copyright|rights reserved|free software|endorse|express or implied"
 ABOUT = r"licens|licenc|copyright|spdx"
 
 
 QUOTES = "[\"'`“”]*"
 # Between two words of a sentence: blanks, line ends, comment marks and quotes, with one blank at least.
 BETWEEN = r"[\"'`“”]*+\s[\s#*/>;\"'`“”-]*+"
-# The name of whoever holds the rights, in the sentences that state it; it may break a line, too.
-HOLDER = r"[^.;:]{1,160}?"
+# The name of whoever holds the rights, in the sentences that state it; it may break a line, too, and have full stops.
+# Its length has a bound, so that a text that begins such a sentence again and again is still read in linear time.
+HOLDER = r"[^;:]{1,400}?"
 
 
 def wrapped(sentence: str) -> str:
@@ -146,7 +185,10 @@ def folds() -> list[tuple[str, str]]:
     out = [(wrapped(s), s) for s in SENTENCES if s.count(" ") >= 3]
     # One published sentence, known by its halves; they stand apart in the usual layout.
     comply = "you may not use this file except in compliance with the license"
-    return [(wrapped(f"(the license); {comply}"), f"(the license).\n{comply}"), *out]
+    # This one has a full stop before a blank.
+    mozilla = "this source code form is subject to the terms of the mozilla public license, v.2.0"
+    first = [(wrapped(f"(the license); {comply}"), f"(the license).\n{comply}"), (wrapped(mozilla.replace("v.2", "v. 2")), mozilla)]
+    return [*first, *out]
 
 
 def sentences(text: Column) -> Column:
@@ -157,7 +199,7 @@ def sentences(text: Column) -> Column:
     follows it; elsewhere a line that begins in upper case is a sentence of its own, so that a
     heading above a licence sentence does not hide it.
     """
-    joined = F.lower(F.regexp_replace(text, r"(?<![.!?;:])\n(?=[\t #*/>;-]{0,8}[a-z])", " "))
+    joined = F.lower(F.regexp_replace(text, r"(?<![.!?;:])\n(?=[\t #*/>;-]*+[a-z])", " "))
     for pattern, line in folds():
         joined = F.regexp_replace(joined, pattern, line)
     return F.split(joined, r"\n|(?<=[.!?])[\t ]+", -1)
@@ -171,14 +213,27 @@ def normalised(sentence: Column) -> Column:
     return F.regexp_replace(s, r"^(?:copyright|\(c\)|©)(?: \(c\)| ©)?(?: [0-9, -]+)?(?: .+)?$", "copyright <holder>")
 
 
+def identifiers(sentence: Column, known: Column) -> Column:
+    """Identifiers of a normalised sentence: its own, or those of the licences that an SPDX expression names.
+
+    An expression keeps its operators to itself: ``MIT OR Apache-2.0`` names two licences.
+    """
+    spdx = F.create_map(*[F.lit(x) for name in SPDX for x in (name.lower(), f"Spdx-{name}")])
+    names = F.regexp_extract_all(F.substring(sentence, F.lit(len(SPDX_LINE) + 1), F.length(sentence)), F.lit(r"([a-z0-9][a-z0-9.+-]*)"), F.lit(1))
+    told = F.transform(names, lambda n: F.coalesce(F.element_at(known, F.concat(F.lit(SPDX_LINE), n)), F.element_at(spdx, n)))
+    own = F.array(F.element_at(known, sentence))
+    return F.filter(F.when(F.startswith(sentence, F.lit(SPDX_LINE)), told).otherwise(own), lambda x: x.isNotNull())
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_known, n_unknown, sentence_ids, licenses and unmatched (comma-joined) per row."""
     text = F.coalesce(F.col("text"), F.lit(""))
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
     split = F.when(F.rlike(text, F.lit(TRIGGER)), F.filter(F.transform(sentences(text), normalised), lambda s: F.rlike(s, F.lit(ABOUT)) | F.rlike(s, F.lit(TRIGGER))))
     rows = docs.select("doc_id", F.inline(F.array(F.struct(F.coalesce(split, F.array().cast("array<string>")).alias("_s")))))
-    ids = F.filter(F.transform("_s", lambda s: F.element_at(known, s)), lambda x: x.isNotNull())
-    unknown = F.filter("_s", lambda s: F.rlike(s, F.lit(ABOUT)) & F.element_at(known, s).isNull())
+    found = F.transform("_s", lambda s: identifiers(s, known))
+    ids = F.flatten(found)
+    unknown = F.filter(F.arrays_zip(F.col("_s").alias("s"), found.alias("i")), lambda p: F.rlike(p["s"], F.lit(ABOUT)) & (F.size(p["i"]) == 0))
     rows = rows.select("doc_id", F.size(unknown).cast("long").alias("n_unknown"), F.inline(F.array(F.struct(ids.alias("_ids")))))
     # Every identifier stands between two commas of its own, so that runs can be replaced one after the other.
     sequence = F.concat_ws("", F.transform("_ids", lambda x: F.concat(F.lit(","), x, F.lit(","))))
@@ -215,7 +270,11 @@ def _op8_sql() -> str:
         steps.append(f"r{i} AS (SELECT *, CASE WHEN contains({rest}, {pattern}) THEN {_quoted(name)} END AS f{i}, replace({rest}, {pattern}, ';') AS q{i} FROM {'seq' if i == 0 else f'r{i - 1}'})")
         rest = f"q{i}"
     # Twice, as a match takes in the letter before the next one.
-    once = r"'(^|[^.!?;:])\n([\t #*/>;-]{0,8}[a-z])', '\1 \2', 'g'"
+    once = r"'(^|[^.!?;:])\n([\t #*/>;-]*[a-z])', '\1 \2', 'g'"
+    folded = "lower(text)"
+    for pattern, line in folds():
+        folded = f"regexp_replace({folded}, {_quoted(pattern.replace('*+', '*'))}, {_quoted(line)}, 'g')"
+    spdx = ", ".join(f"({_quoted(n.lower())}, 'Spdx-{n}')" for n in SPDX)
     last, found = len(RULES) - 1, ", ".join(f"f{i}" for i in range(len(RULES)))
     return rf"""
 WITH d AS (
@@ -223,8 +282,10 @@ WITH d AS (
 ), joined AS (
   SELECT rid, regexp_replace(regexp_replace(text, {once}), {once}) AS text
   FROM d WHERE regexp_matches(text, {_quoted(TRIGGER)})
+), folded AS (
+  SELECT rid, {folded} AS text FROM joined
 ), cut AS (
-  SELECT rid, string_split_regex(regexp_replace(text, '([.!?])[\t ]+', '\1' || chr(10), 'g'), '\n') AS parts FROM joined
+  SELECT rid, string_split_regex(regexp_replace(text, '([.!?])[\t ]+', '\1' || chr(10), 'g'), '\n') AS parts FROM folded
 ), sent AS (
   SELECT rid, unnest(parts) AS s, generate_subscripts(parts, 1) AS pos FROM cut
 ), n1 AS (
@@ -233,12 +294,24 @@ WITH d AS (
 ), n2 AS (
   SELECT rid, pos, regexp_replace(s, '^(?:copyright|\(c\)|©)(?: \(c\)| ©)?(?: [0-9, -]+)?(?: .+)?$', 'copyright <holder>') AS s FROM n1
 ), known(s, id) AS (VALUES {values}
-), marked AS (
-  SELECT rid, pos, id, regexp_matches(n2.s, '{ABOUT}') AND id IS NULL AS unknown FROM n2 LEFT JOIN known ON n2.s = known.s
+), spdx(n, id) AS (VALUES {spdx}
+), named AS (
+  SELECT rid, pos, unnest(names) AS n, generate_subscripts(names, 1) AS place
+  FROM (SELECT rid, pos, regexp_extract_all(substr(s, {len(SPDX_LINE) + 1}), '[a-z0-9][a-z0-9.+-]*') AS names
+        FROM n2 WHERE starts_with(s, '{SPDX_LINE}'))
+), ids AS (
+  SELECT rid, pos, 0 AS place, id FROM n2 JOIN known ON n2.s = known.s WHERE NOT starts_with(n2.s, '{SPDX_LINE}')
+  UNION ALL
+  SELECT rid, pos, place, coalesce(known.id, spdx.id) FROM named LEFT JOIN known ON known.s = '{SPDX_LINE}' || n LEFT JOIN spdx USING (n)
+  WHERE coalesce(known.id, spdx.id) IS NOT NULL
+), told AS (
+  SELECT rid, count(*) AS n_known, string_agg(id, ',' ORDER BY pos, place) AS ids,
+         string_agg(',' || id || ',', '' ORDER BY pos, place) AS q FROM ids GROUP BY rid
+), missed AS (
+  SELECT rid, count(*) AS n_unknown FROM n2
+  WHERE regexp_matches(s, '{ABOUT}') AND NOT EXISTS (SELECT 1 FROM ids WHERE ids.rid = n2.rid AND ids.pos = n2.pos) GROUP BY rid
 ), agg AS (
-  SELECT rid, count(id) AS n_known, count(*) FILTER (WHERE unknown) AS n_unknown,
-         string_agg(id, ',' ORDER BY pos) AS ids, string_agg(',' || id || ',', '' ORDER BY pos) AS q
-  FROM marked GROUP BY rid
+  SELECT rid, n_known, n_unknown, ids, q FROM told FULL JOIN missed USING (rid)
 ), seq AS (
   SELECT doc_id, coalesce(n_known, 0) AS n_known, coalesce(n_unknown, 0) AS n_unknown, coalesce(ids, '') AS ids, coalesce(q, '') AS q
   FROM d LEFT JOIN agg USING (rid)
