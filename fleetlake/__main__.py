@@ -3,7 +3,10 @@
     python -m fleetlake land    raw.csv LANDING
     python -m fleetlake batch   LANDING LAKE --servers PATH   Bronze, Silver, Gold and serving tables
     python -m fleetlake detect  LAKE                 scores, incidents and model
-    python -m fleetlake stream  LANDING LAKE         Bronze and Silver, incrementally
+    python -m fleetlake analyse LAKE                 answers to the operational questions, a table each
+    python -m fleetlake stream  LANDING LAKE         Bronze, Silver, Gold and alerts, incrementally
+    python -m fleetlake score   LAKE                 scores and incidents of streamed readings, by the model of ``detect``
+    python -m fleetlake compact LAKE                 rewrite the small files of streamed Silver
     python -m fleetlake report  LAKE                 counts, worst servers, open alerts
 """
 
@@ -12,24 +15,16 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
-from pyspark.sql import types as T
 
 from fleetlake.operators import quality, serving
+from fleetlake.plans.analysis import run_analysis
 from fleetlake.plans.detection import run_detection
+from fleetlake.plans.live import run_live, score_later, watch
 from fleetlake.plans.medallion import Lake, run_medallion
 from fleetlake.session import build_session
-from fleetlake.sources.readings import LANDED, land, read_csv_readings
+from fleetlake.sources.readings import land, read_csv_readings
 from fleetlake.sources.tables import read_published
-from fleetlake.streaming.streams import stream_bronze, stream_silver
-
-BRONZE = T.StructType(
-    [
-        *LANDED.fields,
-        T.StructField("_source_file", T.StringType()),
-        T.StructField("_ingested_at", T.TimestampType()),
-    ]
-)
-
+from fleetlake.streaming.streams import compact_silver, streamed_silver
 
 def report(spark: SparkSession, lake: Lake) -> None:
     """The few small tables an operator looks at first."""
@@ -47,7 +42,10 @@ def main(argv: list[str] | None = None) -> None:
         "land": ["csv", "landing"],
         "batch": ["landing", "lake"],
         "detect": ["lake"],
+        "analyse": ["lake"],
         "stream": ["landing", "lake"],
+        "score": ["lake"],
+        "compact": ["lake"],
         "report": ["lake"],
     }.items():
         command = commands.add_parser(name)
@@ -71,12 +69,16 @@ def main(argv: list[str] | None = None) -> None:
         run_medallion(spark, args.landing, lake, spark.read.parquet(args.servers))
     elif args.command == "detect":
         run_detection(lake.read(spark, "silver"), lake.path("ml"))
+    elif args.command == "analyse":
+        run_analysis(lake.read(spark, "silver"), lake.path("analysis"))
     elif args.command == "stream":
-        base = lake.path("stream")
-        stream_bronze(spark, args.landing, f"{base}/bronze", f"{base}/ckpt-bronze").awaitTermination()
-        stream_silver(
-            spark, f"{base}/bronze", f"{base}/silver", f"{base}/ckpt-silver", BRONZE
-        ).awaitTermination()
+        run_live(spark, args.landing, lake.path("stream"))
+        watch(spark, lake.path("stream"))
+    elif args.command == "score":
+        valid, _ = streamed_silver(spark, lake.path("stream/silver"))
+        score_later(spark, valid, lake.path("ml/model"), lake.path("stream/ml"))
+    elif args.command == "compact":
+        compact_silver(spark, lake.path("stream/silver"))
     else:
         report(spark, lake)
 

@@ -105,3 +105,8 @@ def clean_and_validate(
 ) -> tuple[DataFrame, DataFrame]:
     """``(valid, rejects)``. To use both, stage ``classify(...)`` once and ``split`` it."""
     return split(classify(df, min_ts, as_of, order_by))
+
+
+def with_outcome(classified: DataFrame) -> DataFrame:
+    """``outcome``, valid or rejected, to write both kinds of rows in one pass."""
+    return classified.withColumn("outcome", F.when(F.col("_reject_reason").isNull(), "valid").otherwise("rejected"))

@@ -88,36 +88,37 @@ def staged(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return stage(rows.select(*columns) if columns else rows, "silver")
 
 
-def summary(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.build_server_summary(staged(spark, sf))
+def summary(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
+    """From ``rows``, or from the cleaned readings if a query needs them for nothing else."""
+    return gold.build_server_summary(staged(spark, sf) if rows is None else rows)
 
 
 def servers(snapshot: DataFrame, sf: str) -> DataFrame:
     return serving.server_rows(snapshot, servers_from_events(snapshot.sparkSession, sf))
 
 
-def view(spark: SparkSession, sf: str) -> DataFrame:
-    snapshot = stage(summary(spark, sf), "summary")
+def view(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
+    snapshot = stage(summary(spark, sf, rows), "summary")
     return serving.health_view(snapshot, servers(snapshot, sf))
 
 
-def z_scores(spark: SparkSession, sf: str) -> DataFrame:
+def z_scores(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
     """Features (slopes to four digits, so that both engines see the same) with their z."""
-    featured = scaling.build_features(staged(spark, sf))
+    featured = scaling.build_features(staged(spark, sf) if rows is None else rows)
     featured = stage(round_cols(featured, list(scaling.SLOPE_FEATURES), 4), "features")
     return scaling.apply_scalers(featured, stage(scaling.fit_scalers(featured), "scalers"))
 
 
-def simple_scored(spark: SparkSession, sf: str) -> DataFrame:
+def simple_scored(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
     """Readings flagged by their largest absolute z: a detector that SQL can repeat."""
     largest = F.greatest(*[F.abs(F.col(f"z_{f}")) for f in FEATURES])
-    scored = z_scores(spark, sf).withColumn("score", rounded(largest, 6))
+    scored = z_scores(spark, sf, rows).withColumn("score", rounded(largest, 6))
     flagged = forest.flag(stage(scored, "scored"), raw="score")
     return flagged.withColumn("anomaly_score", rounded(F.col("anomaly_score"), 6))
 
 
-def simple_events(spark: SparkSession, sf: str) -> DataFrame:
-    return incidents.finish_events(incidents.build_events(simple_scored(spark, sf)), ordered=False)
+def simple_events(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
+    return incidents.finish_events(incidents.build_events(simple_scored(spark, sf, rows)), ordered=False)
 
 
 def half_flagged(spark: SparkSession, sf: str) -> DataFrame:
@@ -526,7 +527,8 @@ def j09_orphans(spark, sf):
 
 @query
 def j10_server_detail(spark, sf):
-    return serving.server_detail(view(spark, sf), simple_events(spark, sf), "server03")
+    rows = staged(spark, sf)
+    return serving.server_detail(view(spark, sf, rows), simple_events(spark, sf, rows), "server03")
 
 
 # --- A: aggregations
@@ -736,8 +738,10 @@ def a35_flag_rate(spark, sf):
 
 @query
 def a36_fleet_kpis(spark, sf):
-    health = view(spark, sf)
-    return serving.fleet_kpis(health, simple_events(spark, sf), serving.derive_alerts(health, at(NOW)))
+    rows = staged(spark, sf)
+    health = stage(view(spark, sf, rows), "view")
+    events = stage(simple_events(spark, sf, rows), "events")
+    return serving.fleet_kpis(health, events, serving.derive_alerts(health, at(NOW)))
 
 
 @query
@@ -1041,6 +1045,33 @@ def s11_model(spark, sf):
     )
 
 
+@query
+def s11_model_scalers(spark, sf):
+    """Scalers as they come back from a saved model."""
+    path = scratch_path(spark, "model")
+    featured = scaling.build_features(staged(spark, sf))
+    featured = stage(round_cols(featured, list(scaling.SLOPE_FEATURES), 4), "features")
+    scalers = stage(scaling.fit_scalers(featured), "scalers")
+    z = scaling.apply_scalers(featured, scalers)
+    forest.save_model(scalers, forest.fit_forest(z, trees=8), path, features=",".join(FEATURES))
+    again, _, settings = forest.load_model(spark, path)
+    kept = again.filter(F.col("feature").isin(settings["features"].split(",")))
+    return round_cols(kept.select("server_id", "feature", "median", "scale"), ["median", "scale"], 5)
+
+
+@query
+def p05_split_tables(spark, sf):
+    """Valid and rejected rows from one write, read back as the two tables that a lake has."""
+    root = scratch_path(spark, "split")
+    rows = classified(spark, sf)
+    paths = {"valid": f"{root}/silver", "rejected": f"{root}/telemetry_rejects"}
+    tables.write_split(silver.with_outcome(rows), "outcome", paths, ["dt"])
+    columns = ["event_id", "server_id", "dt"]
+    good = tables.read_table(spark, paths["valid"]).select(*columns, F.lit("").alias("reason"))
+    bad = tables.read_table(spark, paths["rejected"]).select(*columns, F.col("_reject_reason").alias("reason"))
+    return good.unionByName(bad)
+
+
 # --- X: streams
 
 

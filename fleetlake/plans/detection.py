@@ -25,6 +25,7 @@ from fleetlake.operators.incidents import build_events, finish_events
 from fleetlake.operators.quality import orphans
 from fleetlake.operators.scaling import FEATURES, apply_scalers, build_features, fit_scalers, unscaled_servers
 from fleetlake.operators.serving import serving_anomalies
+from fleetlake.operators.sketches import day_sketches, scalers_from_sketches
 from fleetlake.session import stage
 from fleetlake.sources.tables import ANOMALY_TYPES, conform, publish, write_events, write_scores, write_table
 
@@ -40,14 +41,19 @@ class Detection:
     cut: float
 
 
-def scale(silver: DataFrame, cap: float | None = None) -> tuple[DataFrame, DataFrame]:
-    """Features with their z-scores, and the scalers fitted on them.
+def scale(silver: DataFrame, cap: float | None = None, exact: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Features with their z-scores, and the scalers fitted on them, exactly or from sketches in one pass.
 
     The features are written once, since fitting reads them several times. The z-scores are
     not: they are a projection of the features beside one scaler row per server.
     """
     featured = stage(build_features(silver), "features")
-    scalers = stage(fit_scalers(featured), "scalers")
+    if exact:
+        fitted = fit_scalers(featured)
+    else:
+        days = day_sketches(featured.withColumn("dt", F.to_date("timestamp")))
+        fitted = scalers_from_sketches(days).select("server_id", "feature", "median", "scale")
+    scalers = stage(fitted, "scalers")
     return apply_scalers(featured, scalers, cap=cap), scalers
 
 
@@ -57,9 +63,10 @@ def detect(
     contamination: float = CONTAMINATION,
     seed: int = SEED,
     cap: float | None = None,
+    exact: bool = True,
 ) -> Detection:
     """Fit on ``silver`` and score the same readings."""
-    z, scalers = scale(silver, cap)
+    z, scalers = scale(silver, cap, exact)
     forest = stage(fit_forest(z, trees=trees, seed=seed), "forest")
     scored = stage(score(z, forest), "scored")
     found = cutoff(scored, contamination=contamination).first()

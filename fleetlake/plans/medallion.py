@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions.rules import MIN_VALID_TIMESTAMP, HealthConfig
 from fleetlake.operators.gold import build_daily_metrics, build_server_summary
+from fleetlake.operators.quality import orphans
 from fleetlake.operators.serving import derive_alerts, insert_absent, server_rows, upsert
-from fleetlake.operators.silver import classify, latest_hostname, split
+from fleetlake.operators.silver import classify, latest_hostname, split, with_outcome
 from fleetlake.session import stage
 from fleetlake.sources.readings import build_bronze, scan_landing
 from fleetlake.sources.tables import (
@@ -22,6 +23,7 @@ from fleetlake.sources.tables import (
     read_table,
     save_managed,
     update_published,
+    write_split,
     write_table,
 )
 
@@ -61,9 +63,17 @@ def run_silver(
     as_of: Column | None = None,
     min_ts: datetime = MIN_VALID_TIMESTAMP,
 ) -> None:
-    """Clean once, write valid and rejected rows. Rejects are always written, even if empty."""
-    bronze = lake.read(spark, "bronze")
-    valid, rejects = split(stage(classify(bronze, min_ts, as_of), "silver"))
+    """Clean once, write valid and rejected rows. Rejects are always written, even if empty.
+
+    Path tables come from a single write by (outcome, dt); tables of a catalog or of another format are written one
+    after the other, from a staged copy.
+    """
+    classified = classify(lake.read(spark, "bronze"), min_ts, as_of)
+    if lake.schema is None and lake.fmt == "parquet":
+        paths = {"valid": lake.path("silver"), "rejected": lake.path("telemetry_rejects")}
+        write_split(with_outcome(classified), "outcome", paths, ["dt"])
+        return
+    valid, rejects = split(stage(classified, "silver"))
     lake.write(valid, "silver", ["dt"])
     lake.write(rejects, "telemetry_rejects")
 
@@ -82,7 +92,10 @@ def run_serving(
     now: Column | None = None,
     cfg: HealthConfig = HealthConfig(),
 ) -> None:
-    """Load the serving tables: new servers, fresh health snapshot, alerts derived anew."""
+    """Load the serving tables: new servers, fresh health snapshot, alerts derived anew.
+
+    Servers that the metadata does not know are loaded with nulls and reported below ``report/orphans``.
+    """
     stamp = F.current_timestamp() if now is None else now
     # A renamed host has two rows in Gold; the serving tables have one row per server, over all
     # of its readings.
@@ -90,6 +103,8 @@ def run_serving(
     servers = server_rows(summary, meta).withColumn("created_at", stamp)
     health = conform(summary, HEALTH_SUMMARY_TYPES).withColumn("updated_at", stamp)
 
+    write_table(orphans(summary.select("server_id", "hostname"), meta, "server_id"), lake.path("report/orphans"))
+
     def with_new_servers(known: DataFrame | None) -> DataFrame:
         return insert_absent(servers.limit(0) if known is None else known, servers, ["server_id"])
 

@@ -552,6 +552,7 @@ _PARTS |= {
         "x02_stream_gold": "a05_daily_metrics",
         "x02_stream_summary": "a04_server_summary",
         "x04_stream_alerts": "x04_step_alerts",
+        "s11_model_scalers": "m02_scalers",
     }.items()
 }
 _PARTS |= {
@@ -560,6 +561,7 @@ _PARTS |= {
     "p17_around_incidents": (EVENTS, """select i.lo as "incident_timestamp", event_id, s.server_id, s."timestamp", score
         from scored s join (select server_id, min("timestamp") as lo, max("timestamp") as hi from ranked group by server_id, run) i
         on s.server_id = i.server_id and s."timestamp" between lo - interval '60 minutes' and hi + interval '60 minutes'"""),
+    "p05_split_tables": (SILVER, "select event_id, server_id, dt, coalesce(_reject_reason, '') as reason from classified"),
     "m02_scalers_sketch": (SCALED, """select server_id, feature, count(x) as readings, true as median_within, true as mad_within
         from long group by server_id, feature having count(x) > 0"""),
 }

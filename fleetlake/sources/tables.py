@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +60,44 @@ def write_table(
     writer.save(path)
 
 
+def write_split(df: DataFrame, outcome: str, paths: dict[str, str], partition_by: list[str]) -> None:
+    """Overwrite several path tables with one write, by the value of ``outcome`` (all values are in ``paths``).
+
+    Rows go once to ``outcome=<value>/...`` in a folder beside the tables, whose parts then become the tables by
+    renaming. A table without rows is written empty, so that it can be read.
+    """
+    spark = df.sparkSession
+    draft = f"{next(iter(paths.values()))}.{uuid.uuid4().hex}"
+    _layout(df, [outcome, *partition_by]).write.partitionBy(outcome, *partition_by).parquet(draft)
+    for value, path in paths.items():
+        if not move_folder(spark, f"{draft}/{outcome}={value}", path):
+            write_table(spark.createDataFrame([], df.drop(outcome).schema), path)
+    remove_folder(spark, draft)
+
+
+def _folder(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> bool:
+    """Put a folder in the place of another; False if there is no such folder."""
+    old, fs = _folder(spark, source)
+    new, _ = _folder(spark, target)
+    if not fs.exists(old):
+        return False
+    fs.delete(new, True)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+    return True
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    target, fs = _folder(spark, path)
+    fs.delete(target, True)
+
+
 def save_managed(
     df: DataFrame,
     name: str,

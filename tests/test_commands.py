@@ -1,8 +1,9 @@
 from conftest import fleet
 from fleetlake import __main__ as cli
+from fleetlake.plans import analysis
 from fleetlake.plans.medallion import Lake, run_medallion
-from fleetlake.sources import readings, tables
-from fleetlake.streaming import streams
+from fleetlake.sources import filelist, readings, tables
+from fleetlake.streaming import live_gold, streams
 
 
 def test_from_csv_to_report(spark, tmp_path, capsys):
@@ -16,12 +17,22 @@ def test_from_csv_to_report(spark, tmp_path, capsys):
     fleet(spark, 1).write.parquet(str(tmp_path / "servers"))
     cli.main(["batch", landing, lake, "--servers", str(tmp_path / "servers")])
     cli.main(["detect", lake])
+    cli.main(["analyse", lake])
     cli.main(["stream", landing, lake])
     cli.main(["report", lake])
     assert "cpu_out_of_range" in capsys.readouterr().out
     assert tables.read_table(spark, f"{lake}/silver").count() == 8
+    assert tables.read_table(spark, f"{lake}/report/orphans").count() == 0
+    assert analysis.answer(spark, f"{lake}/analysis", "cpu_by_server").first().peak_cpu == 17.0
+    assert {p.name for p in (tmp_path / "lake" / "analysis").iterdir()} == {*analysis.QUESTIONS, *analysis.NEEDS_TRUTH}
     assert tables.read_table(spark, f"{lake}/ml/anomaly_results").count() == 8
     assert streams.streamed_silver(spark, f"{lake}/stream/silver")[0].count() == 8
+    assert live_gold.live_daily(spark, f"{lake}/stream/gold").first().peak_cpu_percent == 17.0
+    cli.main(["score", lake])
+    cli.main(["score", lake])
+    cli.main(["compact", lake])
+    assert filelist.read(spark, f"{lake}/stream/ml/scores").count() == 8
+    assert streams.streamed_silver(spark, f"{lake}/stream/silver")[0].count() == 8
 
 
 def test_lake_in_a_catalog_schema(spark, reading, tmp_path):

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import NOON, minutes
-from fleetlake.operators import carried, gold, incidents, profile, scaling, series, serving, silver, sketches
+from fleetlake.operators import carried, forest, gold, incidents, profile, scaling, series, serving, silver, sketches
+from fleetlake.plans import detection, live
 from fleetlake.session import stage
 from fleetlake.sources import filelist, readings, tables
 from fleetlake.streaming import alerts, key_index, live_gold, streams
@@ -318,6 +319,41 @@ def test_continued_incidents_equal_those_of_one_run(spark):
         assert sorted(got) == keyed(want, *want.columns)
 
 
+def test_later_scores_in_runs_equal_those_of_one(spark, reading, tmp_path):
+    base = str(tmp_path)
+    wave = [{"timestamp": minutes(5 * i), "cpu_usage_percent": 20.0 + i * 7 % 11, "response_time_ms": 100.0 + i * 13 % 17} for i in range(400)]
+    odd = [{**r, "response_time_ms": 4000.0} if i in (310, 311, 350, 399) else r for i, r in enumerate(wave)]
+    rows = reading(*odd)
+    first = rows.filter(F.col("timestamp") < F.lit(minutes(1500)))
+    z, scalers = detection.scale(first)
+    sketched = {(r.server_id, r.feature): r for r in detection.scale(first, exact=False)[1].collect()}
+    for r in scalers.collect():  # fewer values than a sketch keeps: off by one value at most
+        assert abs(sketched[(r.server_id, r.feature)].median - r.median) <= abs(r.scale) + 1e-9
+    forest.save_model(scalers, forest.fit_forest(z, trees=40), f"{base}/model", cut=0.6)
+    want = detection.score_new(rows, f"{base}/model")
+    for upto in (1000, 1555, 1560, 2000):
+        part = rows.filter(F.col("timestamp") < F.lit(minutes(upto)))
+        for _ in range(2):  # the second run finds nothing new
+            live.score_later(spark, part, f"{base}/model", f"{base}/out")
+    got = filelist.read(spark, f"{base}/out/scores")
+    columns = ["server_id", "timestamp", "is_anomaly"]
+    assert keyed(got, *columns) == keyed(want, *columns)
+    whole = incidents.build_events(want)
+    closed = filelist.read(spark, f"{base}/out/incidents")
+    still_open = incidents.described(filelist.read(spark, f"{base}/out/open"))
+    assert keyed(closed.unionByName(still_open), "timestamp", "readings") == keyed(whole, "timestamp", "readings")
+    assert whole.count() >= 2 and still_open.count() == 1
+
+
+def test_split_tables_are_written_once_and_always(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "2026-01-01", "valid"), (2, "2026-01-02", "valid")], "id long, dt string, outcome string")
+    paths = {"valid": f"{tmp_path}/silver", "rejected": f"{tmp_path}/rejects"}
+    for _ in range(2):
+        tables.write_split(rows, "outcome", paths, ["dt"])
+        assert ids(spark.read.parquet(paths["valid"])) == [1, 2] and spark.read.parquet(paths["rejected"]).count() == 0
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["rejects", "silver"]
+
+
 # --- Interval join and sketches
 
 
