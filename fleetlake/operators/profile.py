@@ -220,8 +220,10 @@ def around_each(
 
 
 def correlate(df: DataFrame, x: str = CPU, y: str = LATENCY, by: str | None = None) -> DataFrame:
-    """Pearson correlation over the fleet, or per group and descending."""
-    r = rounded(F.corr(x, y), 3).alias("pearson_r")
+    """Pearson correlation over the fleet, or per group and descending; null where a column does not vary."""
+    # Of readings that have both; the built-in correlation fails on a column without any spread.
+    a, b = F.when(F.col(y).isNotNull(), F.col(x)), F.when(F.col(x).isNotNull(), F.col(y))
+    r = rounded(F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)), 3).alias("pearson_r")
     if by is None:
         return df.agg(r)
     return df.groupBy(by).agg(r).orderBy(F.desc_nulls_last("pearson_r"), by)
