@@ -3,7 +3,8 @@
 A text becomes pieces by merging adjacent symbols, always the candidate with the best score and of
 equal ones the leftmost. With ``dropout`` above 0 a candidate is skipped when a keyed hash of (seed,
 document, use of the document, place of the word, word, place in the word, piece) falls below the
-rate, so every occurrence of a word draws its own segmentation. Without dropout the pieces are those
+rate, so every occurrence of a word draws its own segmentation. The hash takes the piece that a merge would make and
+the place where it begins, so a piece that is skipped there does not form from another split either. Without dropout the pieces are those
 of the model. Every segmentation decodes to the text. Repeated rows of a document without a use column
 are equal.
 

@@ -26,7 +26,8 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -154,7 +155,29 @@ def _inflate(data: bytes, at: int) -> tuple[bytes, int, str]:
     return b"".join(out), min(i, len(data)) - len(unpacker.unused_data), ""
 
 
-def _member(data: bytes, at: int) -> tuple[list[Record | Gap], int, str]:
+class _Marks:
+    """Where the next record may begin. Searches only go forward, so what a search found is kept until it is passed,
+    and a mark that does not come again is not looked for again: all gaps of a file together read it once per mark."""
+
+    def __init__(self, data: bytes):
+        self.data, self.known = data, {}
+
+    def _next(self, name: str, search: Callable[[bytes, int], int], at: int) -> int:
+        found = self.known.get(name)
+        if found is None or 0 <= found < at:
+            found = self.known[name] = search(self.data, at)
+        return found
+
+    def next_start(self, at: int, plain_only: bool) -> int:
+        """The next version line, or member with one, from ``at`` on; the end of the data if there is none."""
+        searches = {f"version {v}": partial(_next_version, version=v) for v in (b"WARC/1.", b"WARC/0.")}
+        if not plain_only:
+            searches["member"] = _next_member
+        starts = [i for name, search in searches.items() if (i := self._next(name, search, at)) >= 0]
+        return min(starts) if starts else len(self.data)
+
+
+def _member(data: bytes, at: int, marks: _Marks) -> tuple[list[Record | Gap], int, str]:
     """Records and gaps of the member at ``at``, the position behind it, and why it has no record."""
     content, behind, damage = _inflate(data, at)
     found = list(_search(content, plain_only=True))
@@ -162,20 +185,19 @@ def _member(data: bytes, at: int) -> tuple[list[Record | Gap], int, str]:
         return [], at, damage or (found[0].reason if found else "empty member")
     if damage:
         # The search goes on inside the damaged bytes.
-        starts = [i for i in (_next_member(data, at + 1), _next_version(data, at + 1)) if i >= 0]
-        behind = min(starts) if starts else len(data)
+        behind = marks.next_start(at + 1, False)
         if isinstance(found[-1], Gap):
             found.pop()
         found.append(Gap(at, 0, damage))
     return [x._replace(offset=at, length=behind - at) for x in found], behind, ""
 
 
-def _step(data: bytes, at: int, plain_only: bool) -> tuple[list[Record | Gap], int, str]:
+def _step(data: bytes, at: int, plain_only: bool, marks: _Marks) -> tuple[list[Record | Gap], int, str]:
     """What the member, or the plain record, at ``at`` holds."""
     if plain_only or data[at : at + 3] != MEMBER:
         record, behind, why = _parse(data, at)
         return ([record] if record else []), behind, why
-    return _member(data, at)
+    return _member(data, at, marks)
 
 
 def salvage(data: bytes) -> Iterator[Record | Gap]:
@@ -184,9 +206,9 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
 
 
 def _search(data: bytes, plain_only: bool) -> Iterator[Record | Gap]:
-    at, gap, reason = 0, None, ""
+    at, gap, reason, marks = 0, None, "", _Marks(data)
     while at < len(data):
-        found, behind, why = _step(data, at, plain_only)
+        found, behind, why = _step(data, at, plain_only, marks)
         if found:
             if gap is not None:
                 yield Gap(gap, at - gap, reason)
@@ -196,9 +218,7 @@ def _search(data: bytes, plain_only: bool) -> Iterator[Record | Gap]:
             continue
         if gap is None:
             gap, reason = at, why
-        starts = [_next_version(data, at + 1)] + ([] if plain_only else [_next_member(data, at + 1)])
-        starts = [i for i in starts if i >= 0]
-        at = min(starts) if starts else len(data)
+        at = marks.next_start(at + 1, plain_only)
     if gap is not None:
         yield Gap(gap, len(data) - gap, reason)
 
@@ -215,9 +235,9 @@ def _next_member(data: bytes, at: int) -> int:
     return -1
 
 
-def _next_version(data: bytes, at: int) -> int:
-    found = [i for i in (data.find(b"\nWARC/1.", at - 1), data.find(b"\nWARC/0.", at - 1)) if i >= 0]
-    return min(found) + 1 if found else -1
+def _next_version(data: bytes, at: int, version: bytes) -> int:
+    found = data.find(b"\n" + version, at - 1)
+    return found + 1 if found >= 0 else -1
 
 
 def roles(source: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:

@@ -796,6 +796,13 @@ def test_published_license_texts(spark, tmp_path):
 # --- WARC
 
 
+def test_many_gaps_are_searched_in_linear_time():
+    """A hundred thousand broken version lines, and chance member marks, before one good record."""
+    page = warc.page_record(7, "http://x/", b"body", None, False, "2000-01-01T00:00:00Z")
+    data = b"\nWARC/1.1 broken" * 100_000 + b"\x1f\x8b\x08 no member " * 20_000 + b"\n" + page
+    assert salvaged(data)[0] == [7]
+
+
 def salvaged(data):
     found = list(warc.salvage(data))
     ids = [int(x.headers["warc-record-id"][10:-1]) for x in found if isinstance(x, warc.Record)]
