@@ -16,6 +16,7 @@ from fleetlake.functions.rules import (
     rounded,
 )
 
+# Names of the output columns come from these.
 UTILISATION = {"cpu": "cpu_usage_percent", "memory": "memory_usage_percent", "disk": "disk_usage_percent"}
 
 
@@ -88,6 +89,7 @@ def with_health_score(df: DataFrame, cfg: HealthConfig = HealthConfig()) -> Data
     return df.withColumn("health_score", rounded(health_score(cfg), 1))
 
 
+# Output columns that are rounded to two digits, in their order.
 ROUNDED = [
     *[f"{kind}_{m}_percent" for m in UTILISATION for kind in ("avg", "peak")],
     "avg_network_rx_bytes",
