@@ -7,6 +7,7 @@
     python -m fleetlake stream  LANDING LAKE         Bronze, Silver, Gold and alerts, incrementally
     python -m fleetlake score   LAKE                 scores and incidents of streamed readings, by the model of ``detect``
     python -m fleetlake compact LAKE                 rewrite the small files of streamed Silver
+    python -m fleetlake expire  LAKE                 delete staged tables and old versions older than two days
     python -m fleetlake report  LAKE                 counts, worst servers, open alerts
 """
 
@@ -21,11 +22,20 @@ from fleetlake.plans.analysis import run_analysis
 from fleetlake.plans.detection import run_detection
 from fleetlake.plans.live import run_live, score_later, watch
 from fleetlake.plans.medallion import Lake, run_medallion
-from fleetlake.session import build_session
+from fleetlake.session import build_session, expire_scratch
+from fleetlake.sources import filelist
 from fleetlake.sources.readings import land, read_csv_readings
 from fleetlake.sources.tables import read_published
 from fleetlake.streaming.streams import compact_silver, streamed_silver
 
+EXPIRE_HOURS = 48
+# Tables of a lake that are numbered lists of folders.
+LISTED = [
+    "servers", "server_health_summary", "alerts", "ml/anomalies", "stream/silver", "stream/gold/states", "stream/gold/daily",
+    "stream/ml/scores", "stream/ml/incidents", "stream/ml/open", "stream/ml/recent",
+]
+
+
 def report(spark: SparkSession, lake: Lake) -> None:
     """The few small tables an operator looks at first."""
     quality.reject_breakdown(lake.read(spark, "telemetry_rejects")).show(truncate=False)
@@ -46,6 +56,7 @@ def main(argv: list[str] | None = None) -> None:
         "stream": ["landing", "lake"],
         "score": ["lake"],
         "compact": ["lake"],
+        "expire": ["lake"],
         "report": ["lake"],
     }.items():
         command = commands.add_parser(name)
@@ -79,6 +90,10 @@ def main(argv: list[str] | None = None) -> None:
         score_later(spark, valid, lake.path("ml/model"), lake.path("stream/ml"))
     elif args.command == "compact":
         compact_silver(spark, lake.path("stream/silver"))
+    elif args.command == "expire":
+        expire_scratch(spark, EXPIRE_HOURS)
+        for table in LISTED:
+            filelist.expire(spark, lake.path(table), hours=EXPIRE_HOURS)
     else:
         report(spark, lake)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -101,3 +102,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def expire_scratch(spark: SparkSession, hours: float) -> int:
+    """Delete staged tables that were last written more than ``hours`` ago; how many went.
+
+    Choose more hours than the longest run takes: a run reads its own staged tables to its end.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/fleetlake")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return 0
+    oldest = time.time() * 1000 - hours * 3_600_000
+    gone = [status.getPath() for status in fs.listStatus(folder) if status.getModificationTime() < oldest]
+    for path in gone:
+        fs.delete(path, True)
+    return len(gone)

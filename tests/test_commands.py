@@ -31,6 +31,7 @@ def test_from_csv_to_report(spark, tmp_path, capsys):
     cli.main(["score", lake])
     cli.main(["score", lake])
     cli.main(["compact", lake])
+    cli.main(["expire", lake])
     assert filelist.read(spark, f"{lake}/stream/ml/scores").count() == 8
     assert streams.streamed_silver(spark, f"{lake}/stream/silver")[0].count() == 8
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import NOON, minutes
 from fleetlake.operators import carried, forest, gold, incidents, profile, scaling, series, serving, silver, sketches
 from fleetlake.plans import detection, live
-from fleetlake.session import stage
+from fleetlake.session import expire_scratch, stage
 from fleetlake.sources import filelist, readings, tables
 from fleetlake.streaming import alerts, key_index, live_gold, streams
 from test_streams import BRONZE, health, keyed
@@ -87,6 +87,24 @@ def test_compaction_keeps_rows_and_swaps_once(spark, tmp_path):
     assert filelist.read(spark, root, {part}).select("day").distinct().count() == 1
 
 
+def test_expiry_keeps_what_recent_lists_name(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for n in range(5):
+        tables.publish(spark.range(n + 1), root)
+    filelist.write_folders(spark.range(3), root)  # of a writer that never came to its commit
+    assert filelist.expire(spark, root, keep=2) == 0  # nothing is a day old
+    assert filelist.expire(spark, root, keep=2, hours=-1) == 4
+    assert ids(filelist.read(spark, root)) == [0, 1, 2, 3, 4]
+    assert ids(filelist.read(spark, root, at=filelist.listing(spark, root, 4))) == [0, 1, 2, 3]
+    tables.publish(spark.range(2), root)
+    assert filelist.listing(spark, root).number == 6
+
+
+def test_old_scratch_tables_go(spark):
+    kept = stage(spark.range(5), "kept")
+    assert expire_scratch(spark, 1) == 0 and kept.count() == 5
+
+
 # --- Upserts by bucket
 
 

@@ -23,7 +23,7 @@ ALWAYS = {
     "a04_server_summary", "a05_daily_metrics", "a08_cpu_profile", "a13_trend_report", "a15_fleet_robust_z", "a19_rule_vs_truth",
     "a26_server_hour_matrix", "j08_upsert", "j08_upsert_buckets", "m02_scalers_sketch", "m06_flags", "m07_incidents_continued",
     "m09_finished_events", "p03_validity_rules", "p05_reject_rows", "p05_split_tables", "p05_valid_rows", "p17_around_incidents",
-    "s05_scan_landing", "u02_two_writers", "w02_sessions", "w03_rolling_slopes", "w03_slopes_continued", "x02_stream_summary",
+    "s05_scan_landing", "u02_two_writers", "w02_sessions", "w03_rolling_slopes", "w03_slopes_continued",
     "x04_step_alerts", "x04_stream_alerts",
 }
 
