@@ -1,6 +1,7 @@
 """Registered queries against their SQL on the smallest data folder.
 
-By default one query for each row of the inventory and some more; ``FLEETLAKE_ALL_QUERIES=1`` runs every one.
+By default one query for each row of the inventory, a few of the slow ones among them; ``FLEETLAKE_ALL_QUERIES=1``
+runs every one.
 """
 
 import os
@@ -13,8 +14,12 @@ from tools.compare import compare, duck
 
 SF_DIR = "/root/testdata/sf0.001"
 
-# Queries that run streams, fit a forest or write many files; a few of them are enough every time.
+# Queries that run streams or the whole detector, or write many files; a few of them are enough every time.
 SLOW = {
+    "a33_evaluate_by_server", "a35_flag_rate", "a36_fleet_kpis", "a38_severity_counts", "a39_incidents_per_server",
+    "j10_server_detail", "m03_z_scores", "m04_forest", "m07_incidents", "m08_dominant_feature", "m10_winsorised",
+    "p11_round_scores", "p13_filter_severity", "p19_description", "s10_scores_and_events", "s12_serving_anomalies",
+    "t02_top_scores", "t04_latest",
     "m02_scalers", "m02_scalers_sketch", "m05_isolation_scores", "m12_detection", "p17_around_incidents", "s07_compact",
     "s11_model", "s11_model_scalers", "x01_stream_bronze", "x02_compact_silver", "x02_stream_gold", "x02_stream_silver",
     "x02_stream_summary", "x03_stream_events", "x04_stream_alerts",
