@@ -29,7 +29,7 @@ from fleetlake.operators.series import MICROS
 from fleetlake.operators.silver import KEYS, classify
 from fleetlake.session import settings
 from fleetlake.sources import filelist
-from fleetlake.sources.readings import LANDED, build_bronze
+from fleetlake.sources.readings import LANDED, build_bronze, landed, stored
 from fleetlake.sources.tables import publish, read_published
 from fleetlake.streaming import key_index
 
@@ -48,11 +48,11 @@ def stream_bronze(
 
     Runs over what is there and stops; call it again (or change the trigger) to continue.
     """
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(stored(schema))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return (
-        build_bronze(reader.parquet(root))
+        build_bronze(landed(reader.parquet(root), schema))
         .writeStream.format("parquet")
         .partitionBy("dt")
         .option("checkpointLocation", ckpt)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from fleetlake.plans.medallion import Lake, run_medallion
 from fleetlake.session import scratch_dir, scratch_path
 from fleetlake.sources import readings, tables
+from fleetlake.streaming import streams
 from conftest import fleet, minutes
 
 
@@ -46,6 +47,31 @@ def test_one_day_and_server_is_pruned_to(spark, reading, tmp_path):
     assert "PartitionFilters: [isnotnull(" in plan and day.count() == 1
 
 
+def test_thin_servers_share_a_folder_and_come_back(spark, reading, tmp_path):
+    """Folders follow readings and days, not servers times days; odd ids and both ways of reading are whole."""
+    root, base = str(tmp_path / "landing"), str(tmp_path)
+    odd = [None, "", "  SERVER07 ", "__shared__", "__HIVE_DEFAULT_PARTITION__", "a=b/c"]
+    many = [{"server_id": f"server{i:03d}", "timestamp": minutes(1440 * (i % 2))} for i in range(40)]
+    thick = [{"server_id": "busy", "timestamp": minutes(i)} for i in range(5)]
+    rows = reading(*many, *thick, *[{"server_id": s} for s in odd])
+    readings.land(rows, root, max_folders=10, own_rows=5)
+    folders = {tuple(p.parts[-3:-1]) for p in (tmp_path / "landing").rglob("*.parquet")}
+    shared = "server_id=__shared__"
+    assert folders == {("server_id=busy", "dt=2026-07-15"), (shared, "dt=2026-07-15"), (shared, "dt=2026-07-16")}
+    # A small landing beside it keeps a folder for each pair, but for ids that a path would not give back.
+    readings.land(reading({"server_id": "server000"}, {"server_id": ""}), root)
+    want = sorted([*[str(r.server_id) for r in rows.collect()], "server000", ""])
+    scan = readings.scan_landing(spark, root)
+    assert scan.columns == readings.LANDED.names
+    assert sorted(str(r.server_id) for r in scan.collect()) == want
+    assert readings.scan_landing(spark, root, servers=["server000", "busy"]).count() == 7
+    assert scan.filter("server_id = 'server000'").count() == 2
+    streams.stream_bronze(spark, root, f"{base}/bronze", f"{base}/ckpt").awaitTermination()
+    bronze = spark.read.parquet(f"{base}/bronze")
+    assert sorted(str(r.server_id) for r in bronze.collect()) == want
+    assert "_landed_id" not in bronze.columns and bronze.filter("_source_file like '%/dt=%'").count() == len(want)
+
+
 def test_bronze_lineage(spark, reading, tmp_path):
     root = str(tmp_path / "landing")
     readings.land(reading({}), root)
