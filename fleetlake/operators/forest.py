@@ -165,52 +165,92 @@ def collect_forest(forest: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return padded("feature", -1, np.int32), padded("threshold", 0.0, float), padded("path", 0.0, float)
 
 
+TOP_LEVELS = 3  # tests of these levels are made for all rows at once and packed to one byte
+
+
+def _complete_trees(forest: tuple[np.ndarray, np.ndarray, np.ndarray], features: int) -> tuple:
+    """The trees in the form ``isolation`` descends: thresholds as ranks among those of their feature, all leaves last.
+
+    A value is above a threshold exactly if more of the feature's thresholds lie below it than below that one. A
+    leaf above the last level never sends a row to the right, so its path is found at its leftmost descendant.
+    """
+    feature, threshold, path = (part.copy() for part in forest)
+    levels = int(math.log2(feature.shape[1] + 1)) - 1
+    cuts = [np.unique(threshold[feature == f]) for f in range(features)]
+    never = max(len(c) for c in cuts)
+    rank = np.full(feature.shape, never, dtype=np.int32)
+    for f, c in enumerate(cuts):
+        rank[feature == f] = np.searchsorted(c, threshold[feature == f])
+    for level in range(levels):
+        nodes = np.arange(2**level - 1, 2 ** (level + 1) - 1)
+        leaf = feature[:, nodes] < 0
+        left = 2 * nodes + 1
+        feature[:, left] = np.where(leaf, -1, feature[:, left])
+        rank[:, left] = np.where(leaf, never, rank[:, left])
+        path[:, left] = np.where(leaf, path[:, nodes], path[:, left])
+    return cuts, np.maximum(feature, 0), rank, path[:, 2**levels - 1 :], levels
+
+
+def _after_top(top: int) -> np.ndarray:
+    """The node (counted from 0 in its level) below the top levels, for every outcome of their tests as bits."""
+    outcome = np.arange(2 ** (2**top - 1))
+    node = np.zeros(len(outcome), dtype=np.intp)
+    for level in range(top):
+        node = 2 * node + ((outcome >> (2**level - 1 + node)) & 1)
+    return node
+
+
 def isolation(
     x: np.ndarray, forest: tuple[np.ndarray, np.ndarray, np.ndarray], block: int = 4096
 ) -> np.ndarray:
-    """2 ** -(mean relative path) for every row.
+    """2 ** -(mean relative path) for every row."""
+    return _descend(x, _complete_trees(forest, x.shape[1]), block)
+
+
+def _descend(x: np.ndarray, complete: tuple, block: int = 4096) -> np.ndarray:
+    """``isolation`` by complete trees.
 
     A block of rows descends one tree after the other, so that its columns and the tree stay in
-    the cache; a level only moves the rows that are not in a leaf yet.
+    the cache. Values are compared by rank, in small integers.
     """
-    feature, threshold, path = forest
-    trees, width = feature.shape
-    levels = int(math.log2(width + 1)) - 1
-    inner = feature >= 0
+    cuts, feature, rank, path, levels = complete
+    trees, top = len(feature), min(TOP_LEVELS, levels)
+    first, below = 2**top - 1, _after_top(top)
+    by_level = [slice(2**level - 1, 2 ** (level + 1) - 1) for level in range(top, levels)]
     out = np.empty(len(x))
     for start in range(0, len(x), block):
-        flat = np.ascontiguousarray(x[start : start + block].T).ravel()
-        n = len(x[start : start + block])
+        rows = x[start : start + block]
+        n = len(rows)
+        codes = np.stack([np.searchsorted(c, rows[:, f]) for f, c in enumerate(cuts)]).astype(np.int32)
+        flat, every = codes.ravel(), np.arange(n)
+        offset = feature.astype(np.intp) * n
         total = np.zeros(n)
-        every = np.arange(n)
         for t in range(trees):
-            node, going = np.zeros(n, dtype=np.int64), every
-            for _ in range(levels):
-                at = node[going]
-                open_ = inner[t][at]
-                if not open_.all():
-                    going, at = going[open_], at[open_]
-                if not len(going):
-                    break
-                right = flat[feature[t][at] * n + going] > threshold[t][at]
-                node[going] = 2 * at + 1 + right
-            total += path[t][node]
+            tests = codes[feature[t, :first]] > rank[t, :first, None]
+            node = below[np.packbits(tests, axis=0, bitorder="little")[0]]
+            for nodes in by_level:
+                at = offset[t, nodes].take(node)
+                at += every
+                right = flat.take(at) > rank[t, nodes].take(node)
+                node += node
+                node += right
+            total += path[t].take(node)
         out[start : start + block] = np.exp2(-total / trees)
     return out
 
 
 def score(z: DataFrame, forest: DataFrame, features: list[str] = FEATURES) -> DataFrame:
     """Add ``isolation`` in 0..1, higher for more isolated readings; null if a z is missing."""
-    trees = z.sparkSession.sparkContext.broadcast(collect_forest(forest))
     cols = z_columns(features)
+    trees = z.sparkSession.sparkContext.broadcast(_complete_trees(collect_forest(forest), len(cols)))
 
     @F.pandas_udf("double")
     def isolated(vector: pd.DataFrame) -> pd.Series:
         x = vector.to_numpy(dtype=float)
-        known = ~np.isnan(x).any(axis=1) & (len(trees.value[0]) > 0)
+        known = ~np.isnan(x).any(axis=1) & (len(trees.value[1]) > 0)
         result = np.full(len(x), np.nan)
         if known.any():
-            result[known] = isolation(x[known], trees.value)
+            result[known] = _descend(x[known], trees.value)
         return pd.Series(result).where(known)
 
     return z.withColumn("isolation", isolated(F.struct(*cols)))
