@@ -64,6 +64,13 @@ NOW = "2024-02-01 00:00:00"
 BY_EVENT = "event_id"
 SPLIT_DAY = "2024-01-16"
 SOME = "sv % 4 <> 0"
+# What features, scores and incidents are made from; queries that show nothing else carry only these columns.
+DETECTOR_COLUMNS = [
+    "server_id",
+    "timestamp",
+    *[f for f in scaling.BASE_FEATURES if f != "error_count_log"],
+    "application_error_count",
+]
 
 
 def readings(spark: SparkSession, sf: str) -> DataFrame:
@@ -394,7 +401,8 @@ def p17_around(spark, sf):
 @query
 def p17_around_incidents(spark, sf):
     """Readings of the same server in the hour before and after each incident."""
-    scored = stage(simple_scored(spark, sf), "flagged")
+    # The flags are a projection of the staged scores and are asked for once, so they are not written again.
+    scored = simple_scored(spark, sf, staged(spark, sf, BY_EVENT, *DETECTOR_COLUMNS))
     spans = stage(incidents.incident_spans(scored).select("server_id", "timestamp", "_end"), "spans")
     rows = scored.select("event_id", "server_id", "timestamp", "score")
     return profile.around_each(rows, spans, "timestamp", "_end", ["timestamp"], 60, by=["server_id"])
@@ -1029,14 +1037,14 @@ def m11_hour_features(spark, sf):
 @query
 def m12_detection(spark, sf):
     """The whole detector: features, scaling, forest, flags, incidents."""
-    return detection.detect(staged(spark, sf)).events
+    return detection.detect(staged(spark, sf, *DETECTOR_COLUMNS)).events
 
 
 @query
 def s11_model(spark, sf):
     """Scores from a saved and reloaded model, per server."""
     path = scratch_path(spark, "model")
-    rows = staged(spark, sf)
+    rows = staged(spark, sf, *DETECTOR_COLUMNS)
     z, scalers = detection.scale(rows)
     forest.save_model(scalers, forest.fit_forest(z), path, features=",".join(FEATURES))
     again = detection.score_new(rows, path)
