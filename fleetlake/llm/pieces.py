@@ -50,8 +50,8 @@ class Vocabulary:
     ids: dict[str, int]  # pieces that can come from merging
     byte_ids: list[int]
     table: list[bytes]  # what each id decodes to, with the mark as a space
-    pair_keys: np.ndarray  # sorted (left << 32 | right)
-    pair_piece: np.ndarray
+    pair_keys: np.ndarray  # (left << 32 | right) in its slot of an open hash table, or -1
+    pair_piece: np.ndarray  # beside its key; -1 in an empty slot
     rank: np.ndarray  # of a piece among all scores; the lowest is merged first
 
 
@@ -78,18 +78,48 @@ def load(model_file: str = MODEL) -> Vocabulary:
             left, right = ids.get(piece[:cut]), ids.get(piece[cut:])
             if left is not None and right is not None:
                 pairs[left << 32 | right] = i
-    keys = np.array(sorted(pairs), dtype=np.int64)
+    keys, found = _pair_table(np.array(list(pairs), dtype=np.int64), np.array(list(pairs.values()), dtype=np.int64))
     scores = np.array([model.get_score(i) for i in range(n)])
     rank = np.unique(-scores, return_inverse=True)[1].astype(np.int64)
-    return Vocabulary(pieces, ids, byte_ids, table, keys, np.array([pairs[k] for k in keys.tolist()], dtype=np.int64), rank)
+    return Vocabulary(pieces, ids, byte_ids, table, keys, found, rank)
+
+
+def _slot(key: np.ndarray, size: int) -> np.ndarray:
+    """The first slot of a key in a table of ``size`` slots, a power of two: the upper bits of a product."""
+    mixed = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(65 - size.bit_length())).astype(np.intp)
+
+
+def _pair_table(keys: np.ndarray, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An open hash table at most a quarter full: a key is in its slot or the next ones, before an empty one."""
+    size = 1 << (4 * len(keys) + 1).bit_length()
+    slots, found = np.full(size, -1, dtype=np.int64), np.full(size, -1, dtype=np.int64)
+    for key, piece, at in zip(keys.tolist(), pieces.tolist(), _slot(keys, size).tolist()):
+        while slots[at] >= 0:
+            at = (at + 1) & (size - 1)
+        slots[at], found[at] = key, piece
+    return slots, found
 
 
 def _candidates(vocab: Vocabulary, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The piece of each pair, or -1; negative ids (bytes) have no pieces."""
     key = (left << 32) | right
-    at = np.minimum(np.searchsorted(vocab.pair_keys, key), len(vocab.pair_keys) - 1)
-    found = (vocab.pair_keys[at] == key) & (left >= 0) & (right >= 0)
-    return np.where(found, vocab.pair_piece[at], -1)
+    size = len(vocab.pair_keys)
+    at = _slot(key, size)
+    held = vocab.pair_keys.take(at)
+    piece = vocab.pair_piece.take(at)
+    # Negative ids make negative keys, or match no key.
+    piece[(left < 0) | (right < 0)] = -1
+    other = np.flatnonzero((held != key) & (piece >= 0))
+    piece[other], at = -1, at[other]
+    while len(other):
+        at = (at + 1) & (size - 1)
+        wanted, held = key[other], vocab.pair_keys.take(at)
+        hit = held == wanted
+        piece[other[hit]] = vocab.pair_piece.take(at[hit])
+        on = np.flatnonzero(~hit & (held >= 0))
+        at, other = at[on], other[on]
+    return piece
 
 
 def _skipped(unit_key: np.ndarray, place: np.ndarray, piece: np.ndarray, dropout: float) -> np.ndarray:
@@ -141,15 +171,14 @@ def segment(vocab: Vocabulary, units: list[str], unit_keys: np.ndarray, dropout:
         order[at] = np.where(piece >= 0, (vocab.rank[piece] << 32) | place[at], worst)
 
     consider(np.flatnonzero(follow < none))
-    live = np.arange(n)  # symbols of units that may still merge
+    live, owner = np.arange(n), unit  # symbols of units that may still merge, and their units
     while len(live):
-        starts = np.flatnonzero(np.concatenate([[True], unit[live[1:]] != unit[live[:-1]]]))
-        least = np.minimum.reduceat(order[live], starts)
+        starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        orders = order.take(live)
+        least = np.minimum.reduceat(orders, starts)
         size = np.diff(np.concatenate([starts, [len(live)]]))
         going = least < worst
-        spread = np.repeat(going, size)
-        live, least = live[spread], np.repeat(least[going], size[going])
-        at = live[order[live] == least]
+        at = live[(orders == np.repeat(least, size)) & (orders < worst)]
         if not len(at):
             break
         gone = follow[at]
@@ -165,7 +194,8 @@ def segment(vocab: Vocabulary, units: list[str], unit_keys: np.ndarray, dropout:
         prior = before[at]
         # One merge in a unit and turn, so that no symbol is met twice here.
         consider(np.concatenate([at[inner], prior[prior < none]]))
-        live = live[alive[live]]
+        stays = alive.take(live) & np.repeat(going, size)
+        live, owner = live[stays], owner[stays]
     left = np.flatnonzero(alive[:n])
     out = symbol[left]
     counts = np.ones(len(left), dtype=np.int64)

@@ -967,3 +967,21 @@ def test_near_duplicates_go_by_id_and_text(spark):
     got = sorted((r["doc_id"] or 0, r["text"][0]) for r in near_dup.keep_one(df).collect())
     assert got == [(0, "a"), (0, "a"), (1, "a"), (2, "b"), (3, "c")]
     assert near_dup.keep_one(df).columns == df.columns
+
+
+def test_pairs_are_found_in_the_table_only():
+    """Every pair of the model and none else, also for ids of bytes and where keys crowd one slot."""
+    vocab, rng = pieces.load(), np.random.default_rng(5)
+    made = {}
+    for piece, i in vocab.ids.items():
+        for cut in range(1, len(piece)):
+            left, right = vocab.ids.get(piece[:cut]), vocab.ids.get(piece[cut:])
+            if left is not None and right is not None:
+                made[left, right] = i
+    others = rng.integers(-1, len(vocab.pieces), size=(200_000, 2)).tolist()
+    asked = [*made, *map(tuple, others), (-1, -1), (-1, 0), (0, -1)]
+    got = pieces._candidates(vocab, *np.array(asked, dtype=np.int64).T)
+    assert got.tolist() == [made.get(pair, -1) for pair in asked]
+    keys = np.arange(64, dtype=np.int64)
+    slots, found = pieces._pair_table(keys, keys + 7)
+    assert 4 * len(keys) < len(slots) and sorted(found[slots >= 0].tolist()) == list(range(7, 71))
