@@ -35,8 +35,8 @@ from fleetlake.llm.common import arrow_rows, documents, mix64
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
-# Occurrences that are looked at together; only memory depends on it.
-BLOCK = 50_000
+# Occurrences that are looked at together, few enough for their arrays to stay in the cache; no result depends on it.
+BLOCK = 20_000
 
 # Whole words with the spaces before them, or spaces at the end.
 _UNITS = re.compile(" *[^ ]+| +")
@@ -48,6 +48,7 @@ class Vocabulary:
 
     pieces: list[str]
     ids: dict[str, int]  # pieces that can come from merging
+    char_ids: np.ndarray  # id of each character as a symbol, or -1, which the last entry and all later characters have
     byte_ids: list[int]
     table: list[bytes]  # what each id decodes to, with the mark as a space
     pair_keys: np.ndarray  # (left << 32 | right) in its slot of an open hash table, or -1
@@ -81,7 +82,12 @@ def load(model_file: str = MODEL) -> Vocabulary:
     keys, found = _pair_table(np.array(list(pairs), dtype=np.int64), np.array(list(pairs.values()), dtype=np.int64))
     scores = np.array([model.get_score(i) for i in range(n)])
     rank = np.unique(-scores, return_inverse=True)[1].astype(np.int64)
-    return Vocabulary(pieces, ids, byte_ids, table, keys, found, rank)
+    # A space is the mark; a mark of the text's own has no piece.
+    single = {ord(p): i for p, i in ids.items() if len(p) == 1 and p not in (MARK, " ")}
+    char_ids = np.full(max([32, *single]) + 2, -1, dtype=np.int64)
+    char_ids[list(single)] = list(single.values())
+    char_ids[32] = ids.get(MARK, -1)
+    return Vocabulary(pieces, ids, char_ids, byte_ids, table, keys, found, rank)
 
 
 def _slot(key: np.ndarray, size: int) -> np.ndarray:
@@ -138,11 +144,7 @@ def segment(vocab: Vocabulary, units: list[str], unit_keys: np.ndarray, dropout:
     bounds = np.concatenate([[0], np.cumsum(lengths)])
     text = "".join(units)
     chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    distinct, where = np.unique(chars, return_inverse=True)
-    # A space is the mark; a mark of the text's own has no piece.
-    names = [MARK if c == 32 else "" if c == ord(MARK) else chr(c) for c in distinct.tolist()]
-    known = np.array([vocab.ids.get(c, -1) for c in names], dtype=np.int64)
-    symbol = known[where] if len(chars) else np.zeros(0, dtype=np.int64)
+    symbol = vocab.char_ids[np.minimum(chars, len(vocab.char_ids) - 1)]
     n = len(symbol)
     unit = np.repeat(np.arange(len(units)), lengths)
     place = np.arange(n) - bounds[:-1][unit]
