@@ -34,7 +34,7 @@ from fleetlake.session import pin_utc, scratch_path, stage
 from fleetlake.sources import filelist
 from fleetlake.sources import readings as landing
 from fleetlake.sources import tables
-from fleetlake.sources.events_readings import COPY_OFFSET, readings_from_events, servers_from_events
+from fleetlake.sources.events_readings import readings_from_events, servers_from_events
 from fleetlake.streaming import alerts as alert_stream
 from fleetlake.streaming import live_gold, streams
 
@@ -1085,12 +1085,10 @@ def p05_split_tables(spark, sf):
 
 def _in_three_arrivals(spark, sf) -> list[DataFrame]:
     """Events up to the 10th, up to the 16th, and later ones; the copies of an event come with it."""
-    rows = readings_from_events(spark, sf)
     ts = F.col("ts")
-    arrival = F.when(ts < F.lit("2024-01-10").cast("timestamp_ntz"), 0).when(ts < F.lit(SPLIT_DAY).cast("timestamp_ntz"), 1).otherwise(2)
-    day = spark.read.parquet(f"{sf}/events.parquet").select(F.col("event_id").alias("eid"), arrival.alias("arrival"))
-    tagged = rows.join(day, F.col("event_id") % COPY_OFFSET == F.col("eid")).drop("eid")
-    return [tagged.filter(F.col("arrival") == n).drop("arrival") for n in range(3)]
+    second, third = (F.lit(day).cast("timestamp_ntz") for day in ("2024-01-10", SPLIT_DAY))
+    arrivals = [ts < second, (ts >= second) & (ts < third), (ts >= third) | ts.isNull()]
+    return [readings_from_events(spark, sf, arrival) for arrival in arrivals]
 
 
 def _streamed_bronze(spark, sf, after_each: Callable[[str], None] | None = None) -> str:

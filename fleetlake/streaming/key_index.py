@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.operators.series import MICROS, slice_of
+from fleetlake.session import listing_settings
 from fleetlake.sources.filelist import Folder
 
 BITS_PER_KEY = 16
@@ -47,16 +48,29 @@ def may_hold(hash_: Column, words: Column, bits: Column) -> Column:
 
 
 def filters(rows: DataFrame, by: list[str]) -> DataFrame:
-    """``(*by, words, bits)``: the filter of the hashes ``h`` of each group, as an array of words."""
+    """``(*by, words, bits)``: the filter of the hashes ``h`` of each group, as an array of words.
+
+    One shuffle by group: the later groupings keep its partitioning. A group's hashes are a list for that time,
+    no more than a file has rows.
+    """
     needed = F.ceil(F.log2(F.count(F.lit(1)) * F.lit(BITS_PER_KEY / 64.0)))
-    sizes = rows.groupBy(*by).agg(F.pow(F.lit(2.0), F.greatest(needed, F.lit(0))).cast("long").alias("words"))
-    places = F.explode(F.array(*[_place(F.col("h"), F.col("words"), p) for p in range(PROBES)])).alias("place")
-    ones = rows.join(sizes, by).select(*by, "words", places).select(
-        *by, "words", F.shiftright("place", 6).alias("word"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bits")
+    size = F.pow(F.lit(2.0), F.greatest(needed, F.lit(0))).cast("long").alias("words")
+    groups = rows.groupBy(*by).agg(size, F.collect_list("h").alias("hs"))
+    # The null at the end stands for a zero in every word.
+    each = groups.select(*by, "words", F.explode(F.concat("hs", F.array(F.lit(None).cast("long")))).alias("h"))
+
+    def one(probe: int) -> Column:
+        place = _place(F.col("h"), F.col("words"), probe)
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+        return F.struct(F.shiftright(place, 6).alias("word"), bit.alias("bits"))
+
+    zeros = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("words") - 1),
+        lambda w: F.struct(w.alias("word"), F.lit(0).cast("long").alias("bits")),
     )
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("words") - 1)).alias("word")
-    zeros = sizes.select(*by, "words", every, F.lit(0).cast("long").alias("bits"))
-    words = ones.unionByName(zeros).groupBy(*by, "words", "word").agg(F.bit_or("bits").alias("bits"))
+    ones = F.when(F.col("h").isNull(), zeros).otherwise(F.array(*[one(p) for p in range(PROBES)]))
+    bits = each.select(*by, "words", F.explode(ones).alias("one")).select(*by, "words", "one.*")
+    words = bits.groupBy(*by, "words", "word").agg(F.bit_or("bits").alias("bits"))
     in_order = F.array_sort(F.collect_list(F.struct("word", "bits")))
     return words.groupBy(*by, "words").agg(F.transform(in_order, lambda w: w["bits"]).alias("bits"))
 
@@ -72,7 +86,8 @@ def write_index(spark: SparkSession, root: str, folders: list[Folder], schema: s
     if not folders:
         return
     types = T.StructType.fromJson(json.loads(schema))
-    rows = spark.read.schema(types).parquet(*[f"{root}/{f.path}" for f in folders])
+    with listing_settings(spark):
+        rows = spark.read.schema(types).parquet(*[f"{root}/{f.path}" for f in folders])
     file = F.col("_metadata.file_path")
     hashed = rows.select(file.alias("file"), hour_of(ts).alias("hour"), key_hash(keys).alias("h"))
     at = F.url_decode(F.regexp_extract("file", r"=([^/=]+)/[^/]*$", 1))
@@ -92,7 +107,8 @@ def files_that_may_hold(spark: SparkSession, root: str, folders: list[Folder], f
     """
     if not folders:
         return []
-    stored = spark.read.schema(INDEX).parquet(*[f"{root}/{index_path(f)}" for f in folders])
+    with listing_settings(spark):
+        stored = spark.read.schema(INDEX).parquet(*[f"{root}/{index_path(f)}" for f in folders])
     salted = stored.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     asked = fresh.select(F.col("_day").alias("part"), hour_of(ts).alias("hour"), key_hash(keys).alias("h"))
     asked = asked.withColumn("salt", F.pmod("h", F.lit(SALTS)).cast("int")).withColumnsRenamed({c: f"_{c}" for c in ("part", "hour", "salt")})

@@ -27,7 +27,7 @@ from fleetlake.operators.incidents import DETECTION_METHOD, dominant_feature, pe
 from fleetlake.operators.scaling import FEATURES
 from fleetlake.operators.series import MICROS
 from fleetlake.operators.silver import KEYS, classify
-from fleetlake.session import settings
+from fleetlake.session import listing_settings, settings, stage
 from fleetlake.sources import filelist
 from fleetlake.sources.readings import LANDED, build_bronze, landed, stored
 from fleetlake.sources.tables import publish, read_published
@@ -51,15 +51,16 @@ def stream_bronze(
     reader = spark.readStream.schema(stored(schema))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return (
-        build_bronze(landed(reader.parquet(root), schema))
-        .writeStream.format("parquet")
-        .partitionBy("dt")
-        .option("checkpointLocation", ckpt)
-        .option("path", out)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with listing_settings(spark):
+        return (
+            build_bronze(landed(reader.parquet(root), schema))
+            .writeStream.format("parquet")
+            .partitionBy("dt")
+            .option("checkpointLocation", ckpt)
+            .option("path", out)
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 def _batch_key(spark: SparkSession, ckpt: str, batch_id: int) -> tuple[str, int]:
@@ -112,43 +113,44 @@ def stream_silver(
         # Plausible days are few; all other timestamps are dealt by their keys.
         odd = F.concat(F.lit("odd-"), F.pmod(key_index.key_hash(KEYS), F.lit(ODD_PARTS)).cast("string"))
         day = F.when(~implausible, F.to_date("timestamp").cast("string")).otherwise(odd)
-        fresh = classify(batch, min_ts, as_of, order_by).withColumn("_day", day).persist()
-        try:
-            days = {row["_day"] for row in fresh.select("_day").distinct().collect()}
-            touched = now.of(days)
-            files = key_index.files_that_may_hold(session, out, touched, fresh, KEYS, "timestamp")
-            result = fresh
-            if files:
+        # Written, since it is read for the days, for the keys and for the rows: adaptive execution sizes its files,
+        # while a cached table keeps a partition for every shuffle partition, and each use shuffles from all of them.
+        fresh = stage(classify(batch, min_ts, as_of, order_by).withColumn("_day", day), "batch")
+        days = {row["_day"] for row in fresh.select("_day").distinct().collect()}
+        touched = now.of(days)
+        files = key_index.files_that_may_hold(session, out, touched, fresh, KEYS, "timestamp")
+        result = fresh
+        if files:
+            with listing_settings(session):
                 known = session.read.schema(T.StructType.fromJson(json.loads(now.schema))).parquet(*files).select(*KEYS)
-                known = known.withColumnsRenamed({k: f"_known_{k}" for k in KEYS})
-                same = F.lit(True)
-                for k in KEYS:
-                    same = same & F.col(k).eqNullSafe(F.col(f"_known_{k}"))
-                result = fresh.join(known, same, "left_anti")
-            rows = result.drop("_day")
-            added = filelist.write_folders(result, out, F.col("_day"), keep=rows.columns)
-            schema_json = rows.schema.json()
-            key_index.write_index(session, out, added, schema_json, KEYS, "timestamp")
-            notes = {
-                "done": {**now.notes.get("done", {}), query: batch_id},
-                "last": [[f.part, f.path, f.files, f.size] for f in added],
-                "opened": len(files),
-                "touched": sum(f.files for f in touched),
-            }
-            return filelist.swap(session, out, [], added, schema_json, notes)
-        finally:
-            fresh.unpersist()
+            known = known.withColumnsRenamed({k: f"_known_{k}" for k in KEYS})
+            same = F.lit(True)
+            for k in KEYS:
+                same = same & F.col(k).eqNullSafe(F.col(f"_known_{k}"))
+            result = fresh.join(known, same, "left_anti")
+        rows = result.drop("_day")
+        added = filelist.write_folders(result, out, F.col("_day"), keep=rows.columns)
+        schema_json = rows.schema.json()
+        key_index.write_index(session, out, added, schema_json, KEYS, "timestamp")
+        notes = {
+            "done": {**now.notes.get("done", {}), query: batch_id},
+            "last": [[f.part, f.path, f.files, f.size] for f in added],
+            "opened": len(files),
+            "touched": sum(f.files for f in touched),
+        }
+        return filelist.swap(session, out, [], added, schema_json, notes)
 
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return (
-        reader.parquet(bronze)
-        .writeStream.foreachBatch(clean)
-        .option("checkpointLocation", ckpt)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with listing_settings(spark):
+        return (
+            reader.parquet(bronze)
+            .writeStream.foreachBatch(clean)
+            .option("checkpointLocation", ckpt)
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 def streamed_silver(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:

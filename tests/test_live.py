@@ -413,3 +413,23 @@ def test_sketched_scalers_are_within_the_stated_error(spark):
             assert (r.median, r.scale) == (want.median, pytest.approx(want.scale, abs=1e-8))
         elif r.feature == "a":
             assert r.scale == pytest.approx(want.scale, rel=0.1)
+
+
+def test_key_filters_are_built_in_one_shuffle(spark):
+    rows = spark.range(3000).select((F.col("id") % 3).alias("g"), F.xxhash64("id").alias("h"))
+    plan = key_index.filters(rows, ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_a_batch_is_not_cached(spark, reading, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def persist(self, *args):
+        raise AssertionError("a cached batch keeps a partition for every shuffle partition")
+
+    monkeypatch.setattr(DataFrame, "persist", persist)
+    reading({"timestamp": NOON}).withColumns(
+        {"dt": F.to_date("timestamp"), "_source_file": F.lit("f"), "_ingested_at": F.current_timestamp()}
+    ).select(*BRONZE.names).write.parquet(str(tmp_path / "bronze"))
+    streams.stream_silver(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"), str(tmp_path / "ckpt"), BRONZE).awaitTermination()
+    assert sum(t.count() for t in streams.streamed_silver(spark, str(tmp_path / "silver"))) == 1

@@ -207,3 +207,15 @@ def test_many_folders_are_listed_by_few_tasks(spark, reading, tmp_path, monkeypa
     stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
     assert max(tracker.getStageInfo(s).numTasks for s in stages) == 3
     assert scan.count() == 40
+
+
+def test_arrivals_need_no_shuffle_and_lose_nothing(spark):
+    from fleetlake.plans import catalog
+
+    sf = "/root/testdata/sf0.01"
+    parts = catalog._in_three_arrivals(spark, sf)
+    assert not any("Exchange" in p._jdf.queryExecution().executedPlan().toString() for p in parts)
+    whole = catalog.readings(spark, sf)
+    together = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    assert all(p.limit(1).count() for p in parts)
+    assert together.count() == whole.count() and together.exceptAll(whole).isEmpty()
