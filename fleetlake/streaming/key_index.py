@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,7 @@ from fleetlake.sources.filelist import Folder
 BITS_PER_KEY = 16
 PROBES = 4  # a key that is not there hits by chance less than once in 400 times
 SALTS = 8
+SLICE_KEYS = 1 << 20  # keys whose bits are set at a time; their bits take up to 32 MB before they are packed
 NO_HOUR = -1
 INDEX = "part string, file string, hour long, words long, bits array<long>"
 
@@ -47,32 +50,38 @@ def may_hold(hash_: Column, words: Column, bits: Column) -> Column:
     return hit
 
 
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _filter_bits(hashes: pa.Array, words: pa.Array) -> pa.Array:
+    """The words of each filter from the hashes of its keys: every probe sets the bit that ``may_hold`` looks at."""
+    offsets, sizes = np.asarray(hashes.offsets, np.int64), np.asarray(words, np.int64)
+    given = np.asarray(hashes.values).view(np.uint64)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    done, first = [], 0
+    while first < len(sizes):
+        # So many filters at a time as have about SLICE_KEYS keys together.
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE_KEYS, "right")) - 1)
+        h, n = given[offsets[first] : offsets[last]], np.diff(offsets[first : last + 1])
+        mask = np.repeat((sizes[first:last] * 64 - 1).astype(np.uint64), n)
+        at = np.repeat(((starts[first:last] - starts[first]) * 64).astype(np.uint64), n)
+        low, high = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
+        bits = np.zeros((starts[last] - starts[first]) * 64, np.bool_)
+        for probe in range(PROBES):
+            bits[at + ((low + high * np.uint64(probe)) & mask)] = True
+        done.append(np.packbits(bits, bitorder="little").view(np.int64))
+        first = last
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.concatenate(done or [np.zeros(0, np.int64)])))
+
+
 def filters(rows: DataFrame, by: list[str]) -> DataFrame:
     """``(*by, words, bits)``: the filter of the hashes ``h`` of each group, as an array of words.
 
-    One shuffle by group: the later groupings keep its partitioning. A group's hashes are a list for that time,
-    no more than a file has rows.
+    One shuffle by group. A group's hashes are a list for that time, no more than a file has rows; the bits are
+    set in arrays, so a key costs no row of its own.
     """
     needed = F.ceil(F.log2(F.count(F.lit(1)) * F.lit(BITS_PER_KEY / 64.0)))
     size = F.pow(F.lit(2.0), F.greatest(needed, F.lit(0))).cast("long").alias("words")
     groups = rows.groupBy(*by).agg(size, F.collect_list("h").alias("hs"))
-    # The null at the end stands for a zero in every word.
-    each = groups.select(*by, "words", F.explode(F.concat("hs", F.array(F.lit(None).cast("long")))).alias("h"))
-
-    def one(probe: int) -> Column:
-        place = _place(F.col("h"), F.col("words"), probe)
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
-        return F.struct(F.shiftright(place, 6).alias("word"), bit.alias("bits"))
-
-    zeros = F.transform(
-        F.sequence(F.lit(0).cast("long"), F.col("words") - 1),
-        lambda w: F.struct(w.alias("word"), F.lit(0).cast("long").alias("bits")),
-    )
-    ones = F.when(F.col("h").isNull(), zeros).otherwise(F.array(*[one(p) for p in range(PROBES)]))
-    bits = each.select(*by, "words", F.explode(ones).alias("one")).select(*by, "words", "one.*")
-    words = bits.groupBy(*by, "words", "word").agg(F.bit_or("bits").alias("bits"))
-    in_order = F.array_sort(F.collect_list(F.struct("word", "bits")))
-    return words.groupBy(*by, "words").agg(F.transform(in_order, lambda w: w["bits"]).alias("bits"))
+    return groups.select(*by, "words", _filter_bits("hs", "words").alias("bits"))
 
 
 def index_path(folder: Folder) -> str:

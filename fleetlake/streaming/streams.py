@@ -27,7 +27,7 @@ from fleetlake.operators.incidents import DETECTION_METHOD, dominant_feature, pe
 from fleetlake.operators.scaling import FEATURES
 from fleetlake.operators.series import MICROS
 from fleetlake.operators.silver import KEYS, classify
-from fleetlake.session import listing_settings, settings, stage
+from fleetlake.session import listing_settings, settings
 from fleetlake.sources import filelist
 from fleetlake.sources.readings import LANDED, build_bronze, landed, stored
 from fleetlake.sources.tables import publish, read_published
@@ -113,13 +113,17 @@ def stream_silver(
         # Plausible days are few; all other timestamps are dealt by their keys.
         odd = F.concat(F.lit("odd-"), F.pmod(key_index.key_hash(KEYS), F.lit(ODD_PARTS)).cast("string"))
         day = F.when(~implausible, F.to_date("timestamp").cast("string")).otherwise(odd)
-        # Written, since it is read for the days, for the keys and for the rows: adaptive execution sizes its files,
-        # while a cached table keeps a partition for every shuffle partition, and each use shuffles from all of them.
-        fresh = stage(classify(batch, min_ts, as_of, order_by).withColumn("_day", day), "batch")
-        days = {row["_day"] for row in fresh.select("_day").distinct().collect()}
-        touched = now.of(days)
-        files = key_index.files_that_may_hold(session, out, touched, fresh, KEYS, "timestamp")
-        result = fresh
+        # Written where it will stay, out of sight until the commit. Only parts in which a stored key may come again
+        # are read back and written once more without it.
+        rows = classify(batch, min_ts, as_of, order_by).withColumn("_day", day)
+        kept = [c for c in rows.columns if c != "_day"]
+        schema = rows.select(*kept).schema
+        added = filelist.write_folders(rows, out, F.col("_day"), keep=kept)
+        touched, files = now.of({f.part for f in added}), []
+        if touched:
+            days = {f.part for f in touched}
+            fresh = filelist.read_parts(session, out, [f for f in added if f.part in days], schema.json(), "_day")
+            files = key_index.files_that_may_hold(session, out, touched, fresh, KEYS, "timestamp")
         if files:
             with listing_settings(session):
                 known = session.read.schema(T.StructType.fromJson(json.loads(now.schema))).parquet(*files).select(*KEYS)
@@ -127,11 +131,14 @@ def stream_silver(
             same = F.lit(True)
             for k in KEYS:
                 same = same & F.col(k).eqNullSafe(F.col(f"_known_{k}"))
-            result = fresh.join(known, same, "left_anti")
-        rows = result.drop("_day")
-        added = filelist.write_folders(result, out, F.col("_day"), keep=rows.columns)
-        schema_json = rows.schema.json()
-        key_index.write_index(session, out, added, schema_json, KEYS, "timestamp")
+            holding = {"/".join(name.split("/")[-4:-1]) for name in files}
+            again = {f.part for f in touched if f.path in holding}
+            new = fresh.filter(F.col("_day").isin(sorted(again))).join(known, same, "left_anti")
+            rewritten = filelist.write_folders(new, out, F.col("_day"), keep=kept)
+            added = [f for f in added if f.part not in again] + rewritten
+        schema_json = schema.json()
+        for write in sorted({f.path.split("/")[1] for f in added}):
+            key_index.write_index(session, out, [f for f in added if f.path.split("/")[1] == write], schema_json, KEYS, "timestamp")
         notes = {
             "done": {**now.notes.get("done", {}), query: batch_id},
             "last": [[f.part, f.path, f.files, f.size] for f in added],

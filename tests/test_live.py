@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import NOON, minutes
 from fleetlake.operators import carried, forest, gold, incidents, profile, scaling, series, serving, silver, sketches
 from fleetlake.plans import detection, live
-from fleetlake.session import expire_scratch, stage
+from fleetlake.session import expire_scratch, scratch_dir, stage
 from fleetlake.sources import filelist, readings, tables
 from fleetlake.streaming import alerts, key_index, live_gold, streams
 from test_streams import BRONZE, health, keyed
@@ -433,3 +433,65 @@ def test_a_batch_is_not_cached(spark, reading, tmp_path, monkeypatch):
     ).select(*BRONZE.names).write.parquet(str(tmp_path / "bronze"))
     streams.stream_silver(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"), str(tmp_path / "ckpt"), BRONZE).awaitTermination()
     assert sum(t.count() for t in streams.streamed_silver(spark, str(tmp_path / "silver"))) == 1
+
+
+def test_filter_bits_are_those_that_the_probes_look_at(spark, monkeypatch):
+    import pyarrow as pa
+
+    rows = spark.range(400).select((F.col("id") % 3).alias("g"), F.xxhash64("id").alias("h"))
+    want = {}
+    for r in rows.collect():
+        h, bits = r.h % 2**64, want.setdefault(r.g, [0] * 64)
+        for probe in range(key_index.PROBES):
+            place = ((h & 0xFFFFFFFF) + (h >> 32 | 1) * probe) % (64 * 64)
+            bits[place // 64] |= 1 << place % 64
+    signed = {g: [w - 2**64 if w >= 2**63 else w for w in bits] for g, bits in want.items()}
+    built = key_index.filters(rows, ["g"])
+    assert {r.g: r.bits for r in built.collect()} == signed
+    assert "Generate" not in built._jdf.queryExecution().executedPlan().toString()  # a key makes no rows of its own
+    # Filters that are made a few at a time, or of a cut of an array, are the same.
+    lists = [[r.h for r in rows.collect() if r.g == g] for g in range(3)]
+    monkeypatch.setattr(key_index, "SLICE_KEYS", 150)
+    found = key_index._filter_bits.func(pa.array([[7], *lists], pa.list_(pa.int64())).slice(1), pa.array([1, 64, 64, 64]).slice(1))
+    assert found.to_pylist() == [signed[g] for g in range(3)]
+    assert key_index._filter_bits.func(pa.array([], pa.list_(pa.int64())), pa.array([], pa.int64())).to_pylist() == []
+
+
+def _bronze_of(reading, base: str, *rows: dict) -> None:
+    made = reading(*rows).withColumns({"_source_file": F.lit("f"), "_ingested_at": F.lit(NOON), "dt": F.to_date("timestamp")})
+    made.select(*BRONZE.names).coalesce(1).write.mode("append").parquet(f"{base}/bronze")
+
+
+def _writes(spark, root: str) -> set[str]:
+    return {f.path.split("/")[1] for f in filelist.listing(spark, root).folders}
+
+
+def _staged(spark) -> set[str]:
+    from pathlib import Path
+
+    folder = Path(scratch_dir(spark).removeprefix("file://")) / "fleetlake"
+    return {p.name for p in folder.glob("batch*")}
+
+
+def test_a_batch_is_written_once_and_only_days_with_known_keys_again(spark, reading, tmp_path):
+    base, before = str(tmp_path), _staged(spark)
+    day = timedelta(days=1)
+    batches = [
+        [{"timestamp": NOON}, {"timestamp": NOON - day}],
+        [{"timestamp": NOON}, {"timestamp": NOON + timedelta(minutes=5)}, {"timestamp": NOON - 2 * day}],
+    ]
+    writes = []
+    for rows in batches:
+        _bronze_of(reading, base, *rows)
+        streams.stream_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/c", BRONZE, as_of=as_of()).awaitTermination()
+        writes.append(_writes(spark, f"{base}/silver"))
+    assert _staged(spark) == before
+    good, bad = streams.streamed_silver(spark, f"{base}/silver")
+    assert sorted(r.timestamp for r in good.select("timestamp").collect()) == sorted(
+        t.replace(tzinfo=None) for t in (NOON, NOON - day, NOON + timedelta(minutes=5), NOON - 2 * day)
+    )
+    assert bad.count() == 0
+    # The second batch wrote its days, and the day of the copy again; both writes are live, with their filters.
+    assert len(writes[0]) == 1 and len(writes[1] - writes[0]) == 2
+    last = [filelist.Folder(*f) for f in filelist.listing(spark, f"{base}/silver").notes["last"]]
+    assert len(last) == 2 and all((tmp_path / "silver" / key_index.index_path(f)).is_dir() for f in last)
