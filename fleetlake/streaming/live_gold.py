@@ -133,14 +133,17 @@ def add_batch(spark: SparkSession, root: str, rows: DataFrame, key: tuple[str, i
     states = f"{root}/states"
     now = filelist.listing(spark, states)
     if now.notes.get("done", {}).get(query, -1) < number:
-        # Written, since it is read for the days and for the states.
-        fresh = stage(gold_states(valid), "batch-states")
-        days = {str(r["dt"]) for r in fresh.select("dt").distinct().collect()}
+        # Written where they will stay, out of sight until the commit; only days that have states already are merged again.
+        fresh = gold_states(valid)
+        added = filelist.write_folders(fresh, states, F.col("dt"))
+        days, schema = {f.part for f in added}, fresh.schema.json()
         old = now.of(days)
-        kept = filelist.read_folders(spark, states, old, now.schema)
-        both = fresh if kept is None else kept.unionByName(fresh)
+        if old:
+            met = {f.part for f in old}
+            both = filelist.read_folders(spark, states, old + [f for f in added if f.part in met], schema)
+            added = [f for f in added if f.part not in met] + filelist.write_folders(merged(both), states, F.col("dt"))
         notes = {"done": {**now.notes.get("done", {}), query: number}, "days": sorted(days), "read": sum(f.files for f in old)}
-        now = filelist.replace(merged(both), states, old, F.col("dt"), notes)
+        now = filelist.swap(spark, states, old, added, schema, notes)
     days = set(now.notes["days"])
     if days:
         daily = daily_from_states(filelist.read(spark, states, days, now))

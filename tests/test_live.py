@@ -495,3 +495,20 @@ def test_a_batch_is_written_once_and_only_days_with_known_keys_again(spark, read
     assert len(writes[0]) == 1 and len(writes[1] - writes[0]) == 2
     last = [filelist.Folder(*f) for f in filelist.listing(spark, f"{base}/silver").notes["last"]]
     assert len(last) == 2 and all((tmp_path / "silver" / key_index.index_path(f)).is_dir() for f in last)
+
+
+def test_states_of_new_days_are_not_merged_again(spark, reading, tmp_path):
+    root, before = str(tmp_path / "gold"), _staged(spark)
+    day = timedelta(days=1)
+    reject = F.lit(None).cast("string")
+    for n, times in enumerate([[NOON, NOON - day], [NOON + timedelta(minutes=5), NOON + day]]):
+        rows = reading(*[{"timestamp": t} for t in times]).withColumn("_reject_reason", reject)
+        live_gold.add_batch(spark, root, rows, ("q", n))
+    assert _staged(spark) == before
+    states = filelist.read(spark, f"{root}/states")
+    assert sorted((str(r.dt), r.total_readings) for r in states.collect()) == [
+        (str((NOON + k * day).date()), n) for k, n in ((-1, 1), (0, 2), (1, 1))
+    ]
+    # The first batch is one write, the second one too but for the day that both have.
+    assert len(_writes(spark, f"{root}/states")) == 3
+    assert live_gold.live_daily(spark, root).count() == 3
