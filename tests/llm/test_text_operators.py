@@ -2,6 +2,7 @@
 
 import base64
 import collections
+import dataclasses
 import hashlib
 import math
 import random
@@ -10,6 +11,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -928,6 +930,56 @@ def test_sharing_changes_no_result(monkeypatch):
         assert alone.tolist() == one[0][one[1][k] : one[1][k + 1]].tolist()
 
 
+def test_only_skipped_merges_cost_work(monkeypatch):
+    """An occurrence is merged on its own only where a merge made is skipped, and a word met before not again."""
+    vocab, looked = pieces.load(), []
+    candidates = pieces._candidates
+    monkeypatch.setattr(pieces, "_candidates", lambda v, left, right: looked.append(len(left)) or candidates(v, left, right))
+    text = "the international house of the nation " * 200
+    ids, _ = pieces.encode_texts(vocab, [text], [1])
+    # 7,557 pairs are looked up; when any candidate met could set an occurrence apart, there were 9,940.
+    assert 0 < sum(looked) < 8500
+    words = pieces.Words(vocab, "pieces")
+    plain = [pieces.encode_texts(vocab, [text], [1], dropout=0.0, words=words)[0].tolist()]
+    looked.clear()
+    plain.append(pieces.encode_texts(vocab, [text], [2], dropout=0.0, words=words)[0].tolist())
+    assert not looked and plain[0] == plain[1] != ids.tolist()
+
+
+def test_remembered_words_and_tables_change_no_result(monkeypatch):
+    """Every occurrence by its definition, with words kept or forgotten and with tables of few symbols."""
+    vocab, dropout = pieces.load(), 0.3
+    texts = ["the international house  of the nation", "", None, " the the\nnation 日本 \U0001f600 " + "tionthe" * 9, "  ", "of the international"]
+    keys, salt = [7, 8, 9, None, 7, -1], xxhash.xxh3_64_intdigest(b"pieces")
+    want = []
+    for text, key in zip(texts, keys):
+        own = xxhash.xxh3_64_intdigest(repr(key).encode(), seed=salt)
+        for spot, unit in enumerate(pieces._UNITS.findall(" " + text) if text else []):
+            word = xxhash.xxh3_64_intdigest(unit.encode(), seed=salt)
+            inner = pieces.mix64(np.array([spot], np.uint64))
+            got = slow_segment(vocab, unit, pieces.mix64(np.uint64(word) ^ pieces.mix64(np.uint64(own) ^ inner))[0], dropout)
+            # A symbol without a piece is one character, in its bytes.
+            bare = iter(c for c in unit if vocab.char_ids[min(ord(c), len(vocab.char_ids) - 1)] < 0)
+            want += [i for s in got for i in ([s] if s >= 0 else [vocab.byte_ids[b] for b in next(bare).encode()])]
+    for words, cells, wide in [(300_000, 100_000, 1), (1, 1, 1), (3, 40, 1 << 20)]:
+        monkeypatch.setattr(pieces, "WORDS", words)
+        monkeypatch.setattr(pieces, "CELLS", cells)
+        model = dataclasses.replace(vocab, rank=vocab.rank * wide)  # wide scores need wider numbers
+        kept = pieces.Words(model, "pieces")
+        for _ in range(2):
+            parts = [pieces.encode_texts(model, texts[i : i + 2], keys[i : i + 2], dropout=dropout, words=kept)[0].tolist() for i in (0, 2, 4)]
+            assert sum(parts, []) == want
+
+
+def test_many_lists_decode_as_each_does():
+    vocab = pieces.load()
+    texts = [t for _, t in ODD] + ["  a", " ", "▁ b"]
+    ids, ends = pieces.encode_texts(vocab, texts, list(range(len(texts))))
+    got = pieces.decode_texts(vocab, ids, ends)
+    assert [t.decode() for t in got] == [t or "" for t in texts]
+    assert [t.decode() for t in got] == [pieces.decode_ids(vocab, ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])]
+
+
 def test_uses_in_the_pipeline_differ(spark):
     df = spark.createDataFrame([(1, LONG)] * 3, "doc_id long, text string")
     got = corpus_pipeline.encoded(spark, df, SF_DIR).collect()
