@@ -162,13 +162,18 @@ def _keys(depth: int) -> Column:
     )
 
 
+def _many(exploded: DataFrame) -> DataFrame:
+    """``exploded`` to be joined by sorting: Spark expects as many rows as before, and would send many times its limit of a broadcast to the driver."""
+    return exploded.hint("merge")
+
+
 def _meetings(members: DataFrame) -> DataFrame:
     """(a, b): each member of a bucket and the bucket's hub, every pair once."""
     order = F.struct(F.xxhash64("key", "rep").alias("at"), F.col("rep").alias("hub"))
     hubs = members.groupBy("key").agg(F.min(order).alias("first"), F.max("rep").alias("hi"), F.min("rep").alias("lo"))
     hubs = hubs.where("hi <> lo").select("key", F.col("first.hub").alias("hub"))
     return (
-        members.join(hubs, "key")
+        _many(members).join(hubs, "key")
         .where("rep <> hub")
         .select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
         .distinct()
@@ -285,7 +290,7 @@ def links_in_families(shared: DataFrame, labels: DataFrame, sets: DataFrame) ->
     """
     parts = labels.select(F.col("node").alias("own"), F.col("label").alias("part"))
     smallest = shared.groupBy("key").agg(F.min("rep").alias("a"))
-    ties = shared.join(smallest, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    ties = _many(shared).join(smallest, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
     members = components(stage(ties, "ties")).withColumnsRenamed({"node": "rep", "label": "family"})
     members = members.join(parts, F.col("rep") == F.col("own"), "left").select("rep", "family", F.coalesce("part", "rep").alias("part"))
     split = members.groupBy("family").agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
@@ -294,7 +299,7 @@ def links_in_families(shared: DataFrame, labels: DataFrame, sets: DataFrame) ->
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
     placed = (
         members.withColumn("salt", F.pmod(F.xxhash64("rep", F.lit("salt")), F.lit(SALTS).cast("long")))
-        .join(split.select("family", blocks.alias("blocks"), salts), ["family", "salt"])
+        .join(_many(split.select("family", blocks.alias("blocks"), salts)), ["family", "salt"])
         .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
         .join(sets, "rep")
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -313,7 +318,7 @@ def _classified(docs: DataFrame) -> DataFrame:
     signed = reps.where("signature is not null")
     shallow = signed.select("rep", F.explode(_keys(ROWS)).alias("key"))
     crowded = shallow.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi")
-    shared = stage(shallow.join(crowded.select("key"), "key").select("key", "rep"), "buckets")
+    shared = stage(_many(shallow).join(crowded.select("key"), "key").select("key", "rep"), "buckets")
     active = stage(shared.select("rep").distinct(), "active")
     deep = F.concat(*[_keys(d) for d in DEEPER])
     deeper = signed.join(active, "rep", "left_semi").select(F.explode(deep).alias("key"), "rep")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from fleetlake.llm import classifier, fingerprints, licenses, line_dedup, mixing, near_dup, pieces, pii, quality_rules, warc
+from fleetlake.session import settings
 from tools.compare import compare, duck
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -474,6 +475,23 @@ def test_chains_and_crowded_groups(spark):
     assert {r["doc_id"]: r["class_id"] for r in got} == plain_classes(rows)
 
 
+def test_exploded_tables_are_not_broadcast(spark, monkeypatch):
+    """Keys of bands and copies of families are many times what Spark expects, and the driver would hold them."""
+    rows = [(i, " ".join(f"w{j}" for j in range(i // 4, i // 4 + 60))) for i in range(40)]
+    stage, plans = near_dup.stage, []
+
+    def recorded(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, name)
+
+    monkeypatch.setattr(near_dup, "stage", recorded)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="1g"):
+        got = near_dup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == plain_classes(rows)
+    joins = {(keys.replace(" ", ""), how) for plan in plans for how, keys in re.findall(r"(\w+Join) \[((?:key|family|salt|, )+)\]", re.sub(r"#\d+L?", "", plan))}
+    assert joins == {("key", "SortMergeJoin"), ("family,salt", "SortMergeJoin")}
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 3)], "a long, b long")
     got = dict(map(tuple, near_dup.components(links).collect()))
